@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from strutwise.llm.mixing import op3_cube_mix
+from strutwise.llm.pieces import op9_pieces
 from strutwise.llm.sharding import op8_feistel_shards
+from strutwise.llm.tokenio import op4_huffman_ids
 
 QUERIES = {
     "op3_cube_mix": op3_cube_mix,
+    "op4_huffman_ids": op4_huffman_ids,
     "op8_feistel_shards": op8_feistel_shards,
+    "op9_pieces": op9_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {}
