@@ -6,6 +6,7 @@ from strutwise.llm.langid import op7_ecoc_language
 from strutwise.llm.mixing import op3_cube_mix
 from strutwise.llm.pieces import op9_pieces
 from strutwise.llm.sharding import op8_feistel_shards
+from strutwise.llm.substrings import OP10_SQL, op10_fm_repeats
 from strutwise.llm.tokenio import op4_huffman_ids
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op7_ecoc_language": op7_ecoc_language,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_pieces": op9_pieces,
+    "op10_fm_repeats": op10_fm_repeats,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_fm_repeats": OP10_SQL}
