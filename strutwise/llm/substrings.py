@@ -37,9 +37,9 @@ WINDOW = 13
 GRAM = 3
 #: Bytes of text in a slice, and for each shard.
 SLICE_BYTES = 12 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 12 << 20
 #: Words in one FM-index; a shard with more builds several, each over whole minimizers.
-INDEX_WORDS = 1 << 21
+INDEX_WORDS = 1 << 20
 LAST = (1 << 63) - 1
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _SENT = "shard int, kind int, body binary"
@@ -62,6 +62,17 @@ def _unpack(body: bytes) -> list[np.ndarray]:
     return out
 
 
+def _frequent(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Up to 255 frequent words (from place 1 on) and a table of their places by their last 16 bits."""
+    kinds, counts = np.unique(words[:: max(1, len(words) >> 16)], return_counts=True)
+    top = np.zeros(256, dtype="<u4")
+    chosen = kinds[np.argsort(-counts, kind="stable")[:255]]
+    top[1 : len(chosen) + 1] = chosen
+    table = np.zeros(1 << 16, dtype=np.uint8)
+    table[chosen & 0xFFFF] = np.arange(1, len(chosen) + 1, dtype=np.uint8)
+    return top, table
+
+
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     edges = np.flatnonzero(np.diff(np.r_[False, mask, False].astype(np.int8)))
@@ -126,6 +137,9 @@ def _slice_rows(ids: np.ndarray, hashes: np.ndarray, words: list[np.ndarray], le
     segment = np.cumsum(opens) - 1
     windows = np.bincount(segment[send], minlength=len(starts))
     sizes = windows + length - 1
+    top, table = _frequent(short)  # these travel as one byte each
+    code = table[short & 0xFFFF]
+    code[top[code] != short] = 0
     # the segments of one shard follow each other, documents in order
     shard = (least_gram[starts] >> np.uint64(8)) % np.uint64(shards)
     order, groups = _grouped(shard.astype(np.int64))
@@ -133,13 +147,14 @@ def _slice_rows(ids: np.ndarray, hashes: np.ndarray, words: list[np.ndarray], le
         own = order[a:b]
         s, z = starts[own], sizes[own]
         step = np.cumsum(z) - z
-        text = short[np.arange(z.sum()) - np.repeat(step, z) + np.repeat(s, z)]
+        at = np.arange(z.sum()) - np.repeat(step - s, z)
+        codes = code[at]
         d = doc[s]
         docs, index = np.unique(d, return_inverse=True)
         gap = np.diff(np.r_[0, index])
         yield int(shard[own[0]]), 0, _pack(
             ids[docs].view("<u8"), hashes[docs].astype("<u4"), gap.astype("<u2" if gap.max(initial=0) < 1 << 16 else "<u4"),
-            (s - first[d]).astype("<u4"), z.astype("<u4" if z.max() >= 1 << 16 else "<u2"), text,
+            (s - first[d]).astype("<u4"), z.astype("<u4" if z.max() >= 1 << 16 else "<u2"), codes, short[at[codes == 0]], top,
         )
 
 
@@ -174,7 +189,7 @@ def _matched(length: int):
             hashes = np.concatenate([x[1].astype(np.int64)[i] for x, i in zip(sent, index)])
             start = np.concatenate([x[3] for x in sent]).astype(np.int64)
             size = np.concatenate([x[4].astype(np.int64) for x in sent])
-            text = np.concatenate([x[5] for x in sent])
+            text = np.concatenate([_words_of(*x[5:]) for x in sent])
             del sent, index
             found += _search(ids, hashes, start, size, text, length)
         return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "hash": pa.array([x[1] for x in found], pa.int64()), "spans": pa.array([x[2] for x in found], pa.binary())})
@@ -182,12 +197,21 @@ def _matched(length: int):
     return run
 
 
+def _words_of(codes: np.ndarray, rare: np.ndarray, top: np.ndarray) -> np.ndarray:
+    words = top[codes]
+    words[codes == 0] = rare
+    return words
+
+
 def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
     """Spans of the windows of segments that also start in a document with a smaller id."""
     offset = np.cumsum(size) - size
     # the minimizer again, from the 32-bit words that all segments hold alike
-    grams = sequences(text.astype(np.uint64), GRAM)
-    key = np.minimum.reduce([grams[offset + k] for k in range(length - GRAM + 1)])
+    key = np.empty(len(size), dtype=np.uint64)
+    for a in range(0, len(size), 1 << 15):
+        firsts = text[offset[a : a + (1 << 15), None] + np.arange(length)].astype(np.uint64)
+        grams = sequences(np.append(firsts.ravel(), np.zeros(GRAM - 1, dtype=np.uint64)), GRAM).reshape(len(firsts), length)
+        key[a : a + (1 << 15)] = grams[:, : length - GRAM + 1].min(axis=1)
     order, groups = _grouped(key)
     least, most = np.minimum.reduceat(ids[order], groups), np.maximum.reduceat(ids[order], groups)
     repeats = np.diff(np.r_[groups, len(order)])
