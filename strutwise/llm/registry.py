@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strutwise.llm.forest import op5_forest_join
+from strutwise.llm.imatch import op6_imatch
 from strutwise.llm.langid import op7_ecoc_language
 from strutwise.llm.mixing import op3_cube_mix
 from strutwise.llm.pieces import op9_pieces
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_cube_mix": op3_cube_mix,
     "op4_huffman_ids": op4_huffman_ids,
     "op5_forest_join": op5_forest_join,
+    "op6_imatch": op6_imatch,
     "op7_ecoc_language": op7_ecoc_language,
     "op8_feistel_shards": op8_feistel_shards,
     "op9_pieces": op9_pieces,
