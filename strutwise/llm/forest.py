@@ -356,7 +356,8 @@ def near_duplicates(
         .withColumn("part", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(parts))).otherwise(F.col("part_group")))
         .select(F.col("node").alias("row"), "many", "block", "pair", "part_group", "part", F.col("one.doc_id").alias("__id"), F.col("one.text_hash").alias("__hash"))
     )
-    texts = plain.join(placed, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("text_hash").eqNullSafe(F.col("__hash"))).select("row", "many", "block", "pair", "part_group", "part", "text")
+    # both sides grow with the corpus: sorted and merged at every size, never broadcast
+    texts = plain.join(placed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("text_hash").eqNullSafe(F.col("__hash"))).select("row", "many", "block", "pair", "part_group", "part", "text")
     compared = stored(
         texts.mapInArrow(_sets(n), "row long, many long, block int, pair int, part_group long, part long, set binary").groupBy("part").applyInArrow(_compare(threshold), "row long, links long, root long"),
         "compared",
