@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from strutwise.llm.chat import op1_chat_windows
 from strutwise.llm.forest import op5_forest_join
 from strutwise.llm.imatch import op6_imatch
 from strutwise.llm.langid import op7_ecoc_language
+from strutwise.llm.mih import OP2_SQL, op2_mih_top_k
 from strutwise.llm.mixing import op3_cube_mix
 from strutwise.llm.pieces import op9_pieces
 from strutwise.llm.sharding import op8_feistel_shards
@@ -12,6 +14,8 @@ from strutwise.llm.substrings import OP10_SQL, op10_fm_repeats
 from strutwise.llm.tokenio import op4_huffman_ids
 
 QUERIES = {
+    "op1_chat_windows": op1_chat_windows,
+    "op2_mih_top_k": op2_mih_top_k,
     "op3_cube_mix": op3_cube_mix,
     "op4_huffman_ids": op4_huffman_ids,
     "op5_forest_join": op5_forest_join,
@@ -22,4 +26,4 @@ QUERIES = {
     "op10_fm_repeats": op10_fm_repeats,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_fm_repeats": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_mih_top_k": OP2_SQL, "op10_fm_repeats": OP10_SQL}
