@@ -311,10 +311,10 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     shards = max(8, -(-int(volume) // SHARD_BYTES))
     sent = marked.select(F.col("__id"), F.col("__hash"), F.col(text).alias("text")).mapInArrow(_send(length, shards, slice_bytes), _SENT)
     spans = sent.groupBy("shard").applyInArrow(_matched(length), _SPANS)
-    by_doc = spans.groupBy("id", "hash").agg(F.collect_list("spans").alias("__spans"))
-    joined = marked.join(by_doc, (F.col("__id") == F.col("id")) & (F.col("__hash") == F.col("hash")), "left")
+    by_doc = spans.groupBy(F.col("id").alias("__of"), F.col("hash").alias("__like")).agg(F.collect_list("spans").alias("__spans"))
+    joined = marked.join(by_doc, (F.col("__id") == F.col("__of")) & (F.col("__hash") == F.col("__like")), "left")
     fields = [docs.schema[c] for c in others]
-    rows = joined.select(*[docs[c] for c in others], docs[text].alias("text"), "__spans")
+    rows = joined.select(*[docs[c] for c in others], docs[text].alias("text"), F.col("__spans"))
     schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(kept_as, T.StringType())])
     return rows.mapInArrow(_cut(kept_as, rows.columns, schema), schema)
 
