@@ -36,7 +36,7 @@ WINDOW = 13
 #: Words whose hash stands for a place inside a window.
 GRAM = 3
 #: Bytes of text in a slice, and for each shard.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 SHARD_BYTES = 12 << 20
 #: Words in one FM-index; a shard with more builds several, each over whole minimizers.
 INDEX_WORDS = 1 << 20
