@@ -68,23 +68,29 @@ class FMIndex:
         # a separator at the end, so that no match runs on at the front
         values, codes = np.unique(np.concatenate([text.astype(np.uint64), np.zeros(1, dtype=np.uint64)]), return_inverse=True)
         self.n, self.values, codes = len(codes), values, codes.astype(np.int64)
-        rank, reach = codes, 1
-        order = np.argsort(rank, kind="stable")
-        while reach < depth:
-            ahead = np.zeros(self.n, dtype=np.int64)
-            ahead[: max(0, self.n - reach)] = rank[reach:] + 1
-            key = rank * (self.n + 2) + ahead
-            order = np.argsort(key, kind="stable")
+        bits = max(1, int(len(values) - 1).bit_length())
+        # as many symbols as fit one word are compared at once, then twice as many each time
+        key, reach = codes.astype(np.uint64), max(1, min(depth, 64 // bits))
+        for k in range(1, reach):
+            key = key << np.uint64(bits)
+            key[: self.n - k] |= codes[k:].astype(np.uint64) if k < self.n else np.uint64(0)
+        while True:
+            order = np.argsort(key)
             ranked = key[order]
+            if reach >= depth:
+                break
             rank = np.empty(self.n, dtype=np.int64)
             rank[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])
+            ahead = np.zeros(self.n, dtype=np.int64)
+            ahead[: max(0, self.n - reach)] = rank[reach:] + 1
+            key = rank * (self.n + 2) + ahead
             reach *= 2
         self.order = order.astype(np.int32 if self.n < 1 << 31 else np.int64)
         self.codes = codes
         counts = np.bincount(codes, minlength=len(values))
         self.first = np.cumsum(counts) - counts
         self.total = counts
-        self.tree = WaveletTree(codes[order - 1], max(1, int(len(values) - 1).bit_length()))
+        self.tree = WaveletTree(codes[order - 1], bits)
 
     def matches(self, at: np.ndarray, length: int, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the windows of ``length`` symbols that start at positions ``at`` of the text.

@@ -79,9 +79,9 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order by key and where each group starts in it."""
-    order = np.argsort(keys, kind="stable")
+def _grouped(keys: np.ndarray, stable: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """An order by key and where each group starts in it."""
+    order = np.argsort(keys, kind="stable" if stable else None)
     ranked = keys[order]
     return order, np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]][: len(keys)])
 
@@ -142,7 +142,7 @@ def _slice_rows(ids: np.ndarray, hashes: np.ndarray, words: list[np.ndarray], le
     code[top[code] != short] = 0
     # the segments of one shard follow each other, documents in order
     shard = (least_gram[starts] >> np.uint64(8)) % np.uint64(shards)
-    order, groups = _grouped(shard.astype(np.int64))
+    order, groups = _grouped(shard.astype(np.int64), stable=True)
     for a, b in zip(groups, np.r_[groups[1:], len(starts)]):
         own = order[a:b]
         s, z = starts[own], sizes[own]
@@ -215,7 +215,10 @@ def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
     order, groups = _grouped(key)
     least, most = np.minimum.reduceat(ids[order], groups), np.maximum.reduceat(ids[order], groups)
     repeats = np.diff(np.r_[groups, len(order)])
-    order = order[np.repeat(least < most, repeats)]  # whole minimizers, one after another
+    # nothing comes before the least document of a minimizer: its windows are found, but don't ask
+    asks = ids[order] > np.repeat(least, repeats)
+    kept = np.repeat(least < most, repeats)
+    order, asks = order[kept], asks[kept]  # whole minimizers, one after another
     words = np.cumsum(size[order] + 1)
     part = np.zeros(len(order), dtype=np.int64)
     if len(order):
@@ -224,14 +227,14 @@ def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
         part = np.repeat(words[opens] // INDEX_WORDS, np.diff(np.r_[opens, len(order)]))
     found: list[tuple] = []
     for p in np.unique(part):
-        own = order[part == p]
+        own, asking = order[part == p], asks[part == p]
         z = size[own]
         at = np.cumsum(z + 1) - (z + 1)
         joined = np.zeros(int((z + 1).sum()), dtype=np.uint64)
         step = np.arange(int(z.sum())) - np.repeat(np.cumsum(z) - z, z)
         joined[step + np.repeat(at, z)] = text[step + np.repeat(offset[own], z)].astype(np.uint64) + np.uint64(1)
         index = FMIndex(joined, length)
-        many = z - length + 1
+        many = np.where(asking, z - length + 1, 0)
         turn = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         segment = np.repeat(np.arange(len(own)), many)
         windows = turn + np.repeat(at, many)
