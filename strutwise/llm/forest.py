@@ -306,6 +306,11 @@ def _sets(n: int):
     return run
 
 
+def _blocks(total: str, most: int):
+    """Blocks of a component so that two of them hold about ``most`` at most."""
+    return F.when(F.col(total) > most, F.ceil(F.col(total) / F.lit(most / 2)).cast("int")).otherwise(F.lit(1))
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE, threshold: float = THRESHOLD,
     trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, bucket: int = BUCKET, block: int = BLOCK,
@@ -343,12 +348,12 @@ def near_duplicates(
     candidates = stored(components(edges), "candidates")
     # what is compared: classes in components of two or more, each with its set, large components in pairs of blocks
     counts = candidates.join(classes.select(F.col("row").alias("node"), "size", "many", "one"), "node")
-    sizes = counts.groupBy("root").agg(F.count("*").alias("members"))
+    sizes = counts.groupBy("root").agg(F.count("*").alias("members"), F.sum("size").alias("shingles"))
     wanted = stored(counts.join(sizes, "root"), "wanted")
     volume = wanted.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     parts = max(8, -(-int(volume) // PART_SHINGLES))
     placed = (
-        wanted.withColumn("blocks", F.when(F.col("members") > block, F.ceil(F.col("members") / F.lit(block / 2)).cast("int")).otherwise(F.lit(1)))
+        wanted.withColumn("blocks", F.greatest(_blocks("members", block), _blocks("shingles", PART_SHINGLES)))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("pair", F.when(F.col("blocks") == 1, -1).when(F.col("j") == F.col("block"), 0).otherwise(1))

@@ -63,6 +63,11 @@ def test_a_large_group_of_near_copies(spark, limits):
     assert got(L.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **limits)) == brute(rows)
 
 
+def test_components_of_long_texts_are_split(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(L, "PART_SHINGLES", 300)
+    assert got(L.near_duplicates(docs)) == brute([r[:2] for r in rows])
+
+
 def test_prefix_depth_meets_the_recall():
     d = L.prefix_depth()
     assert 1 - (1 - L.THRESHOLD**d) ** L.TREES >= L.RECALL > 1 - (1 - L.THRESHOLD ** (d + 1)) ** L.TREES
