@@ -29,4 +29,4 @@ def query(name: str, sql: str | None = None, digits: int = 6):
     return add
 
 
-from strutwise.plans import queries_graph, queries_profile, queries_volume  # noqa: E402,F401
+from strutwise.plans import queries_graph, queries_profile, queries_review, queries_volume  # noqa: E402,F401
