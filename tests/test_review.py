@@ -20,7 +20,7 @@ def test_topology_is_that_of_canonical_json(spark):
 def test_slices_keep_apart():
     counts = [(0, 5), (1, 9), (2, 8), (10, 7), (20, 6), (30, 0)]
     assert R.spaced_slices(counts, [20, 99], 3, 5) == [1, 10, 20]
-    assert R.spaced_slices(counts, [], 4, 50) == [0, 1, 2, 10] and R.spaced_slices([], [1], 2, 1) == []
+    assert R.spaced_slices(counts, [], 4, 50) == [1, 2, 10, 20] and R.spaced_slices([], [1], 2, 1) == []
 
 
 def test_sides_and_evidence(spark):
