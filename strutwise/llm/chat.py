@@ -56,27 +56,29 @@ def parsed(formatted: Column) -> Column:
     )
 
 
-def _placed(turns: DataFrame) -> DataFrame:
-    """Adds the ordinal of each turn and the tokens before it, in two levels of prefix sums."""
-    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    cut = turns.withColumn("__stretch", F.coalesce(F.floor(F.col("turn") / F.lit(STRETCH)).cast("long"), F.lit(-(1 << 62))))
-    inside = Window.partitionBy("conv_id", "__stretch").orderBy(*order)
-    local = cut.withColumn("__n", F.row_number().over(inside) - 1).withColumn("__t", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
-    rank = F.struct("turn", "role", "text")
-    sums = cut.groupBy(F.col("conv_id").alias("__c"), F.col("__stretch").alias("__s")).agg(
-        F.count("*").alias("__rows"), F.sum("tokens").alias("__sum"), F.min_by(F.struct("role", "tokens"), rank).alias("__head")
-    )
-    along = Window.partitionBy("__c").orderBy("__s")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        "__c", "__s", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__sum"),
-        F.first("__head").over(along).alias("__first"),
+_STRETCH = ["__z", "__c", "__s"]
+
+
+def _placed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns with their place and the tokens before them in their stretch, and a row for each stretch.
+
+    A conversation is cut in stretches of turn numbers, so no task orders more
+    than a stretch. The rows of stretches carry the turns before them and the
+    conversation's first turn (its text if it is a system turn).
+    """
+    cut = turns.select(
+        "*", F.col("conv_id").isNull().alias("__z"), F.coalesce("conv_id", F.lit(0)).alias("__c"),
+        F.coalesce(F.floor(F.col("turn") / F.lit(STRETCH)).cast("long"), F.lit(-(1 << 62))).alias("__s"),
     )
-    same = F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("__stretch") == F.col("__s"))
-    return local.join(sums, same).select(
-        *turns.columns, (F.col("__n") + F.col("__rows")).alias("pos"), (F.col("__t") + F.col("__sum")).alias("before"),
-        F.when(F.col("__first.role") == SYSTEM, F.col("__first.tokens")).otherwise(0).alias("system_tokens"),
+    inside = Window.partitionBy(*_STRETCH).orderBy(F.col("turn").asc_nulls_first(), F.col("role"), F.col("text"))
+    local = cut.withColumn("pos", F.row_number().over(inside) - 1).withColumn("before", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
+    heads = local.withColumn("__rows", F.count("*").over(Window.partitionBy(*_STRETCH))).where("pos = 0")
+    along = Window.partitionBy("__z", "__c").orderBy("__s")
+    first = F.struct(F.col("role"), F.when(F.col("role") == SYSTEM, F.col("text")).alias("text"), F.col("tokens"))
+    stretches = heads.select(
+        *_STRETCH, F.coalesce(F.sum("__rows").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__skip"), F.first(first).over(along).alias("__first")
     )
+    return local, stretches
 
 
 def chat_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None) -> DataFrame:
@@ -88,39 +90,37 @@ def chat_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY,
     or text counts as empty; a null turn number comes first; turns that tie are
     ordered by role and text; repeated rows are turns of their own; a null
     conversation id is a conversation. Only a system turn in first place is
-    retained. Other columns are ignored. No turns give no rows.
+    retained. Windows and history end with a stretch of 1,024 turn numbers.
+    Other columns are ignored. No turns give no rows.
+
+    Texts are shuffled once, by stretch; all later grouping is within stretches.
     """
     plain = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), (F.coalesce(tokens if tokens is not None else token_count(F.col("text")), F.lit(0)) + MARKS).cast("long").alias("tokens"))
-    cell = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("system_tokens")) / 2)).cast("long")
+    local, stretches = _placed(plain)
+    system_tokens = F.when(F.col("__first.role") == SYSTEM, F.col("__first.tokens")).otherwise(0)
+    placed = local.join(stretches.select(*_STRETCH, "__skip", system_tokens.alias("__system")), _STRETCH)
+    cell = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("__system")) / 2)).cast("long")
     last = F.col("before") + F.col("tokens") - 1
-    keyed = _placed(plain).withColumn("__cell", F.floor(last / cell)).withColumn("__key", F.col("__cell") * 2 + (F.col("tokens") <= cell).cast("int"))
-    window = Window.partitionBy("conv_id", "__key")
+    keyed = placed.withColumn("__key", F.floor(last / cell) * 2 + (F.col("tokens") <= cell).cast("int"))
+    window = Window.partitionBy(*_STRETCH, "__key")
     found = (
         keyed.withColumn("__from", F.min("pos").over(window))
         .withColumn("__to", F.max("pos").over(window))
         .withColumn("__end", F.max(F.col("before") + F.col("tokens")).over(window))
     )
-    system = (F.col("pos") == 0) & (F.col("role") == SYSTEM)
-    body = escaped(F.col("text"))
-    lead = F.concat(F.when(F.col("role") == ASSISTANT, "<s>").otherwise("[INST]"), _escaped_role(F.col("role")), F.lit("\n"))
-    close = F.when(F.col("role") == ASSISTANT, "</s>").otherwise("[/INST]")
-    shown = found.withColumn("__lead", lead).withColumn("__body", body)
+    system = (F.col("pos") + F.col("__skip") == 0) & (F.col("role") == SYSTEM)
     # a turn is new in its window and, near its end, history of the next
     again = (F.col("__end") - F.col("before") <= history) & ~system
-    shown = shown.withColumn("__to_window", F.explode(F.when(again, F.array("__from", F.col("__to") + 1)).otherwise(F.array("__from"))))
-    new = F.col("__to_window") == F.col("__from")
-    piece = F.struct(
-        "pos", new.alias("new"), F.concat("__lead", "__body", close).alias("piece"), F.char_length("__lead").alias("lead"),
-        F.when(new & (F.col("role") == ASSISTANT), F.char_length("__body")).alias("loss"), F.col("tokens"),
-    )
-    grouped = (
-        shown.groupBy("conv_id", F.col("__to_window").alias("window"))
-        .agg(F.sort_array(F.collect_list(piece)).alias("pieces"), F.max(new).alias("__any"))
-        .where("__any")
-    )
-    kept = shown.where(system & new).select(F.col("conv_id").alias("__c"), F.struct(F.lit(-1).cast("int").alias("pos"), F.lit(False).alias("new"), F.concat("__lead", "__body", close).alias("piece"), F.char_length("__lead").alias("lead"), F.lit(None).cast("int").alias("loss"), "tokens").alias("__system"))
-    whole = grouped.join(kept, F.col("conv_id").eqNullSafe(F.col("__c")), "left").withColumn(
-        "pieces", F.when(F.col("__system").isNotNull() & (F.col("window") > 0), F.concat(F.array("__system"), F.col("pieces"))).otherwise(F.col("pieces"))
+    shown = found.withColumn("__window", F.explode(F.when(again, F.array("__from", F.col("__to") + 1)).otherwise(F.array("__from"))))
+    new = F.col("__window") == F.col("__from")
+    role, text = F.col("role"), F.col("text")
+    piece = F.struct("pos", new.alias("new"), *_piece(role, text), F.when(new & (role == ASSISTANT), F.char_length(escaped(text))).alias("loss"), F.col("tokens"))
+    grouped = shown.groupBy("conv_id", *_STRETCH, "__window").agg(F.sort_array(F.collect_list(piece)).alias("pieces"), F.max(new).alias("__any")).where("__any")
+    head = F.struct(F.lit(-1).alias("pos"), F.lit(False).alias("new"), *_piece(F.col("__first.role"), F.col("__first.text")), F.lit(None).cast("int").alias("loss"), F.col("__first.tokens").alias("tokens"))
+    start = F.col("__window") + F.col("__skip")
+    whole = grouped.join(stretches, _STRETCH).select(
+        "conv_id", start.alias("window"),
+        F.when((F.col("__first.role") == SYSTEM) & (start > 0), F.concat(F.array(head), F.col("pieces"))).otherwise(F.col("pieces")).alias("pieces"),
     )
     spans = F.aggregate(
         "pieces",
@@ -138,6 +138,12 @@ def chat_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY,
     )
 
 
+def _piece(role: Column, text: Column) -> list[Column]:
+    lead = F.concat(F.when(role == ASSISTANT, "<s>").otherwise("[INST]"), _escaped_role(role), F.lit("\n"))
+    close = F.when(role == ASSISTANT, "</s>").otherwise("[/INST]")
+    return [F.concat(lead, escaped(text), close).alias("piece"), F.char_length(lead).alias("lead")]
+
+
 def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted in windows, with digests read back from the formatted texts."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
