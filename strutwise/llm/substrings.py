@@ -261,15 +261,30 @@ def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
     return found
 
 
+def _squeezed(columns: list[str]):
+    """Texts as compressed bytes, null as null: so they take less room in the shuffle."""
+    at = columns.index("text")
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in by_size(batches, "text"):
+            packed = pa.array([None if t is None else press.compress(t.encode("utf-8")) for t in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([packed if k == at else c for k, c in enumerate(batch.columns)], names=columns)
+
+    return run
+
+
 def _cut(kept_as: str, columns: list[str], schema: T.StructType):
     """Adds n_words, n_removed and ``kept_as``: the kept words joined by a space, or the text without its removed spans."""
     at, spans_at = columns.index("text"), columns.index("__spans")
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in by_size(batches, "text"):
             n_words, n_removed, kept = [], [], []
-            for text, spans in zip(batch.column(at).to_pylist(), batch.column(spans_at).to_pylist()):
-                words = split(text)
+            for packed, spans in zip(batch.column(at).to_pylist(), batch.column(spans_at).to_pylist()):
+                raw = b"" if packed is None else unpack.decompress(packed)
+                words = raw.split()
                 keep = np.ones(len(words), dtype=bool)
                 if spans:
                     edges = np.zeros(len(words) + 1, dtype=np.int32)
@@ -283,9 +298,8 @@ def _cut(kept_as: str, columns: list[str], schema: T.StructType):
                 if kept_as == "kept":
                     kept.append(b" ".join(words if keep.all() else [w for w, k in zip(words, keep) if k]).decode("utf-8"))
                 elif keep.all():
-                    kept.append(text)
+                    kept.append(None if packed is None else raw.decode("utf-8"))
                 else:
-                    raw = text.encode("utf-8")
                     places = [m.start() for m in _WORDS.finditer(raw)] + [len(raw)]
                     a, b = _runs(keep)
                     lead = raw[: places[0]] if keep[0] else b""
@@ -315,9 +329,10 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     sent = marked.select(F.col("__id"), F.col("__hash"), F.col(text).alias("text")).mapInArrow(_send(length, shards, slice_bytes), _SENT)
     spans = sent.groupBy("shard").applyInArrow(_matched(length), _SPANS)
     by_doc = spans.groupBy(F.col("id").alias("__of"), F.col("hash").alias("__like")).agg(F.collect_list("spans").alias("__spans"))
-    joined = marked.join(by_doc, (F.col("__id") == F.col("__of")) & (F.col("__hash") == F.col("__like")), "left")
     fields = [docs.schema[c] for c in others]
-    rows = joined.select(*[docs[c] for c in others], docs[text].alias("text"), F.col("__spans"))
+    plain = marked.select(*[docs[c].alias(f"__{k}") for k, c in enumerate(others)], F.col("__id"), F.col("__hash"), docs[text].alias("text"))
+    small = plain.mapInArrow(_squeezed(plain.columns), T.StructType([*plain.schema.fields[:-1], T.StructField("text", T.BinaryType())]))
+    rows = small.join(by_doc, (F.col("__id") == F.col("__of")) & (F.col("__hash") == F.col("__like")), "left").select(*[f"__{k}" for k in range(len(others))], "text", "__spans")
     schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(kept_as, T.StringType())])
     return rows.mapInArrow(_cut(kept_as, rows.columns, schema), schema)
 
