@@ -146,3 +146,30 @@ def answered(f, *args, **kwargs) -> dict:
         return f(*args, **kwargs)
     except Exception as e:  # the caller gets the reason, whatever it is
         return envelope("error", "halt", f"{type(e).__name__}: {e}", error={"type": type(e).__name__, "message": str(e)})
+
+
+def publish_bundle(folder: str, files: dict[str, str]) -> bool:
+    """Writes a folder of small text files in one step; says whether anything changed.
+
+    The files are staged beside the folder, which then appears by one rename.
+    A folder that holds exactly these files already is left alone; one that
+    holds anything else raises an error.
+    """
+    if os.path.isdir(folder):
+        have = {}
+        for name in os.listdir(folder):
+            with open(os.path.join(folder, name), encoding="utf-8") as f:
+                have[name] = f.read()
+        if have == files:
+            return False
+        raise FileExistsError(f"{folder} holds something else")
+    parent = os.path.dirname(os.path.abspath(folder))
+    os.makedirs(parent, exist_ok=True)
+    stage = tempfile.mkdtemp(dir=parent)
+    for name, body in files.items():
+        with open(os.path.join(stage, name), "w", encoding="utf-8", newline="\n") as f:
+            f.write(body)
+            f.flush()
+            os.fsync(f.fileno())
+    os.rename(stage, folder)
+    return True

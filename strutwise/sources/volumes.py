@@ -126,3 +126,37 @@ def gathered(blocks: DataFrame, z0: int, z1: int) -> tuple[np.ndarray, int]:
     whole = np.concatenate([block_array(r) for r in rows])
     first = rows[0].z0
     return whole[max(0, z0 - first) : z1 - first], max(z0, first)
+
+
+def inspect(spark: SparkSession, paths: list[str], statistics: bool = True) -> DataFrame:
+    """``place, path, shape, dtype, byte_order, cells, sha256`` and value statistics of volumes, in the order given.
+
+    Statistics are range, mean and counts of finite and other values, merged
+    from one row per slab; without them only headers and bytes are read.
+    """
+    order = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "place int, given string")
+    named = lambda df: df.withColumn("given", F.regexp_replace("path", "^file:(//)?(?=/)", ""))
+    hashes = named(spark.read.format("binaryFile").load(paths)).select("given", F.sha2("content", 256).alias("sha256"))
+    out = order.join(named(read_headers(spark, paths)), "given").join(hashes, "given")
+    if statistics:
+        out = out.join(named(slab_stats(read_volume(spark, paths))), "given", "left")
+    return out.select("place", F.col("given").alias("path"), *[c for c in out.columns if c not in ("place", "path", "given")]).orderBy("place")
+
+
+def slab_stats(blocks: DataFrame) -> DataFrame:
+    """``path, minimum, maximum, mean, finite_count, nonfinite_count`` of block tables."""
+
+    def run(frames):
+        for f in frames:
+            out = []
+            for row in f.itertuples(index=False):
+                a = block_array(row).astype(np.float64)
+                good = a[np.isfinite(a)]
+                out.append((row.path, float(good.min()) if len(good) else None, float(good.max()) if len(good) else None, float(good.sum()), len(good), a.size - len(good)))
+            yield pd.DataFrame(out, columns=["path", "low", "high", "total", "good", "bad"])
+
+    parts = blocks.mapInPandas(run, "path string, low double, high double, total double, good long, bad long")
+    return parts.groupBy("path").agg(
+        F.min("low").alias("minimum"), F.max("high").alias("maximum"), (F.sum("total") / F.nullif(F.sum("good").cast("double"), F.lit(0.0))).alias("mean"),
+        F.sum("good").alias("finite_count"), F.sum("bad").alias("nonfinite_count"),
+    )

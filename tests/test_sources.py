@@ -166,3 +166,22 @@ def test_windows_of_classes(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("classes").agg(F.sum("n"), F.count("*")).first() == (60, 24)
+
+
+def test_inspection_in_order(spark, tmp_path):
+    import hashlib
+
+    a = save(tmp_path / "b.npy", np.array([[[1.0, np.nan], [3.0, np.inf]]]))
+    b = save(tmp_path / "a.npy", np.arange(24, dtype=np.int16).reshape(2, 3, 4))
+    got = V.inspect(spark, [a, b]).collect()
+    assert [(r.place, r.path) for r in got] == [(0, a), (1, b)]
+    assert (got[0].minimum, got[0].maximum, got[0].mean, got[0].finite_count, got[0].nonfinite_count) == (1.0, 3.0, 2.0, 2, 2)
+    assert (got[1].mean, got[1].shape, got[1].sha256) == (11.5, [2, 3, 4], hashlib.sha256(open(b, "rb").read()).hexdigest())
+    assert "mean" not in V.inspect(spark, [a], statistics=False).columns
+
+
+def test_bundles(tmp_path):
+    folder = str(tmp_path / "x" / "bundle")
+    assert D.publish_bundle(folder, {"a.csv": "1\n", "b.json": "{}"}) and not D.publish_bundle(folder, {"b.json": "{}", "a.csv": "1\n"})
+    with pytest.raises(FileExistsError):
+        D.publish_bundle(folder, {"a.csv": "2\n"})
