@@ -7,7 +7,8 @@ held on rows kept back from its fit, and takes the nearest codeword. A text
 whose two nearest codewords lie close together is flagged as ambiguous.
 
 The model is fitted on a bounded sample of labelled rows (``sample`` rows for
-each language, drawn by a hash of the id); nothing else is sampled.
+each language, ``SAMPLE_IN_ALL`` at most, drawn by a hash of the id); nothing
+else is sampled.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from strutwise.llm.batches import by_size
 
 BITS = 12
 DIMS = 1 << BITS
-#: Rows fitted on for each language, about.
-SAMPLE = 1000
+#: Rows fitted on, about: so many for each language, and so many in all.
+SAMPLE, SAMPLE_IN_ALL = 600, 4000
 #: Texts whose score is below this are flagged as ambiguous.
 AMBIGUOUS = 0.6
 UNKNOWN = "und"
@@ -110,32 +111,36 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 120) ->
     share = 1.0 / np.maximum(np.bincount(y, minlength=len(languages)), 1)
     weight = (share[y] / share[y].sum()).astype(np.float32)
 
-    def solve(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a, b, w = x[rows], goal[rows], weight[rows] / weight[rows].sum()
-        theta = np.zeros((DIMS + 1, code.shape[1]), dtype=np.float32)
-        ahead, rate = theta.copy(), 4.0 / 1.1
-        a1 = np.hstack([a, np.full((len(a), 1), 0.3, dtype=np.float32)])
+    def solve(used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # rows that are not used weigh nothing: the features are never copied
+        w = (weight * used / (weight * used).sum())[:, None]
+        theta, bias = np.zeros((DIMS, code.shape[1]), dtype=np.float32), np.zeros(code.shape[1], dtype=np.float32)
+        ahead, ahead_bias, rate, scale = theta, bias, np.float32(4.0 / 1.1), np.float32(0.3)
         for k in range(steps):
-            m = np.clip(a1 @ ahead * b, -30, 30)
-            slope = a1.T @ (-(b / (1 + np.exp(m))) * w[:, None]) + np.float32(1e-5) * ahead
-            new = ahead - np.float32(rate) * slope
-            ahead, theta = new + np.float32(k / (k + 3)) * (new - theta), new
-        return theta[:-1], theta[-1] * np.float32(0.3)
+            m = np.clip((x @ ahead + scale * ahead_bias) * goal, -30, 30)
+            pull = -(goal / (1 + np.exp(m))) * w
+            new = ahead - rate * (x.T @ pull + np.float32(1e-5) * ahead)
+            new_bias = ahead_bias - rate * (scale * pull.sum(axis=0))
+            step = np.float32(k / (k + 3))
+            ahead, ahead_bias = new + step * (new - theta), new_bias + step * (new_bias - bias)
+            theta, bias = new, new_bias
+        return theta, bias * scale
 
     trust = np.ones(code.shape[1])
     if kept_back.any() and len(languages) > 1:
         w, b = solve(~kept_back)
-        right = ((x[kept_back] @ w + b) * goal[kept_back] > 0).mean(axis=0)
+        right = ((x @ w + b)[kept_back] * goal[kept_back] > 0).mean(axis=0)
         trust = np.clip(2 * right - 1, 0.05, 1.0)
     w, b = solve(np.ones(len(x), dtype=bool))
     return Model(languages, code, w.astype(np.float32), b.astype(np.float32), trust / trust.sum() * min(3.0, code.shape[1]) if len(languages) > 1 else trust)
 
 
 def sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int, seed: int) -> DataFrame:
-    """About ``sample`` rows for each language by a hash of key and seed, as (language, features, order)."""
+    """About ``sample`` rows for each language by a hash of key and seed, as (language, order, features)."""
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # a row per language
     if not sizes:
         return None
+    sample = min(sample, SAMPLE_IN_ALL / len(sizes))
     rate = F.create_map(*[F.lit(v) for name, n in sorted(sizes.items()) for v in (name, min(1.0, sample / n))])
     drawn = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = rows.where(drawn < rate[F.col(lang)]).select(
@@ -158,12 +163,16 @@ def train(docs: DataFrame, keep: Column, key: str = "doc_id", text: str = "text"
     """Fits on the rows that ``keep`` holds for; rows without language, text or letters take no part."""
     rows = docs.where(keep & F.col(lang).isNotNull() & F.col(text).isNotNull())
     found = sampled(rows, key, text, lang, sample, seed)
-    got = sorted(found.collect(), key=lambda r: (r.at, r.lang)) if found is not None else []
-    languages = sorted({r.lang for r in got})
+    got = found.toArrow().sort_by([("at", "ascending"), ("lang", "ascending")]) if found is not None else pa.table({"lang": []})
+    labels = got["lang"].to_pylist()
+    languages = sorted(set(labels))
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((DIMS, 1), np.float32), np.zeros(1, np.float32), np.ones(1))
-    x = np.stack([np.frombuffer(bytes(r.x), np.float16) for r in got]).astype(np.float32)
-    return fit(x, np.array([languages.index(r.lang) for r in got]), languages)
+    x = np.empty((len(labels), DIMS), dtype=np.float32)
+    for k, row in enumerate(got["x"]):
+        x[k] = np.frombuffer(row.as_buffer(), np.float16)
+    del got
+    return fit(x, np.array([languages.index(name) for name in labels]), languages)
 
 
 def identified(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
