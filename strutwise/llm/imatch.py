@@ -21,15 +21,19 @@ SLOTS = 1 << 20
 #: Document frequencies, as shares of all documents, that the lexicon keeps: idf from ln 4 to ln 500.
 BAND = (0.002, 0.25)
 #: Bits that keep a term in each randomised subset: subset k of n bits has one in 2**n terms.
-SUBSETS = (1,) * 4 + (3,) * 4 + (5,) * 8 + (7,) * 16
+SUBSETS = (1,) * 3 + (3,) * 3 + (5,) * 6 + (7,) * 12
 #: Documents of a range that is ordered in one task, and ranges at most.
 RANGE, RANGES = 4096, 16384
 
 
+def _hashes(text: Column) -> Column:
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def terms(text: Column) -> Column:
     """Sorted distinct hashes of a text's terms; a null text has none."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    return F.sort_array(F.array_distinct(_hashes(text)))
 
 
 def _slot(term: Column) -> Column:
@@ -43,7 +47,7 @@ def _bit(words: Column, slot: Column) -> Column:
 def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> Column:
     """The slots whose document frequency lies in the band, as a constant bitmap of SLOTS bits."""
     total = docs.count()
-    found = docs.select(F.explode(F.array_distinct(F.transform(terms(F.col(text)), _slot))).alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
+    found = docs.select(F.explode(F.array_distinct(F.transform(_hashes(F.col(text)), _slot))).alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
     kept = found.where(F.col("df").between(max(2, math.ceil(band[0] * total)), max(2, math.floor(band[1] * total))))
     words = kept.groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
     bits = dict(words.collect())  # SLOTS / 64 rows at most
