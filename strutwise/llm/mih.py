@@ -6,9 +6,9 @@ around each query segment, one segment after another; after segment ``j`` at
 radius ``r`` every code within ``m * r + j`` bits has been met, so it ends when
 the k-th verified distance is no more than that.
 
-Distinct codes are packed into blocks of bounded size and distinct query codes
-into smaller ones; each pair of blocks is one row and one search. The k nearest
-of each block are merged.
+Distinct codes and distinct query codes are packed into blocks of bounded size;
+each pair of blocks is one group and one search, so a task holds one pair at a
+time. The k nearest of each block are merged.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from strutwise.llm.common import stored
 
 #: Distinct codes of an index block and of a query block; queries searched at once.
-INDEX_BLOCK, QUERY_BLOCK, AT_ONCE = 16_384, 512, 128
+INDEX_BLOCK, QUERY_BLOCK, AT_ONCE = 16_384, 16_384, 128
 
 
 @lru_cache(maxsize=256)
@@ -126,24 +126,23 @@ def _pack(table: pa.Table) -> pa.Table:
 
 
 def _pack_queries(table: pa.Table) -> pa.Table:
-    return pa.table({"queries": pa.array([b"".join(table["code"].to_pylist())], pa.binary())})
+    return pa.table({"g": table["g"].slice(0, 1), "queries": pa.array([b"".join(table["code"].to_pylist())], pa.binary())})
 
 
 def _search(k: int, width: int):
-    def run(batches):
-        for batch in batches:
-            for codes, ids, queries in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = width // 8
-                index = SegmentIndex(np.frombuffer(codes, "<u8").reshape(-1, words), width * 8)
-                asked = np.frombuffer(queries, "<u8").reshape(-1, words)
-                many = np.array([len(x) for x in ids], dtype=np.int64)
-                out = {"code": [], "distance": [], "id": []}
-                for q, (place, distance) in zip(asked, index.nearest(asked, k, many)):
-                    rows = sorted((int(d), i) for p, d in zip(place, distance) for i in ids[p])[:k]
-                    out["code"] += [q.tobytes()] * len(rows)
-                    out["distance"] += [d for d, _ in rows]
-                    out["id"] += [i for _, i in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(out["code"], pa.binary()), pa.array(out["distance"], pa.int32()), pa.array(out["id"], pa.int64())], names=["code", "distance", "id"])
+    def run(blocks: pa.Table, asked: pa.Table) -> pa.Table:
+        out = {"code": [], "distance": [], "id": []}
+        if blocks.num_rows and asked.num_rows:
+            ids = blocks["ids"][0].as_py()
+            index = SegmentIndex(np.frombuffer(blocks["codes"][0].as_buffer(), "<u8").reshape(-1, width // 8), width * 8)
+            queries = np.frombuffer(asked["queries"][0].as_buffer(), "<u8").reshape(-1, width // 8)
+            many = np.array([len(x) for x in ids], dtype=np.int64)
+            for q, (place, distance) in zip(queries, index.nearest(queries, k, many)):
+                rows = sorted((int(d), i) for p, d in zip(place, distance) for i in ids[p])[:k]
+                out["code"] += [q.tobytes()] * len(rows)
+                out["distance"] += [d for d, _ in rows]
+                out["id"] += [i for _, i in rows]
+        return pa.table({"code": pa.array(out["code"], pa.binary()), "distance": pa.array(out["distance"], pa.int32()), "id": pa.array(out["id"], pa.int64())})
 
     return run
 
@@ -172,11 +171,12 @@ def hamming_top_k(rows: DataFrame, queries: Column, k: int = 10, index_block: in
     asking = stored(rows.where(queries).select(F.col("id").alias("query_id"), "code").distinct(), "queries")
     asked = asking.select("code").distinct()
     groups = max(1, -(-asked.count() // query_block))
-    packed = asked.withColumn("g", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(groups))).groupBy("g").applyInArrow(_pack_queries, "queries binary")
-    # every block of queries meets every block of the index: a row of two bounded blobs each
-    pairs = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(F.col("block"), F.col("queries")).join(index.hint("merge"), "block")
+    packed = asked.withColumn("g", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(groups)).cast("int")).groupBy("g").applyInArrow(_pack_queries, "g int, queries binary")
+    # every block of queries meets every block of the index, a row of each
+    left = index.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    right = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = left.groupBy("block", "g").cogroup(right.groupBy("block", "g")).applyInArrow(_search(k, widths[0]), "code binary, distance int, id long")
     best = Window.partitionBy("code").orderBy("distance", "id")
-    found = pairs.select("codes", "ids", "queries").mapInArrow(_search(k, widths[0]), "code binary, distance int, id long")
     top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return asking.join(top, "code").select("query_id", "rank", "id", "distance")
 
