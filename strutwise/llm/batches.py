@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 #: Bytes of text that a slice of a batch holds (one row at least).
 SLICE = 1 << 20
 #: Distinct chunks that a worker keeps; the table starts anew beyond them.
-CHUNKS = 400_000
+CHUNKS = 250_000
 #: Longer chunks are encoded each time.
 LONG_CHUNK = 64
 

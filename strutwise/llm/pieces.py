@@ -48,9 +48,12 @@ class PieceCodec:
         )
         self.end = self.model.eos_id()
 
-        def encode(words: list[str]) -> list[list[int]]:
+        shared = list(range(len(pieces)))  # one number object for each id, whatever many words have it
+
+        def encode(words: list[str]) -> list[tuple[int, ...]]:
             # the library puts the first marker itself
-            return [ids if w != " " else [mark] for w, ids in zip(words, self.model.encode([w[1:] for w in words], num_threads=1))]
+            found = self.model.encode([w[1:] for w in words], num_threads=1)
+            return [tuple(map(shared.__getitem__, ids)) if w != " " else (mark,) for w, ids in zip(words, found)]
 
         self.table = ChunkTable(encode)
 

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words that a worker keeps.
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
