@@ -2,52 +2,21 @@
 
 from __future__ import annotations
 
-import math
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strutwise.sources.storage import shared_folder, stored
+
 #: A word is a longest run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: The ASCII white space that separates words.
-WORD_GAPS = " \t\n\v\f\r"
-
-_own_folder: str | None = None
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session names none (tests on one machine) a temporary folder of
-    this process is used.
-    """
-    global _own_folder
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if _own_folder is None:
-        _own_folder = "file://" + tempfile.mkdtemp(prefix="strutwise-")
-    return _own_folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/strutwise/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again.
-
-    Cuts the lineage: later steps read files that survive a lost executor, and
-    values that depend on how rows were dealt out stay as they were written.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def word_count(text: Column) -> Column:
     """Words in a text as BIGINT; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -82,8 +51,3 @@ def numbered(df: DataFrame, order: list[Column], out: str = "row_number") -> tup
         .drop("__place", "__at", "__offset")
     )
     return rows, int(total)
-
-
-def blocks_for(n: int, size: int) -> int:
-    """How many blocks of about ``size`` rows hold ``n`` rows; 1 at least."""
-    return max(1, math.ceil(n / size))

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strutwise.llm.batches import by_size
-from strutwise.llm.common import stored
 from strutwise.llm.fmindex import FMIndex
 from strutwise.llm.words import hashed, sequences, sliding_min, split
 

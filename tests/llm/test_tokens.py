@@ -4,8 +4,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from strutwise.llm import pieces as P
 from strutwise.llm import tokenio as K
 from strutwise.llm.common import new_path
