@@ -35,10 +35,10 @@ WINDOW = 13
 #: Words whose hash stands for a place inside a window.
 GRAM = 3
 #: Bytes of text in a slice, and for each shard.
-SLICE_BYTES = 8 << 20
-SHARD_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
+SHARD_BYTES = 8 << 20
 #: Words in one FM-index; a shard with more builds several, each over whole minimizers.
-INDEX_WORDS = 1 << 20
+INDEX_WORDS = 1 << 19
 LAST = (1 << 63) - 1
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _SENT = "shard int, kind int, body binary"
