@@ -12,6 +12,22 @@ def offsets(ndim: int, full: bool) -> list[tuple[int, ...]]:
     return [s for s in product((-1, 0, 1), repeat=ndim) if s > (0,) * ndim and (full or sum(map(abs, s)) == 1)]
 
 
+def roots_of(n: int, edges: np.ndarray) -> np.ndarray:
+    """The least node of each node's component, of nodes 0..n-1 and edges as two rows."""
+    parent = np.arange(n)
+    while edges.shape[1]:
+        low = np.minimum(parent[edges[0]], parent[edges[1]])
+        before = parent.copy()
+        for side in edges:
+            np.minimum.at(parent, before[side], low)
+            np.minimum.at(parent, side, low)
+        while not np.array_equal(parent, parent[parent]):
+            parent = parent[parent]
+        if np.array_equal(parent, before):
+            break
+    return parent
+
+
 def label(mask: np.ndarray, full: bool = True) -> tuple[np.ndarray, int]:
     """Component numbers from 1 in scan order of first voxels, 0 outside, and how many there are.
 
@@ -28,17 +44,7 @@ def label(mask: np.ndarray, full: bool = True) -> tuple[np.ndarray, int]:
         keep = (u >= 0) & (v >= 0)
         pairs.append(np.stack([u[keep], v[keep]]))
     edges = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=np.int64)
-    parent = np.arange(int(mask.sum()))
-    while edges.shape[1]:
-        low = np.minimum(parent[edges[0]], parent[edges[1]])
-        before = parent.copy()
-        for side in edges:
-            np.minimum.at(parent, before[side], low)
-            np.minimum.at(parent, side, low)
-        while not np.array_equal(parent, parent[parent]):
-            parent = parent[parent]
-        if np.array_equal(parent, before):
-            break
+    parent = roots_of(int(mask.sum()), edges)
     roots, numbers = np.unique(parent, return_inverse=True)
     out = np.zeros(mask.shape, dtype=np.int64)
     out[mask] = numbers + 1

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strutwise.functions import kernels as K
 from strutwise.sources.storage import stored
 
 
@@ -113,14 +116,30 @@ def topology_text(junctions: DataFrame, struts: DataFrame) -> DataFrame:
     return rows.agg(F.sum(word(1)).alias("a"), F.sum(word(13)).alias("b"), F.count("*").alias("rows")).select(F.sha2(F.concat_ws("/", "rows", "a", "b"), 256).alias("digest"))
 
 
+#: Directed edges of a graph that one task takes.
+ONE_TASK = 400_000
+
+
+def _in_one_task(frames):
+    parts = [f for f in frames if len(f)]
+    if parts:
+        pairs = pd.concat(parts)[["u", "v"]].to_numpy()
+        nodes, index = np.unique(pairs, return_inverse=True)
+        yield pd.DataFrame({"node": nodes, "component": nodes[K.roots_of(len(nodes), index.reshape(-1, 2).T)]})
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """``node, component`` (least node) of an undirected edge table.
 
-    Every round takes the least label among neighbours and then the label's own
-    label (pointer jumping); each round is a table in the shared folder. Ends
-    when no label changes; the empty table has no components.
+    Up to ``ONE_TASK`` edges are joined in one task. Beyond that, every round
+    takes the least label among neighbours and then the label's own label
+    (pointer jumping); each round is a table in the shared folder, and the last
+    is the one that changes no label. Both ways give the same rows; the empty
+    table has no components.
     """
     both = stored(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).unionByName(edges.select(F.col(v).alias("u"), F.col(u).alias("v"))).where("u is not null and v is not null").distinct(), "edges")
+    if both.count() <= ONE_TASK:
+        return both.where("u <= v").coalesce(1).mapInPandas(_in_one_task, "node long, component long")
     labels = stored(both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
     while True:
         near = both.join(labels, F.col("v") == F.col("node")).groupBy(F.col("u").alias("n")).agg(F.min("component").alias("m"))

@@ -91,16 +91,10 @@ def corridor(placed: DataFrame, radius: float, angles: int, steps: int, pad: flo
     spark = placed.sparkSession
     across = [(r.ring, r.k, r.ru, r.rv) for r in disk_offsets(spark, radius, angles).orderBy("ring", "k").collect()]
     offsets = F.array(*[F.struct(F.lit(r).alias("ring"), F.lit(k).alias("k"), F.lit(u).alias("ru"), F.lit(v).alias("rv")) for r, k, u, v in across])
-    a, b = V.vec("a"), V.vec("b")
-    along = V.minus(b, a)
-    e1, e2 = V.perpendicular_basis(along)
-    rows = placed.select(
-        "id", *[x.alias(f"p{c}") for x, c in zip(a, "xyz")], *[x.alias(f"d{c}") for x, c in zip(along, "xyz")],
-        *[x.alias(f"e{c}") for x, c in zip(e1, "xyz")], *[x.alias(f"f{c}") for x, c in zip(e2, "xyz")],
-    )
+    rows = V.with_basis(placed.select("id", *[f"{e}{c}" for e in "ab" for c in "xyz"]))
     rows = rows.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))).withColumn("t", F.lit(-pad) + F.lit(1 + 2 * pad) * F.col("step") / F.lit(float(steps - 1)))
     rows = rows.withColumn("o", F.explode(offsets))
-    place = lambda c: F.col(f"p{c}") + F.col("t") * F.col(f"d{c}") + F.col("o.ru") * F.col(f"e{c}") + F.col("o.rv") * F.col(f"f{c}")
+    place = lambda c: F.col(f"a{c}") + F.col("t") * (F.col(f"b{c}") - F.col(f"a{c}")) + F.col("o.ru") * F.col(f"e1{c}") + F.col("o.rv") * F.col(f"e2{c}")
     return rows.select("id", "step", "t", "o.ring", "o.k", *[place(c).alias(c) for c in "xyz"])
 
 

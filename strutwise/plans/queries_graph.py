@@ -12,7 +12,7 @@ from strutwise.operators import neighbours as N
 from strutwise.operators import sampling as P
 from strutwise.operators import spatial as S
 from strutwise.plans import views as V
-from strutwise.plans.registry import query
+from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
 
 R = lambda x, name: f"round({x}, 6) + 0.0 AS {name}"
@@ -109,9 +109,7 @@ p AS (SELECT *, rx*zx+ry*zy+rz*zz AS dt FROM r), q AS (SELECT *, rx-dt*zx AS qx,
 n AS (SELECT *, sqrt(qx*qx+qy*qy+qz*qz) AS qn FROM q), x AS (SELECT *, qx/qn AS xx, qy/qn AS xy, qz/qn AS xz FROM n)
 SELECT id, {R('xx', 'xx')}, {R('xy', 'xy')}, {R('xz', 'xz')}, {R('zy*xz-zz*xy', 'yx')}, {R('zz*xx-zx*xz', 'yy')}, {R('zx*xy-zy*xx', 'yz')}, {R('zx', 'zx')}, {R('zy', 'zy')}, {R('zz', 'zz')} FROM x""")
 def strut_frame(spark, d):
-    frame = X.stable_frame(X.vec("a"), X.vec("b"))
-    out = _placed(spark, d).select("id", *[v.alias(f"{n}{c}") for n, axis in zip("xyz", frame) for v, c in zip(axis, "xyz")])
-    return out.where("zx is not null")
+    return X.with_stable_frame(_placed(spark, d)).select("id", *[f"{n}{c}" for n in "xyz" for c in "xyz"]).where("zx is not null")
 
 
 @query("perp_basis", _FRAME + f"""c AS (SELECT *, CASE WHEN abs(zx)>=0.8 THEN -zz ELSE 0.0::DOUBLE END AS ex, CASE WHEN abs(zx)>=0.8 THEN 0.0::DOUBLE ELSE zz END AS ey,
@@ -119,8 +117,7 @@ def strut_frame(spark, d):
 e AS (SELECT *, ex/en AS fx, ey/en AS fy, ez/en AS fz FROM n)
 SELECT id, {R('fx', 'e1x')}, {R('fy', 'e1y')}, {R('fz', 'e1z')}, {R('zy*fz-zz*fy', 'e2x')}, {R('zz*fx-zx*fz', 'e2y')}, {R('zx*fy-zy*fx', 'e2z')} FROM e""")
 def perp_basis(spark, d):
-    e = X.perpendicular_basis(X.minus(X.vec("b"), X.vec("a")))
-    return _placed(spark, d).select("id", *[v.alias(f"e{n}{c}") for n, axis in zip("12", e) for v, c in zip(axis, "xyz")]).where("e1x is not null")
+    return X.with_basis(_placed(spark, d)).select("id", *[f"e{n}{c}" for n in "12" for c in "xyz"]).where("e1x is not null")
 
 
 # corridors around the struts of supplier junction 1, in the 19**3 grid of junction places

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strutwise.functions import sequences as Q
 from strutwise.operators import classify as C
 from strutwise.plans import views as V
-from strutwise.plans.registry import query
+from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
 
 R = lambda x, name: f"round({x}, 6) + 0.0 AS {name}"

@@ -11,7 +11,7 @@ from strutwise.plans import analyses as A
 from strutwise.plans import views as V
 from strutwise.plans.queries_graph import _NN, _nearest, _placed
 from strutwise.plans.queries_volume import _LABELS, components_26
-from strutwise.plans.registry import query
+from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
 
 D = lambda x, name: f"round({x}, 6) + 0.0 AS {name}"

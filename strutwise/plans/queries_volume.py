@@ -8,7 +8,7 @@ from strutwise.operators import histogram as H
 from strutwise.operators import lattice as L
 from strutwise.operators import sampling as P
 from strutwise.plans import views as V
-from strutwise.plans.registry import query
+from strutwise.plans.catalog import query
 from strutwise.plans.views import SHAPE, with_views
 
 R = lambda x, name: f"round({x}, 6) + 0.0 AS {name}"

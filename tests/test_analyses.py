@@ -98,6 +98,16 @@ def test_integrity_and_topology(spark, chain):
     assert L.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (250, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(5000, 5000)]
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    one = sorted(map(tuple, L.components(edges).collect()))
+    monkeypatch.setattr(L, "ONE_TASK", 0)
+    assert sorted(map(tuple, L.components(edges).collect())) == one
+    assert dict(one)[1060] == 1000 and dict(one)[5000] == 5000
+
+
 def test_cubes_and_skeletons(spark):
     cells = [(k, 6, 6) for k in range(3, 9)] + [(6, k, 6) for k in range(3, 9) if k != 6]
     got = P.skeleton_points(spark.createDataFrame(cells, "z int, y int, x int")).first()
