@@ -242,11 +242,11 @@ def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
         if not len(hit):
             continue
         owner = np.repeat(np.r_[ids[own], LAST], np.r_[z + 1, 1])  # the document of each place
-        ranked = owner[index.order]
+        ranked = np.r_[owner[index.order], LAST]  # an interval may end at the end of the order
         lefts, where = np.unique(left[hit], return_inverse=True)
         rights = np.zeros(len(lefts), dtype=np.int64)
         rights[where] = right[hit]
-        edges = np.stack([lefts, np.minimum(rights, len(ranked) - 1)], axis=1).ravel()
+        edges = np.stack([lefts, rights], axis=1).ravel()
         smallest = np.minimum.reduceat(ranked, edges)[::2]
         gone = np.zeros(len(windows), dtype=bool)
         gone[hit] = smallest[where] < ids[own][segment[hit]]

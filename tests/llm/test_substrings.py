@@ -86,6 +86,15 @@ def test_passages_over_many_documents_and_indexes(spark, monkeypatch):
     assert got(S.without_repeats(df, slice_bytes=1500)) == brute(rows, 13)
 
 
+@pytest.mark.parametrize("ids", [(1, 2), (2, 1)])
+@pytest.mark.parametrize("length", [13, 50])
+def test_greatest_window_of_an_index(ids, length):
+    # one of the two orders has the smallest document at the end of the suffix order
+    text = np.full(2 * length, 9, dtype=np.uint32)
+    found = S._search(np.array(ids), np.array([7, 7]), np.array([0, 0]), np.array([length, length]), text, length)
+    assert found == [(2, 7, np.array([[0, length]], dtype="<i4").tobytes())]
+
+
 def test_empty_and_short_windows(none):
     assert S.without_repeats(none).count() == 0
     with pytest.raises(ValueError):
