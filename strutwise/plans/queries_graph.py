@@ -136,13 +136,12 @@ smp AS (SELECT *, xi BETWEEN 0 AND 18 AND yi BETWEEN 0 AND 18 AND zi BETWEEN 0 A
 """
 
 
-def _corridor(spark, d):
-    some = _placed(spark, d).where(f"junction1 = {V.SUPPLIERS + 1}").where("ax <> bx or ay <> by or az <> bz")
-    return P.corridor(some, 1.5, 6, 9)
+def _corridor(spark, d, some=f"junction1 = {V.SUPPLIERS + 1}"):
+    return P.corridor(_placed(spark, d).where(some).where("ax <> bx or ay <> by or az <> bz"), 1.5, 6, 9)
 
 
-def _samples(spark, d):
-    pts = _corridor(spark, d).withColumns({c: F.round(c, 6) for c in "xyz"})
+def _samples(spark, d, *some):
+    pts = _corridor(spark, d, *some).withColumns({c: F.round(c, 6) for c in "xyz"})
     grid = spark.range(19 * 19 * 19).select((F.col("id") % 19).cast("int").alias("x"), (F.floor(F.col("id") / 19) % 19).cast("int").alias("y"), F.floor(F.col("id") / 361).cast("int").alias("z"))
     return P.sampled(pts, grid.withColumn("fg", (F.col("x") * 7 + F.col("y") * 5 + F.col("z") * 3) % 4 == 0), (19, 19, 19))
 
@@ -163,6 +162,22 @@ def radial_probability(spark, d):
     return P.ring_profile(_samples(spark, d))
 
 
+# the same over every placed strut; the SQL above stays with its one supplier
+@query("corridor_coords_all")
+def corridor_coords_all(spark, d):
+    return _corridor(spark, d, "true")
+
+
+@query("corridor_sample_all")
+def corridor_sample_all(spark, d):
+    return P.occupancy(_samples(spark, d, "true"))
+
+
+@query("radial_probability_all")
+def radial_probability_all(spark, d):
+    return P.ring_profile(_samples(spark, d, "true"))
+
+
 @query("spatial_bias", with_views("v_points") + f""", t AS (SELECT *, ntile(5) OVER (ORDER BY x, id) AS part FROM v_points)
 SELECT part::INT AS part, count(*)::BIGINT AS n, {R('quantile_cont(y, 0.5)', 'median')} FROM t GROUP BY part""")
 def spatial_bias(spark, d):
@@ -227,6 +242,11 @@ def tube_emptiness(spark, d):
     return N.empty_tubes(some, V.junctions(spark, d).where("id % 10 = 3"), 1.3)
 
 
+@query("tube_emptiness_all")
+def tube_emptiness_all(spark, d):
+    return N.empty_tubes(_placed(spark, d), V.junctions(spark, d), 1.3)
+
+
 _DEFECTS = """f AS (SELECT s.* FROM v_strut s JOIN v_class c USING (id) WHERE c.class='broken' AND c.quantity>=50 AND c.quantity<=52)"""
 
 
