@@ -10,7 +10,7 @@ from strutwise.operators import review as R
 from strutwise.plans import analyses as A
 from strutwise.plans import views as V
 from strutwise.plans.queries_graph import _NN, _nearest, _placed
-from strutwise.plans.queries_volume import _LABELS, components_26
+from strutwise.plans.queries_volume import _LABELS, components_26, components_26_all
 from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
 
@@ -78,6 +78,11 @@ def component_summary(spark, d):
     return R.component_summary(components_26(spark, d), 27)
 
 
+@query("component_summary_all")
+def component_summary_all(spark, d):
+    return R.component_summary(components_26_all(spark, d), 27)
+
+
 @query("node_errors", with_views("v_points") + f""", e AS (SELECT x*0.01+0.001 AS dx, -y*0.01 AS dy, 0.002::DOUBLE AS dz FROM v_points), s AS (SELECT *, sqrt(dx*dx+dy*dy+dz*dz) AS e FROM e)
 SELECT count(*)::BIGINT AS n, {D('avg(e)', 'mean')}, {D('quantile_cont(e, 0.5)', 'median')}, {D('quantile_cont(e, 0.95)', 'p95')}, {D('quantile_cont(e, 0.99)', 'p99')}, {D('max(e)', 'largest')},
 {D('avg(dx)', 'bias_x')}, {D('avg(dy)', 'bias_y')}, {D('avg(dz)', 'bias_z')} FROM s""")

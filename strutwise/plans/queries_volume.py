@@ -187,6 +187,32 @@ def label_centroids(spark, d):
     return P.centroids(named.join(components_26(spark, d), "node"), factor=2.0, offset=1.0)
 
 
+# the same five over the whole thresholded mask; the SQL above stays with its 400 voxels
+def _whole(spark, d):
+    return _mask(spark, d).where("fg").select("z", "y", "x")
+
+
+@query("skeleton_degree_all")
+def skeleton_degree_all(spark, d):
+    return P.skeleton_points(_whole(spark, d))
+
+
+@query("components_26_all")
+def components_26_all(spark, d):
+    return L.components(P.voxel_edges(_whole(spark, d), SHAPE))
+
+
+@query("component_filter_all")
+def component_filter_all(spark, d):
+    return P.sizes_within(components_26_all(spark, d), 2, 99)
+
+
+@query("label_centroids_all")
+def label_centroids_all(spark, d):
+    named = _whole(spark, d).withColumn("node", (F.col("z").cast("long") * 32 + F.col("y")) * 32 + F.col("x"))
+    return P.centroids(named.join(components_26_all(spark, d), "node"), factor=2.0, offset=1.0)
+
+
 @query("central_window", with_views("v_voxel") + "SELECT z, sum(value)::BIGINT AS total FROM v_voxel WHERE z%2=0 AND z/2.0 >= 1 AND z/2.0 < 3 GROUP BY z")
 def central_window(spark, d):
     first, stop = P.central_slices(SHAPE[0], 0.15, 2)

@@ -91,3 +91,43 @@ def test_tubes_of_all_struts_and_junctions(spark, sf, placed, junctions):
     some = junctions[junctions.id % 10 == 3]
     got = N.empty_tubes(_placed(spark, sf), V.junctions(spark, sf).where("id % 10 = 3"), 1.3).toPandas()
     assert sorted(got.id) == free_struts(placed, some[["x", "y", "z"]].to_numpy()) and len(got) > 100
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Place to (least packed id, neighbours) of the whole mask."""
+    vox = V.voxels(spark, MIDDLE).toPandas()
+    cut = vox.value.sort_values(ignore_index=True)[math.ceil(0.9 * len(vox)) - 1]
+    mask = {tuple(int(c) for c in p) for p in vox[vox.value >= cut][["z", "y", "x"]].to_numpy()}
+    moves = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1) if (a, b, c) != (0, 0, 0)]
+    around = {p: [q for m in moves if (q := tuple(i + j for i, j in zip(p, m))) in mask] for p in mask}
+    label: dict = {}
+    for p in sorted(mask):
+        todo = [p]
+        while todo:
+            q = todo.pop()
+            if q not in label:
+                label[q] = (p[0] * 32 + p[1]) * 32 + p[2]
+                todo += around[q]
+    return label, {p: len(q) for p, q in around.items()}
+
+
+def test_labels_of_the_whole_mask(spark, labelled):
+    label, near = labelled
+    assert len(label) > 400
+    got = run(spark, MIDDLE, "components_26_all")
+    assert dict(zip(got.node, got.component)) == {(z * 32 + y) * 32 + x: c for (z, y, x), c in label.items()} and len(got) == len(label)
+    one = run(spark, MIDDLE, "skeleton_degree_all").iloc[0]
+    n = list(near.values())
+    assert (one.voxels, one.endpoints, one.branch_points) == (len(n), n.count(1), sum(k > 2 for k in n))
+
+
+def test_reports_on_the_whole_mask(spark, labelled):
+    want = pd.DataFrame([(c, *p) for p, c in labelled[0].items()], columns=["component", "z", "y", "x"])
+    size = want.groupby("component").size()
+    got = run(spark, MIDDLE, "component_filter_all")
+    assert dict(zip(got.component, got["size"])) == size[size.between(2, 99)].to_dict()
+    got = run(spark, MIDDLE, "label_centroids_all").set_index("component").sort_index()
+    assert (got["size"] == size).all() and np.allclose(got[["z", "y", "x"]], want.groupby("component")[["z", "y", "x"]].mean() * 2 + 1, atol=1e-6)
+    one = run(spark, MIDDLE, "component_summary_all").iloc[0]
+    assert one.components == len(size) and np.allclose([one.largest_share, one.small_share], [size.max() / size.sum(), size[size < 27].sum() / size.sum()], atol=1e-6)
