@@ -120,18 +120,22 @@ def near_positions(wanted: DataFrame, records: DataFrame, tolerance: float = 1e-
     """``id, n, value``: mean value of the records at each wanted place within a tolerance on every axis.
 
     Places go to cells of twice the tolerance, records to their own and the
-    cells around, so each close pair meets once.
+    cells around, so each close pair meets once. Rows that share one place are
+    joined once, as their count and sum.
     """
     size = 2 * tolerance
     at = lambda c: F.floor(F.col(c) / size).cast("long")
-    near = wanted.select("id", *"xyz", *[at(c).alias(f"k{c}") for c in "xyz"])
-    around = records.select("value", *[F.col(c).alias(f"r{c}") for c in "xyz"])
+    near = wanted.select(*"xyz").distinct().select(*"xyz", *[at(c).alias(f"k{c}") for c in "xyz"])
+    around = records.groupBy(*[F.col(c).alias(f"r{c}") for c in "xyz"]).agg(F.count("*").alias("n"), F.count("value").alias("m"), F.sum("value").alias("s"))
     for c in "xyz":
         around = around.withColumn(f"k{c}", F.explode(F.sequence(F.floor((F.col(f"r{c}") - tolerance) / size).cast("long"), F.floor((F.col(f"r{c}") + tolerance) / size).cast("long"))))
     close = F.lit(True)
     for c in "xyz":
         close = close & (F.abs(F.col(c) - F.col(f"r{c}")) <= tolerance)
-    return near.join(around, [f"k{c}" for c in "xyz"]).where(close).groupBy("id").agg(F.count("*").alias("n"), F.avg("value").alias("value"))
+    sums = lambda rows, *by: rows.groupBy(*by).agg(*[F.sum(c).alias(c) for c in "nms"])
+    spots = sums(near.join(around, [f"k{c}" for c in "xyz"]).where(close), *"xyz")
+    found = sums(wanted.select("id", *"xyz").join(spots, [*"xyz"]), "id")
+    return found.select("id", "n", (F.col("s") / F.nullif(F.col("m").cast("double"), F.lit(0.0))).alias("value"))
 
 
 def spaced_slices(counts: list[tuple[int, int]], forced: Sequence[int], wanted: int, spacing: int) -> list[int]:

@@ -115,6 +115,19 @@ def position_match(spark, d):
     return R.near_positions(j.where("id < 200"), j.select("x", "y", "z", (F.col("id") % 97).cast("double").alias("value")))
 
 
+# both over whole tables; the SQL above stays with its first ids
+@query("symmetry_remap_all")
+def symmetry_remap_all(spark, d):
+    s = _placed(spark, d)
+    return R.turned_ids(s, s, ((0, -1, 0), (1, 0, 0), (0, 0, 1)))
+
+
+@query("position_match_all")
+def position_match_all(spark, d):
+    j = V.junctions(spark, d)
+    return R.near_positions(j, j.select("x", "y", "z", (F.col("id") % 97).cast("double").alias("value")))
+
+
 @query("crop_edges", with_views("v_strut", "v_junction", "v_placed") + "SELECT id FROM v_placed WHERE ay>=18 OR by_>=18")
 def crop_edges(spark, d):
     return R.crop_edges(_placed(spark, d), "y", 18.0).select("id")

@@ -131,3 +131,27 @@ def test_reports_on_the_whole_mask(spark, labelled):
     assert (got["size"] == size).all() and np.allclose(got[["z", "y", "x"]], want.groupby("component")[["z", "y", "x"]].mean() * 2 + 1, atol=1e-6)
     one = run(spark, MIDDLE, "component_summary_all").iloc[0]
     assert one.components == len(size) and np.allclose([one.largest_share, one.small_share], [size.max() / size.sum(), size[size < 27].sum() / size.sum()], atol=1e-6)
+
+
+def test_matches_of_the_whole_lattice(spark, sf, placed, junctions):
+    a, b = ends(placed)
+    both = np.vstack([a, b])
+    mid = (both.min(axis=0) + both.max(axis=0)) / 2
+    turned = lambda p: np.column_stack([mid[0] - (p[:, 1] - mid[1]), mid[1] + (p[:, 0] - mid[0]), p[:, 2]]).round(6) + 0.0
+    key = lambda p, q: [tuple(sorted((tuple(x), tuple(y)))) for x, y in zip(p.tolist(), q.tolist())]
+    at: dict = {}
+    for i, k in zip(placed.id, key(a, b)):
+        at.setdefault(k, []).append(i)
+    want = sorted((i, m) for i, k in zip(placed.id, key(turned(a), turned(b))) for m in at.get(k, []))
+    got = run(spark, sf, "symmetry_remap_all")
+    assert sorted(zip(got.id, got.match)) == want and len(want) > 0
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_positions_of_all_junctions(spark, scale):
+    d = f"/root/testdata/sf{scale}"
+    j = V.junctions(spark, d).toPandas()
+    same = j.assign(value=(j.id % 97).astype(float)).groupby(["x", "y", "z"]).value
+    want = pd.DataFrame({"id": j.id, "n": same.transform("size"), "value": same.transform("mean")}).sort_values("id", ignore_index=True)
+    got = run(spark, d, "position_match_all").sort_values("id", ignore_index=True)
+    assert (got[["id", "n"]] == want[["id", "n"]]).all(axis=None) and np.allclose(got.value, want.value, atol=1e-6)
