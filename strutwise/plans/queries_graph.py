@@ -265,6 +265,17 @@ def cluster_sizes(spark, d):
     return L.cluster_sizes(defect_clusters(spark, d))
 
 
+# both over every strut that is not present; the SQL above stays with its range of quantities
+@query("defect_clusters_all")
+def defect_clusters_all(spark, d):
+    return L.shared_junction_clusters(V.struts(spark, d).join(V.classes(spark, d).where("class <> 'present'").select("id"), "id", "left_semi"))
+
+
+@query("cluster_sizes_all")
+def cluster_sizes_all(spark, d):
+    return L.cluster_sizes(defect_clusters_all(spark, d))
+
+
 @query("class_fractions", with_views("v_class") + f"SELECT k AS class, count(c.id)::BIGINT AS n, {R('count(c.id)/(SELECT count(*) FROM v_class)::DOUBLE', 'fraction')} FROM (SELECT unnest(['missing','broken','thin','present','deferred']) AS k) LEFT JOIN v_class c ON c.class=k GROUP BY k")
 def class_fractions(spark, d):
     return S.class_fractions(V.classes(spark, d), [*_KINDS, "deferred"])

@@ -155,3 +155,29 @@ def test_positions_of_all_junctions(spark, scale):
     want = pd.DataFrame({"id": j.id, "n": same.transform("size"), "value": same.transform("mean")}).sort_values("id", ignore_index=True)
     got = run(spark, d, "position_match_all").sort_values("id", ignore_index=True)
     assert (got[["id", "n"]] == want[["id", "n"]]).all(axis=None) and np.allclose(got.value, want.value, atol=1e-6)
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_clusters_of_all_defects(spark, scale):
+    d = f"/root/testdata/sf{scale}"
+    s = V.struts(spark, d).toPandas().merge(V.classes(spark, d).select("id", "class").toPandas(), on="id")
+    bad = s[s["class"] != "present"]
+    assert {"missing", "broken", "thin"} == set(bad["class"])
+    by_end: dict = {}
+    for i, *js in bad[["id", "junction0", "junction1"]].to_numpy():
+        for j in js:
+            by_end.setdefault(j, []).append(i)
+    ends_of = {i: js for i, *js in bad[["id", "junction0", "junction1"]].to_numpy()}
+    label: dict = {}
+    for i in sorted(ends_of):
+        todo = [i]
+        while todo:
+            k = todo.pop()
+            if k not in label:
+                label[k] = i
+                for j in ends_of[k]:
+                    todo += by_end.pop(j, [])
+    got = run(spark, d, "defect_clusters_all")
+    assert dict(zip(got.strut_id, got.cluster)) == label and len(got) == len(label)
+    sizes = run(spark, d, "cluster_sizes_all")
+    assert dict(zip(sizes.cluster, sizes["size"])) == pd.Series(label).value_counts().to_dict()
