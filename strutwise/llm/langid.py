@@ -218,8 +218,24 @@ def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(rows, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def lettered(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has letters."""
+    at = df.columns.index(text)
+
+    def run(batches):
+        for batch in by_size(batches, text):
+            yield batch.filter(pa.array([bool(t) and features(t) is not None for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those predicted ``und`` go. The columns of ``docs``."""
+    """Documents whose language can be told; those predicted ``und`` go. The columns of ``docs``.
+
+    Where no language could be learned, documents with letters stay.
+    """
     model = train(docs, ~held_out())
+    if not model.languages:
+        return lettered(docs)
     names = docs.columns
     return identified(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in names])

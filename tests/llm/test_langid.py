@@ -71,3 +71,11 @@ def test_stage(spark, docs):
     left = L.language_stage(spark, docs, "")
     assert left.columns == docs.columns
     assert left.count() == sum(any(map(str.isalpha, r.text or "")) for r in docs.collect())
+
+
+def test_stage_without_labels_keeps_what_has_letters(docs, none):
+    left = L.language_stage(docs.sparkSession, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert left.columns == docs.columns
+    want = [r.text for r in docs.collect() if any(map(str.isalpha, r.text or ""))]
+    assert sorted(r.text for r in left.collect()) == sorted(want)
+    assert L.language_stage(none.sparkSession, none, "").count() == 0
