@@ -11,11 +11,13 @@ _own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder of this process where the session names none."""
+    """``spark.checkpoint.dir``; where a local session names none, a temporary folder of this process."""
     global _own_folder
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _own_folder is None:
         _own_folder = "file://" + tempfile.mkdtemp(prefix="strutwise-")
     return _own_folder
@@ -26,3 +28,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/strutwise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table of :func:`stored` that nothing reads any more."""
+    spark = table.sparkSession
+    own = f"{shared_folder(spark)}/strutwise/"
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if own.split("://")[-1] in folder:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
