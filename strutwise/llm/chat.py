@@ -1,13 +1,18 @@
 """Chat formatting in budgeted windows, in DataFrame functions only.
 
-Turns of a conversation are laid end to end by prefix sums of their tokens.
-Space for the system turn and for history is set aside in the budget; the rest
-is cut in half-size cells, and a turn belongs to the cell that its last token
-lies in. A turn longer than a cell is a window of its own, so no window has
-more new tokens than the space left for them unless one turn alone does
-(flagged ``over_budget``). Every turn is new in exactly one window. A later
-window starts with the system turn again and with the last turns before it, up
-to the history allowance; repeated turns are not under the loss mask.
+Turns of a conversation are laid end to end by prefix sums of their tokens. A
+window takes turns as long as they fit the budget beside what it repeats: the
+conversation's system turn (if its first turn is one) and the last turns before
+the window, up to the history allowance. The next window starts at the first
+turn that doesn't fit. A turn that doesn't fit a window of its own is whole in
+one, flagged ``over_budget``; history is left out before a turn is flagged.
+Every turn is new in exactly one window; repeated turns are not under the loss
+mask.
+
+Starts are looked for in sections of 64 budgets of tokens: a window also
+starts at the first turn at or after each multiple of that length, wherever it
+lies, so sections are independent of each other and no task follows a whole
+conversation. History crosses sections.
 
 The template is ``[INST]role\\ntext[/INST]``, for the assistant
 ``<s>role\\ntext</s>``. Backslashes in texts are doubled and a backslash is put
@@ -20,18 +25,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strutwise.llm.common import stored
 
-#: Tokens of a window, of them for history, and what the marks of a turn cost.
-BUDGET, HISTORY, MARKS = 1024, 128, 6
-#: Turn numbers that are put in order in one task.
-STRETCH = 1024
+#: Tokens of a window, and of them for history.
+BUDGET, HISTORY = 1024, 128
+#: Budgets in a section.
+SECTION = 64
 CONTROL = r"/?(?:INST\]|s>|SYS>>)"
 ASSISTANT, SYSTEM = "assistant", "system"
+#: What counts as one token: three ASCII letters or digits at most, any other sign but white space.
+UNIT = r"[A-Za-z]{1,3}|[0-9]{1,3}|[^\x20\x09-\x0DA-Za-z0-9]"
 
 
 def token_count(text: Column) -> Column:
-    """Words, numbers and runs of signs: a stand-in where the caller has no counts of its own."""
-    return F.regexp_count(text, F.lit(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"))
+    """Tokens of a text as a high estimate, for callers without counts of their own.
+
+    Units, and half a token more for each byte of UTF-8 that a sign has beyond
+    one: byte-level vocabularies of 50,000 tokens need one to three for a sign
+    outside ASCII. An empty text has none.
+    """
+    return (F.regexp_count(text, F.lit(UNIT)) + F.floor((F.octet_length(text) - F.char_length(text)) / 2)).cast("long")
 
 
 def escaped(text: Column) -> Column:
@@ -56,71 +69,127 @@ def parsed(formatted: Column) -> Column:
     )
 
 
-_STRETCH = ["__z", "__c", "__s"]
+_CONV = ["__z", "__c"]
 
 
-def _placed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Turns with their place and the tokens before them in their stretch, and a row for each stretch.
+def _ordered(turns: DataFrame) -> DataFrame:
+    """Turns with ``pos`` and ``before`` (turns and tokens before them) and ``head``, the conversation's first turn.
 
-    A conversation is cut in stretches of turn numbers, so no task orders more
-    than a stretch. The rows of stretches carry the turns before them and the
-    conversation's first turn (its text if it is a system turn).
+    Rows without texts are range-sorted, so a conversation may lie in many
+    partitions; sums inside a partition are moved on by those of the partitions
+    before it. Only the first and the last conversation of a partition can have
+    others, so the table of offsets has two rows for each partition at most.
     """
-    cut = turns.select(
-        "*", F.col("conv_id").isNull().alias("__z"), F.coalesce("conv_id", F.lit(0)).alias("__c"),
-        F.coalesce(F.floor(F.col("turn") / F.lit(STRETCH)).cast("long"), F.lit(-(1 << 62))).alias("__s"),
+    order = [F.col("__z"), F.col("__c"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("start"), F.col("like"), F.col("uid")]
+    placed = stored(
+        turns.select(*_CONV, "turn", "role", F.left("text", F.lit(64)).alias("start"), F.xxhash64("text").alias("like"), "uid", "tokens")
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .select(*_CONV, (F.col("role") == SYSTEM).alias("system"), "uid", "tokens", F.monotonically_increasing_id().alias("place")),
+        "turn-order",
+    ).withColumn("part", F.shiftright("place", 33))
+    own = Window.partitionBy(*_CONV, "part").orderBy("place")
+    past = own.rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("pos", F.row_number().over(own) - 1).withColumn("before", F.coalesce(F.sum("tokens").over(past), F.lit(0)))
+    local = local.withColumn("head", F.first(F.struct("system", "uid", "tokens")).over(own))
+    parts = placed.groupBy(*_CONV, "part").agg(F.count("*").alias("n"), F.sum("tokens").alias("sum"), F.min("place").alias("place"))
+    along = Window.partitionBy(*_CONV).orderBy("part")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    moved = parts.select(
+        *_CONV, "part", F.count("*").over(Window.partitionBy(*_CONV)).alias("parts"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skip"), F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("moved"), F.first("place").over(along).alias("first"),
+    ).where("parts > 1").drop("parts")
+    heads = placed.select(F.col("place").alias("first"), F.struct("system", "uid", "tokens").alias("opening"))
+    offsets = moved.join(heads, "first").drop("first")
+    return local.join(F.broadcast(offsets), [*_CONV, "part"], "left").select(
+        *_CONV, "uid", "tokens", (F.col("pos") + F.coalesce("skip", F.lit(0))).alias("pos"),
+        (F.col("before") + F.coalesce("moved", F.lit(0))).alias("before"), F.coalesce("opening", "head").alias("head"),
+    )
+
+
+def _members(turns: DataFrame, budget: int, history: int) -> DataFrame:
+    """A row for each turn of each window: ``window, k`` (its place there), ``new, uid``."""
+    length = SECTION * budget
+    section = F.floor(F.col("before") / F.lit(length)).cast("long")
+    # the turns just before a section are history of its first windows
+    near = F.col("before") >= (F.col("section") + 1) * F.lit(length) - F.lit(history)
+    spread = turns.withColumn("section", section).withColumn(
+        "at", F.explode(F.when(near, F.array("section", F.col("section") + 1)).otherwise(F.array("section")))
+    ).withColumn("own", F.col("at") == F.col("section"))
+    inside = Window.partitionBy(*_CONV, "at").orderBy("before")
+    system = F.col("head.system")
+    repeated = F.when(system, F.col("head.tokens")).otherwise(F.lit(0))
+    if history > 0:
+        prior = F.collect_list(F.when(~system | (F.col("before") > 0), F.col("before"))).over(inside.rangeBetween(-history, -1))
+    else:
+        prior = F.expr("cast(array() as array<bigint>)")
+    allowed = F.least(F.lit(history), F.greatest(F.lit(0), F.lit(budget) - repeated - F.col("tokens")))
+    numbered = spread.withColumn("k", F.row_number().over(inside)).withColumn("prior", prior).withColumn("least", F.col("before") - allowed)
+    kept = F.filter("prior", lambda b: b >= F.col("least"))
+    opened = numbered.withColumn("kept", kept).withColumn(
+        "until",
+        F.when(F.col("before") == 0, F.lit(budget)).otherwise(
+            F.col("before") + F.lit(budget) - repeated - F.when(F.size("kept") > 0, F.col("before") - F.array_min("kept")).otherwise(F.lit(0))
+        ),
     )
-    inside = Window.partitionBy(*_STRETCH).orderBy(F.col("turn").asc_nulls_first(), F.col("role"), F.col("text"))
-    local = cut.withColumn("pos", F.row_number().over(inside) - 1).withColumn("before", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
-    heads = local.withColumn("__rows", F.count("*").over(Window.partitionBy(*_STRETCH))).where("pos = 0")
-    along = Window.partitionBy("__z", "__c").orderBy("__s")
-    first = F.struct(F.col("role"), F.when(F.col("role") == SYSTEM, F.col("text")).alias("text"), F.col("tokens"))
-    stretches = heads.select(
-        *_STRETCH, F.coalesce(F.sum("__rows").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__skip"), F.first(first).over(along).alias("__first")
+    entry = F.struct("k", "own", "pos", "uid", (F.col("before") + F.col("tokens")).alias("end"), "until", F.size("kept").alias("h"))
+    sections = opened.groupBy(*_CONV, "at").agg(F.sort_array(F.collect_list(entry)).alias("turns"), F.first("head").alias("head")).where(F.element_at("turns", -1)["own"])
+    found = F.aggregate(
+        F.filter("turns", lambda t: t["own"]),
+        F.struct(F.lit(-1).cast("long").alias("until"), F.expr("cast(array() as array<struct<k:int,h:int,pos:bigint>>)").alias("starts")),
+        lambda s, t: F.when(
+            t["end"] > s["until"],
+            F.struct(t["until"].alias("until"), F.concat(s["starts"], F.array(F.struct(t["k"].cast("int").alias("k"), t["h"].alias("h"), t["pos"].cast("long").alias("pos")))).alias("starts")),
+        ).otherwise(s),
+        lambda s: s["starts"],
     )
-    return local, stretches
+    starts = sections.withColumn("starts", found).select(*_CONV, "turns", "head", "starts", F.posexplode("starts").alias("i", "start"))
+    end = F.coalesce(F.get("starts", F.col("i") + 1)["k"], F.size("turns") + 1)
+    first = F.col("start.k") - F.col("start.h")
+    rows = F.transform(
+        F.slice("turns", first, end - first), lambda t: F.struct(t["k"].cast("int").alias("k"), (t["k"] >= F.col("start.k")).alias("new"), t["uid"].alias("uid"))
+    )
+    front = F.array(F.struct(F.lit(-1).alias("k"), F.lit(False).alias("new"), F.col("head.uid").alias("uid")))
+    return starts.select(
+        F.col("start.pos").alias("window"),
+        F.explode(F.when(F.col("head.system") & (F.col("start.pos") > 0), F.concat(front, rows)).otherwise(rows)).alias("turn"),
+    ).select("window", "turn.*")
 
 
 def chat_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None) -> DataFrame:
     """One row per window: ``conv_id, window, formatted, loss_spans, n_tokens, n_repeated, over_budget``.
 
-    ``turns`` has ``conv_id, turn, role, text``; ``window`` is the ordinal of
-    the first new turn, ``loss_spans`` are (start, length) in code points of
-    ``formatted``, ``n_repeated`` counts the repeated turns in front. A null role
-    or text counts as empty; a null turn number comes first; turns that tie are
-    ordered by role and text; repeated rows are turns of their own; a null
-    conversation id is a conversation. Only a system turn in first place is
-    retained. Windows and history end with a stretch of 1,024 turn numbers.
-    Other columns are ignored. No turns give no rows.
+    ``turns`` has ``conv_id, turn, role, text``; ``tokens`` counts those of a
+    text exactly, where the caller knows (else they are estimated); role, marks
+    and escapes are counted on top. ``window`` is the ordinal of the first new
+    turn, ``loss_spans`` are (start, length) in code points of ``formatted``,
+    ``n_repeated`` counts the repeated turns in front. A null role or text
+    counts as empty; a null turn number comes first; turns that tie are ordered
+    by role, the first 64 code points of the text, then a hash of it; repeated
+    rows are turns of their own; a null conversation id is a conversation. Only
+    a system turn in first place is retained. Other columns are ignored, also
+    those named like the ones used here. No turns give no rows.
 
-    Texts are shuffled once, by stretch; all later grouping is within stretches.
+    Texts are written once and shuffled twice, by row and by window.
     """
-    plain = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), (F.coalesce(tokens if tokens is not None else token_count(F.col("text")), F.lit(0)) + MARKS).cast("long").alias("tokens"))
-    local, stretches = _placed(plain)
-    system_tokens = F.when(F.col("__first.role") == SYSTEM, F.col("__first.tokens")).otherwise(0)
-    placed = local.join(stretches.select(*_STRETCH, "__skip", system_tokens.alias("__system")), _STRETCH)
-    cell = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("__system")) / 2)).cast("long")
-    last = F.col("before") + F.col("tokens") - 1
-    keyed = placed.withColumn("__key", F.floor(last / cell) * 2 + (F.col("tokens") <= cell).cast("int"))
-    window = Window.partitionBy(*_STRETCH, "__key")
-    found = (
-        keyed.withColumn("__from", F.min("pos").over(window))
-        .withColumn("__to", F.max("pos").over(window))
-        .withColumn("__end", F.max(F.col("before") + F.col("tokens")).over(window))
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    plain = turns.select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"),
+        (tokens if tokens is not None else F.lit(None)).cast("long").alias("given"), F.monotonically_increasing_id().alias("uid"),
+    )
+    piece = plain.select("*", *_piece(F.col("role"), F.col("text")), F.char_length(escaped(F.col("text"))).alias("size"))
+    marks = token_count(F.concat(F.substr("piece", F.lit(1), F.col("lead")), F.lit("[/INST]"))) + F.col("size") - F.char_length("text")
+    counted = F.when(F.col("given").isNull(), token_count(F.col("piece"))).otherwise(F.col("given") + marks)
+    pieces = stored(
+        piece.select(
+            "conv_id", F.col("conv_id").isNull().alias("__z"), F.coalesce("conv_id", F.lit(0)).alias("__c"), "turn", "role", "text",
+            "piece", "lead", F.when(F.col("role") == ASSISTANT, F.col("size")).alias("loss"), F.greatest(counted, F.lit(1)).alias("tokens"), "uid",
+        ),
+        "turns",
     )
-    system = (F.col("pos") + F.col("__skip") == 0) & (F.col("role") == SYSTEM)
-    # a turn is new in its window and, near its end, history of the next
-    again = (F.col("__end") - F.col("before") <= history) & ~system
-    shown = found.withColumn("__window", F.explode(F.when(again, F.array("__from", F.col("__to") + 1)).otherwise(F.array("__from"))))
-    new = F.col("__window") == F.col("__from")
-    role, text = F.col("role"), F.col("text")
-    piece = F.struct("pos", new.alias("new"), *_piece(role, text), F.when(new & (role == ASSISTANT), F.char_length(escaped(text))).alias("loss"), F.col("tokens"))
-    grouped = shown.groupBy("conv_id", *_STRETCH, "__window").agg(F.sort_array(F.collect_list(piece)).alias("pieces"), F.max(new).alias("__any")).where("__any")
-    head = F.struct(F.lit(-1).alias("pos"), F.lit(False).alias("new"), *_piece(F.col("__first.role"), F.col("__first.text")), F.lit(None).cast("int").alias("loss"), F.col("__first.tokens").alias("tokens"))
-    start = F.col("__window") + F.col("__skip")
-    whole = grouped.join(stretches, _STRETCH).select(
-        "conv_id", start.alias("window"),
-        F.when((F.col("__first.role") == SYSTEM) & (start > 0), F.concat(F.array(head), F.col("pieces"))).otherwise(F.col("pieces")).alias("pieces"),
+    members = _members(_ordered(pieces), budget, history)
+    part = F.struct("k", "new", "piece", "lead", F.when(F.col("new"), F.col("loss")).alias("loss"), "tokens")
+    whole = members.join(pieces.select("conv_id", "uid", "piece", "lead", "loss", "tokens"), "uid").groupBy("conv_id", "window").agg(
+        F.sort_array(F.collect_list(part)).alias("pieces")
     )
     spans = F.aggregate(
         "pieces",
@@ -164,3 +233,56 @@ def digests(windows: DataFrame) -> DataFrame:
     return whole.withColumn("__loss", text("loss")).select(
         "conv_id", "n_turns", F.sha2(text("turns"), 256).alias("turns_sha256"), F.char_length("__loss").cast("long").alias("loss_chars"), F.sha2("__loss", 256).alias("loss_sha256"), "formatted_chars", "n_windows"
     )
+
+
+#: The windows again, by a recursion over conversations; a greater turn number never ties here.
+OP1_SQL = r"""
+WITH RECURSIVE input AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, k, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) own(k, r)
+), escaped AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id) AS c,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos, *,
+    regexp_replace(regexp_replace(replace(text, '\', '\\'), '([<\[])(/?(?:INST\]|s>|SYS>>))', '\1\\\2', 'g'), '([<\[])(<\\/?SYS>>)', '\1\\\2', 'g') AS body,
+    replace(regexp_replace(regexp_replace(replace(role, '\', '\\'), '([<\[])(/?(?:INST\]|s>|SYS>>))', '\1\\\2', 'g'), '([<\[])(<\\/?SYS>>)', '\1\\\2', 'g'), chr(10), '\' || chr(10)) AS erole
+  FROM input
+), pieces AS (
+  SELECT c, conv_id, pos, role, text,
+    CASE WHEN role = 'assistant' THEN '<s>' || erole || chr(10) || body || '</s>' ELSE '[INST]' || erole || chr(10) || body || '[/INST]' END AS piece
+  FROM escaped
+), counted AS (
+  SELECT c, pos, pos = 0 AND role = 'system' AS opens, length(piece) AS chars,
+    greatest(1, len(regexp_extract_all(piece, '[A-Za-z]{1,3}|[0-9]{1,3}|[^\x20\x09-\x0DA-Za-z0-9]')) + (strlen(piece) - length(piece)) // 2) AS tokens
+  FROM pieces
+), laid AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    max(CASE WHEN opens THEN tokens ELSE 0 END) OVER (PARTITION BY c) AS system_tokens,
+    max(CASE WHEN opens THEN chars ELSE 0 END) OVER (PARTITION BY c) AS system_chars
+  FROM counted
+), past AS (
+  SELECT i.c, i.pos, count(h.pos) AS h, coalesce(sum(h.tokens), 0) AS held, coalesce(sum(h.chars), 0) AS held_chars
+  FROM laid i LEFT JOIN laid h ON h.c = i.c AND h.pos < i.pos AND NOT h.opens
+    AND i.before - h.before <= least(128, greatest(0, 1024 - i.system_tokens - i.tokens))
+  GROUP BY ALL
+), ends AS (
+  SELECT i.c, i.pos, min(j.pos) AS next
+  FROM laid i JOIN past p ON p.c = i.c AND p.pos = i.pos JOIN laid j ON j.c = i.c AND j.pos > i.pos
+    AND (j.before + j.tokens > i.before + 1024 - CASE WHEN i.pos > 0 THEN i.system_tokens + p.held ELSE 0 END OR j.before // 65536 > i.before // 65536)
+  GROUP BY ALL
+), starts AS (
+  SELECT c, 0::BIGINT AS pos FROM laid WHERE pos = 0
+  UNION ALL
+  SELECT s.c, e.next FROM starts s JOIN ends e ON e.c = s.c AND e.pos = s.pos
+), windows AS (
+  SELECT s.c, count(*)::BIGINT AS n_windows, sum(CASE WHEN s.pos > 0 THEN l.system_chars + p.held_chars ELSE 0 END) AS repeated_chars
+  FROM starts s JOIN laid l ON l.c = s.c AND l.pos = s.pos JOIN past p ON p.c = s.c AND p.pos = s.pos
+  GROUP BY ALL
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(length(piece)) + max(w.repeated_chars))::BIGINT AS formatted_chars, max(w.n_windows)::BIGINT AS n_windows
+FROM pieces JOIN windows w USING (c)
+GROUP BY conv_id
+"""
