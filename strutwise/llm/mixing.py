@@ -31,6 +31,8 @@ BLOCK = 4096
 #: Units of a source that the last block keeps for its landing problem, which has two more at most.
 RESERVED = 10
 EDGE = 1e-9
+#: Columns that the operator makes for itself.
+OWN = ("__size", "__source", "__units", "__ratio", "__base", "__pi", "__key", "__n", "__blocks", "__block")
 
 
 def targets(units: DataFrame, size: str, source: str, weights=(5, 2, 1), cap: float = 3.0) -> DataFrame:
@@ -131,11 +133,11 @@ def mixed(units: DataFrame, size: str = "size", source: str = "source", weights=
     A null size counts as 0; a null source is a source of its own. Rows that
     are equal are separate units, drawn apart. Units of size 0 are drawn like
     others and change no sum. Empty input gives an empty result. No other
-    column takes part; columns named ``source_size``, ``target``, ``copies`` or
-    ``__*`` are replaced. Keep ``units`` narrow: its columns are carried along.
+    column takes part but in the hash that orders draws; columns named
+    ``source_size``, ``target``, ``copies`` or as in ``OWN`` are replaced. Keep ``units`` narrow: its columns are carried along.
     """
-    units = units.drop("source_size", "target", "copies").withColumn("__size", F.coalesce(F.col(size), F.lit(0)).cast("long"))
-    goal = targets(units, "__size", source, weights, cap)
+    units = units.drop("source_size", "target", "copies", *[c for c in OWN if c not in (size, source)]).withColumn("__size", F.coalesce(F.col(size), F.lit(0)).cast("long"))
+    goal = targets(units, "__size", source, weights, cap).withColumnRenamed("units", "__units")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     names = [c for c in units.columns if c != "__size"]
     joined = (
@@ -156,7 +158,7 @@ def mixed(units: DataFrame, size: str = "size", source: str = "source", weights=
             n = left.groupBy(F.col(source).alias("__source")).agg(F.count("*").alias("__n"))
             left = left.join(n, F.col(source).eqNullSafe(F.col("__source")), "left").drop("__source")
         else:
-            left = left.withColumn("__n", F.col("units"))
+            left = left.withColumn("__n", F.col("__units"))
         left = left.withColumn("__blocks", F.ceil(F.col("__n") / F.lit(BLOCK)).cast("long")).withColumn(
             "__block", F.pmod(F.xxhash64("__key", F.lit(level)), F.col("__blocks"))
         )

@@ -53,7 +53,9 @@ def test_every_row_once_and_reruns_agree(docs, clashing, rows):
     key = lambda r: str(r)
     assert len(a) == len(rows) and sorted(a, key=key) == sorted(b, key=key)
     assert all(r.copies <= 3 for r in a)
-    wide = M.mixed(clashing.drop("units", "text").withColumn("size", F.col("n_chars")), size="size")
+    own = clashing.select("*", *[F.lit(f"own {c}").alias(c) for c in M.OWN])
+    assert M.mixed(own.drop("text").withColumn("size", F.col("n_chars"))).count() == len(rows)
+    wide = M.mixed(clashing.withColumn("size", F.col("n_chars")), size="size")
     assert wide.count() == len(rows) and dict(wide.dtypes)["target"] == "double"
 
 
