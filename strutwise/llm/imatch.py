@@ -22,8 +22,10 @@ SLOTS = 1 << 20
 BAND = (0.002, 0.25)
 #: Bits that keep a term in each randomised subset: subset k of n bits has one in 2**n terms.
 SUBSETS = (1,) * 4 + (3,) * 4 + (5,) * 8 + (7,) * 16
-#: Documents of a range that is ordered in one task, and ranges at most.
-RANGE, RANGES = 4096, 16384
+#: Bytes of text in a range that is ordered in one task, and ranges at most.
+RANGE, RANGES = 8 << 20, 16384
+#: Bytes of text that one row stands for where the bounds of ranges are found.
+UNIT = 16 << 10
 
 
 def _hashes(text: Column) -> Column:
@@ -90,14 +92,19 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(held, F.lit(0), lambda s, x: s + x).cast("double") / F.size(held)
 
 
-def ranges(docs: DataFrame, key: str) -> tuple[Column, int]:
-    """The range of each key (higher ranges hold higher keys, null the lowest) and the number of ranges."""
-    total, = docs.agg(F.count("*")).first()
-    many = min(RANGES, max(1, -(-total // RANGE)))
+def ranges(docs: DataFrame, key: str, text: str) -> tuple[Column, int]:
+    """The range of each key (higher ranges hold higher keys, null the lowest) and the number of ranges.
+
+    Bounds are quantiles of the keys by the bytes of their texts, so ranges
+    hold about equal volumes.
+    """
+    units = F.ceil((F.coalesce(F.octet_length(text), F.lit(0)) + 1) / F.lit(UNIT)).cast("int")
+    weighed = docs.select(F.col(key).alias("__key"), units.alias("__units"))
+    many = min(RANGES, max(1, -(-int(weighed.agg(F.coalesce(F.sum("__units"), F.lit(0))).first()[0]) * UNIT // RANGE)))
     bounds: list[int] = []
     if many > 1:
         shares = [k / many for k in range(1, many)]
-        found = docs.agg(F.percentile_approx(key, shares, 10 * many).alias("b")).first().b or []
+        found = weighed.select("__key", F.explode(F.sequence(F.lit(1), F.col("__units")))).agg(F.percentile_approx("__key", shares, 10 * many).alias("b")).first().b or []
         bounds = sorted(set(found))
     if not bounds:
         return F.when(F.col(key).isNull(), -1).otherwise(0), 1
@@ -110,43 +117,55 @@ def ranges(docs: DataFrame, key: str) -> tuple[Column, int]:
     return F.when(F.col(key).isNull(), -1).otherwise(place), len(bounds) + 1
 
 
-def with_next(docs: DataFrame, key: str, columns: list[str], tie: list[Column]) -> DataFrame:
-    """``docs`` with ``next_<c>`` of the next row by descending key (null last); after the last row the first.
+def with_next(docs: DataFrame, key: str, text: str, columns: dict[str, Column]) -> DataFrame:
+    """``key``, ``text`` and ``columns`` (name and what it holds of a row) with ``next_<c>`` of the next row by descending key.
 
-    Rows are ordered inside ranges of keys; only the first row of each range
-    crosses over to the range before it. Rows that tie on key and ``tie`` are
-    equal in all that is compared, so their order doesn't show.
+    Null keys come last, ties are ordered by text, and after the last row comes
+    the first. Rows are ordered inside ranges of keys; only the first row of
+    each range crosses over to the range before it. These rows are found by
+    key alone and read again, so ``columns`` are computed once for all others.
+    Rows that tie on key and text are equal in all that is compared, so their
+    order doesn't show. Other columns of ``docs`` are left out.
     """
-    place, _ = ranges(docs, key)
-    placed = docs.withColumn("__range", place)
-    rank = F.struct(F.col(key).isNotNull().alias("z"), F.col(key).alias("k"), *[t.alias(f"t{i}") for i, t in enumerate(tie)])
-    order = Window.partitionBy("__range").orderBy(rank.desc())
-    both = F.struct(*columns)
-    rows = placed.withColumn("__lead", F.lead(both).over(order))
-    firsts = placed.groupBy("__range").agg(F.max_by(both, rank).alias("__first"))
-    # a row per range, RANGES at most
-    turn = firsts.select(F.col("__range").alias("__below")).distinct()
-    down = Window.orderBy("__below")
-    lower = turn.select(
-        F.col("__below").alias("__of"), F.coalesce(F.lag("__below").over(down), F.max("__below").over(Window.partitionBy())).alias("__next")
+    place, _ = ranges(docs, key, text)
+    both = {text: F.col("__text"), **columns}
+    placed = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), place.cast("int").alias("__range"))
+    rows = placed.select("__key", "__range", F.struct(*[c.alias(n) for n, c in both.items()]).alias("__both"))
+    order = Window.partitionBy("__range").orderBy(F.col("__key").desc_nulls_last(), F.col(f"__both.{text}").desc())
+    led = rows.withColumn("__lead", F.lead("__both").over(order))
+    # a row per range, RANGES and one at most; the texts of its greatest key, then the greatest of them
+    tops = placed.groupBy("__range").agg(F.max("__key").alias("__top")).withColumnRenamed("__range", "__at")
+    greatest = (
+        placed.join(F.broadcast(tops), (F.col("__range") == F.col("__at")) & F.col("__key").eqNullSafe(F.col("__top")))
+        .groupBy("__at").agg(F.max("__text").alias("__text"))
+    )
+    firsts = greatest.select(F.col("__at").alias("__of"), F.struct(*[c.alias(n) for n, c in both.items()]).alias("__first"))
+    down = Window.orderBy("__at")
+    lower = tops.select(F.col("__at").alias("__here"), F.coalesce(F.lag("__at").over(down), F.max("__at").over(Window.partitionBy())).alias("__next"))
+    heads = lower.join(firsts, F.col("__next") == F.col("__of")).select("__here", "__first")
+    joined = led.join(heads, F.col("__range") == F.col("__here")).withColumn("__lead", F.coalesce("__lead", "__first"))
+    return joined.select(
+        F.col("__key").alias(key), *[F.col(f"__both.{c}").alias(c) for c in both], *[F.col(f"__lead.{c}").alias(f"next_{c}") for c in both]
     )
-    heads = lower.join(firsts, F.col("__next") == F.col("__range")).select("__of", "__first")
-    joined = rows.join(heads, F.col("__range") == F.col("__of")).withColumn("__lead", F.coalesce("__lead", "__first"))
-    return joined.select(*docs.columns, *[F.col(f"__lead.{c}").alias(f"next_{c}") for c in columns])
 
 
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how alike they are.
 
-    A null text counts as empty. Repeated ids are ordered by text.
+    A null text counts as empty and has the fingerprint of no terms. Repeated
+    ids are ordered by text, a null id comes last. Texts of any length are
+    whole. Other columns of the table are not read. An empty table gives no rows.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return edited_likeness(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def edited_likeness(docs: DataFrame) -> DataFrame:
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     words = lexicon(docs)
-    printed = docs.withColumn("prints", fingerprint(F.col("text"), words))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.char_length("text") - half), F.left("next_text", half))
     rows = (
-        with_next(printed, "doc_id", ["text", "prints"], [F.col("text")])
+        with_next(docs, "doc_id", "text", {"prints": fingerprint(F.col("__text"), words)})
         .select("doc_id", "prints", "next_prints", F.char_length("text").cast("long").alias("n_chars"), edited.alias("edited"))
         .withColumn("edited_prints", fingerprint(F.col("edited"), words))
     )

@@ -1,27 +1,82 @@
 import hashlib
+import math
 
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from strutwise.llm import imatch as I
 
 
+def chain(values, seed=42):
+    """Spark's xxhash64 of several values, signed."""
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v, seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def long(x):
+    return (x % (1 << 64)).to_bytes(8, "little")
+
+
+def hashed_terms(text):
+    return {chain([w.encode()]) for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w}
+
+
+def python_prints(texts):
+    """Fingerprints by the definition, with Python sets."""
+    slots = {}
+    for t in texts:
+        for s in {x % I.SLOTS for x in hashed_terms(t)}:
+            slots[s] = slots.get(s, 0) + 1
+    low, high = max(2, math.ceil(I.BAND[0] * len(texts))), max(2, math.floor(I.BAND[1] * len(texts)))
+    kept = {s for s, n in slots.items() if low <= n <= high}
+
+    def one(text):
+        every = sorted(hashed_terms(text))
+        inside = [x for x in every if x % I.SLOTS in kept]
+        values = [chain(map(long, inside)) if inside else chain([*map(long, every), b"all"])]
+        for k, bits in enumerate(I.SUBSETS):
+            own = [x for x in inside if chain([long(x), k.to_bytes(4, "little")]) % (1 << bits) == 0]
+            values.append(chain(map(long, own)) if own else None)
+        return ".".join("" if v is None else long(v)[::-1].hex() for v in values)
+
+    return one
+
+
+def alike(a, b):
+    held = [(x, y) for x, y in zip(a.split("."), b.split(".")) if x or y]
+    return sum(x == y for x, y in held) / len(held)
+
+
+def check_all(result, rows):
+    """Every column of the query against Python, for rows (id, text)."""
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()), reverse=True)
+    prints = python_prints([t for _, t in order])
+    want = []
+    for k, (i, text) in enumerate(order):
+        follow, half = order[(k + 1) % len(order)][1], len(text) // 2
+        edited = text[: len(text) - half] + follow[:half]
+        own, other, then = prints(text), prints(edited), prints(follow)
+        want.append((str(i), len(text), hashlib.sha256(edited.encode()).hexdigest(), own, other, round(alike(own, other), 12), round(alike(own, then), 12)))
+    got = [(str(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 12), round(r.near_next, 12)) for r in result.collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_query(spark, sf, monkeypatch):
-    monkeypatch.setattr(I, "RANGE", 40)
-    got = {r.doc_id: r for r in I.op6_imatch(spark, sf).collect()}
-    docs = sorted(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect(), key=lambda r: -r.doc_id)
-    prints = {}
-    for k, d in enumerate(docs):
-        text, follow = d.text or "", docs[(k + 1) % len(docs)]
-        half = len(text) // 2
-        edited = text[: len(text) - half] + (follow.text or "")[:half]
-        g = got[d.doc_id]
-        assert (g.n_chars, g.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= g.near_edited <= 1 and 0 <= g.near_next <= 1
-        assert prints.setdefault(text, g.fingerprint) == g.fingerprint
-        a, b = g.fingerprint.split("."), got[follow.doc_id].fingerprint.split(".")
-        held = [(x, y) for x, y in zip(a, b) if x or y]
-        assert abs(g.near_next - sum(x == y for x, y in held) / len(held)) < 1e-12
-    assert sum(g.near_edited for g in got.values()) > 5 * sum(g.near_next for g in got.values())
+    monkeypatch.setattr(I, "RANGE", 200_000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    result = I.op6_imatch(spark, sf)
+    check_all(result, docs)
+    near = result.agg(F.sum("near_edited"), F.sum("near_next")).first()
+    assert near[0] > 5 * near[1]
+
+
+def test_odd_rows_and_clashing_columns(clashing, none, rows):
+    names = ["__key", "__text", "__range", "__both", "__lead", "__at", "__top", "next_text", "edited", "half"]
+    wide = clashing.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    check_all(I.edited_likeness(wide), [(r[0], r[1]) for r in rows])
+    assert I.edited_likeness(none).count() == 0
 
 
 def test_odd_documents(docs, none):
@@ -50,15 +105,16 @@ def test_terms_outside_the_band_do_not_matter(spark):
 
 
 def test_next_rows(spark, docs, none, monkeypatch):
-    monkeypatch.setattr(I, "RANGE", 3)
+    monkeypatch.setattr(I, "RANGE", 30)
+    monkeypatch.setattr(I, "UNIT", 10)
     rows = [(k, f"t{k}") for k in range(50)] + [(None, "null"), (60, "x"), (60, "y"), (60, "y")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.next_text) for r in I.with_next(df, "doc_id", ["text"], [F.col("text")]).collect())
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.next_text) for r in I.with_next(df, "doc_id", "text", {}).collect())
     order = sorted(rows, key=lambda r: (r[0] if r[0] is not None else -1, r[1]), reverse=True)
     want = sorted((r[0] if r[0] is not None else -1, r[1], order[(k + 1) % len(order)][1]) for k, r in enumerate(order))
     assert got == want
-    assert I.with_next(none.select("doc_id", "text"), "doc_id", ["text"], [F.col("text")]).count() == 0
-    assert I.with_next(docs.select("doc_id", "text"), "doc_id", ["text"], [F.col("text")]).count() == docs.count()
+    assert I.with_next(none, "doc_id", "text", {}).count() == 0
+    assert I.with_next(docs, "doc_id", "text", {}).count() == docs.count()
 
 
 def test_main_path_has_no_python(spark, sf):
