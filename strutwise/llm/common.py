@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strutwise.sources.storage import shared_folder, stored
+from strutwise.sources.storage import discard, shared_folder, stored
+
+__all__ = ["discard", "new_path", "numbered", "shared_folder", "stored", "word_count"]
 
 #: A word is a longest run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from strutwise.llm.batches import by_size
 from strutwise.llm.common import stored
 from strutwise.llm.components import components
-from strutwise.llm.words import hashed, mixed, sequences, split
+from strutwise.llm.words import mixed, sequences, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEPTH, RECALL = 24, 6, 0.99999
@@ -44,12 +44,15 @@ def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     return depth
 
 
-def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``n`` words; a shorter text is one shingle, none without words."""
-    words = hashed(split(text))
-    if not len(words):
-        return words
-    return np.unique(sequences(words, min(n, len(words))))
+def shingles(texts: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of ``n`` words; a shorter text is one shingle, none without words."""
+    flat, counts = word_hashes(texts)
+    ends = np.cumsum(counts)
+    runs = sequences(flat, n)
+    return [
+        np.unique(runs[e - c : e - n + 1] if c >= n else sequences(flat[e - c : e], int(c))) if c else flat[:0]
+        for e, c in zip(ends.tolist(), counts.tolist())
+    ]
 
 
 def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +87,7 @@ def _describe(n: int, trees: int, depth: int, kept: int):
 
     def run(batches):
         for batch in by_size(batches, "text", _TEXT_SLICE):
-            sets = [shingles(t, n) for t in batch.column(2).to_pylist()]
+            sets = shingles(batch.column(2), n)
             full = [k for k, s in enumerate(sets) if len(s)]
             first, second, keys, small = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64), [None] * len(sets), [None] * len(sets)
             if full:
@@ -299,7 +302,7 @@ def _links(sets, rows, many, block, pair, threshold) -> list[tuple[int, int, int
 def _sets(n: int):
     def run(batches):
         for batch in by_size(batches, "text", _TEXT_SLICE):
-            found = [shingles(t, n).tobytes() for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            found = [x.tobytes() for x in shingles(batch.column(batch.schema.get_field_index("text")), n)]
             at = batch.schema.get_field_index("text")
             yield pa.RecordBatch.from_arrays([*[c for k, c in enumerate(batch.columns) if k != at], pa.array(found, pa.binary())], names=[*[c for k, c in enumerate(batch.schema.names) if k != at], "set"])
 

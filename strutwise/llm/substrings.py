@@ -8,11 +8,18 @@ once: all but those of the smallest document are known to repeat, so a passage
 that very many documents share leaves a slice once. The other windows go to a
 shard by their minimizer, the least of the hashes of their word triples:
 neighbouring windows mostly share it and travel as one segment, and equal
-windows always meet. A shard drops segments whose minimizer occurs in one
-document only, builds an FM-index (BWT in a wavelet tree) over the rest, and
-streams every segment through it: backward search, dropping what occurs
-nowhere else, gives each window's interval, whose least document decides.
-Removed word spans go back to their documents by id and text hash.
+windows always meet. A shard that would get far more than the mean is split: its
+windows go by their two least triple hashes, then three, and so on, for as long
+as that spreads them. How much each shard would get is counted beforehand, over
+all texts.
+
+A shard drops segments whose key occurs in one document only, builds an
+FM-index (BWT in a wavelet tree) over the rest, and streams every segment
+through it: backward search, dropping what occurs nowhere else, gives each
+window's interval. Words are 16-bit symbols there; each window has a check of
+32 more bits of its words' hashes, and the least document among an interval's
+windows of equal check decides. Removed word spans go back to their documents
+by id and text hash.
 """
 
 from __future__ import annotations
@@ -27,8 +34,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strutwise.llm.batches import by_size
+from strutwise.llm.common import discard, stored
 from strutwise.llm.fmindex import FMIndex
-from strutwise.llm.words import hashed, sequences, sliding_min, split
+from strutwise.llm.words import mixed, sequences, sliding_min, word_hashes
 
 #: Words in a window.
 WINDOW = 13
@@ -37,8 +45,10 @@ GRAM = 3
 #: Bytes of text in a slice, and for each shard.
 SLICE_BYTES = 6 << 20
 SHARD_BYTES = 8 << 20
-#: Words in one FM-index; a shard with more builds several, each over whole minimizers.
+#: Words in one FM-index; a shard with more builds several, each over whole keys.
 INDEX_WORDS = 1 << 19
+#: A shard is split from this multiple of the mean on, for as long as each split takes a tenth off the fullest.
+HOT, GAIN = 2.0, 0.9
 LAST = (1 << 63) - 1
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _SENT = "shard int, kind int, body binary"
@@ -61,14 +71,14 @@ def _unpack(body: bytes) -> list[np.ndarray]:
     return out
 
 
-def _frequent(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Up to 255 frequent words (from place 1 on) and a table of their places by their last 16 bits."""
-    kinds, counts = np.unique(words[:: max(1, len(words) >> 16)], return_counts=True)
-    top = np.zeros(256, dtype="<u4")
-    chosen = kinds[np.argsort(-counts, kind="stable")[:255]]
-    top[1 : len(chosen) + 1] = chosen
+def _frequent(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 255 most frequent symbols (from place 1 on) and a table of their places."""
+    counts = np.bincount(symbols, minlength=1 << 16)
+    chosen = np.argsort(-counts, kind="stable")[:255]
+    top = np.zeros(256, dtype="<u2")
+    top[1:] = chosen
     table = np.zeros(1 << 16, dtype=np.uint8)
-    table[chosen & 0xFFFF] = np.arange(1, len(chosen) + 1, dtype=np.uint8)
+    table[chosen] = np.arange(1, 256, dtype=np.uint8)
     return top, table
 
 
@@ -96,11 +106,127 @@ def _spans_of(ids: np.ndarray, hashes: np.ndarray, begin: np.ndarray, end: np.nd
     return [(int(ids[a]), int(hashes[a]), pairs[a:b].tobytes()) for a, b in zip(cut, np.r_[cut[1:], len(ids)])]
 
 
-def _slice_rows(ids: np.ndarray, hashes: np.ndarray, words: list[np.ndarray], length: int, shards: int):
+def _symbols(flat: np.ndarray) -> np.ndarray:
+    """What a shard gets to see of a word: 16 bits of its hash."""
+    return flat.astype("<u2")
+
+
+def _grams(symbols: np.ndarray) -> np.ndarray:
+    return sequences(symbols.astype(np.uint64), GRAM)
+
+
+def _folded(least: np.ndarray) -> np.ndarray:
+    """One key for each row of its least triple hashes, in order; a single one is the key itself."""
+    key = least[:, 0]
+    with np.errstate(over="ignore"):
+        for k in range(1, least.shape[1]):
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
+    return key
+
+
+class _Routes:
+    """Shards of windows: levels of (number of shards, which of them are split by one more triple)."""
+
+    def __init__(self, length: int, first: int):
+        self.length, self.levels = length, [(first, None)]
+
+    def split(self, hot: np.ndarray, shards: int) -> "_Routes":
+        more = _Routes(self.length, 0)
+        more.levels = [*self.levels[:-1], (self.levels[-1][0], hot), (shards, None)]
+        return more
+
+    @property
+    def bases(self) -> np.ndarray:
+        return np.cumsum([0, *(n for n, _ in self.levels)])
+
+    def level(self, shard: int) -> int:
+        return int(np.searchsorted(self.bases, shard, "right"))
+
+    def keys(self, grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Key and shard of the windows that start at ``at``."""
+        many = self.length - GRAM + 1
+        key = sliding_min(grams, many)[at]
+        shard = ((key >> np.uint64(8)) % np.uint64(self.levels[0][0])).astype(np.int64)
+        for k, (_, hot) in enumerate(self.levels[:-1]):
+            base, (shards, _) = self.bases[k], self.levels[k + 1]
+            rows = np.flatnonzero(shard >= base)
+            rows = rows[hot[shard[rows] - base]]
+            for a in range(0, len(rows), 1 << 14):
+                own = rows[a : a + (1 << 14)]
+                every = grams[at[own, None] + np.arange(many)]
+                every.partition(k + 1, axis=1)
+                key[own] = _folded(np.sort(every[:, : k + 2], axis=1))
+            shard[rows] = self.bases[k + 1] + ((key[rows] >> np.uint64(8)) % np.uint64(shards)).astype(np.int64)
+        return key, shard
+
+
+def _opened(at: np.ndarray, key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a window opens a segment: it doesn't follow one of its document with the same key."""
+    return np.r_[True, (np.diff(at) != 1) | (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])][: len(at)]
+
+
+def _weigh(routes: _Routes, slice_bytes: int):
+    """Words that each shard of the last level would get, summed over what a task reads.
+
+    At the first level repeats in a slice are counted too; further levels leave them out.
+    """
+    base, shards, length = int(routes.bases[-2]), routes.levels[-1][0], routes.length
+
+    def run(batches):
+        total = {}
+        for batch in by_size(batches, "text", slice_bytes):
+            flat, counts = word_hashes(batch.column(0))
+            doc = np.repeat(np.arange(len(counts)), counts)
+            if len(flat) < length:
+                continue
+            at = np.flatnonzero(doc[: len(flat) - length + 1] == doc[length - 1 :])
+            if not len(at):
+                continue
+            key, shard = routes.keys(_grams(_symbols(flat)), at)
+            if base:
+                here = np.flatnonzero(shard >= base)
+                _, first = np.unique(sequences(flat, length)[at[here]], return_index=True)
+                here = here[np.sort(first)]
+                at, key, shard = at[here], key[here], shard[here]
+            if not len(at):
+                continue
+            opens = np.flatnonzero(_opened(at, key, doc[at]))
+            sizes = np.diff(np.r_[opens, len(at)]) + length - 1
+            found, where = np.unique(shard[opens] - base, return_inverse=True)
+            for s, w in zip(found.tolist(), np.bincount(where, weights=sizes).astype(np.int64).tolist()):
+                total[s] = total.get(s, 0) + w
+        yield pa.RecordBatch.from_pydict({"shard": pa.array(list(total), pa.int32()), "words": pa.array(list(total.values()), pa.int64())})
+
+    return run
+
+
+def _routes(texts: DataFrame, length: int, shards: int, slice_bytes: int) -> _Routes:
+    """Routes under which no shard is far above the mean, as far as triples can tell windows apart.
+
+    What comes to the driver is a row for each shard that is too full; what
+    goes to the executors is a bit for each shard.
+    """
+    routes, mean, before = _Routes(length, shards), None, None
+    while len(routes.levels) <= length - GRAM + 1:
+        weights = texts.mapInArrow(_weigh(routes, slice_bytes), "shard int, words long").groupBy("shard").agg(F.sum("words").alias("words"))
+        weights = stored(weights, "weights")
+        if mean is None:
+            mean = (weights.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]) / shards
+        full = weights.where(F.col("words") > HOT * mean).toPandas()
+        discard(weights)
+        most = int(full["words"].max()) if len(full) else 0
+        if not len(full) or mean == 0 or (len(routes.levels) > 2 and most > GAIN * before):
+            return routes
+        hot = np.zeros(routes.levels[-1][0], dtype=bool)
+        hot[full["shard"].to_numpy()] = True
+        routes, before = routes.split(hot, max(2, -(-int(full["words"].sum()) // max(1, int(mean))))), most
+    return routes
+
+
+def _slice_rows(ids: np.ndarray, hashes: np.ndarray, flat: np.ndarray, counts: np.ndarray, routes: _Routes):
     """What a slice sends: bodies of segments for shards (kind 0), and spans that it can settle itself (kind 1)."""
-    counts = np.array([len(w) for w in words], dtype=np.int64)
-    flat = np.concatenate(words) if len(words) else np.zeros(0, dtype=np.uint64)
-    doc = np.repeat(np.arange(len(words)), counts)
+    length = routes.length
+    doc = np.repeat(np.arange(len(counts)), counts)
     first = np.cumsum(counts) - counts
     n = len(flat) - length + 1
     if n < 1:
@@ -126,53 +252,51 @@ def _slice_rows(ids: np.ndarray, hashes: np.ndarray, words: list[np.ndarray], le
     if len(begin):
         d = doc[begin]
         yield -1, 1, _pack(ids[d].view("<u8"), hashes[d].view("<u8"), (begin - first[d]).astype("<u4"), (end - 1 + length - first[d]).astype("<u4"))
-    short = flat.astype("<u4")  # what a shard gets to see
-    least_gram = sliding_min(sequences(short.astype(np.uint64), GRAM), length - GRAM + 1)
-    send = inside & ~known[:n]
-    opens = send & np.r_[True, ~(send[:-1] & (least_gram[1:] == least_gram[:-1]) & (doc[1:n] == doc[: n - 1]))]
-    starts = np.flatnonzero(opens)
-    if not len(starts):
+    del order, least, head, rows, here, same
+    send = at[~known[at]]
+    if not len(send):
         return
-    segment = np.cumsum(opens) - 1
-    windows = np.bincount(segment[send], minlength=len(starts))
+    short = _symbols(flat)
+    key, place = routes.keys(_grams(short), send)
+    opens = np.flatnonzero(_opened(send, key, doc[send]))
+    starts, windows = send[opens], np.diff(np.r_[opens, len(send)])
     sizes = windows + length - 1
+    check = (window[send] >> np.uint64(32)).astype("<u4")
     top, table = _frequent(short)  # these travel as one byte each
-    code = table[short & 0xFFFF]
-    code[top[code] != short] = 0
+    code = table[short]
     # the segments of one shard follow each other, documents in order
-    shard = (least_gram[starts] >> np.uint64(8)) % np.uint64(shards)
-    order, groups = _grouped(shard.astype(np.int64), stable=True)
+    order, groups = _grouped(place[opens], stable=True)
     for a, b in zip(groups, np.r_[groups[1:], len(starts)]):
         own = order[a:b]
-        s, z = starts[own], sizes[own]
-        step = np.cumsum(z) - z
-        at = np.arange(z.sum()) - np.repeat(step - s, z)
+        s, z, w = starts[own], sizes[own], windows[own]
+        at = np.arange(z.sum()) - np.repeat(np.cumsum(z) - z - s, z)
+        of = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w - opens[own], w)
         codes = code[at]
         d = doc[s]
         docs, index = np.unique(d, return_inverse=True)
         gap = np.diff(np.r_[0, index])
-        yield int(shard[own[0]]), 0, _pack(
+        yield int(place[opens[own[0]]]), 0, _pack(
             ids[docs].view("<u8"), hashes[docs].astype("<u4"), gap.astype("<u2" if gap.max(initial=0) < 1 << 16 else "<u4"),
-            (s - first[d]).astype("<u4"), z.astype("<u4" if z.max() >= 1 << 16 else "<u2"), codes, short[at[codes == 0]], top,
+            (s - first[d]).astype("<u4"), w.astype("<u4" if w.max() >= 1 << 16 else "<u2"), check[of], codes, short[at[codes == 0]], top,
         )
 
 
-def _send(length: int, shards: int, slice_bytes: int):
+def _send(routes: _Routes, slice_bytes: int):
     def run(batches):
         for batch in by_size(batches, "text", slice_bytes):
             ids = batch.column(0).fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
             hashes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            words = [hashed(split(t)) for t in batch.column(2).to_pylist()]
-            out = list(_slice_rows(ids, hashes, words, length, shards))
-            del words
-            for s, kind, body in out:
+            flat, counts = word_hashes(batch.column(2))
+            for s, kind, body in _slice_rows(ids, hashes, flat, counts, routes):
                 # settled spans go to any shard and pass through it
-                yield pa.RecordBatch.from_pydict({"shard": pa.array([s if s >= 0 else int(hashes[0] % shards)], pa.int32()), "kind": pa.array([kind], pa.int32()), "body": pa.array([body], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([s if s >= 0 else int(hashes[0] % routes.levels[0][0])], pa.int32()), "kind": pa.array([kind], pa.int32()), "body": pa.array([body], pa.binary())})
 
     return run
 
 
-def _matched(length: int):
+def _matched(routes: _Routes):
+    length = routes.length
+
     def run(table: pa.Table) -> pa.Table:
         found: list[tuple] = []
         sent = []
@@ -187,10 +311,12 @@ def _matched(length: int):
             ids = np.concatenate([x[0].view(np.int64)[i] for x, i in zip(sent, index)])
             hashes = np.concatenate([x[1].astype(np.int64)[i] for x, i in zip(sent, index)])
             start = np.concatenate([x[3] for x in sent]).astype(np.int64)
-            size = np.concatenate([x[4].astype(np.int64) for x in sent])
-            text = np.concatenate([_words_of(*x[5:]) for x in sent])
+            windows = np.concatenate([x[4].astype(np.int64) for x in sent])
+            check = np.concatenate([x[5] for x in sent])
+            text = np.concatenate([_words_of(*x[6:]) for x in sent])
+            level = routes.level(table["shard"][0].as_py())
             del sent, index
-            found += _search(ids, hashes, start, size, text, length)
+            found += _search(ids, hashes, start, windows, check, text, length, level)
         return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "hash": pa.array([x[1] for x in found], pa.int64()), "spans": pa.array([x[2] for x in found], pa.binary())})
 
     return run
@@ -202,22 +328,28 @@ def _words_of(codes: np.ndarray, rare: np.ndarray, top: np.ndarray) -> np.ndarra
     return words
 
 
-def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
+def _taken(offset: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at ``offset`` and hold ``count`` each, one run after another."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - offset, count)
+
+
+def _search(ids, hashes, start, windows, check, text, length: int, level: int = 1) -> list[tuple]:
     """Spans of the windows of segments that also start in a document with a smaller id."""
-    offset = np.cumsum(size) - size
-    # the minimizer again, from the 32-bit words that all segments hold alike
+    size = windows + length - 1
+    offset, first_check = np.cumsum(size) - size, np.cumsum(windows) - windows
+    # the key again, from the symbols that all segments hold alike
     key = np.empty(len(size), dtype=np.uint64)
-    for a in range(0, len(size), 1 << 15):
-        firsts = text[offset[a : a + (1 << 15), None] + np.arange(length)].astype(np.uint64)
-        grams = sequences(np.append(firsts.ravel(), np.zeros(GRAM - 1, dtype=np.uint64)), GRAM).reshape(len(firsts), length)
-        key[a : a + (1 << 15)] = grams[:, : length - GRAM + 1].min(axis=1)
+    for a in range(0, len(size), 1 << 14):
+        firsts = text[offset[a : a + (1 << 14), None] + np.arange(length)]
+        grams = _grams(np.append(firsts.ravel(), np.zeros(GRAM - 1, dtype=firsts.dtype))).reshape(len(firsts), length)[:, : length - GRAM + 1]
+        key[a : a + (1 << 14)] = grams.min(axis=1) if level == 1 else _folded(np.sort(grams, axis=1)[:, :level])
     order, groups = _grouped(key)
     least, most = np.minimum.reduceat(ids[order], groups), np.maximum.reduceat(ids[order], groups)
     repeats = np.diff(np.r_[groups, len(order)])
-    # nothing comes before the least document of a minimizer: its windows are found, but don't ask
+    # nothing comes before the least document of a key: its windows are found, but don't ask
     asks = ids[order] > np.repeat(least, repeats)
     kept = np.repeat(least < most, repeats)
-    order, asks = order[kept], asks[kept]  # whole minimizers, one after another
+    order, asks = order[kept], asks[kept]  # whole keys, one after another
     words = np.cumsum(size[order] + 1)
     part = np.zeros(len(order), dtype=np.int64)
     if len(order):
@@ -225,31 +357,37 @@ def _search(ids, hashes, start, size, text, length: int) -> list[tuple]:
         opens = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
         part = np.repeat(words[opens] // INDEX_WORDS, np.diff(np.r_[opens, len(order)]))
     found: list[tuple] = []
-    for p in np.unique(part):
-        own, asking = order[part == p], asks[part == p]
-        z = size[own]
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+    for p, q in zip(edges[:-1], edges[1:]):
+        own, asking = order[p:q], asks[p:q]
+        z, w = size[own], windows[own]
         at = np.cumsum(z + 1) - (z + 1)
         joined = np.zeros(int((z + 1).sum()), dtype=np.uint64)
-        step = np.arange(int(z.sum())) - np.repeat(np.cumsum(z) - z, z)
-        joined[step + np.repeat(at, z)] = text[step + np.repeat(offset[own], z)].astype(np.uint64) + np.uint64(1)
+        joined[_taken(at, z)] = text[_taken(offset[own], z)].astype(np.uint64) + np.uint64(1)
+        checks = np.zeros(len(joined) + 1, dtype=np.uint64)
+        checks[_taken(at, w)] = check[_taken(first_check[own], w)]
         index = FMIndex(joined, length)
-        many = np.where(asking, z - length + 1, 0)
-        turn = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        many = np.where(asking, w, 0)
+        places = _taken(at, many)
         segment = np.repeat(np.arange(len(own)), many)
-        windows = turn + np.repeat(at, many)
-        left, right = index.matches(windows, length, alone=True)
+        turn = places - at[segment]
+        left, right = index.matches(places, length, alone=True)
         hit = np.flatnonzero(right > left)
         if not len(hit):
             continue
         owner = np.repeat(np.r_[ids[own], LAST], np.r_[z + 1, 1])  # the document of each place
-        ranked = np.r_[owner[index.order], LAST]  # an interval may end at the end of the order
         lefts, where = np.unique(left[hit], return_inverse=True)
         rights = np.zeros(len(lefts), dtype=np.int64)
         rights[where] = right[hit]
-        edges = np.stack([lefts, rights], axis=1).ravel()
-        smallest = np.minimum.reduceat(ranked, edges)[::2]
-        gone = np.zeros(len(windows), dtype=bool)
-        gone[hit] = smallest[where] < ids[own][segment[hit]]
+        # the least document among the windows of an interval that have the same check
+        among = index.order[_taken(lefts, rights - lefts)]
+        interval = np.repeat(np.arange(len(lefts), dtype=np.uint64) << np.uint64(32), rights - lefts)
+        ranked, cut = _grouped(interval | checks[among])
+        smallest = np.minimum.reduceat(owner[among][ranked], cut)
+        exact = (interval | checks[among])[ranked][cut]
+        asked = where.astype(np.uint64) << np.uint64(32) | checks[places[hit]]
+        gone = np.zeros(len(places), dtype=bool)
+        gone[hit] = smallest[np.searchsorted(exact, asked)] < ids[own][segment[hit]]
         # windows of one segment follow each other
         breaks = np.r_[segment[1:] != segment[:-1], True]
         stops = gone & (breaks | ~np.r_[gone[1:], False])
@@ -325,8 +463,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     marked = docs.withColumn("__hash", F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))).withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
     volume = docs.agg(F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0))).first()[0]
     shards = max(8, -(-int(volume) // SHARD_BYTES))
-    sent = marked.select(F.col("__id"), F.col("__hash"), F.col(text).alias("text")).mapInArrow(_send(length, shards, slice_bytes), _SENT)
-    spans = sent.groupBy("shard").applyInArrow(_matched(length), _SPANS)
+    routes = _routes(docs.select(F.col(text).alias("text")), length, shards, slice_bytes)
+    sent = marked.select(F.col("__id"), F.col("__hash"), F.col(text).alias("text")).mapInArrow(_send(routes, slice_bytes), _SENT)
+    spans = sent.groupBy("shard").applyInArrow(_matched(routes), _SPANS)
     by_doc = spans.groupBy(F.col("id").alias("__of"), F.col("hash").alias("__like")).agg(F.collect_list("spans").alias("__spans"))
     fields = [docs.schema[c] for c in others]
     plain = marked.select(*[docs[c].alias(f"__{k}") for k, c in enumerate(others)], F.col("__id"), F.col("__hash"), docs[text].alias("text"))

@@ -1,35 +1,75 @@
-"""Word hashes of whole texts, as arrays."""
+"""Word hashes of whole texts, as arrays.
+
+A word's hash is a sum over its bytes, each byte's own random number times a
+power of an odd base by its place, spread by a bijection. Sums of the words of
+a buffer are differences of one running sum, so no word becomes an object.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct words that a worker keeps.
-MOST_WORDS = 250_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BYTE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASE = 0x2545F4914F6CDD1D
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that are hashed at once; a piece ends with a word.
+PIECE = 1 << 18
 
 
-class _Known(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_known = _Known()
-
-
-def split(text: str | None) -> list[bytes]:
-    """The words of a text as UTF-8: bytes split at space and 0x09 to 0x0D."""
-    return text.encode("utf-8").split() if text else []
-
-
-def hashed(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash for each word."""
-    if len(_known) > MOST_WORDS:
-        _known.clear()
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(out)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, one text after another, and the words in each; a null text has none.
+
+    Words are longest runs of bytes other than 0x20 and 0x09 to 0x0D.
+    """
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int64 if wide else np.int32, len(texts) + 1, texts.offset * (8 if wide else 4)).astype(np.int64)
+    if not len(texts) or edges[-1] == edges[0]:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
+    raw = np.frombuffer(data, np.uint8, int(edges[-1] - edges[0]), int(edges[0]))
+    edges = edges - edges[0]
+    word = ~_SPACE[raw]
+    cut = np.zeros(len(raw) + 1, dtype=bool)
+    cut[edges] = True  # words don't run on from text to text
+    follows = np.zeros(len(raw), dtype=bool)
+    follows[1:] = word[1:] & word[:-1] & ~cut[1:-1]
+    starts = np.flatnonzero(word & ~follows)
+    ends = np.flatnonzero(word & ~np.r_[follows[1:], False]) + 1
+    counts = np.diff(np.searchsorted(starts, edges))
+    out = np.empty(len(starts), dtype=np.uint64)
+    at = 0
+    with np.errstate(over="ignore"):
+        while at < len(starts):
+            begin = int(starts[at])
+            upto = max(at + 1, int(np.searchsorted(ends, begin + PIECE, "right")))
+            piece = raw[begin : int(ends[upto - 1])]
+            if len(piece) > len(_tables[0]):
+                _tables[:] = [_powers(_BASE, len(piece)), _powers(pow(_BASE, -1, 1 << 64), len(piece))]
+            sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE[piece] * _tables[0][: len(piece)], out=sums[1:])
+            a, z = starts[at:upto] - begin, ends[at:upto] - begin
+            out[at:upto] = (sums[z] - sums[a]) * _tables[1][a]
+            at = upto
+        if len(_tables[0]) > PIECE:  # one very long word needed more
+            _tables[:] = [t[:PIECE].copy() for t in _tables]
+        return mixed(out), counts
+
+
+_tables = [_powers(_BASE, PIECE), _powers(pow(_BASE, -1, 1 << 64), PIECE)]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

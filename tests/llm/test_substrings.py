@@ -1,11 +1,12 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strutwise.llm import substrings as S
 from strutwise.llm.fmindex import FMIndex, WaveletTree
-from strutwise.llm.words import sequences, sliding_min
+from strutwise.llm.words import sequences, sliding_min, word_hashes
 
 
 def brute(rows, length):
@@ -90,11 +91,66 @@ def test_passages_over_many_documents_and_indexes(spark, monkeypatch):
 @pytest.mark.parametrize("length", [13, 50])
 def test_greatest_window_of_an_index(ids, length):
     # one of the two orders has the smallest document at the end of the suffix order
-    text = np.full(2 * length, 9, dtype=np.uint32)
-    found = S._search(np.array(ids), np.array([7, 7]), np.array([0, 0]), np.array([length, length]), text, length)
+    text = np.full(2 * length, 9, dtype=np.uint16)
+    found = S._search(np.array(ids), np.array([7, 7]), np.array([0, 0]), np.array([1, 1]), np.array([5, 5], dtype=np.uint32), text, length)
     assert found == [(2, 7, np.array([[0, length]], dtype="<i4").tobytes())]
 
 
+def test_windows_of_different_check_are_not_equal():
+    text = np.full(26, 9, dtype=np.uint16)
+    assert S._search(np.array([1, 2]), np.array([7, 7]), np.array([0, 0]), np.array([1, 1]), np.array([5, 6], dtype=np.uint32), text, 13) == []
+
+
+def hot_rows():
+    """Texts in which every window holds one common triple; all else is random, but for some shared passages."""
+    rng = np.random.default_rng(8)
+    least = min(((S._grams(S._symbols(word_hashes(pa.array([f"t{k} t t"]))[0]))[0], k) for k in range(3000)))[1]
+    triple, passage = [f"t{least}", "t", "t"], [f"p{k}" for k in range(7)]
+    rows = []
+    for i in rng.permutation(120):
+        w = []
+        for _ in range(40):
+            w += triple + (passage if rng.random() < 0.3 else [f"x{rng.integers(0, 1 << 40)}" for _ in range(7)])
+        rows.append((int(i), " ".join(w)))
+    return rows
+
+
+def test_a_hot_minimizer_is_split(spark, monkeypatch):
+    monkeypatch.setattr(S, "SHARD_BYTES", 20_000)
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    routes = S._routes(df.select("text"), 13, 40, 20_000)
+    assert len(routes.levels) > 1
+    sizes = {}
+    for a in range(0, len(rows), 10):
+        flat, counts = word_hashes(pa.array([t for _, t in rows[a : a + 10]]))
+        for s, kind, body in S._slice_rows(np.array([i for i, _ in rows[a : a + 10]]), np.zeros(10, dtype=np.int64), flat, counts, routes):
+            sizes[s] = sizes.get(s, 0) + len(body) * (kind == 0)
+    assert max(sizes.values()) < sum(sizes.values()) / 8
+    assert got(S.without_repeats(df, slice_bytes=20_000)) == brute(rows, 13)
+
+
+def test_equal_windows_end_the_splitting(spark, monkeypatch):
+    monkeypatch.setattr(S, "SHARD_BYTES", 2000)
+    passage = " ".join(f"q{k}" for k in range(20))
+    rows = [(i, f"a{i} {passage} b{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert len(S._routes(df.select("text"), 13, 20, 300).levels) <= 4
+    assert got(S.without_repeats(df, slice_bytes=300)) == brute(rows, 13)
+
+
+def test_word_hashes():
+    odd = ["a b", "", "  ", None, "b", "a", " a\tb\u0085c \x1c d", "x" * 600_000 + " y " + "x" * 600_000, "b\x0bb", "ab a"]
+    for kind in (pa.string(), pa.large_string()):
+        for cut in (0, 3):
+            hashes, counts = word_hashes(pa.array(odd, kind).slice(cut))
+            words = [(t or "").encode().split() for t in odd[cut:]]
+            assert counts.tolist() == [len(w) for w in words]
+            seen = {}
+            assert all(seen.setdefault(w, h) == h for w, h in zip((x for w in words for x in w), hashes.tolist())) and len(set(seen.values())) == len(seen)
+    assert [len(x) for x in word_hashes(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_empty_and_short_windows(none):
     assert S.without_repeats(none).count() == 0
     with pytest.raises(ValueError):
