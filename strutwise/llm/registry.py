@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from strutwise.llm.chat import OP1_SQL, op1_chat_windows
-from strutwise.llm.forest import op5_forest_join
+from strutwise.llm.forest import OP5_SQL, op5_forest_join
 from strutwise.llm.imatch import op6_imatch
 from strutwise.llm.langid import op7_ecoc_language
 from strutwise.llm.mih import OP2_SQL, op2_mih_top_k
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_fm_repeats": op10_fm_repeats,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_windows": OP1_SQL, "op2_mih_top_k": OP2_SQL, "op10_fm_repeats": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_windows": OP1_SQL, "op2_mih_top_k": OP2_SQL, "op5_forest_join": OP5_SQL, "op10_fm_repeats": OP10_SQL}

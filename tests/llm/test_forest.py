@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strutwise.llm import forest as L
@@ -74,6 +75,55 @@ def test_prefix_depth_meets_the_recall():
     assert L.prefix_depth(trees=1) == 1
 
 
+def test_tries_list_the_company_of_every_prefix():
+    rng = np.random.default_rng(2)
+    trees, depth, least, count = 3, 5, 2, 200
+    signature = rng.integers(0, 2, (count, trees * depth)).astype(np.uint32)
+    batch = pa.RecordBatch.from_pydict({"row": pa.array(range(count), pa.int64()), "signature": pa.array([x.tobytes() for x in signature], pa.binary())})
+    sent = pa.Table.from_batches(list(L._send_paths(1, trees, depth, least)([batch])))
+    found = L._tries(depth, least)(sent).to_pylist()
+    got = {}
+    for r in found:
+        for key, many in np.frombuffer(r["shared"], np.uint64).reshape(2, -1).T.tolist():
+            got.setdefault((r["depth"], key, many), set()).add(r["row"])
+    want = set()
+    for t in range(trees):
+        for d in range(least, depth + 1):
+            runs = defaultdict(set)
+            for k in range(count):
+                runs[tuple(signature[k, t * depth : t * depth + d])].add(k)
+            deeper = defaultdict(set)
+            for k in range(count):
+                deeper[tuple(signature[k, t * depth : t * depth + d + 1])].add(k) if d < depth else deeper[k].add(k)
+            want |= {(d, frozenset(x)) for x in runs.values() if len(x) > 1 and x not in deeper.values()}
+    assert all(len(x) == many for (_, _, many), x in got.items())
+    assert {(d, frozenset(x)) for (d, _, _), x in got.items()} == want
+
+
+def spread(share: float, pairs: int):
+    """Pairs of texts that share about this part of their shingles, nothing else alike."""
+    rng = np.random.default_rng(int(1000 * share))
+    out = []
+    for p in range(pairs):
+        w = [f"p{p}w{k}" for k in range(204)]
+        keep = round(200 * 2 * share / (1 + share))
+        out += [(2 * p, " ".join(w)), (2 * p + 1, " ".join(w[: keep + 4] + [f"q{p}w{k}" for k in range(200 - keep)]))]
+    return out
+
+
+def test_prefixes_are_shortened_as_far_as_the_links_need(spark):
+    def rounds(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert got(L.near_duplicates(docs)) == brute(rows)
+        sets = L.shingles(pa.array([t for _, t in rows]))
+        classes = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(L.signatures(sets, L.TREES * L.DEPTH))], "row long, signature binary")
+        return L.candidate_links(classes, len(rows), L.THRESHOLD, L.TREES, L.DEPTH, L.RECALL, L.BUCKET)[1]
+
+    near, far = rounds(spread(0.98, 150)), rounds(spread(0.81, 40))
+    assert [d for d, _ in near] == [6] and [d for d, _ in far] == [6, 5, 4]
+    assert near[-1][1] >= L.RECALL and far[-1][1] >= L.RECALL > far[0][1] and far[0][1] < far[1][1]
+
+
 def test_empty(none):
     assert L.near_duplicates(none).count() == 0
 
