@@ -103,19 +103,6 @@ def membership(cells: DataFrame) -> DataFrame:
     return cells.select(F.col("id").alias("cell_id"), F.posexplode(F.sort_array("struts")).alias("place", "strut_id"))
 
 
-def topology_text(junctions: DataFrame, struts: DataFrame) -> DataFrame:
-    """One row: SHA-256 of the sorted junction ids and of [id, lower end, higher end] of all struts.
-
-    Hashes are folded per row and summed in 64-bit halves, so no list of all
-    ids is built; equal topologies give equal digests whatever the order.
-    """
-    rows = junctions.select(F.concat(F.lit("j"), F.col("id")).alias("t")).unionByName(
-        struts.select(F.concat_ws(",", F.lit("s"), F.col("id"), F.least("junction0", "junction1"), F.greatest("junction0", "junction1")).alias("t"))
-    )
-    word = lambda at: F.conv(F.substring(F.sha2("t", 256), at, 12), 16, 10).cast("decimal(38,0)")
-    return rows.agg(F.sum(word(1)).alias("a"), F.sum(word(13)).alias("b"), F.count("*").alias("rows")).select(F.sha2(F.concat_ws("/", "rows", "a", "b"), 256).alias("digest"))
-
-
 #: Directed edges of a graph that one task takes.
 ONE_TASK = 400_000
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strutwise.operators.ranking import numbered
 from strutwise.sources.storage import stored
 
 _AROUND = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)]
@@ -17,35 +20,60 @@ def _cells(points: DataFrame, size: float, around: bool) -> DataFrame:
     return points.withColumn("cell", F.explode(cells)).select(*points.columns, "cell.*")
 
 
-def nearest(sources: DataFrame, targets: DataFrame, cell: float) -> DataFrame:
+def _square(a: str, b: str):
+    return sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * (F.col(f"{a}{c}") - F.col(f"{b}{c}")) for c in "xyz"), F.lit(0.0))
+
+
+def _cell_size(spots: DataFrame) -> float:
+    """The side of a cell that holds two spots on average, of the box around all."""
+    low_high = [f(c) for c in "xyz" for f in (F.min, F.max)]
+    n, *ends = spots.agg(F.count("*"), *low_high).first()
+    spans = [b - a for a, b in zip(ends[::2], ends[1::2]) if b > a] if n else []
+    return math.prod(s * (2 / n) ** (1 / len(spans)) for s in spans) ** (1 / len(spans)) if spans else 1.0
+
+
+def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -> DataFrame:
     """``id, target, distance``: the nearest target of each source, the least id among equals.
 
     Sources look into the 27 cells around their own; a match no farther than
-    the cell size is the nearest there is. Sources without one look again with
-    twice the size, so each round joins fewer rows. Targets that share one place
-    are joined once, as their least id. Without targets the result is empty.
+    the cell size (from extent and number of the targets, if not given) is the
+    nearest there is. Sources without one look again with three times the size,
+    so each round joins fewer rows. Targets that share one place are joined
+    once, as their least id. Without targets the result is empty.
     """
-    spots = stored(targets.where("x is not null and y is not null and z is not null").groupBy("x", "y", "z").agg(F.min("id").alias("target")), "spots")
-    left = stored(sources.where("x is not null and y is not null and z is not null").select("id", "x", "y", "z"), "sources")
+    known = "x is not null and y is not null and z is not null"
+    spots = stored(targets.where(known).groupBy("x", "y", "z").agg(F.min("id").alias("target")), "spots")
+    left = sources.where(known).select("id", "x", "y", "z")
+    none = left.select("id", F.lit(None).cast("long").alias("target"), F.lit(None).cast("double").alias("distance")).limit(0)
     if spots.limit(1).count() == 0:
-        return left.select("id", F.lit(None).cast("long").alias("target"), F.lit(None).cast("double").alias("distance")).limit(0)
-    done = None
-    while left.limit(1).count():
-        near = _cells(left, cell, True).join(_cells(spots, cell, False).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz"), ["cx", "cy", "cz"])
-        d = F.sqrt(sum(((F.col(c) - F.col(f"t{c}")) * (F.col(c) - F.col(f"t{c}")) for c in "xyz"), F.lit(0.0)))
-        best = stored(near.groupBy("id").agg(F.min(F.struct(d.alias("distance"), F.col("target"))).alias("b")).select("id", "b.target", "b.distance").where(F.col("distance") <= cell), "nearest")
-        done = best if done is None else done.unionByName(best)
-        left = stored(left.join(best.select("id"), "id", "left_anti"), "sources")
-        cell *= 2
-    return done if done is not None else left.select("id", F.lit(None).cast("long").alias("target"), F.lit(None).cast("double").alias("distance"))
+        return none
+    cell, done = cell or _cell_size(spots), None
+    while True:
+        near = _cells(spots, cell, True).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
+        met = _cells(left, cell, False).join(near, ["cx", "cy", "cz"], "left")
+        best = F.min(F.when(F.col("target").isNotNull(), F.struct(F.sqrt(_square("", "t")).alias("distance"), F.col("target")))).alias("b")
+        round_ = stored(met.groupBy("id", "x", "y", "z").agg(best), "nearest")
+        sure = F.coalesce(F.col("b.distance") <= cell, F.lit(False))
+        found = round_.where(sure).select("id", "b.target", "b.distance")
+        done = found if done is None else done.unionByName(found)
+        left = round_.where(~sure).select("id", "x", "y", "z")
+        if left.limit(1).count() == 0:
+            return done
+        cell *= 3
+
+
+def _reach(targets: DataFrame, radius: float) -> DataFrame:
+    """Distinct places with all cells of the radius' size that they may be reached from."""
+    return _cells(targets.select("x", "y", "z").distinct(), radius, True).select(*[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
 
 
 def within(samples: DataFrame, targets: DataFrame, radius: float) -> DataFrame:
     """The samples that have a target within the radius (a semi join on cells of that size)."""
-    cells = _cells(targets.select("x", "y", "z").distinct(), radius, False).select(*[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
-    d = sum(((F.col(c) - F.col(f"t{c}")) * (F.col(c) - F.col(f"t{c}")) for c in "xyz"), F.lit(0.0))
-    hit = _cells(samples, radius, True).join(cells, ["cx", "cy", "cz"]).where(d <= radius * radius).select("sample").distinct()
-    return samples.join(hit, "sample", "left_semi")
+    reach = _reach(targets, radius)
+    own = _cells(samples, radius, False)
+    same = [own[c] == reach[c] for c in ("cx", "cy", "cz")]
+    d = sum(((own[c] - reach[f"t{c}"]) * (own[c] - reach[f"t{c}"]) for c in "xyz"), F.lit(0.0))
+    return own.join(reach, [*same, d <= radius * radius], "left_semi").drop("cx", "cy", "cz")
 
 
 def empty_tubes(placed: DataFrame, targets: DataFrame, radius: float, samples: int = 9, core: tuple[float, float] = (0.4, 0.6)) -> DataFrame:
@@ -53,17 +81,19 @@ def empty_tubes(placed: DataFrame, targets: DataFrame, radius: float, samples: i
     low, high = core
     t = F.lit(low) + F.lit(high - low) * F.col("k") / F.lit(float(samples - 1))
     points = placed.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))).select(
-        "id", F.concat_ws(":", "id", "k").alias("sample"), *[(F.col(f"a{c}") + t * (F.col(f"b{c}") - F.col(f"a{c}"))).alias(c) for c in "xyz"]
+        "id", *[(F.col(f"a{c}") + t * (F.col(f"b{c}") - F.col(f"a{c}"))).alias(c) for c in "xyz"]
     )
-    near = within(points, targets, radius).select("id").distinct()
-    return placed.select("id").join(near, "id", "left_anti")
+    own, reach = _cells(points, radius, False), _reach(targets, radius)
+    d = sum(((own[c] - reach[f"t{c}"]) * (own[c] - reach[f"t{c}"]) for c in "xyz"), F.lit(0.0))
+    met = own.join(reach, [*[own[c] == reach[c] for c in ("cx", "cy", "cz")], d <= radius * radius], "left")
+    return met.groupBy("id").agg(F.count("tx").alias("hits")).where("hits = 0").select("id")
 
 
 def trimmed(distances: DataFrame, share: float, least: int = 4) -> DataFrame:
     """The ceil(n * share) smallest distances (``least`` at least), the least id first among equals."""
-    n = distances.count()
+    placed, n = numbered(distances, ["distance", "id"], "__place")
     keep = max(min(least, n), -(-int(round(n * share * 1e9)) // 10**9))
-    return distances.orderBy("distance", "id").limit(keep)
+    return placed.where(F.col("__place") < keep).drop("__place")
 
 
 def moment_sums(pairs: DataFrame) -> DataFrame:

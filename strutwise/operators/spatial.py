@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strutwise.operators.ranking import numbered
+
 
 def class_fractions(rows: DataFrame, classes: list[str], kind: str = "class") -> DataFrame:
     """``class, n, fraction`` for each class in order, zeros included."""
@@ -24,8 +26,11 @@ def medians(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
 
 def quantiles(rows: DataFrame, value: str, shares=(0.1, 0.5, 0.9, 0.95, 0.99), *keys: str) -> DataFrame:
     """Linear quantiles ``p10, p50, ...`` of a column, by keys if given."""
-    at = [F.percentile(F.col(value).cast("double"), F.lit(s)).alias(f"p{round(100 * s)}") for s in shares]
-    return rows.groupBy(*keys).agg(F.count(value).alias("n"), *at)
+    names = [f"p{round(100 * s)}" for s in shares]
+    # one buffer of values for all shares
+    found = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(s)) for s in shares]))
+    rows = rows.groupBy(*keys).agg(F.count(value).alias("n"), found.alias("__at"))
+    return rows.select(*keys, "n", *[F.get("__at", F.lit(k)).alias(n) for k, n in enumerate(names)])
 
 
 def thirds(points: DataFrame, axes: str = "xyz") -> DataFrame:
@@ -46,11 +51,15 @@ def bounds(points: DataFrame, axes: str = "xyz") -> DataFrame:
 def equal_count_bias(rows: DataFrame, axis: str, value: str, key: str, parts: int = 5) -> DataFrame:
     """``part, n, median`` over ``parts`` groups of equal counts along an axis, ordered by place, then key.
 
-    Group sizes differ by one at most, larger ones first. Ranks come from a
-    global sort, so this is for node or strut tables, not for voxels.
+    Group sizes differ by one at most, larger ones first. Places come from a
+    range sort, so no task orders all rows.
     """
-    placed = rows.withColumn("part", F.ntile(parts).over(Window.orderBy(axis, key)))
-    return placed.groupBy("part").agg(F.count("*").alias("n"), F.percentile(F.col(value).cast("double"), F.lit(0.5)).alias("median"))
+    placed, total = numbered(rows.select(axis, key, F.col(value).cast("double").alias("__value")), [axis, key], "__place")
+    small, more = divmod(total, parts)
+    split = more * (small + 1)
+    div = lambda x, by: F.floor(x / F.lit(float(max(1, by)))).cast("int")
+    part = F.when(F.col("__place") < split, div(F.col("__place"), small + 1)).otherwise(more + div(F.col("__place") - split, small)) + 1
+    return placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.percentile("__value", F.lit(0.5)).alias("median"))
 
 
 def gate(rows: DataFrame, gates: dict[str, Column], hard: list[str], *keys: str) -> DataFrame:

@@ -120,8 +120,8 @@ def perp_basis(spark, d):
     return X.with_basis(_placed(spark, d)).select("id", *[f"e{n}{c}" for n in "12" for c in "xyz"]).where("e1x is not null")
 
 
-# corridors around the struts of supplier junction 1, in the 19**3 grid of junction places
-_CORRIDOR = _FRAME + """k AS (SELECT p.*, u.zx, u.zy, u.zz FROM v_placed p JOIN u USING (id) WHERE p.junction1=1000000001 AND u.zx IS NOT NULL),
+# corridors around all struts that have a length, in the 19**3 grid of junction places
+_CORRIDOR = _FRAME + """k AS (SELECT p.*, u.zx, u.zy, u.zz FROM v_placed p JOIN u USING (id) WHERE u.zx IS NOT NULL),
 c AS (SELECT *, CASE WHEN abs(zx)>=0.8 THEN -zz ELSE 0.0::DOUBLE END AS ex, CASE WHEN abs(zx)>=0.8 THEN 0.0::DOUBLE ELSE zz END AS ey, CASE WHEN abs(zx)>=0.8 THEN zx ELSE -zy END AS ez FROM k),
 e AS (SELECT *, ex/sqrt(ex*ex+ey*ey+ez*ez) AS fx, ey/sqrt(ex*ex+ey*ey+ez*ez) AS fy, ez/sqrt(ex*ex+ey*ey+ez*ez) AS fz FROM c),
 o AS (SELECT 0 AS ring, 0 AS k, 0.0::DOUBLE AS ru, 0.0::DOUBLE AS rv UNION ALL
@@ -136,19 +136,22 @@ smp AS (SELECT *, xi BETWEEN 0 AND 18 AND yi BETWEEN 0 AND 18 AND zi BETWEEN 0 A
 """
 
 
-def _corridor(spark, d, some=f"junction1 = {V.SUPPLIERS + 1}"):
-    return P.corridor(_placed(spark, d).where(some).where("ax <> bx or ay <> by or az <> bz"), 1.5, 6, 9)
+def _corridor(spark, d):
+    return P.corridor(_placed(spark, d).where("ax <> bx or ay <> by or az <> bz"), 1.5, 6, 9)
 
 
-def _samples(spark, d, *some):
-    pts = _corridor(spark, d, *some).withColumns({c: F.round(c, 6) for c in "xyz"})
+def _samples(spark, d):
+    pts = _corridor(spark, d).withColumns({c: F.round(c, 6) for c in "xyz"})
     grid = spark.range(19 * 19 * 19).select((F.col("id") % 19).cast("int").alias("x"), (F.floor(F.col("id") / 19) % 19).cast("int").alias("y"), F.floor(F.col("id") / 361).cast("int").alias("z"))
     return P.sampled(pts, grid.withColumn("fg", (F.col("x") * 7 + F.col("y") * 5 + F.col("z") * 3) % 4 == 0), (19, 19, 19))
 
 
-@query("corridor_coords", _CORRIDOR + f"SELECT id, step, {R('t', 't')}, ring, k, {R('x', 'x')}, {R('y', 'y')}, {R('z', 'z')} FROM pts")
+# every coordinate takes part: the extent of each ring of each corridor, and of its ends along the axis
+@query("corridor_coords", _CORRIDOR + f"SELECT id, ring, count(*)::BIGINT AS samples, {R('min(t)', 'low_t')}, {R('max(t)', 'high_t')}, "
+       + ", ".join(f"{R(f'min({c})', 'low_' + c)}, {R(f'max({c})', 'high_' + c)}, {R(f'sum({c}*(1+k))', 'sum_' + c)}" for c in "xyz") + " FROM pts GROUP BY id, ring")
 def corridor_coords(spark, d):
-    return _corridor(spark, d)
+    ends = [f(c).alias(f"{n}_{c}") for c in "txyz" for n, f in (("low", F.min), ("high", F.max))]
+    return _corridor(spark, d).groupBy("id", "ring").agg(F.count("*").alias("samples"), *ends, *[F.sum(F.col(c) * (F.col("k") + 1)).alias(f"sum_{c}") for c in "xyz"])
 
 
 @query("corridor_sample", _SAMPLES + f"""SELECT id, count(*)::BIGINT AS samples, count_if(valid)::BIGINT AS valid, count_if(valid AND fg)::BIGINT AS foreground, bool_and(valid) AS contained,
@@ -162,22 +165,6 @@ def radial_probability(spark, d):
     return P.ring_profile(_samples(spark, d))
 
 
-# the same over every placed strut; the SQL above stays with its one supplier
-@query("corridor_coords_all")
-def corridor_coords_all(spark, d):
-    return _corridor(spark, d, "true")
-
-
-@query("corridor_sample_all")
-def corridor_sample_all(spark, d):
-    return P.occupancy(_samples(spark, d, "true"))
-
-
-@query("radial_probability_all")
-def radial_probability_all(spark, d):
-    return P.ring_profile(_samples(spark, d, "true"))
-
-
 @query("spatial_bias", with_views("v_points") + f""", t AS (SELECT *, ntile(5) OVER (ORDER BY x, id) AS part FROM v_points)
 SELECT part::INT AS part, count(*)::BIGINT AS n, {R('quantile_cont(y, 0.5)', 'median')} FROM t GROUP BY part""")
 def spatial_bias(spark, d):
@@ -220,7 +207,7 @@ nn AS (SELECT id, target, distance FROM d QUALIFY row_number() OVER (PARTITION B
 
 
 def _nearest(spark, d):
-    return N.nearest(V.points(spark, d, 0), V.points(spark, d, 1), 0.05)
+    return N.nearest(V.points(spark, d, 0), V.points(spark, d, 1))
 
 
 @query("nearest_neighbor", _NN + f"SELECT id, target, {R('distance', 'distance')} FROM nn")
@@ -233,49 +220,36 @@ def trimmed_nn(spark, d):
     return N.trimmed(_nearest(spark, d), 0.7)
 
 
-@query("tube_emptiness", with_views(*_PLACED) + """, s AS (SELECT p.id, k, ax+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(bx-ax) AS x, ay+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(by_-ay) AS y, az+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(bz-az) AS z
-  FROM v_placed p, (SELECT unnest(generate_series(0, 8)) AS k) WHERE p.junction1%50=1),
-t AS (SELECT DISTINCT x, y, z FROM v_junction WHERE id%10=3)
-SELECT id FROM v_placed WHERE junction1%50=1 AND id NOT IN (SELECT s.id FROM s JOIN t ON abs(s.x-t.x)<=1.3 AND (s.x-t.x)*(s.x-t.x)+(s.y-t.y)*(s.y-t.y)+(s.z-t.z)*(s.z-t.z) <= 1.69::DOUBLE)""")
+@query("tube_emptiness", with_views(*_PLACED) + """, s AS (SELECT p.id, ax+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(bx-ax) AS x, ay+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(by_-ay) AS y, az+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(bz-az) AS z
+  FROM v_placed p, (SELECT unnest(generate_series(0, 8)) AS k)),
+o AS (SELECT unnest([-1, 0, 1]) AS o), t AS (SELECT DISTINCT x, y, z FROM v_junction),
+c AS (SELECT t.*, floor(x/0.5)::BIGINT+a.o AS cx, floor(y/0.5)::BIGINT+b.o AS cy, floor(z/0.5)::BIGINT+c.o AS cz FROM t, o a, o b, o c)
+SELECT id FROM v_placed WHERE id NOT IN (SELECT s.id FROM s JOIN c ON floor(s.x/0.5)::BIGINT=cx AND floor(s.y/0.5)::BIGINT=cy AND floor(s.z/0.5)::BIGINT=cz
+  AND (s.x-c.x)*(s.x-c.x)+(s.y-c.y)*(s.y-c.y)+(s.z-c.z)*(s.z-c.z) <= 0.25::DOUBLE)""")
 def tube_emptiness(spark, d):
-    some = _placed(spark, d).where("junction1 % 50 = 1")
-    return N.empty_tubes(some, V.junctions(spark, d).where("id % 10 = 3"), 1.3)
-
+    return N.empty_tubes(_placed(spark, d), V.junctions(spark, d), 0.5)
 
-@query("tube_emptiness_all")
-def tube_emptiness_all(spark, d):
-    return N.empty_tubes(_placed(spark, d), V.junctions(spark, d), 1.3)
 
-
-_DEFECTS = """f AS (SELECT s.* FROM v_strut s JOIN v_class c USING (id) WHERE c.class='broken' AND c.quantity>=50 AND c.quantity<=52)"""
+# labels go from struts to junctions and back, 40 times: farther than any two struts of these tables are apart
+_CLUSTERS = "WITH RECURSIVE " + f"v_strut AS ({V.SQL['v_strut']}), v_class AS ({V.SQL['v_class']})" + """,
+f AS (SELECT s.* FROM v_strut s JOIN v_class c USING (id) WHERE c.class<>'present'),
+e AS (SELECT id, junction0 AS j FROM f UNION SELECT id, junction1 FROM f),
+r AS (SELECT id, id AS cluster, 0 AS turn FROM f UNION ALL
+  SELECT e.id, min(l.cluster), any_value(l.turn)+1 FROM e JOIN (SELECT e.j, min(r.cluster) AS cluster, any_value(r.turn) AS turn FROM r JOIN e ON e.id=r.id GROUP BY e.j) l ON e.j=l.j WHERE l.turn<40 GROUP BY e.id),
+c AS (SELECT id AS strut_id, cluster FROM r WHERE turn=40)
+"""
 
 
-@query("defect_clusters", "WITH RECURSIVE " + f"v_strut AS ({V.SQL['v_strut']}), v_class AS ({V.SQL['v_class']}), {_DEFECTS}" + """, e AS (SELECT a.id AS u, b.id AS v FROM f a JOIN f b ON a.junction0=b.junction0 OR a.junction1=b.junction1),
-r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v=e.u)
-SELECT u AS strut_id, min(v) AS cluster FROM r GROUP BY u""")
+@query("defect_clusters", _CLUSTERS + "SELECT strut_id, cluster FROM c")
 def defect_clusters(spark, d):
-    bad = V.classes(spark, d).where("class = 'broken' and quantity between 50 and 52").select("id")
-    return L.shared_junction_clusters(V.struts(spark, d).join(bad, "id", "left_semi"))
+    return L.shared_junction_clusters(V.struts(spark, d).join(V.classes(spark, d).where("class <> 'present'").select("id"), "id", "left_semi"))
 
 
-@query("cluster_sizes", "WITH RECURSIVE " + f"v_strut AS ({V.SQL['v_strut']}), v_class AS ({V.SQL['v_class']}), {_DEFECTS}" + """, e AS (SELECT a.id AS u, b.id AS v FROM f a JOIN f b ON a.junction0=b.junction0 OR a.junction1=b.junction1),
-r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v=e.u), c AS (SELECT u, min(v) AS cluster FROM r GROUP BY u)
-SELECT cluster, count(*)::BIGINT AS size FROM c GROUP BY cluster""")
+@query("cluster_sizes", _CLUSTERS + "SELECT cluster, count(*)::BIGINT AS size FROM c GROUP BY cluster")
 def cluster_sizes(spark, d):
     return L.cluster_sizes(defect_clusters(spark, d))
 
 
-# both over every strut that is not present; the SQL above stays with its range of quantities
-@query("defect_clusters_all")
-def defect_clusters_all(spark, d):
-    return L.shared_junction_clusters(V.struts(spark, d).join(V.classes(spark, d).where("class <> 'present'").select("id"), "id", "left_semi"))
-
-
-@query("cluster_sizes_all")
-def cluster_sizes_all(spark, d):
-    return L.cluster_sizes(defect_clusters_all(spark, d))
-
-
 @query("class_fractions", with_views("v_class") + f"SELECT k AS class, count(c.id)::BIGINT AS n, {R('count(c.id)/(SELECT count(*) FROM v_class)::DOUBLE', 'fraction')} FROM (SELECT unnest(['missing','broken','thin','present','deferred']) AS k) LEFT JOIN v_class c ON c.class=k GROUP BY k")
 def class_fractions(spark, d):
     return S.class_fractions(V.classes(spark, d), [*_KINDS, "deferred"])
@@ -349,8 +323,3 @@ def gate_reduction(spark, d):
 @query("strut_report", with_views(*_PLACED, "v_class") + f"SELECT p.id, c.class, {R('c.price', 'price')}, p.ax, p.ay, p.az, p.bx, p.by_ AS by, p.bz FROM v_placed p JOIN v_class c USING (id) WHERE c.class='missing' AND c.price>5000")
 def strut_report(spark, d):
     return _placed(spark, d).join(V.classes(spark, d).where("class = 'missing' and price > 5000"), "id").select("id", "class", "price", "ax", "ay", "az", "bx", "by", "bz")
-
-
-@query("topology_digest")
-def topology_digest(spark, d):
-    return L.topology_text(V.junctions(spark, d), V.struts(spark, d))

@@ -10,7 +10,7 @@ from strutwise.operators import review as R
 from strutwise.plans import analyses as A
 from strutwise.plans import views as V
 from strutwise.plans.queries_graph import _NN, _nearest, _placed
-from strutwise.plans.queries_volume import _LABELS, components_26, components_26_all
+from strutwise.plans.queries_volume import _LABELS, components_26
 from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
 
@@ -78,11 +78,6 @@ def component_summary(spark, d):
     return R.component_summary(components_26(spark, d), 27)
 
 
-@query("component_summary_all")
-def component_summary_all(spark, d):
-    return R.component_summary(components_26_all(spark, d), 27)
-
-
 @query("node_errors", with_views("v_points") + f""", e AS (SELECT x*0.01+0.001 AS dx, -y*0.01 AS dy, 0.002::DOUBLE AS dz FROM v_points), s AS (SELECT *, sqrt(dx*dx+dy*dy+dz*dz) AS e FROM e)
 SELECT count(*)::BIGINT AS n, {D('avg(e)', 'mean')}, {D('quantile_cont(e, 0.5)', 'median')}, {D('quantile_cont(e, 0.95)', 'p95')}, {D('quantile_cont(e, 0.99)', 'p99')}, {D('max(e)', 'largest')},
 {D('avg(dx)', 'bias_x')}, {D('avg(dy)', 'bias_y')}, {D('avg(dz)', 'bias_z')} FROM s""")
@@ -99,31 +94,18 @@ def scale_search(spark, d):
     return R.scale_search(V.points(spark, d, 0), V.points(spark, d, 1), [0.8, 1.0, 1.2], 0.1)
 
 
-@query("symmetry_remap", with_views("v_strut", "v_junction", "v_placed") + """, s AS (SELECT * FROM v_placed WHERE junction1<1000000011),
-b AS (SELECT (min(least(ax, bx))+max(greatest(ax, bx)))/2 AS mx, (min(least(ay, by_))+max(greatest(ay, by_)))/2 AS my FROM s),
-l AS (SELECT id, [mx-(ay-my), my+(ax-mx), az] AS p, [mx-(by_-my), my+(bx-mx), bz] AS q FROM s, b), r AS (SELECT id, [ax, ay, az] AS p, [bx, by_, bz] AS q FROM s)
-SELECT l.id, r.id AS match FROM l JOIN r ON l.p=r.p AND l.q=r.q OR l.p=r.q AND l.q=r.p""")
+@query("symmetry_remap", with_views("v_strut", "v_junction", "v_placed") + """,
+b AS (SELECT (min(least(ax, bx))+max(greatest(ax, bx)))/2 AS mx, (min(least(ay, by_))+max(greatest(ay, by_)))/2 AS my FROM v_placed),
+l AS (SELECT id, [mx-(ay-my), my+(ax-mx), az] AS p, [mx-(by_-my), my+(bx-mx), bz] AS q FROM v_placed, b), r AS (SELECT id, [ax, ay, az] AS p, [bx, by_, bz] AS q FROM v_placed)
+SELECT l.id, r.id AS match FROM l JOIN r ON least(l.p, l.q)=least(r.p, r.q) AND greatest(l.p, l.q)=greatest(r.p, r.q)""")
 def symmetry_remap(spark, d):
-    s = _placed(spark, d).where("junction1 < 1000000011")
-    return R.turned_ids(s, s, ((0, -1, 0), (1, 0, 0), (0, 0, 1)))
-
-
-@query("position_match", with_views("v_junction") + f""", w AS (SELECT * FROM v_junction WHERE id<200)
-SELECT w.id, count(*)::BIGINT AS n, {D('avg(j.id%97::DOUBLE)', 'value')} FROM w JOIN v_junction j ON abs(w.x-j.x)<=1e-8 AND abs(w.y-j.y)<=1e-8 AND abs(w.z-j.z)<=1e-8 GROUP BY w.id""")
-def position_match(spark, d):
-    j = V.junctions(spark, d)
-    return R.near_positions(j.where("id < 200"), j.select("x", "y", "z", (F.col("id") % 97).cast("double").alias("value")))
-
-
-# both over whole tables; the SQL above stays with its first ids
-@query("symmetry_remap_all")
-def symmetry_remap_all(spark, d):
     s = _placed(spark, d)
     return R.turned_ids(s, s, ((0, -1, 0), (1, 0, 0), (0, 0, 1)))
 
 
-@query("position_match_all")
-def position_match_all(spark, d):
+@query("position_match", with_views("v_junction") + f"""SELECT w.id, count(*)::BIGINT AS n, {D('avg(j.id%97::DOUBLE)', 'value')}
+FROM v_junction w JOIN v_junction j ON round(w.x*1e6)=round(j.x*1e6) AND abs(w.x-j.x)<=1e-8 AND abs(w.y-j.y)<=1e-8 AND abs(w.z-j.z)<=1e-8 GROUP BY w.id""")
+def position_match(spark, d):
     j = V.junctions(spark, d)
     return R.near_positions(j, j.select("x", "y", "z", (F.col("id") % 97).cast("double").alias("value")))
 

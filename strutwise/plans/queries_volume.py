@@ -146,22 +146,22 @@ def stamp_raster(spark, d):
     return P.stamped(marks)
 
 
-_TOP = "(SELECT z, y, x FROM v_voxel ORDER BY value DESC, z, y, x LIMIT 400)"
+_WHOLE = f"(SELECT z, y, x FROM v_voxel WHERE {_FG})"
 
 
-def _top(spark, d):
-    return V.voxels(spark, d).orderBy(F.desc("value"), "z", "y", "x").limit(400).select("z", "y", "x")
+def _whole(spark, d):
+    return _mask(spark, d).where("fg").select("z", "y", "x")
 
 
-@query("skeleton_degree", with_views("v_voxel") + f""", t AS {_TOP},
+@query("skeleton_degree", with_views("v_voxel") + f""", t AS {_WHOLE},
 n AS (SELECT a.z, a.y, a.x, count(b.z) AS k FROM t a LEFT JOIN t b ON abs(a.z-b.z)<=1 AND abs(a.y-b.y)<=1 AND abs(a.x-b.x)<=1 AND NOT (a.z=b.z AND a.y=b.y AND a.x=b.x) GROUP BY ALL)
 SELECT count(*)::BIGINT AS voxels, count_if(k=1)::BIGINT AS endpoints, count_if(k>2)::BIGINT AS branch_points FROM n""")
 def skeleton_degree(spark, d):
-    return P.skeleton_points(_top(spark, d))
+    return P.skeleton_points(_whole(spark, d))
 
 
 _LABELS = (
-    "WITH RECURSIVE " + f"v_voxel AS ({V.SQL['v_voxel']})" + f""", t AS (SELECT z, y, x, ((z::BIGINT*32+y)*32+x) AS id FROM {_TOP}),
+    "WITH RECURSIVE " + f"v_voxel AS ({V.SQL['v_voxel']})" + f""", t AS (SELECT z, y, x, ((z::BIGINT*32+y)*32+x) AS id FROM {_WHOLE}),
 e AS (SELECT a.id AS u, b.id AS v FROM t a JOIN t b ON abs(a.z-b.z)<=1 AND abs(a.y-b.y)<=1 AND abs(a.x-b.x)<=1),
 r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v=e.u),
 lab AS (SELECT u AS node, min(v) AS component FROM r GROUP BY u)
@@ -171,7 +171,7 @@ lab AS (SELECT u AS node, min(v) AS component FROM r GROUP BY u)
 
 @query("components_26", _LABELS + "SELECT node, component FROM lab")
 def components_26(spark, d):
-    return L.components(P.voxel_edges(_top(spark, d), SHAPE))
+    return L.components(P.voxel_edges(_whole(spark, d), SHAPE))
 
 
 @query("component_filter", _LABELS + "SELECT component, count(*)::BIGINT AS size FROM lab GROUP BY component HAVING count(*) BETWEEN 2 AND 99")
@@ -182,35 +182,8 @@ def component_filter(spark, d):
 @query("label_centroids", _LABELS + f"""SELECT component, {R('avg(t.z::DOUBLE)*2+1', 'z')}, {R('avg(t.y::DOUBLE)*2+1', 'y')}, {R('avg(t.x::DOUBLE)*2+1', 'x')}, count(*)::BIGINT AS size
 FROM lab JOIN t ON lab.node=t.id GROUP BY component""")
 def label_centroids(spark, d):
-    top = _top(spark, d)
-    named = top.withColumn("node", (F.col("z").cast("long") * 32 + F.col("y")) * 32 + F.col("x"))
-    return P.centroids(named.join(components_26(spark, d), "node"), factor=2.0, offset=1.0)
-
-
-# the same five over the whole thresholded mask; the SQL above stays with its 400 voxels
-def _whole(spark, d):
-    return _mask(spark, d).where("fg").select("z", "y", "x")
-
-
-@query("skeleton_degree_all")
-def skeleton_degree_all(spark, d):
-    return P.skeleton_points(_whole(spark, d))
-
-
-@query("components_26_all")
-def components_26_all(spark, d):
-    return L.components(P.voxel_edges(_whole(spark, d), SHAPE))
-
-
-@query("component_filter_all")
-def component_filter_all(spark, d):
-    return P.sizes_within(components_26_all(spark, d), 2, 99)
-
-
-@query("label_centroids_all")
-def label_centroids_all(spark, d):
     named = _whole(spark, d).withColumn("node", (F.col("z").cast("long") * 32 + F.col("y")) * 32 + F.col("x"))
-    return P.centroids(named.join(components_26_all(spark, d), "node"), factor=2.0, offset=1.0)
+    return P.centroids(named.join(components_26(spark, d), "node"), factor=2.0, offset=1.0)
 
 
 @query("central_window", with_views("v_voxel") + "SELECT z, sum(value)::BIGINT AS total FROM v_voxel WHERE z%2=0 AND z/2.0 >= 1 AND z/2.0 < 3 GROUP BY z")

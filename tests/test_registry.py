@@ -32,14 +32,3 @@ def test_same_rows(spark, sf, duck, name):
 
 def test_flagship_is_registered():
     assert registry.FLAGSHIP in registry.QUERIES
-
-
-def test_topology_digest_ignores_order(spark, sf):
-    from strutwise.operators.lattice import topology_text
-    from strutwise.plans import views
-
-    j, s = views.junctions(spark, sf), views.struts(spark, sf)
-    a = topology_text(j, s).first()[0]
-    b = topology_text(j.repartition(7).orderBy("x"), s.selectExpr("id", "junction1 AS junction0", "junction0 AS junction1")).first()[0]
-    c = topology_text(j, s.where("id % 2 = 0")).first()[0]
-    assert a == b != c

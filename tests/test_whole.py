@@ -1,4 +1,4 @@
-"""Queries over whole tables, which have no SQL, against brute force on the small tables."""
+"""Queries over whole tables against brute force, beside their SQL."""
 
 import math
 
@@ -9,7 +9,7 @@ import pytest
 from strutwise.operators import neighbours as N
 from strutwise.plans import registry
 from strutwise.plans import views as V
-from strutwise.plans.queries_graph import _placed
+from strutwise.plans.queries_graph import _corridor, _placed
 
 
 #: Here the mask has more than 400 voxels.
@@ -56,22 +56,25 @@ def corridors(placed):
 
 def test_corridors_of_all_struts(spark, sf, corridors):
     key = ["id", "step", "ring", "k"]
-    got = run(spark, sf, "corridor_coords_all").sort_values(key, ignore_index=True)
+    got = _corridor(spark, sf).toPandas().sort_values(key, ignore_index=True)
     want = corridors.sort_values(key, ignore_index=True)
     assert (got[key].to_numpy() == want[key].to_numpy()).all()
     assert np.allclose(got[["x", "y", "z"]], want[["x", "y", "z"]], atol=2e-6)
     assert got.id.nunique() > 1000
+    whole = run(spark, sf, "corridor_coords").set_index(["id", "ring"]).sort_index()
+    by = want.groupby(["id", "ring"])
+    assert (whole.samples == by.size()).all() and np.allclose(whole[["low_x", "high_z"]], np.column_stack([by.x.min(), by.z.max()]), atol=2e-6)
 
 
 def test_occupancy_and_rings_of_all_struts(spark, sf, corridors):
     at = np.rint(corridors[["x", "y", "z"]].round(6)).astype(int).to_numpy()
     valid = ((at >= 0) & (at <= 18)).all(axis=1)
     marks = corridors[["id", "ring"]].assign(valid=valid, foreground=valid & ((at @ [7, 5, 3]) % 4 == 0))
-    for name, by in (("corridor_sample_all", "id"), ("radial_probability_all", "ring")):
+    for name, by in (("corridor_sample", "id"), ("radial_probability", "ring")):
         got = run(spark, sf, name).set_index(by).sort_index()
         want = marks.groupby(by)[["valid", "foreground"]].sum()
         assert got[["valid", "foreground"]].equals(want.set_index(want.index.astype(got.index.dtype)).astype("int64"))
-    assert (run(spark, sf, "corridor_sample_all").samples == 117).all()
+    assert (run(spark, sf, "corridor_sample").samples == 117).all()
 
 
 def free_struts(placed, spots):
@@ -86,8 +89,8 @@ def free_struts(placed, spots):
 
 def test_tubes_of_all_struts_and_junctions(spark, sf, placed, junctions):
     want = free_struts(placed, junctions[["x", "y", "z"]].to_numpy())
-    assert sorted(run(spark, sf, "tube_emptiness_all").id) == want
-    # no strut of these tables is free of all junctions, so fewer targets too
+    assert sorted(N.empty_tubes(_placed(spark, sf), V.junctions(spark, sf), 1.3).toPandas().id) == want
+    # hardly a strut of these tables is that far from all junctions, so fewer targets too
     some = junctions[junctions.id % 10 == 3]
     got = N.empty_tubes(_placed(spark, sf), V.junctions(spark, sf).where("id % 10 = 3"), 1.3).toPandas()
     assert sorted(got.id) == free_struts(placed, some[["x", "y", "z"]].to_numpy()) and len(got) > 100
@@ -115,9 +118,9 @@ def labelled(spark):
 def test_labels_of_the_whole_mask(spark, labelled):
     label, near = labelled
     assert len(label) > 400
-    got = run(spark, MIDDLE, "components_26_all")
+    got = run(spark, MIDDLE, "components_26")
     assert dict(zip(got.node, got.component)) == {(z * 32 + y) * 32 + x: c for (z, y, x), c in label.items()} and len(got) == len(label)
-    one = run(spark, MIDDLE, "skeleton_degree_all").iloc[0]
+    one = run(spark, MIDDLE, "skeleton_degree").iloc[0]
     n = list(near.values())
     assert (one.voxels, one.endpoints, one.branch_points) == (len(n), n.count(1), sum(k > 2 for k in n))
 
@@ -125,11 +128,11 @@ def test_labels_of_the_whole_mask(spark, labelled):
 def test_reports_on_the_whole_mask(spark, labelled):
     want = pd.DataFrame([(c, *p) for p, c in labelled[0].items()], columns=["component", "z", "y", "x"])
     size = want.groupby("component").size()
-    got = run(spark, MIDDLE, "component_filter_all")
+    got = run(spark, MIDDLE, "component_filter")
     assert dict(zip(got.component, got["size"])) == size[size.between(2, 99)].to_dict()
-    got = run(spark, MIDDLE, "label_centroids_all").set_index("component").sort_index()
+    got = run(spark, MIDDLE, "label_centroids").set_index("component").sort_index()
     assert (got["size"] == size).all() and np.allclose(got[["z", "y", "x"]], want.groupby("component")[["z", "y", "x"]].mean() * 2 + 1, atol=1e-6)
-    one = run(spark, MIDDLE, "component_summary_all").iloc[0]
+    one = run(spark, MIDDLE, "component_summary").iloc[0]
     assert one.components == len(size) and np.allclose([one.largest_share, one.small_share], [size.max() / size.sum(), size[size < 27].sum() / size.sum()], atol=1e-6)
 
 
@@ -143,7 +146,7 @@ def test_matches_of_the_whole_lattice(spark, sf, placed, junctions):
     for i, k in zip(placed.id, key(a, b)):
         at.setdefault(k, []).append(i)
     want = sorted((i, m) for i, k in zip(placed.id, key(turned(a), turned(b))) for m in at.get(k, []))
-    got = run(spark, sf, "symmetry_remap_all")
+    got = run(spark, sf, "symmetry_remap")
     assert sorted(zip(got.id, got.match)) == want and len(want) > 0
 
 
@@ -153,7 +156,7 @@ def test_positions_of_all_junctions(spark, scale):
     j = V.junctions(spark, d).toPandas()
     same = j.assign(value=(j.id % 97).astype(float)).groupby(["x", "y", "z"]).value
     want = pd.DataFrame({"id": j.id, "n": same.transform("size"), "value": same.transform("mean")}).sort_values("id", ignore_index=True)
-    got = run(spark, d, "position_match_all").sort_values("id", ignore_index=True)
+    got = run(spark, d, "position_match").sort_values("id", ignore_index=True)
     assert (got[["id", "n"]] == want[["id", "n"]]).all(axis=None) and np.allclose(got.value, want.value, atol=1e-6)
 
 
@@ -177,7 +180,7 @@ def test_clusters_of_all_defects(spark, scale):
                 label[k] = i
                 for j in ends_of[k]:
                     todo += by_end.pop(j, [])
-    got = run(spark, d, "defect_clusters_all")
+    got = run(spark, d, "defect_clusters")
     assert dict(zip(got.strut_id, got.cluster)) == label and len(got) == len(label)
-    sizes = run(spark, d, "cluster_sizes_all")
+    sizes = run(spark, d, "cluster_sizes")
     assert dict(zip(sizes.cluster, sizes["size"])) == pd.Series(label).value_counts().to_dict()
