@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from strutwise.sources.storage import discard, shared_folder, stored
 
-__all__ = ["discard", "new_path", "numbered", "shared_folder", "stored", "word_count"]
+#: Tasks over shards at most; beyond them a task takes several shards, one after another.
+TASKS = 1 << 15
+
+__all__ = ["by_shard", "discard", "new_path", "numbered", "shared_folder", "stored", "word_count"]
 
 #: A word is a longest run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +22,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/strutwise/{name}-{uuid.uuid4().hex}"
 
 
+def by_shard(rows: DataFrame, shards: int):
+    """Rows grouped by their ``shard`` (0 to ``shards - 1``), a task for each: no two heavy shards meet by their hashes."""
+    return rows.repartitionById(min(shards, TASKS), F.col("shard")).groupBy("shard")
+
+
 def word_count(text: Column) -> Column:
     """Words in a text as BIGINT; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

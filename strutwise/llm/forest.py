@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strutwise.llm.batches import by_size
-from strutwise.llm.common import stored
+from strutwise.llm.common import by_shard, stored
 from strutwise.llm.components import components
 from strutwise.llm.words import mixed, sequences, word_hashes
 
@@ -383,15 +383,14 @@ def candidate_links(classes: DataFrame, total: int, threshold: float, trees: int
     least = prefix_depth(threshold, trees, depth, recall)
     shards = max(8, -(-total * trees // SHARD))
     tries = stored(
-        classes.select("row", "signature").mapInArrow(_send_paths(shards, trees, depth, least), "shard int, body binary")
-        .groupBy("shard").applyInArrow(_tries(depth, least), "row long, depth int, shared binary"),
+        by_shard(classes.select("row", "signature").mapInArrow(_send_paths(shards, trees, depth, least), "shard int, body binary"), shards).applyInArrow(_tries(depth, least), "row long, depth int, shared binary"),
         "tries",
     )
     found, rounds = None, []
     for d in range(depth, least - 1, -1):
         meeting = tries.where(F.col("depth") == d).groupBy("row").agg(F.collect_list("shared").alias("shared"))
         members = classes.select("row", "signature").join(meeting, "row").select("row", "signature", "shared")
-        edges = members.mapInArrow(_send_members(shards, bucket), "shard int, body binary").groupBy("shard").applyInArrow(_stars(trees * depth, LEAST_AGREED), "a long, b long, agreed double")
+        edges = by_shard(members.mapInArrow(_send_members(shards, bucket), "shard int, body binary"), shards).applyInArrow(_stars(trees * depth, LEAST_AGREED), "a long, b long, agreed double")
         every = edges if found is None else edges.unionByName(found)
         found = stored(every.groupBy("a", "b").agg(F.max("agreed").alias("agreed")), "links")
         rounds.append((d, _recall(found, d, threshold, trees)))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strutwise.llm.batches import by_size
-from strutwise.llm.common import discard, stored
+from strutwise.llm.common import by_shard, discard, stored
 from strutwise.llm.fmindex import FMIndex
 from strutwise.llm.words import mixed, sequences, sliding_min, word_hashes
 
@@ -465,7 +465,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     shards = max(8, -(-int(volume) // SHARD_BYTES))
     routes = _routes(docs.select(F.col(text).alias("text")), length, shards, slice_bytes)
     sent = marked.select(F.col("__id"), F.col("__hash"), F.col(text).alias("text")).mapInArrow(_send(routes, slice_bytes), _SENT)
-    spans = sent.groupBy("shard").applyInArrow(_matched(routes), _SPANS)
+    spans = by_shard(sent, int(routes.bases[-1])).applyInArrow(_matched(routes), _SPANS)
     by_doc = spans.groupBy(F.col("id").alias("__of"), F.col("hash").alias("__like")).agg(F.collect_list("spans").alias("__spans"))
     fields = [docs.schema[c] for c in others]
     plain = marked.select(*[docs[c].alias(f"__{k}") for k, c in enumerate(others)], F.col("__id"), F.col("__hash"), docs[text].alias("text"))
