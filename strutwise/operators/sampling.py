@@ -104,9 +104,11 @@ def sampled(points: DataFrame, voxels: DataFrame, shape: tuple[int, int, int]) -
     for c, n in zip("zyx", shape):
         at = at.withColumn(f"__{c}", F.col(f"{c}i").between(0, n - 1))
     at = at.withColumn("valid", F.col("__z") & F.col("__y") & F.col("__x")).drop("__z", "__y", "__x")
-    vox = voxels.select(*[F.col(c).alias(f"v{c}") for c in "zyx"], F.col("fg").alias("vfg"))
-    joined = at.join(vox, (F.col("zi") == F.col("vz")) & (F.col("yi") == F.col("vy")) & (F.col("xi") == F.col("vx")), "left")
-    return joined.withColumn("fg", F.when(F.col("valid"), F.coalesce("vfg", F.lit(False)))).drop("vz", "vy", "vx", "vfg")
+    # one packed key for the three places; points outside have none
+    pack = lambda z, y, x: (F.col(z).cast("long") * shape[1] + F.col(y)) * shape[2] + F.col(x)
+    vox = voxels.where(" and ".join(f"{c} between 0 and {n - 1}" for c, n in zip("zyx", shape))).select(pack("z", "y", "x").alias("__at"), F.col("fg").alias("vfg"))
+    joined = at.join(vox, F.when(F.col("valid"), pack("zi", "yi", "xi")) == F.col("__at"), "left")
+    return joined.withColumn("fg", F.when(F.col("valid"), F.coalesce("vfg", F.lit(False)))).drop("__at", "vfg")
 
 
 def occupancy(samples: DataFrame, key: str = "id") -> DataFrame:
