@@ -103,6 +103,25 @@ def broken_rule(policy: DefectPolicy = DefectPolicy()) -> tuple[Column, Column]:
     return kind, reason
 
 
+#: What a specialist that isn't there yet says of every strut.
+DEFERRED_REASON = "specialist_not_implemented"
+
+
+def deferred_findings(struts: DataFrame, kinds: tuple[str, ...] = ("thin", "bent"), key: str = "strut_id") -> DataFrame:
+    """A row for each strut and absent specialist: ``kind, disposition, reasons, evidence_required``, all deferred."""
+    names = F.array(*[F.lit(k) for k in kinds])
+    return struts.select(key).distinct().withColumn("kind", F.explode(names)).select(
+        key, "kind", F.lit("deferred").alias("disposition"), F.array(F.concat_ws("_", "kind", F.lit(DEFERRED_REASON))).alias("reasons"), F.lit(False).alias("evidence_required")
+    )
+
+
+def findings_wide(findings: DataFrame, key: str = "strut_id") -> DataFrame:
+    """One row a strut with a disposition for each kind, as ``merge`` takes them, and all reasons in order."""
+    of = lambda k: F.max(F.when(F.col("kind") == k, F.col("disposition"))).alias(k)
+    reasons = F.array_sort(F.array_distinct(F.flatten(F.collect_list("reasons")))).alias("reasons")
+    return findings.groupBy(key).agg(*[of(k) for k in ("missing", "broken", "thin", "bent")], reasons)
+
+
 def merge(findings: DataFrame, specialists_complete: bool = True) -> DataFrame:
     """Class by precedence from ``missing, broken, thin, bent`` dispositions of each strut.
 

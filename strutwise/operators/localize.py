@@ -53,7 +53,7 @@ def locate(row: dict, patch: np.ndarray, corner, shape, policy: LocalizePolicy)
     smooth = K.gaussian(mask, policy.sigma) ** 2
     seeds = [here] + [here + d for d in np.vstack([2 * np.eye(3), -2 * np.eye(3)])]
     ends = np.array([K.mean_shift(smooth, s, policy.bandwidth, policy.search) for s in seeds])
-    best, near = K.medoid_group(ends, policy.agree)
+    _, near = K.medoid_group(ends, policy.agree)
     place = K.mean_shift(smooth, np.median(ends[near], axis=0), policy.bandwidth, policy.search)
     share = float(near.mean())
     directions = np.array(row.get("directions") if row.get("directions") is not None else [], dtype=float).reshape(-1, 3)[:, ::-1]
@@ -61,7 +61,7 @@ def locate(row: dict, patch: np.ndarray, corner, shape, policy: LocalizePolicy)
     gained = (after - before) / max(before, 1e-12) >= policy.least_gain
     shift = float(np.linalg.norm(place - here))
     reasons = [name for name, bad in (("low_agreement", share < policy.least_agreement), ("shift_too_large", shift > policy.search), ("low_support", max(after, before) < policy.least_support), ("truncated_patch", cut)) if bad]
-    out |= {"agreement": share, "spread": float(np.quantile(np.linalg.norm(ends[near] - ends[best], axis=1), 0.95)), "support": after, "support_before": before, "shift": shift, "reasons": reasons}
+    out |= {"agreement": share, "spread": float(np.quantile(np.linalg.norm(ends[near] - place, axis=1), 0.95)), "support": after, "support_before": before, "shift": shift, "reasons": reasons}
     if reasons:
         return out | {"match_class": "ambiguous" if share < policy.least_agreement else "fallback"}
     if not gained:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
 from strutwise.operators.neighbours import moment_sums
+from strutwise.operators.ranking import numbered
 from strutwise.operators.sampling import central_slices
-from strutwise.sources.volumes import gathered
+from strutwise.sources.volumes import block_array
 
 
 @dataclass(frozen=True)
@@ -169,8 +170,44 @@ def recovery_suite(spark: SparkSession, p: np.ndarray, cases: int = 12, noise: f
     return {"errors": errors, "recovered": good, "pass": good >= 0.9 * cases}
 
 
-def robustness_suite(spark: SparkSession, p: np.ndarray, q: np.ndarray, start, policy: FitPolicy = FitPolicy(), seed: int = 0, most_spread: float = 10.0) -> dict:
-    """Seven disturbed fits; their predictions must stay together and four must succeed."""
+#: How each fit of the robustness suite departs from the first: threshold, depth of a place, step, share kept by trimming, seed.
+CASES = (
+    ("as_is", {}), ("lower_threshold", {"threshold": -500.0}), ("higher_threshold", {"threshold": 500.0}), ("shallower_places", {"least_distance": -0.25}),
+    ("deeper_places", {"least_distance": 0.25}), ("less_trimming", {"keep": 0.9}), ("other_split", {"seed": 1}),
+)
+
+
+def robustness_suite(
+    spark: SparkSession, nominal: np.ndarray, blocks: DataFrame, shape: tuple[int, int, int], threshold: float, base, policy: FitPolicy = FitPolicy(), seed: int = 0,
+    cases=CASES, most_points: int = 500, most_spread: float = 10.0, least_fitted: int = 4, **detection,
+) -> dict:
+    """Detection and fit repeated under changed settings; predictions must stay together and enough cases must succeed.
+
+    A case that fails is a rejected row with its reason. Shifts are measured
+    against the transform ``base`` on all nominal points, thinned.
+    """
+    p, rows, shifts = thinned(nominal, most_points), [], []
+    start = {"step": 2, "least_distance": 2.0} | detection
+    for name, change in cases:
+        used = start | {k: start[k] + v for k, v in change.items() if k == "least_distance"} | {k: v for k, v in change.items() if k == "step"}
+        level = threshold + change.get("threshold", 0.0)
+        try:
+            seen = detect_nodes(blocks, shape, level, **used)
+            at = {n["id"]: (n["x"], n["y"], n["z"]) for n in seen}
+            fit_ids, held = split(list(at), policy.holdout, change.get("seed", seed))
+            found = multistart(spark, p, np.array([at[k] for k in fit_ids]), replace(policy, keep=change.get("keep", policy.keep)))
+            moved = K.apply(found["transform"], p)
+            far, _ = K.nearest_rows(np.array([at[k] for k in held]), moved)
+            shifts.append(np.linalg.norm(moved - K.apply(base, p), axis=1))
+            rows.append({"name": name, "status": "fitted", "threshold": level, "nodes": len(seen), "holdout_median": float(np.median(far)), "checks": found["checks"]})
+        except (ValueError, np.linalg.LinAlgError, ZeroDivisionError) as e:
+            rows.append({"name": name, "status": "rejected", "threshold": level, "reason": str(e)})
+    spread = float(np.quantile(np.concatenate(shifts), 0.95)) if shifts else math.inf
+    return {"cases": rows, "fitted": len(shifts), "spread": spread, "pass": len(shifts) >= least_fitted and spread <= most_spread}
+
+
+def disturbed_suite(spark: SparkSession, p: np.ndarray, q: np.ndarray, start, policy: FitPolicy = FitPolicy(), seed: int = 0, most_spread: float = 10.0) -> dict:
+    """Seven fits of disturbed points; their predictions must stay together and four must succeed."""
     rng = np.random.default_rng(seed)
     jitter = lambda a, s: a + rng.normal(0, s, a.shape)
     some = lambda a, share: a[rng.random(len(a)) < share]
@@ -181,28 +218,50 @@ def robustness_suite(spark: SparkSession, p: np.ndarray, q: np.ndarray, start, p
     return {"fits": ["rejected" if r["error"] else "fitted" for r in rows], "spread": spread, "pass": len(places) >= 4 and spread <= most_spread}
 
 
-def detect_nodes(blocks: DataFrame, shape: tuple[int, int, int], threshold: float, step: int = 2, margin: float = 0.05, least_distance: float = 2.0, least: int = 2, most: int = 999) -> list[dict]:
-    """Thick places of a downsampled mask as nodes (``id, x, y, z, size``) in full-size voxels.
+_DETECTED = "z double, y double, x double, size long"
+
 
-    Slices are read in runs with a halo that holds the largest node, so memory
-    is bounded by a run; a place is counted in the run that holds its centre.
+def detected(blocks: DataFrame, shape: tuple[int, int, int], threshold: float, step: int = 2, margin: float = 0.05, least_distance: float = 2.0, least: int = 2, most: int = 999, run: int = 128, halo: int = 32) -> DataFrame:
+    """Thick places of a downsampled mask as ``id, x, y, z, size`` in full-size voxels.
+
+    Runs of slices with a halo that holds the largest node are labelled side by
+    side, each in a task; a place counts in the run that holds its centre. A
+    task holds a run of the downsampled volume.
     """
     first, stop = central_slices(shape[0], margin, step)
-    halo, run, out = 32, 128, []
-    for z in range(first, stop, run):
-        low, high = max(first, z - halo), min(stop, z + run + halo)
-        slab, z0 = gathered(blocks, low * step, (high - 1) * step + 1)
-        small = slab[(-z0) % step :: step, ::step, ::step]
-        base = (z0 + (-z0) % step) // step
-        deep = K.squared_distance(small >= threshold) >= least_distance**2
-        labels, n = K.label(deep, full=False)
+    count = max(1, -(-(stop - first) // run))
+
+    def thin(frames):
+        for f in frames:
+            out = []
+            for row in f.itertuples(index=False):
+                a = block_array(row)
+                for z in range(-row.z0 % step, row.nz, step):
+                    at = (row.z0 + z) // step
+                    if first <= at < stop:
+                        kept = a[z, ::step, ::step] >= threshold
+                        runs = range(max(0, (at - first - halo) // run), min(count, (at - first + halo) // run + 1))
+                        out += [(r, at, *kept.shape, np.packbits(kept).tobytes()) for r in runs if at < first + (r + 1) * run + halo]
+            yield pd.DataFrame(out, columns=["r", "at", "ny", "nx", "mask"])
+
+    def label(key, table: pd.DataFrame) -> pd.DataFrame:
+        begin, own = int(key[0]) * run + first, table.sort_values("at")
+        ny, nx, base = int(own.ny.iloc[0]), int(own.nx.iloc[0]), int(own["at"].iloc[0])
+        small = np.stack([np.unpackbits(np.frombuffer(m, np.uint8), count=ny * nx).reshape(ny, nx) for m in own["mask"]]).astype(bool)
+        labels, n = K.label(K.squared_distance(small) >= least_distance**2, full=False)
         sizes = np.bincount(labels.ravel(), minlength=n + 1)
-        at = np.argwhere(labels > 0)
-        owner = labels[labels > 0]
-        sums = np.stack([np.bincount(owner, at[:, k], n + 1) for k in range(3)], axis=1)
-        for k in range(1, n + 1):
-            centre = sums[k] / sizes[k]
-            if least <= sizes[k] <= most and z <= base + centre[0] < z + run:
-                zyx = (centre + [base, 0, 0]) * step
-                out.append({"id": len(out), "x": float(zyx[2]), "y": float(zyx[1]), "z": float(zyx[0]), "size": int(sizes[k])})
-    return out
+        at, owner = np.argwhere(labels > 0), labels[labels > 0]
+        centres = np.stack([np.bincount(owner, at[:, k], n + 1) for k in range(3)], axis=1)[1:] / np.maximum(sizes[1:, None], 1) + [base, 0, 0]
+        here = (sizes[1:] >= least) & (sizes[1:] <= most) & (centres[:, 0] >= begin) & (centres[:, 0] < min(begin + run, stop))
+        zyx = centres[here] * step
+        return pd.DataFrame({"z": zyx[:, 0], "y": zyx[:, 1], "x": zyx[:, 2], "size": sizes[1:][here]})
+
+    runs = blocks.mapInPandas(thin, "r int, at int, ny int, nx int, mask binary")
+    found = runs.groupBy("r").applyInPandas(label, _DETECTED)
+    placed, _ = numbered(found, ["z", "y", "x"], "id")
+    return placed.select("id", "x", "y", "z", "size")
+
+
+def detect_nodes(blocks: DataFrame, shape: tuple[int, int, int], threshold: float, step: int = 2, margin: float = 0.05, least_distance: float = 2.0, least: int = 2, most: int = 999) -> list[dict]:
+    """The rows of ``detected``, for fits on the driver: as many as the volume has nodes."""
+    return [r.asDict() for r in detected(blocks, shape, threshold, step, margin, least_distance, least, most).orderBy("id").collect()]

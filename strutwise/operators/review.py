@@ -169,3 +169,35 @@ def spacing(rows: DataFrame) -> DataFrame:
 def crop_edges(placed: DataFrame, axis: str, at: float, tolerance: float = 1e-9) -> DataFrame:
     """Struts with an end on or beyond a crop plane."""
     return placed.where((F.col(f"a{axis}") >= at - tolerance) | (F.col(f"b{axis}") >= at - tolerance))
+
+
+def difference(ids: DataFrame, kept: DataFrame, key: str = "strut_id") -> DataFrame:
+    """The distinct ids of the first table that the second lacks; a null id is in neither."""
+    return ids.select(key).where(F.col(key).isNotNull()).distinct().join(kept.select(key).distinct(), key, "left_anti")
+
+
+def viewer_rows(geometry: DataFrame, features: DataFrame, kinds: tuple[str, ...] = ("missing", "broken"), key: str = "strut_id") -> DataFrame:
+    """Geometry rows of the struts that features call one of the kinds, with ``class`` and ``minimum_foreground_fraction``."""
+    told = features.where(F.col("class").isin(*kinds)).select(key, "class", F.col("minimum").alias("minimum_foreground_fraction"))
+    return geometry.join(told, key)
+
+
+def label_leaks(inputs: DataFrame, labels: DataFrame, stages: DataFrame) -> DataFrame:
+    """Inputs (``stage, path, sha256, role``) that a stage may not read, and why.
+
+    ``labels`` has the ``sha256`` and ``kind`` of label files; ``stages`` the
+    ``stage, kind`` pairs that are not allowed. An input counts as a kind by
+    its content, whatever its path or role is, and by a role of that name.
+    """
+    by_hash = inputs.join(labels.select("sha256", "kind").distinct(), "sha256").withColumn("reason", F.lit("content"))
+    by_role = inputs.withColumn("kind", F.col("role")).withColumn("reason", F.lit("role"))
+    found = by_hash.select(*inputs.columns, "kind", "reason").unionByName(by_role.select(*inputs.columns, "kind", "reason"))
+    barred = found.join(stages.select("stage", "kind").distinct(), ["stage", "kind"], "left_semi")
+    return barred.groupBy(*inputs.columns, "kind").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
+
+
+def stale_inputs(inputs: DataFrame, produced: DataFrame) -> DataFrame:
+    """Inputs whose content or role differs from what was produced at that path: ``path, stale, other_role``."""
+    made = produced.select("path", F.col("sha256").alias("__hash"), F.col("role").alias("__role"))
+    met = inputs.join(made, "path").select("path", (~F.col("sha256").eqNullSafe(F.col("__hash"))).alias("stale"), (~F.col("role").eqNullSafe(F.col("__role"))).alias("other_role"))
+    return met.where("stale or other_role")

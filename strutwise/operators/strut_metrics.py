@@ -67,6 +67,11 @@ def _connection(labels, z, first, second) -> tuple[bool, int]:
     return bool(both), int(np.isin(labels, list(both)).sum()) if both else 0
 
 
+def _share(counts: np.ndarray, seen: np.ndarray, window: np.ndarray) -> float:
+    """Material among the cells of a window that lie in the volume; 0 if none does."""
+    return float(counts[window].sum() / seen[window].sum()) if seen[window].sum() else 0.0
+
+
 def measure(row: dict, patch: np.ndarray, corner, shape, radius: float, half: int, policy: CorridorPolicy) -> dict:
     a, b = np.array([row[f"a{c}"] for c in "xyz"]), np.array([row[f"b{c}"] for c in "xyz"])
     length = float(np.linalg.norm(b - a))
@@ -90,6 +95,8 @@ def measure(row: dict, patch: np.ndarray, corner, shape, radius: float, half: in
     clear = (np.minimum(np.abs(z), np.abs(length - z))[:, None, None] ** 2 + span) > policy.junction_radius**2
     masked, _ = K.label(material & design[:, None, None] & clear)
     collar_joined, collar_size = _connection(masked, z, *collars)
+    parts = np.bincount(masked.ravel())[1:]
+    few = min(3, max(1, int(design.sum()) // 2))
     thick = [math.sqrt(K.squared_distance(s)[disk[0]].max(initial=0)) for s in material[inner]]
     thick = [t for t in thick if t > 0 and math.isfinite(t)]
     kept = np.flatnonzero(inner)
@@ -98,10 +105,12 @@ def measure(row: dict, patch: np.ndarray, corner, shape, radius: float, half: in
     return {
         "id": row["id"], "length": length, "corridor_foreground_fraction": float(fg[design].mean()),
         "interior_minimum": float(fg[inner].min()), "interior_median": float(np.median(fg[inner])), "interior_maximum": float(fg[inner].max()),
-        "maximum_axial_gap_samples": gap, "gap_fraction": gap / max(1, int(inner.sum())), "interior_component_count": int(K.label(material & inner[:, None, None])[1]),
+        "maximum_axial_gap_samples": gap, "gap_fraction": gap / max(1, int(inner.sum())), "interior_component_count": len(parts),
+        "largest_component_fraction": float(parts.max() / parts.sum()) if len(parts) else 0.0,
+        "endpoint0_support_fraction": float(fg[design][:few].mean()), "endpoint1_support_fraction": float(fg[design][-few:].mean()),
         "connected": joined, "connected_voxels": joined_size, "endpoint0_connected": near0, "endpoint0_voxels": near0_size, "endpoint1_connected": near1, "endpoint1_voxels": near1_size,
         "collar_connected": collar_joined, "collar_voxels": collar_size, "both_endpoint_segments_observed": near0 and near1,
-        "collar0_fraction": float(fg[np.abs(z - low) <= policy.collar_window].mean()), "collar1_fraction": float(fg[np.abs(z - high) <= policy.collar_window].mean()),
+        "collar0_fraction": _share(counts, seen, np.abs(z - low) <= policy.collar_window), "collar1_fraction": _share(counts, seen, np.abs(z - high) <= policy.collar_window),
         "radius_voxels": float(np.median(thick)) if thick else 0.0, "curvature_rms": bending(centres), "valid_fraction": share, "roi_valid": share + 1e-12 >= policy.least_valid,
         "axial_t": (z / length).tolist(), "foreground_fraction": fg.tolist(),
     }
@@ -123,7 +132,7 @@ def bending(centres: np.ndarray, least: int = 5) -> float:
 
 METRICS = (
     "id long, length double, corridor_foreground_fraction double, interior_minimum double, interior_median double, interior_maximum double, "
-    "maximum_axial_gap_samples long, gap_fraction double, interior_component_count long, connected boolean, connected_voxels long, "
+    "maximum_axial_gap_samples long, gap_fraction double, interior_component_count long, largest_component_fraction double, endpoint0_support_fraction double, endpoint1_support_fraction double, connected boolean, connected_voxels long, "
     "endpoint0_connected boolean, endpoint0_voxels long, endpoint1_connected boolean, endpoint1_voxels long, collar_connected boolean, collar_voxels long, "
     "both_endpoint_segments_observed boolean, collar0_fraction double, collar1_fraction double, radius_voxels double, curvature_rms double, "
     "valid_fraction double, roi_valid boolean, axial_t array<double>, foreground_fraction array<double>"
@@ -149,6 +158,31 @@ def strut_metrics(placed: DataFrame, blocks: DataFrame, shape: tuple[int, int, i
     return on_patches(boxes, blocks, lambda row, patch, corner: measure(row, patch, corner, shape, radius, half, policy), METRICS)
 
 
+def metrics_file_rows(metrics: DataFrame, struts: DataFrame, radius: float, policy: CorridorPolicy = CorridorPolicy()) -> DataFrame:
+    """The columns of the metrics file for measured struts, ends by ``struts`` (``id, junction0, junction1``)."""
+    from strutwise.sources.documents import METRIC_COLUMNS
+
+    ends = struts.select(F.col("id"), F.col("junction0").cast("long").alias("junction0_id"), F.col("junction1").cast("long").alias("junction1_id"))
+    named = metrics.join(ends, "id", "left").withColumns({
+        "strut_id": F.col("id"), "length_voxels": F.col("length"), "corridor_radius_voxels": F.lit(float(radius)), "cuboid_half_width_voxels": F.lit(float(half_width(radius))),
+        "axial_padding_fraction_total": F.lit(2 * policy.pad), "minimum_foreground_fraction": F.col("interior_minimum"), "median_foreground_fraction": F.col("interior_median"),
+        "maximum_foreground_fraction": F.col("interior_maximum"), "maximum_axial_gap_fraction": F.col("gap_fraction"), "a_collar_foreground_fraction": F.col("collar0_fraction"),
+        "b_collar_foreground_fraction": F.col("collar1_fraction"), "same_material_component_connects_a_to_b": F.col("connected"), "same_component_connects_collar_a_to_b": F.col("collar_connected"),
+        "shared_component_voxel_count_in_corridor": F.col("connected_voxels"), "endpoint0_to_collar_component_voxel_count_in_corridor": F.col("endpoint0_voxels"),
+        "endpoint1_to_collar_component_voxel_count_in_corridor": F.col("endpoint1_voxels"), "junction_masked_collar_shared_component_voxel_count_in_corridor": F.col("collar_voxels"),
+        "edt_radius_median_voxels": F.col("radius_voxels"), "centerline_curvature_rms_voxels": F.col("curvature_rms"), "roi_in_bounds_fraction": F.col("valid_fraction"),
+    })
+    return named.select(*METRIC_COLUMNS)
+
+
+def with_profiles(metrics: DataFrame, profiles: DataFrame, key: str = "strut_id") -> DataFrame:
+    """Metrics joined to their profiles by strut; a strut that either side lacks raises an error that counts them."""
+    alone = metrics.select(key).join(profiles.select(key), key, "left_anti").count(), profiles.select(key).join(metrics.select(key), key, "left_anti").count()
+    if any(alone):
+        raise ValueError(f"{alone[0]} struts have metrics alone, {alone[1]} profiles alone")
+    return metrics.join(profiles, key)
+
+
 def gates(metrics: DataFrame, expected: DataFrame) -> dict:
     """One row a strut, none missing or extra: else halt; any invalid region: manual review."""
     from strutwise.operators.lattice import coverage, duplicates

@@ -1,12 +1,15 @@
-"""Lattice JSON, metrics CSV, profile and label documents, and small report files."""
+"""Lattice JSON, metrics CSV, profile, label and id documents, and small report files."""
 
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import os
 import tempfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +22,16 @@ LATTICE = (
     "unit_cells array<struct<id:bigint,struts:array<bigint>,indices:array<double>>>"
 )
 
-# Columns of the per-strut metrics file: fixed names and kinds.
+# Columns of the per-strut metrics file, in order: fixed names and kinds.
+METRIC_COLUMNS = (
+    "strut_id", "junction0_id", "junction1_id", "length_voxels", "corridor_radius_voxels", "cuboid_half_width_voxels", "axial_padding_fraction_total",
+    "corridor_foreground_fraction", "minimum_foreground_fraction", "median_foreground_fraction", "maximum_foreground_fraction",
+    "maximum_axial_gap_samples", "maximum_axial_gap_fraction", "endpoint0_support_fraction", "endpoint1_support_fraction",
+    "a_collar_foreground_fraction", "b_collar_foreground_fraction", "interior_component_count", "largest_component_fraction",
+    "same_material_component_connects_a_to_b", "same_component_connects_collar_a_to_b", "shared_component_voxel_count_in_corridor",
+    "endpoint0_to_collar_component_voxel_count_in_corridor", "endpoint1_to_collar_component_voxel_count_in_corridor", "both_endpoint_segments_observed",
+    "junction_masked_collar_shared_component_voxel_count_in_corridor", "edt_radius_median_voxels", "centerline_curvature_rms_voxels", "roi_in_bounds_fraction", "roi_valid",
+)
 METRIC_LONGS = (
     "strut_id", "junction0_id", "junction1_id", "maximum_axial_gap_samples", "interior_component_count", "shared_component_voxel_count_in_corridor",
     "endpoint0_to_collar_component_voxel_count_in_corridor", "endpoint1_to_collar_component_voxel_count_in_corridor", "junction_masked_collar_shared_component_voxel_count_in_corridor",
@@ -101,8 +113,8 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def canonical(value) -> str:
-    """JSON with sorted keys, no spaces and no NaN."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=True, allow_nan=False)
+    """JSON with sorted keys, no spaces and no NaN; text outside ASCII as it is."""
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
 def digest(value) -> str:
@@ -115,9 +127,17 @@ def write_report(path: str, value, overwrite: bool = False) -> bool:
     The same content again changes nothing; other content raises an error
     unless it may be overwritten.
     """
-    body = json.dumps(value, sort_keys=True, indent=2, allow_nan=False) + "\n"
+    return write_text(path, json.dumps(value, sort_keys=True, indent=2, ensure_ascii=False, allow_nan=False) + "\n", overwrite)
+
+
+def write_text(path: str, body: str, overwrite: bool = False) -> bool:
+    """Writes a small UTF-8 text as ``write_report`` does."""
+    return write_bytes(path, body.encode("utf-8"), overwrite)
+
+
+def write_bytes(path: str, body: bytes, overwrite: bool = False) -> bool:
     if os.path.exists(path):
-        with open(path, encoding="utf-8") as f:
+        with open(path, "rb") as f:
             if f.read() == body:
                 return False
         if not overwrite:
@@ -125,7 +145,7 @@ def write_report(path: str, value, overwrite: bool = False) -> bool:
     folder = os.path.dirname(os.path.abspath(path))
     os.makedirs(folder, exist_ok=True)
     handle, name = tempfile.mkstemp(dir=folder)
-    with os.fdopen(handle, "w", encoding="utf-8") as f:
+    with os.fdopen(handle, "wb") as f:
         f.write(body)
         f.flush()
         os.fsync(f.fileno())
@@ -133,6 +153,110 @@ def write_report(path: str, value, overwrite: bool = False) -> bool:
     return True
 
 
+def write_histogram(folder: str, hist: DataFrame, report: dict, bins: int = 65_536) -> bool:
+    """``histogram.npy`` (counts of all bins) and ``report.json`` of a threshold, both or neither; says whether either changed."""
+    counts = np.zeros(bins, dtype=np.int64)
+    for r in hist.collect():  # a row for each bin at most
+        counts[r.bin] = r.c
+    handle = io.BytesIO()
+    np.save(handle, counts)
+    first, second = os.path.join(folder, "histogram.npy"), os.path.join(folder, "report.json")
+    fresh = not os.path.exists(first)
+    changed = write_bytes(first, handle.getvalue())
+    try:
+        return write_report(second, report) or changed
+    except BaseException:
+        if fresh:
+            os.unlink(first)
+        raise
+
+
+def read_object(spark: SparkSession, path: str) -> dict:
+    """A small JSON document, which must be an object at the top."""
+    rows = spark.read.text(path, wholetext=True).limit(2).collect()
+    value = json.loads(rows[0].value) if len(rows) == 1 else None
+    if not isinstance(value, dict):
+        raise ValueError(f"{path} is not one JSON object")
+    return value
+
+
+def strict_integer(text: Column) -> Column:
+    """A whole number written as digits with or without a sign; blank is null, anything else an error."""
+    t = F.trim(text)
+    return F.when(t.isNull() | (t == ""), None).when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long")).otherwise(F.raise_error(F.concat(F.lit("not a whole number: "), t)).cast("long"))
+
+
+def strict_flag(text: Column) -> Column:
+    """``true`` or ``false`` in any case; blank is null, anything else an error."""
+    t = F.lower(F.trim(text))
+    return F.when(t.isNull() | (t == ""), None).when(t == "true", True).when(t == "false", False).otherwise(F.raise_error(F.concat(F.lit("not a flag: "), t)).cast("boolean"))
+
+
+def utc_text(at: Column) -> Column:
+    """A time as ISO 8601 text in UTC with up to six digits of a second and ``Z``."""
+    shown = F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(F.regexp_replace(shown, "0+$", ""), r"\.$", ""), F.lit("Z"))
+
+
+def utc_time(text: Column) -> Column:
+    """The time that ``utc_text`` writes; null for text of another form, more than six digits of a second among it."""
+    ok = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z$")
+    return F.when(ok, F.try_to_timestamp(text))
+
+
+def read_ids(spark: SparkSession, path: str | list[str], column: str = "strut_id") -> DataFrame:
+    """The distinct ids of a column of CSV files with headers."""
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(strict_integer(F.col(column)).alias(column)).where(F.col(column).isNotNull()).distinct()
+
+
+def read_endpoints(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rows of CSV files by ``strut_id`` (long) and ``endpoint`` (A or B); a pair twice raises an error."""
+    rows = spark.read.option("header", True).csv(path)
+    rows = rows.withColumn("strut_id", strict_integer(F.col("strut_id")))
+    if rows.where(~F.coalesce(F.col("endpoint").isin("A", "B"), F.lit(False))).limit(1).count():
+        raise ValueError("an endpoint is neither A nor B")
+    if rows.groupBy("strut_id", "endpoint").count().where("count > 1").limit(1).count():
+        raise ValueError("an endpoint of a strut has two rows")
+    return rows
+
+
+def read_compact_profiles(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``strut_id, length, fg`` from NPZ files of arrays ``strut_id, length_voxels, axial_disk_foreground_fraction``.
+
+    Values that aren't finite are dropped; a strut in two rows raises an error.
+    """
+
+    def run(frames):
+        for f in frames:
+            for content in f["content"]:
+                with np.load(io.BytesIO(bytes(content))) as z:
+                    ids, lengths, fg = z["strut_id"], z["length_voxels"], z["axial_disk_foreground_fraction"]
+                    if not len(ids) == len(lengths) == len(fg):
+                        raise ValueError("arrays of a profile file differ in length")
+                    yield pd.DataFrame({"strut_id": ids.astype(np.int64), "length": lengths.astype(float), "fg": [np.asarray(x, float)[np.isfinite(np.asarray(x, float))].tolist() for x in fg]})
+
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "strut_id long, length double, fg array<double>")
+    if L.duplicates(rows, "strut_id").limit(1).count():
+        raise ValueError("a strut has two profiles")
+    return rows
+
+
+def write_lattice(junctions: DataFrame, struts: DataFrame, cells: DataFrame, folder: str) -> dict:
+    """A lattice as Parquet tables ``junction, strut, cell, cell_strut`` with each one's rows; tables that exist raise an error.
+
+    ``strut`` has the lower and the higher end beside the ends as given;
+    ``cell_strut`` lists members by place.
+    """
+    tables = {
+        "junction": junctions, "strut": struts.withColumns({"low_end": F.least("junction0", "junction1"), "high_end": F.greatest("junction0", "junction1")}),
+        "cell": cells.drop("struts"), "cell_strut": L.membership(cells),
+    }
+    for name, rows in tables.items():
+        rows.write.mode("errorifexists").parquet(f"{folder}/{name}")
+    return {name: rows.sparkSession.read.parquet(f"{folder}/{name}").count() for name, rows in tables.items()}
+
+
 def envelope(status: str, gate: str, summary: str, result=None, artifacts=(), hashes=None, warnings=(), error=None) -> dict:
     """The one shape in which every tool answers."""
     if status not in ("ok", "error") or gate not in ("pass", "halt", "manual_review"):

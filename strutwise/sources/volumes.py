@@ -1,19 +1,34 @@
-"""Dense volumes as block tables: one row per z-slab, read from NPY files by Spark's own readers."""
+"""Dense volumes as block tables: one row per z-slab, read from NPY and uncompressed TIFF files.
+
+Only headers are read to plan the slabs; each task then reads the bytes of its
+own slab. Files in a store that this machine's readers can't open piece by
+piece come whole through Spark's reader, one file a task.
+"""
 
 from __future__ import annotations
 
 import ast
+import io
 import math
+import os
+import re
 import struct
+import tempfile
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strutwise.sources import tiff
+
 BLOCKS = "path string, z0 int, nz int, ny int, nx int, dtype string, data binary"
-#: Cells of one slab, about.
-SLAB_CELLS = 1 << 22
+_SLABS = "path string, z0 int, nz int, ny int, nx int, dtype string, order string, offsets array<long>, sizes array<long>, data binary"
+#: Cells of one slab, about, and tasks that slabs are dealt to, at most.
+SLAB_CELLS, TASKS = 1 << 22, 1 << 15
 
 
 def npy_header(head: bytes) -> tuple[np.dtype, bool, tuple[int, ...], int]:
@@ -32,44 +47,178 @@ def _text(dtype: np.dtype) -> str:
     return dtype.newbyteorder("=").str.lstrip("=<>|")
 
 
-def read_headers(spark: SparkSession, path: str) -> DataFrame:
+@dataclass(frozen=True)
+class Layout:
+    """Where the slices of a volume lie in its file: a list of (offset, bytes) for each, or Fortran order as a whole."""
+
+    shape: tuple[int, ...]
+    dtype: np.dtype
+    fortran: bool
+    slices: list[list[tuple[int, int]]]
+
+
+def layout(f) -> Layout:
+    """The layout of an open NPY or TIFF file, from its headers alone."""
+    head = f.read(65_536)
+    if head[:6] == b"\x93NUMPY":
+        dtype, fortran, shape, at = npy_header(head)
+        size = math.prod(shape[1:]) * dtype.itemsize
+        if fortran or len(shape) != 3:
+            return Layout(shape, dtype, fortran, [[(at, size * (shape[0] if shape else 1))]])
+        return Layout(shape, dtype, False, [[(at + z * size, size)] for z in range(shape[0])])
+    if head[:4] in tiff.MAGIC:
+        pages = tiff.pages(f)
+        shape, dtype, slices = tiff.stacked(pages)
+        return Layout(shape, dtype, False, slices)
+    raise ValueError("neither an NPY nor a TIFF file")
+
+
+def _opened(path: str):
+    fs, name = pyarrow.fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", path))
+    return fs.open_input_file(name)
+
+
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, content`` of files; no content where each task can open a file itself."""
+    found = spark.read.format("binaryFile").load(path)
+    first = found.select("path").first()
+    try:
+        if first is not None:
+            pyarrow.fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", first.path))
+        return found.select("path", F.lit(None).cast("binary").alias("content"))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return found.select("path", "content")
+
+
+def _reader(path: str, content: bytes | None):
+    return _opened(path) if content is None else io.BytesIO(bytes(content))
+
+
+def read_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``path, shape, dtype, byte_order, cells, fortran`` of each file, without its voxels' values."""
 
     def run(frames):
         for f in frames:
             rows = []
             for p, content in zip(f["path"], f["content"]):
-                dtype, fortran, shape, _ = npy_header(bytes(content[:65_536]))
-                rows.append((p, list(shape), _text(dtype), "big" if dtype.byteorder == ">" else "little", int(math.prod(shape)), fortran))
+                with _reader(p, content) as file:
+                    found = layout(file)
+                rows.append((p, list(found.shape), _text(found.dtype), "big" if found.dtype.byteorder == ">" else "little", int(math.prod(found.shape)), found.fortran))
             yield pd.DataFrame(rows, columns=["path", "shape", "dtype", "byte_order", "cells", "fortran"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, shape array<int>, dtype string, byte_order string, cells long, fortran boolean")
+    return _files(spark, path).mapInPandas(run, "path string, shape array<int>, dtype string, byte_order string, cells long, fortran boolean")
 
 
-def read_volume(spark: SparkSession, path: str, slab_cells: int = SLAB_CELLS) -> DataFrame:
-    """Block table of 3-D NPY volumes (a file, folder or glob); other ranks raise an error.
+def read_spacing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, axis, value, unit, source`` for the axes x, y, z of each file; unknown where its metadata doesn't say.
 
-    Values keep their type; byte order becomes little-endian. Larger scans than
-    a row can hold (2 GB) come as one file per range of slices, ``z0`` counted
-    within the file.
+    The first of OME-XML, ImageJ's description and the resolution tags that
+    knows an axis counts; NPY files know none.
     """
 
     def run(frames):
+        for f in frames:
+            rows = []
+            for p, content in zip(f["path"], f["content"]):
+                with _reader(p, content) as file:
+                    known = tiff.spacing(tiff.pages(file, most=1)[0]) if file.read(4) in tiff.MAGIC else {}
+                rows += [(p, axis, *known.get(axis, (None, "unknown", "unknown"))) for axis in "xyz"]
+            yield pd.DataFrame(rows, columns=["path", "axis", "value", "unit", "source"])
+
+    return _files(spark, path).mapInPandas(run, "path string, axis string, value double, unit string, source string")
+
+
+def read_volume(spark: SparkSession, path: str | list[str], slab_cells: int = SLAB_CELLS, every: int = 1) -> DataFrame:
+    """Block table of 3-D volumes (a file, folder or glob); other ranks and compressed pages raise an error.
+
+    Values keep their type; byte order becomes little-endian. With ``every`` k
+    only slices 0, k, 2k, .. are read, a slab each, and no byte of the others.
+    """
+
+    def plan(frames):
         for f in frames:
             for p, content in zip(f["path"], f["content"]):
-                raw = bytes(content)
-                dtype, fortran, shape, at = npy_header(raw)
-                if len(shape) != 3:
-                    raise ValueError(f"{p}: {len(shape)} axes, a volume has 3")
-                cells = np.frombuffer(raw, dtype, math.prod(shape), at).reshape(shape, order="F" if fortran else "C")
-                depth = max(1, slab_cells // max(1, shape[1] * shape[2]))
-                little = dtype.newbyteorder("<")
-                yield pd.DataFrame(
-                    [(p, z, min(depth, shape[0] - z), shape[1], shape[2], _text(dtype), np.ascontiguousarray(cells[z : z + depth]).astype(little).tobytes()) for z in range(0, shape[0], depth)],
-                    columns=[c.split()[0] for c in BLOCKS.split(", ")],
-                )
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, BLOCKS)
+                with _reader(p, content) as file:
+                    found = layout(file)
+                if len(found.shape) != 3:
+                    raise ValueError(f"{p}: {len(found.shape)} axes, a volume has 3")
+                nz, ny, nx = found.shape
+                depth = max(1, slab_cells // max(1, ny * nx)) if every == 1 else 1
+                order = "F" if found.fortran else found.dtype.byteorder.replace("=", "<").replace("|", "<")
+                rows = []
+                for z in range(0, nz, depth if every == 1 else every):
+                    spans = found.slices[0] if found.fortran else [s for one in found.slices[z : z + depth] for s in one]
+                    joined = [list(spans[0])]
+                    for at, size in spans[1:]:
+                        if joined[-1][0] + joined[-1][1] == at:
+                            joined[-1][1] += size
+                        else:
+                            joined.append([at, size])
+                    rows.append((p, z, min(depth, nz - z), ny, nx, found.dtype.str if found.fortran else _text(found.dtype), order, [x for x, _ in joined], [x for _, x in joined], content))
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SLABS.split(", ")])
+
+    def read(frames):
+        for f in frames:
+            for r in f.itertuples(index=False):
+                with _reader(r.path, r.data) as file:
+                    parts = []
+                    for at, size in zip(r.offsets, r.sizes):
+                        file.seek(int(at))
+                        parts.append(file.read(int(size)))
+                raw = b"".join(parts)
+                if r.order == "F":  # every slice lies all over the file
+                    dtype = np.dtype(r.dtype)
+                    whole = np.frombuffer(raw, dtype).reshape((-1, r.ny, r.nx), order="F")
+                    cells, kind = whole[r.z0 : r.z0 + r.nz], _text(dtype)
+                else:
+                    cells, kind = np.frombuffer(raw, np.dtype(r.order + r.dtype)).reshape(r.nz, r.ny, r.nx), r.dtype
+                little = np.ascontiguousarray(cells).astype(np.dtype(kind).newbyteorder("<"))
+                yield pd.DataFrame([(r.path, r.z0, r.nz, r.ny, r.nx, kind, little.tobytes())], columns=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    slabs = _files(spark, path).mapInPandas(plan, _SLABS)
+    many = min(TASKS, max(1, slabs.select("z0").count()))
+    return slabs.repartition(many, "path", "z0").mapInPandas(read, BLOCKS)
+
+
+def write_npy(blocks: DataFrame, path: str) -> bool:
+    """Writes the blocks of one volume, slab after slab, as an NPY file on the driver's disk; says whether it changed.
+
+    The file appears by one rename. A file that holds exactly this already is
+    left alone; one that holds anything else raises an error.
+    """
+    size = blocks.agg(F.max(F.col("z0") + F.col("nz")), F.sum("nz"), F.max("ny"), F.max("nx"), F.count_distinct("ny", "nx", "dtype"), F.max("dtype")).first()
+    if size[0] is None or size[0] != size[1] or size[4] != 1:
+        raise ValueError("the blocks don't make one whole volume")
+    dtype = np.dtype(size[5]).newbyteorder("<")
+    folder = os.path.dirname(os.path.abspath(path))
+    os.makedirs(folder, exist_ok=True)
+    handle, name = tempfile.mkstemp(dir=folder)
+    try:
+        with os.fdopen(handle, "wb") as f:
+            np.lib.format.write_array_header_1_0(f, {"descr": np.lib.format.dtype_to_descr(dtype), "fortran_order": False, "shape": (size[0], size[2], size[3])})
+            for row in blocks.select("z0", "data").orderBy("z0").toLocalIterator():  # a slab at a time
+                f.write(row.data)
+            f.flush()
+            os.fsync(f.fileno())
+        if os.path.exists(path):
+            if not _same_bytes(name, path):
+                raise FileExistsError(f"{path} holds something else")
+            return False
+        os.replace(name, path)
+        return True
+    finally:
+        if os.path.exists(name):
+            os.unlink(name)
+
+
+def _same_bytes(one: str, other: str, step: int = 1 << 24) -> bool:
+    if os.path.getsize(one) != os.path.getsize(other):
+        return False
+    with open(one, "rb") as f, open(other, "rb") as g:
+        while a := f.read(step):
+            if a != g.read(step):
+                return False
+    return True
 
 
 def block_array(row) -> np.ndarray:

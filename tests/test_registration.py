@@ -46,7 +46,7 @@ def test_registration(spark):
 
 def test_suites(spark):
     assert R.recovery_suite(spark, GRID, cases=4)["pass"]
-    got = R.robustness_suite(spark, GRID, GRID + 0.2, (1.0, np.eye(3), np.zeros(3)))
+    got = R.disturbed_suite(spark, GRID, GRID + 0.2, (1.0, np.eye(3), np.zeros(3)))
     assert got["pass"] and len(got["fits"]) == 7
     failed = R.fits(spark, [(GRID[:2], GRID, (1.0, np.eye(3), np.zeros(3)))])
     assert failed[0]["error"]
@@ -63,3 +63,23 @@ def test_nodes_of_a_grid(spark, tmp_path):
     got = np.array([(n["z"], n["y"], n["x"]) for n in found])
     d, _ = K.nearest_rows(np.array(places, float), got)
     assert len(found) == 8 and d.max() <= 1.0
+    # runs of few slices find the same places, each once
+    again = R.detected(V.read_volume(spark, str(tmp_path / "v.npy"), slab_cells=40 * 40 * 7), a.shape, 5, margin=0.0, least=1, run=4, halo=8).orderBy("id").collect()
+    assert [(r.z, r.y, r.x, r.size) for r in again] == [(n["z"], n["y"], n["x"], n["size"]) for n in found]
+
+
+def test_robustness_of_detection_and_fit(spark, tmp_path):
+    grid = np.array([[i, j, k] for i in range(4) for j in range(4) for k in range(4)], float) + np.random.default_rng(1).uniform(-0.1, 0.1, (64, 3))
+    true = (9.0, np.eye(3), np.array([8.0, 8.0, 8.0]))
+    places = K.apply(true, grid)
+    z, y, x = np.mgrid[0:46, 0:46, 0:46]
+    a = np.zeros((46, 46, 46), dtype=np.uint16)
+    for p in places:
+        a[(x - p[0]) ** 2 + (y - p[1]) ** 2 + (z - p[2]) ** 2 <= 9] = 1000
+    np.save(tmp_path / "v.npy", a)
+    blocks = V.read_volume(spark, str(tmp_path / "v.npy"))
+    policy = R.FitPolicy(scales=(1.0,), tilts=((0, 0, 0), (2, 0, 0), (0, 2, 0)))
+    got = R.robustness_suite(spark, grid, blocks, a.shape, 600, true, policy, step=1, margin=0.0, least=1, least_distance=1.5)
+    assert got["pass"] and got["fitted"] >= 4 and got["spread"] < 1.0 and len(got["cases"]) == 7
+    none = R.robustness_suite(spark, grid, blocks, a.shape, 50_000, true, policy, step=1, margin=0.0, least=1)
+    assert not none["pass"] and {c["status"] for c in none["cases"]} == {"rejected"}

@@ -68,6 +68,28 @@ def test_rods(spark, rods, size, monkeypatch):
     assert S.gates(rows, struts) == {"checks": {"ids_unique": True, "ids_exhaustive": True, "roi_valid": True}, "gate": "pass"}
 
 
+def test_metrics_file(spark, rods, tmp_path):
+    from strutwise.sources import documents as D
+
+    blocks, struts, a = rods
+    policy = S.CorridorPolicy(threshold=50)
+    ends = struts.select("id", (F.col("id") * 10).alias("junction0"), (F.col("id") * 10 + 1).alias("junction1"))
+    rows = S.metrics_file_rows(S.strut_metrics(struts, blocks, a.shape, 5.0, policy), ends, 5.0, policy)
+    assert tuple(rows.columns) == D.METRIC_COLUMNS and len(rows.columns) == 30
+    D.write_csv(rows, str(tmp_path / "metrics"), list(D.METRIC_COLUMNS))
+    back = D.read_metrics(spark, str(tmp_path / "metrics"), set(D.METRIC_COLUMNS))
+    for got, want in zip(back.orderBy("strut_id").collect(), rows.orderBy("strut_id").collect()):
+        for c in D.METRIC_COLUMNS:
+            assert got[c] == want[c] if not isinstance(want[c], float) else abs(got[c] - want[c]) < 1e-9, c
+    by = {r.strut_id: r for r in back.collect()}
+    assert by[2].largest_component_fraction < 0.7 and by[1].largest_component_fraction == 1.0 and by[5].largest_component_fraction == 0.0
+    assert by[1].endpoint0_support_fraction > 0.3 and by[5].endpoint1_support_fraction == 0.0 and by[3].junction1_id == 31 and by[3].cuboid_half_width_voxels == 7.0
+    profiles = S.strut_metrics(struts, blocks, a.shape, 5.0, policy).select(F.col("id").alias("strut_id"), F.col("foreground_fraction").alias("fg"))
+    assert S.with_profiles(rows, profiles).count() == 5
+    with pytest.raises(ValueError, match="1 struts have metrics alone"):
+        S.with_profiles(rows, profiles.where("strut_id <> 3"))
+
+
 def test_a_strut_at_the_edge_needs_review(spark, rods):
     blocks, _, a = rods
     edge = spark.createDataFrame([(9, 2.0, 2.0, 2.0, 30.0, 2.0, 2.0), (10, 5.0, 5.0, 5.0, 5.0, 5.0, 5.0)], SCHEMA)
