@@ -41,7 +41,11 @@ METRIC_FLAGS = ("same_material_component_connects_a_to_b", "same_component_conne
 
 def read_lattice(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(junctions, struts, unit cells) of a lattice document; keys beyond the known ones are left out."""
-    doc = spark.read.schema(LATTICE).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return lattice_tables(spark.read.schema(LATTICE).option("multiLine", True).option("mode", "FAILFAST").json(path))
+
+
+def lattice_tables(doc: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same of documents that are rows already (schema ``LATTICE``)."""
     j = doc.select(F.explode("junctions").alias("r")).select(
         "r.id", *[F.get("r.position", k).alias(c) for k, c in enumerate("xyz")], *[F.get("r.indices", k).alias(f"i{c}") for k, c in enumerate("xyz")]
     )
@@ -100,10 +104,10 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*shown).write.option("header", True).option("emptyValue", "").mode("errorifexists").csv(path)
 
 
-def read_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """``strut_id, t, fg`` from profile documents; ids must be unique and the documents mark measurements only."""
+def read_profiles(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``strut_id, t, fg`` from profile documents (with ``lines`` one a line); ids must be unique and the documents mark measurements only."""
     schema = "measurement_only boolean, profiles array<struct<strut_id:bigint,axial_t:array<double>,foreground_fraction:array<double>>>"
-    doc = spark.read.schema(schema).option("multiLine", True).json(path)
+    doc = spark.read.schema(schema).option("multiLine", not lines).json(path)
     if doc.where("not coalesce(measurement_only, false)").limit(1).count():
         raise ValueError("a profile document does not say that it holds measurements only")
     rows = doc.select(F.explode("profiles").alias("p")).select("p.strut_id", F.col("p.axial_t").alias("t"), F.col("p.foreground_fraction").alias("fg"))

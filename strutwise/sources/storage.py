@@ -38,3 +38,21 @@ def discard(table: DataFrame) -> None:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         if own.split("://")[-1] in folder:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def put(spark: SparkSession, name: str, body: bytes) -> str:
+    """A small file in the shared folder, under a name of its own; its path."""
+    path = f"{shared_folder(spark)}/strutwise/files-{uuid.uuid4().hex}/{name}"
+    jvm = spark._jvm
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark._jsc.hadoopConfiguration()).create(to, True)
+    try:
+        out.write(bytearray(body))
+    finally:
+        out.close()
+    return path
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder in the shared folder that nothing else writes to."""
+    return f"{shared_folder(spark)}/strutwise/{name}-{uuid.uuid4().hex}"
