@@ -22,8 +22,8 @@ SLOTS = 1 << 20
 BAND = (0.002, 0.25)
 #: Bits that keep a term in each randomised subset: subset k of n bits has one in 2**n terms.
 SUBSETS = (1,) * 4 + (3,) * 4 + (5,) * 8 + (7,) * 16
-#: Bytes of text in a range that is ordered in one task, and ranges at most.
-RANGE, RANGES = 8 << 20, 16384
+#: Bytes of text in a range, whose rows are ordered together, and ranges at most; bytes of text that a task takes.
+RANGE, RANGES, TASK = 4 << 20, 16384, 16 << 20
 #: Bytes of text that one row stands for where the bounds of ranges are found.
 UNIT = 16 << 10
 
@@ -121,30 +121,30 @@ def with_next(docs: DataFrame, key: str, text: str, columns: dict[str, Column])
     """``key``, ``text`` and ``columns`` (name and what it holds of a row) with ``next_<c>`` of the next row by descending key.
 
     Null keys come last, ties are ordered by text, and after the last row comes
-    the first. Rows are ordered inside ranges of keys; only the first row of
-    each range crosses over to the range before it. These rows are found by
+    the first. Rows are ordered inside ranges of keys, and the first row of
+    each range is also the last of the range before it. These rows are found by
     key alone and read again, so ``columns`` are computed once for all others.
     Rows that tie on key and text are equal in all that is compared, so their
     order doesn't show. Other columns of ``docs`` are left out.
     """
-    place, _ = ranges(docs, key, text)
+    place, many = ranges(docs, key, text)
     both = {text: F.col("__text"), **columns}
-    placed = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), place.cast("int").alias("__range"))
-    rows = placed.select("__key", "__range", F.struct(*[c.alias(n) for n, c in both.items()]).alias("__both"))
-    order = Window.partitionBy("__range").orderBy(F.col("__key").desc_nulls_last(), F.col(f"__both.{text}").desc())
-    led = rows.withColumn("__lead", F.lead("__both").over(order))
+    placed = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), (place.cast("int") + 1).alias("__range"))
     # a row per range, RANGES and one at most; the texts of its greatest key, then the greatest of them
     tops = placed.groupBy("__range").agg(F.max("__key").alias("__top")).withColumnRenamed("__range", "__at")
     greatest = (
         placed.join(F.broadcast(tops), (F.col("__range") == F.col("__at")) & F.col("__key").eqNullSafe(F.col("__top")))
         .groupBy("__at").agg(F.max("__text").alias("__text"))
     )
-    firsts = greatest.select(F.col("__at").alias("__of"), F.struct(*[c.alias(n) for n, c in both.items()]).alias("__first"))
     down = Window.orderBy("__at")
-    lower = tops.select(F.col("__at").alias("__here"), F.coalesce(F.lag("__at").over(down), F.max("__at").over(Window.partitionBy())).alias("__next"))
-    heads = lower.join(firsts, F.col("__next") == F.col("__of")).select("__here", "__first")
-    joined = led.join(heads, F.col("__range") == F.col("__here")).withColumn("__lead", F.coalesce("__lead", "__first"))
-    return joined.select(
+    lower = tops.select(F.col("__at").alias("__range"), F.coalesce(F.lag("__at").over(down), F.max("__at").over(Window.partitionBy())).alias("__next"))
+    extra = lower.join(greatest, F.col("__next") == F.col("__at")).select(F.lit(None).cast("long").alias("__key"), "__text", "__range", F.lit(1).alias("__extra"))
+    # a task takes a few ranges; ``columns`` are computed there, so they aren't shuffled
+    tasks = min(many + 1, max(docs.sparkSession.sparkContext.defaultParallelism, many * RANGE // TASK))
+    dealt = placed.withColumn("__extra", F.lit(0)).unionByName(extra).repartitionById(tasks, F.col("__range"))
+    rows = dealt.select("__key", "__range", "__extra", F.struct(*[c.alias(n) for n, c in both.items()]).alias("__both"))
+    order = Window.partitionBy("__range").orderBy("__extra", F.col("__key").desc_nulls_last(), F.col(f"__both.{text}").desc())
+    return rows.withColumn("__lead", F.lead("__both").over(order)).where("__extra = 0").select(
         F.col("__key").alias(key), *[F.col(f"__both.{c}").alias(c) for c in both], *[F.col(f"__lead.{c}").alias(f"next_{c}") for c in both]
     )
 
