@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,7 +13,7 @@ from strutwise.sources.storage import discard, shared_folder, stored
 #: Tasks over shards at most; beyond them a task takes several shards, one after another.
 TASKS = 1 << 15
 
-__all__ = ["by_shard", "discard", "new_path", "numbered", "shared_folder", "stored", "word_count"]
+__all__ = ["by_shard", "discard", "keeps_columns", "new_path", "numbered", "shared_folder", "stored", "word_count"]
 
 #: A word is a longest run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +28,22 @@ def by_shard(rows: DataFrame, shards: int):
     return rows.repartitionById(min(shards, TASKS), F.col("shard")).groupBy("shard")
 
 
+#: The columns of documents, which stages look at.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage):
+    """A stage of the pipeline for documents with further columns of any name, which come out as they went in."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        aside = [c if c in DOCUMENT else f"extra_{k}" for k, c in enumerate(names)]
+        return stage(spark, docs.toDF(*aside), sf_dir).toDF(*names)
+
+    return run
+
+
 def word_count(text: Column) -> Column:
     """Words in a text as BIGINT; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

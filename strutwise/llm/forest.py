@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strutwise.llm.batches import by_size
-from strutwise.llm.common import by_shard, stored
+from strutwise.llm.common import by_shard, keeps_columns, stored
 from strutwise.llm.components import components
 from strutwise.llm.words import mixed, sequences, word_hashes
 
@@ -482,6 +482,7 @@ def op5_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "class_id", "class_size", "n_links")
 
 
+@keeps_columns
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each class; the columns of ``docs``, whatever others there are.
 

@@ -7,8 +7,8 @@ held on rows kept back from its fit, and takes the nearest codeword. A text
 whose two nearest codewords lie close together is flagged as ambiguous.
 
 The model is fitted on a bounded sample of labelled rows (``sample`` rows for
-each language, ``SAMPLE_IN_ALL`` at most, drawn by a hash of the id); nothing
-else is sampled.
+each language, ``in_all`` at most, both parameters, drawn by a hash of the id);
+nothing else is sampled.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strutwise.llm.batches import by_size
+from strutwise.llm.common import keeps_columns
 
 BITS = 12
 DIMS = 1 << BITS
-#: Rows fitted on, about: so many for each language, and so many in all.
-SAMPLE, SAMPLE_IN_ALL = 600, 4000
+#: Rows fitted on, about: so many for each language, and so many in all; languages that a model can hold.
+SAMPLE, SAMPLE_IN_ALL, LANGUAGES = 600, 4000, 1000
 #: Texts whose score is below this are flagged as ambiguous.
 AMBIGUOUS = 0.6
 UNKNOWN = "und"
@@ -135,12 +136,17 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 120) ->
     return Model(languages, code, w.astype(np.float32), b.astype(np.float32), trust / trust.sum() * min(3.0, code.shape[1]) if len(languages) > 1 else trust)
 
 
-def sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int, seed: int) -> DataFrame:
-    """About ``sample`` rows for each language by a hash of key and seed, as (language, order, features)."""
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # a row per language
+def sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int, seed: int, in_all: int = SAMPLE_IN_ALL) -> DataFrame:
+    """About ``sample`` rows for each language by a hash of key and seed, ``in_all`` in all, as (language, order, features).
+
+    More than ``LANGUAGES`` distinct labels are no languages: an error.
+    """
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages among the labels")
     if not sizes:
         return None
-    sample = min(sample, SAMPLE_IN_ALL / len(sizes))
+    sample = min(sample, in_all / len(sizes))
     rate = F.create_map(*[F.lit(v) for name, n in sorted(sizes.items()) for v in (name, min(1.0, sample / n))])
     drawn = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = rows.where(drawn < rate[F.col(lang)]).select(
@@ -159,10 +165,10 @@ def sampled(rows: DataFrame, key: str, text: str, lang: str, sample: int, seed:
     return picked.mapInArrow(run, "lang string, at long, x binary")
 
 
-def train(docs: DataFrame, keep: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, seed: int = 7) -> Model:
+def train(docs: DataFrame, keep: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, seed: int = 7, in_all: int = SAMPLE_IN_ALL) -> Model:
     """Fits on the rows that ``keep`` holds for; rows without language, text or letters take no part."""
     rows = docs.where(keep & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    found = sampled(rows, key, text, lang, sample, seed)
+    found = sampled(rows, key, text, lang, sample, seed, in_all)
     got = found.toArrow().sort_by([("at", "ascending"), ("lang", "ascending")]) if found is not None else pa.table({"lang": []})
     labels = got["lang"].to_pylist()
     languages = sorted(set(labels))
@@ -211,7 +217,13 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def op7_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of every whole text of documents, learned from rows that are not held out."""
+    """The language of every whole text of documents, learned from rows that are not held out.
+
+    A text that is null or has no letters is ``und`` with score 0; rows without
+    language are predicted like others. Repeated rows and equal texts get equal
+    results; a null id is not held out. An empty table gives no rows. Columns
+    beyond id, text and language are not read.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs, ~held_out())
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
@@ -229,10 +241,13 @@ def lettered(df: DataFrame, text: str = "text") -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+@keeps_columns
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those predicted ``und`` go. The columns of ``docs``.
 
-    Where no language could be learned, documents with letters stay.
+    Where no language could be learned, documents with letters stay. Null and
+    empty texts go, rows with null in other columns and repeated rows stay as
+    they are, columns of any name are kept. An empty table gives no rows.
     """
     model = train(docs, ~held_out())
     if not model.languages:

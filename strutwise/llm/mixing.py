@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strutwise.llm.common import stored, word_count
+from strutwise.llm.common import keeps_columns, stored, word_count
 
 #: Rows of a block of the flight phase.
 BLOCK = 4096
@@ -198,7 +198,12 @@ def _mover(source: str, seed: int, level: int):
 
 
 def op3_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed by weights 5, 2, 1 to the sum of all sizes, at most 3 times each."""
+    """All documents mixed by weights 5, 2, 1 to the sum of all sizes, at most 3 times each.
+
+    A null or empty text has size 0; a null source is a source, after all
+    others; repeated rows are drawn apart. An empty table gives no rows. Other
+    columns are not read.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", word_count(F.col("text")).alias("size"), "source")
     docs = stored(docs, "sizes")
     return mixed(docs, seed=3).select(
@@ -206,10 +211,14 @@ def op3_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@keeps_columns
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out as the mix takes them; the columns of ``docs``.
 
-    Rows that are equal in id, source and text are one unit, taken together.
+    Rows that are equal in id, source and text are one unit, taken together. A
+    null text has no words and is drawn like others of size 0; a null source is
+    a source, after all others. Columns of any other name are kept. An empty
+    table gives no rows.
     """
     names = docs.columns
     keyed = docs.withColumn("__text", F.xxhash64("text"))

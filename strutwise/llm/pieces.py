@@ -2,9 +2,12 @@
 
 No piece of the model crosses from a character to a following marker (the sign
 that stands for a space), so a text splits into marked words: a run of markers
-and the characters up to the next one. Each distinct marked word is segmented
-once and its ids are joined back by position; the result is that of the library
-on the whole text. A model with pieces that cross markers is encoded whole.
+and the characters up to the next one. Each worker keeps a table of the distinct
+marked words it has met and their ids: a word is segmented once while it is in
+the table, and its ids are joined back by position; the result is that of the
+library on the whole text. The table is bounded: it starts anew beyond
+``batches.CHUNKS`` words, and words longer than ``batches.LONG_CHUNK`` signs are
+segmented each time. A model with pieces that cross markers is encoded whole.
 """
 
 from __future__ import annotations
@@ -80,12 +83,12 @@ def encoded(df: DataFrame, text: str = "text", path: str | None = None, decode:
     """``df`` with ``ids`` (array of int, end id last) and, if asked for, ``decoded`` (string).
 
     A null text is encoded as an empty one: the end id alone, decoded to an
-    empty string. Repeated rows are encoded alike. Columns named ``ids`` and
-    ``decoded`` are replaced, all others kept. The model file is read on each
+    empty string. Repeated rows are encoded alike. Columns named ``ids``
+    and, if asked for, ``decoded`` are replaced, all others kept. The model file is read on each
     executor from ``path``.
     """
     path = path or model_path()
-    df = df.drop("ids", "decoded")
+    df = df.drop("ids", *["decoded"] * decode)
     more = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] + [T.StructField("decoded", T.StringType(), False)] * decode
     at = df.columns.index(text)
 
@@ -100,7 +103,12 @@ def encoded(df: DataFrame, text: str = "text", path: str | None = None, decode:
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole text of documents encoded with an end id and decoded again."""
+    """Every whole text of documents encoded with an end id and decoded again.
+
+    A null or empty text has the end id alone and decodes to an empty string.
+    Texts of any length are whole; repeated rows are alike; other columns are
+    not read; an empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return encoded(docs, decode=True).select(
         "doc_id",
@@ -111,6 +119,10 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with its ids, end id last: the columns of ``docs`` but for the text, ``ids`` and ``n_tokens``."""
+    """Each document with its ids, end id last: the columns of ``docs`` but for the text, ``ids`` and ``n_tokens``.
+
+    A null or empty text has the end id alone; repeated rows stay; columns of
+    any other name are kept. An empty table gives no rows.
+    """
     names = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
     return encoded(docs).select(*[F.col(f"`{c}`") for c in names], "ids", F.size("ids").cast("long").alias("n_tokens"))

@@ -9,7 +9,7 @@ from strutwise.llm.langid import op7_ecoc_language
 from strutwise.llm.mih import OP2_SQL, op2_mih_top_k
 from strutwise.llm.mixing import op3_cube_mix
 from strutwise.llm.pieces import op9_pieces
-from strutwise.llm.sharding import op8_feistel_shards
+from strutwise.llm.sharding import OP8_SQL, op8_feistel_shards
 from strutwise.llm.substrings import OP10_SQL, op10_fm_repeats
 from strutwise.llm.tokenio import op4_huffman_ids
 
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_fm_repeats": op10_fm_repeats,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_windows": OP1_SQL, "op2_mih_top_k": OP2_SQL, "op5_forest_join": OP5_SQL, "op10_fm_repeats": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_chat_windows": OP1_SQL, "op2_mih_top_k": OP2_SQL, "op5_forest_join": OP5_SQL, "op8_feistel_shards": OP8_SQL, "op10_fm_repeats": OP10_SQL}

@@ -5,7 +5,8 @@ Row number ``r`` of ``n`` goes to position ``p = permute(r)``, a bijection on
 differ by one row at most, slots have no gaps, and both follow from ``r``, ``n``
 and the seed alone, so any row can be found without a table.
 
-The Feistel network runs on pairs (l, r) with ``l < a``, ``r < b`` and
+Its round function is the head of an MD5 sum, which any engine can repeat. The
+Feistel network runs on pairs (l, r) with ``l < a``, ``r < b`` and
 ``a * b`` just above ``n``; values at or above ``n`` are walked along their
 cycle until they fall below it. Everything is a column expression.
 """
@@ -35,13 +36,18 @@ def _div(x: Column, by: int) -> Column:
     return F.call_function("div", x, F.lit(by))
 
 
+def _drawn(x: Column, seed: int, turn: int) -> Column:
+    """A number below 2**32 that depends on a number, the seed and the round alone: the head of an MD5 sum."""
+    return F.conv(F.substring(F.md5(F.concat(x.cast("string"), F.lit(f":{seed}:{turn}"))), 1, 8), 16, 10).cast("long")
+
+
 def _once(x: Column, a: int, b: int, seed: int) -> Column:
     left, right = _div(x, b), x % F.lit(b)
     for k in range(ROUNDS):
         if k % 2 == 0:
-            left = (left + F.pmod(F.xxhash64(right, F.lit(seed), F.lit(k)), F.lit(a))) % F.lit(a)
+            left = (left + _drawn(right, seed, k)) % F.lit(a)
         else:
-            right = (right + F.pmod(F.xxhash64(left, F.lit(seed), F.lit(k)), F.lit(b))) % F.lit(b)
+            right = (right + _drawn(left, seed, k)) % F.lit(b)
     return left * F.lit(b) + right
 
 
@@ -77,7 +83,12 @@ def sharded(df: DataFrame, order: list[Column], shards: int, seed: int = 0) -> D
 
 
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards 0 to 15 under the law ``rows``."""
+    """All documents in shards 0 to 15 under the law ``rows``.
+
+    Row numbers follow id, size and checksum; a null id comes first, a null
+    text has size 1. Repeated rows are placed one by one. An empty table gives
+    no rows. Other columns are not read.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
@@ -92,3 +103,42 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _round_sql(turn: int) -> str:
+    mine, other, side = (("l", "r", "a"), ("r", "l", "b"))[turn % 2]
+    return f"r{turn + 1} AS (SELECT x, a, b, {other}, ({mine} + ('0x' || md5({other}::VARCHAR || ':8:{turn}')[1:8])::BIGINT) % {side} AS {mine} FROM r{turn})"
+
+
+#: The permutation of all cells by its rounds, walks along its cycles, and checksums byte by byte.
+OP8_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i, i AS v, 0 AS k FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS i)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+), bytes AS (
+  SELECT list(v ORDER BY i) AS known FROM bits WHERE k = 8
+), read AS (
+  SELECT doc_id, (coalesce(strlen(text), 0) + 1)::BIGINT AS size,
+    CASE WHEN coalesce(text, '') = '' THEN []::BIGINT[]
+      ELSE list_transform(string_split(rtrim(regexp_replace(hex(encode(text)), '(..)', '\1 ', 'g')), ' '), lambda x: ('0x' || x)::BIGINT) END AS raw
+  FROM documents
+), docs AS (
+  SELECT doc_id, size, xor(list_reduce(raw, lambda c, x: xor(c >> 8, known[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM read, bytes
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS row, count(*) OVER () AS n FROM docs
+), grid AS (
+  SELECT n, floor(sqrt(n - 1))::BIGINT + 1 AS a, ceil(n / (floor(sqrt(n - 1)) + 1))::BIGINT AS b FROM (SELECT count(*) AS n FROM documents)
+), r0 AS (
+  SELECT x, a, b, x // b AS l, x % b AS r FROM (SELECT unnest(generate_series(0, a * b - 1)) AS x, a, b FROM grid)
+), """ + ", ".join(_round_sql(k) for k in range(ROUNDS)) + f""", turned AS (
+  SELECT x, l * b + r AS y FROM r{ROUNDS}
+), walked AS (
+  SELECT row, y, n FROM numbered JOIN turned ON x = row
+  UNION ALL
+  SELECT w.row, t.y, w.n FROM walked w JOIN turned t ON t.x = w.y WHERE w.y >= w.n
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (y % 16)::INT AS shard, y // 16 AS slot, NULL::INT AS grown_shard
+FROM numbered JOIN walked USING (row) WHERE y < walked.n
+"""

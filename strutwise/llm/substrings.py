@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strutwise.llm.batches import by_size
-from strutwise.llm.common import by_shard, discard, stored
+from strutwise.llm.common import by_shard, discard, keeps_columns, stored
 from strutwise.llm.fmindex import FMIndex
 from strutwise.llm.words import mixed, sequences, sliding_min, word_hashes
 
@@ -454,7 +454,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     gives the text itself, cut where words were removed and unchanged where
     none was (then null stays null). A null text has no words. A null id comes
     after all others; rows with the same id never take words from each other,
-    and equal rows are treated alike. Windows are judged on the input.
+    and equal rows are treated alike. Windows are judged on the input. Other
+    columns are kept, also those named like the ones used here; ``n_words``,
+    ``n_removed`` and ``kept_as`` are replaced. An empty table gives no rows.
     """
     if length <= GRAM:
         raise ValueError(f"windows need more than {GRAM} words")
@@ -485,6 +487,7 @@ def op10_fm_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 PASSAGE = 50
 
 
+@keeps_columns
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 50 words or more that an earlier document has; the columns of ``docs``.
 

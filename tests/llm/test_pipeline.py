@@ -17,6 +17,17 @@ def test_stages_on_odd_documents(spark, docs, none):
         assert {"doc_id", "ids"} <= set(P.STAGES[-1][1](spark, now, "").columns)
 
 
+def test_stages_keep_columns_of_any_name(spark, clashing, rows):
+    now = clashing.withColumn("__text", F.lit("own"))
+    for name, stage in P.STAGES[:-1]:
+        now = stage(spark, now, "")
+        assert now.columns == [*clashing.columns, "__text"], name
+    left = now.select("units", "hash", "score", "__text").distinct().collect()
+    assert left == [("own units", "own hash", "own score", "own")]
+    last = P.STAGES[-1][1](spark, now, "")
+    assert set(last.columns) == {*clashing.columns, "__text", "ids", "n_tokens"} - {"text"}
+
+
 def test_run(spark, sf):
     got = P.run(spark, sf)
     assert got.count() > 100 and got.where(F.element_at("ids", -1) != 2).count() == 0
@@ -31,6 +42,7 @@ def test_sql(spark, sf):
     for f in glob.glob(f"{sf}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS FROM '{f}'")
     for name, sql in ORACLE_SQL.items():
-        want = con.sql(sql).df()
-        got = QUERIES[name](spark, sf).toPandas()[list(want.columns)]
-        assert sorted(map(str, got.itertuples(index=False, name=None))) == sorted(map(str, want.itertuples(index=False, name=None))), name
+        want, df = con.sql(sql), QUERIES[name](spark, sf)
+        assert sorted(df.columns) == sorted(want.columns), name
+        got = [str(tuple(r)) for r in df.select(*want.columns).collect()]
+        assert sorted(got) == sorted(str(r) for r in want.fetchall()), name

@@ -41,3 +41,8 @@ def test_empty(none):
 def test_query(spark, sf):
     got = op8_feistel_shards(spark, sf)
     assert got.agg(F.max("shard"), F.count_distinct("doc_id") == F.count("*")).first() == (15, True)
+
+
+def test_main_path_has_no_python(spark, sf):
+    plan = op8_feistel_shards(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

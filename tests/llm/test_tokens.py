@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -50,6 +51,15 @@ def test_ids_are_those_of_the_library():
         assert engine(t).tolist() == engine.library.encode(t, add_special_tokens=False).ids
 
 
+def test_the_faster_engine_needs_merges_in_order_of_ids():
+    with open(K.tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert K.same_order(spec) and K.tokens(K.tokenizer_path()).fast is not None
+    merges = spec["model"]["merges"]
+    swapped = {**spec, "model": {**spec["model"], "merges": [merges[1], merges[0], *merges[2:]]}}
+    assert not K.same_order(swapped) and not K.same_order({**spec, "normalizer": {"type": "NFC"}})
+
+
 @pytest.mark.parametrize("n,kinds", [(0, 5), (1, 5), (2, 2), (1000, 300), (30_000, 50_000)])
 def test_codes(n, kinds):
     ids = np.minimum(np.random.default_rng(n).zipf(1.2, n) - 1, kinds - 1)
