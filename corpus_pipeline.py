@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strutwise.llm.common import stored
 from strutwise.llm.forest import near_duplicate_stage
 from strutwise.llm.langid import language_stage
 from strutwise.llm.mixing import mix_stage
 from strutwise.llm.pieces import encode_stage
 from strutwise.llm.substrings import passage_stage
+from strutwise.sources.storage import alone, written
 
 STAGES = [
     ("language", language_stage),
@@ -30,8 +30,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; the rows of the last."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
-    return stored(STAGES[-1][1](spark, docs, sf_dir), f"stage-{STAGES[-1][0]}")
+    """All stages over the documents of ``sf_dir``; the rows of the last.
+
+    Each stage's result takes the place of what it and the stage before it
+    wrote. Nulls, empty tables and columns of other names are as the stages say.
+    """
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), written()
+    for name, stage in STAGES:
+        docs = alone(stage(spark, docs, sf_dir), f"stage-{name}", since)
+    return docs

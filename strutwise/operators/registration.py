@@ -244,7 +244,7 @@ def detected(blocks: DataFrame, shape: tuple[int, int, int], threshold: float, s
                         out += [(r, at, *kept.shape, np.packbits(kept).tobytes()) for r in runs if at < first + (r + 1) * run + halo]
             yield pd.DataFrame(out, columns=["r", "at", "ny", "nx", "mask"])
 
-    def label(key, table: pd.DataFrame) -> pd.DataFrame:
+    def label(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
         begin, own = int(key[0]) * run + first, table.sort_values("at")
         ny, nx, base = int(own.ny.iloc[0]), int(own.nx.iloc[0]), int(own["at"].iloc[0])
         small = np.stack([np.unpackbits(np.frombuffer(m, np.uint8), count=ny * nx).reshape(ny, nx) for m in own["mask"]]).astype(bool)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strutwise.operators import classify as C
 from strutwise.operators import evaluate as E
+from strutwise.operators import registration as G
 from strutwise.operators import review as R
 from strutwise.operators import strut_metrics as M
 from strutwise.plans import views as V
@@ -101,6 +102,15 @@ def rod_metrics(spark, d):
                        F.col("interior_maximum").alias("most"), F.col("interior_median").alias("middle"))
 
 
+@query("node_detection", "WITH RECURSIVE " + _GRID.removeprefix("WITH ") + f""", t AS (SELECT z, y, x, (z*{SHAPE[1]}+y)*{SHAPE[2]}+x AS id FROM v WHERE value>=14),
+e AS (SELECT a.id AS u, b.id AS w FROM t a JOIN t b ON abs(a.z-b.z)+abs(a.y-b.y)+abs(a.x-b.x)<=1),
+r AS (SELECT u, w FROM e UNION SELECT r.u, e.w FROM r JOIN e ON r.w=e.u), lab AS (SELECT u AS id, min(w) AS part FROM r GROUP BY u)
+SELECT {rounded('avg(z::DOUBLE)', 'z')}, {rounded('avg(y::DOUBLE)', 'y')}, {rounded('avg(x::DOUBLE)', 'x')}, count(*)::BIGINT AS size FROM t JOIN lab USING (id) GROUP BY part HAVING count(*) BETWEEN 2 AND 999""")
+def node_detection(spark, d):
+    found = G.detected(_volume(spark, d), SHAPE, 14, step=1, margin=0.0, least_distance=1.0, run=3, halo=SHAPE[0])
+    return found.select("z", "y", "x", "size")
+
+
 # --- lattice, metrics, profile, label and id documents ---------------------------
 
 

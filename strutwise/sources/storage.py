@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: str | None = None
+#: Tables that this process wrote and didn't delete, in order.
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,17 +29,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/strutwise/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _written.remove(path)
+
+
 def discard(table: DataFrame) -> None:
     """Deletes a table of :func:`stored` that nothing reads any more."""
-    spark = table.sparkSession
-    own = f"{shared_folder(spark)}/strutwise/"
-    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if own.split("://")[-1] in folder:
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files = table.inputFiles()
+    for path in [p for p in _written if any(p.rsplit("/", 1)[1] in f for f in files)]:
+        _delete(table.sparkSession, path)
+
+
+def alone(df: DataFrame, name: str, since: int) -> DataFrame:
+    """``df`` as a table of :func:`stored`, in place of all tables written after ``since`` (a value of :func:`written`)."""
+    kept = stored(df, name)
+    for path in _written[since:-1]:
+        _delete(df.sparkSession, path)
+    return kept
+
+
+def written() -> int:
+    return len(_written)
 
 
 def put(spark: SparkSession, name: str, body: bytes) -> str:

@@ -351,3 +351,16 @@ def test_bundles(tmp_path):
     assert D.publish_bundle(folder, {"a.csv": "1\n", "b.json": "{}"}) and not D.publish_bundle(folder, {"b.json": "{}", "a.csv": "1\n"})
     with pytest.raises(FileExistsError):
         D.publish_bundle(folder, {"a.csv": "2\n"})
+
+
+def test_stored_tables_are_replaced(spark):
+    from strutwise.sources import storage as S
+
+    since = S.written()
+    one = S.stored(spark.range(5), "one")
+    two = S.alone(one.where("id > 2"), "two", since)
+    assert S.written() == since + 1 and two.count() == 2
+    with pytest.raises(Exception):
+        one.count()
+    S.discard(two)
+    assert S.written() == since
