@@ -8,7 +8,9 @@ the k-th verified distance is no more than that.
 
 Distinct codes and distinct query codes are packed into blocks of bounded size;
 each pair of blocks is one group and one search, so a task holds one pair at a
-time. The k nearest of each block are merged.
+time. Each block of queries first meets one block of the index; no k-th nearest
+row lies farther than the k-th found there, so searches in the other blocks end
+once that distance is covered. The k nearest of each block are merged.
 """
 
 from __future__ import annotations
@@ -54,14 +56,18 @@ class SegmentIndex:
             out |= ((codes[:, bit >> 6] >> np.uint64(bit & 63)) & np.uint64(1)).astype(np.int64) << (bit - a)
         return out
 
-    def nearest(self, queries: np.ndarray, k: int, many: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the codes (places, distances) that hold its k nearest rows; code i stands for ``many[i]`` rows."""
+    def nearest(self, queries: np.ndarray, k: int, many: np.ndarray, bound: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the codes (places, distances) that hold its k nearest rows; code i stands for ``many[i]`` rows.
+
+        With ``bound`` only rows within that distance of a query are wanted.
+        """
         found = []
+        bound = np.full(len(queries), self.codes.shape[1] * 64) if bound is None else bound
         for a in range(0, len(queries), AT_ONCE):
-            found += self._some(queries[a : a + AT_ONCE], k, many)
+            found += self._some(queries[a : a + AT_ONCE], k, many, bound[a : a + AT_ONCE])
         return found
 
-    def _some(self, queries, k, many):
+    def _some(self, queries, k, many, bound):
         nq = len(queries)
         seen = np.zeros((nq, self.n), dtype=bool)
         most = self.codes.shape[1] * 64 + 1
@@ -90,7 +96,7 @@ class SegmentIndex:
                     for x, y in zip(cut, np.r_[cut[1:], len(owner)][: len(cut)]):
                         got[owner[x]].append((place[x:y], distance[x:y]))
                 covered = self.m * radius + j
-                live = live[rows_at[live, : covered + 1].sum(axis=1) < wanted]
+                live = live[(rows_at[live, : covered + 1].sum(axis=1) < wanted) & (covered < bound[live])]
             if not len(live):
                 break
         out = []
@@ -100,7 +106,7 @@ class SegmentIndex:
                 continue
             place, distance = (np.concatenate(x) for x in zip(*got[q]))
             last = int(np.searchsorted(np.cumsum(rows_at[q]), wanted))  # the k-th distance; all within it count
-            keep = distance <= last
+            keep = distance <= min(last, int(bound[q]))
             out.append((place[keep], distance[keep]))
         return out
 
@@ -126,7 +132,8 @@ def _pack(table: pa.Table) -> pa.Table:
 
 
 def _pack_queries(table: pa.Table) -> pa.Table:
-    return pa.table({"g": table["g"].slice(0, 1), "queries": pa.array([b"".join(table["code"].to_pylist())], pa.binary())})
+    bounds = np.array(table["bound"].to_pylist(), dtype="<i4").tobytes()
+    return pa.table({"g": table["g"].slice(0, 1), "queries": pa.array([b"".join(table["code"].to_pylist())], pa.binary()), "bounds": pa.array([bounds], pa.binary())})
 
 
 def _search(k: int, width: int):
@@ -137,7 +144,8 @@ def _search(k: int, width: int):
             index = SegmentIndex(np.frombuffer(blocks["codes"][0].as_buffer(), "<u8").reshape(-1, width // 8), width * 8)
             queries = np.frombuffer(asked["queries"][0].as_buffer(), "<u8").reshape(-1, width // 8)
             many = np.array([len(x) for x in ids], dtype=np.int64)
-            for q, (place, distance) in zip(queries, index.nearest(queries, k, many)):
+            bounds = np.frombuffer(asked["bounds"][0].as_buffer(), "<i4").astype(np.int64)
+            for q, (place, distance) in zip(queries, index.nearest(queries, k, many, bounds)):
                 rows = sorted((int(d), i) for p, d in zip(place, distance) for i in ids[p])[:k]
                 out["code"] += [q.tobytes()] * len(rows)
                 out["distance"] += [d for d, _ in rows]
@@ -171,12 +179,24 @@ def hamming_top_k(rows: DataFrame, queries: Column, k: int = 10, index_block: in
     asking = stored(rows.where(queries).select(F.col("id").alias("query_id"), "code").distinct(), "queries")
     asked = asking.select("code").distinct()
     groups = max(1, -(-asked.count() // query_block))
-    packed = asked.withColumn("g", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(groups)).cast("int")).groupBy("g").applyInArrow(_pack_queries, "g int, queries binary")
-    # every block of queries meets every block of the index, a row of each
-    left = index.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = left.groupBy("block", "g").cogroup(right.groupBy("block", "g")).applyInArrow(_search(k, widths[0]), "code binary, distance int, id long")
+    asked = asked.withColumn("g", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(groups)).cast("int"))
     best = Window.partitionBy("code").orderBy("distance", "id")
+
+    def met(queries: DataFrame, pairs: Column) -> DataFrame:
+        """The k nearest rows of queries (``code, g, bound``) in each index block that is paired with theirs."""
+        packed = queries.groupBy("g").applyInArrow(_pack_queries, "g int, queries binary, bounds binary")
+        left = index.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).where(pairs)
+        right = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).where(pairs)
+        return left.groupBy("block", "g").cogroup(right.groupBy("block", "g")).applyInArrow(_search(k, widths[0]), "code binary, distance int, id long")
+
+    farthest = 8 * widths[0]
+    own = F.col("block") == F.col("g") % F.lit(blocks)
+    found = met(asked.withColumn("bound", F.lit(farthest)), own)
+    if blocks > 1:  # the first block's k-th distance bounds the search in all others
+        found = stored(found, "nearest")
+        kth = found.groupBy("code").agg(F.count("*").alias("n"), F.max("distance").alias("far")).where(F.col("n") == k)
+        bounded = asked.join(kth.select("code", "far"), "code", "left").select("code", "g", F.coalesce("far", F.lit(farthest)).alias("bound"))
+        found = found.unionByName(met(bounded, ~own))
     top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return asking.join(top, "code").select("query_id", "rank", "id", "distance")
 

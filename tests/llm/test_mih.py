@@ -41,6 +41,17 @@ def test_search_stops_once_covered():
     assert distance.min() == 0 and 0 in place and len(place) < 50
 
 
+def test_a_bound_ends_the_search():
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 1 << 63, (3000, 1), dtype=np.uint64)
+    queries = rng.integers(0, 1 << 63, (50, 1), dtype=np.uint64)
+    index, many = M.SegmentIndex(codes, 64), np.ones(3000, dtype=np.int64)
+    far = np.bitwise_count(queries ^ codes.T)
+    bound = np.sort(far, axis=1)[:, 4].astype(np.int64)
+    for q, (place, distance) in enumerate(index.nearest(queries, 10, many, bound)):
+        assert sorted(place) == np.flatnonzero(far[q] <= bound[q]).tolist() and (distance == far[q][place]).all()
+
+
 def test_sign_codes(spark):
     rows = [(1, [0.5, -1.0, 0.0]), (2, None), (3, []), (4, [None, 2.0, 1.0]), (None, [1.0, 1.0, 1.0])]
     got = {r.id: r.code[0] for r in M.sign_codes(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v").collect()}
