@@ -99,7 +99,7 @@ def _ordered(turns: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skip"), F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("moved"), F.first("place").over(along).alias("first"),
     ).where("parts > 1").drop("parts")
     heads = placed.select(F.col("place").alias("first"), F.struct("system", "uid", "tokens").alias("opening"))
-    offsets = moved.join(heads, "first").drop("first")
+    offsets = heads.join(F.broadcast(moved), "first").drop("first")
     return local.join(F.broadcast(offsets), [*_CONV, "part"], "left").select(
         *_CONV, "uid", "tokens", (F.col("pos") + F.coalesce("skip", F.lit(0))).alias("pos"),
         (F.col("before") + F.coalesce("moved", F.lit(0))).alias("before"), F.coalesce("opening", "head").alias("head"),
