@@ -24,11 +24,13 @@ def _square(a: str, b: str):
     return sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * (F.col(f"{a}{c}") - F.col(f"{b}{c}")) for c in "xyz"), F.lit(0.0))
 
 
-def _cell_size(spots: DataFrame) -> float:
-    """The side of a cell that holds two spots on average, of the box around all."""
+def _cell_size(spots: DataFrame) -> float | None:
+    """The side of a cell that holds two spots on average, of the box around all; None without spots."""
     low_high = [f(c) for c in "xyz" for f in (F.min, F.max)]
     n, *ends = spots.agg(F.count("*"), *low_high).first()
-    spans = [b - a for a, b in zip(ends[::2], ends[1::2]) if b > a] if n else []
+    if not n:
+        return None
+    spans = [b - a for a, b in zip(ends[::2], ends[1::2]) if b > a]
     return math.prod(s * (2 / n) ** (1 / len(spans)) for s in spans) ** (1 / len(spans)) if spans else 1.0
 
 
@@ -39,15 +41,17 @@ def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -
     the cell size (from extent and number of the targets, if not given) is the
     nearest there is. Sources without one look again with three times the size,
     so each round joins fewer rows. Targets that share one place are joined
-    once, as their least id. Without targets the result is empty.
+    once, as their least id. Places that aren't finite take no part. Without
+    targets the result is empty.
     """
-    known = "x is not null and y is not null and z is not null"
+    known = " and ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in "xyz")
     spots = stored(targets.where(known).groupBy("x", "y", "z").agg(F.min("id").alias("target")), "spots")
     left = sources.where(known).select("id", "x", "y", "z")
     none = left.select("id", F.lit(None).cast("long").alias("target"), F.lit(None).cast("double").alias("distance")).limit(0)
-    if spots.limit(1).count() == 0:
+    size = _cell_size(spots)
+    if size is None:
         return none
-    cell, done = cell or _cell_size(spots), None
+    cell, done = cell or size, None
     while True:
         near = _cells(spots, cell, True).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
         met = _cells(left, cell, False).join(near, ["cx", "cy", "cz"], "left")

@@ -51,6 +51,8 @@ def test_nearest_without_targets_nulls_and_ties(spark):
     b = spark.createDataFrame([(8, 1.0, 0.0, 0.0), (5, -1.0, 0.0, 0.0), (9, 1.0, 0.0, 0.0)], schema)
     assert {tuple(r) for r in N.nearest(a, b, 0.5).collect()} == {(1, 5, 1.0), (2, 8, 999.0)}
     assert N.nearest(a, b.limit(0), 0.5).count() == 0 == N.nearest(a.limit(0), b, 0.5).count()
+    odd = spark.createDataFrame([(70, float("nan"), 0.0, 0.0), (71, float("inf"), 0.0, 0.0), (72, None, 0.0, 0.0)], "id long, x double, y double, z double")
+    assert N.nearest(a.unionByName(odd), b.unionByName(odd), 0.5).count() == N.nearest(a, b).count() == 2
     kept = N.trimmed(N.nearest(a, b, 0.5), 0.5)
     assert kept.count() == 2
 
