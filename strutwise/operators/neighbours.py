@@ -14,10 +14,10 @@ _AROUND = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)
 
 
 def _cells(points: DataFrame, size: float, around: bool) -> DataFrame:
-    at = lambda c, k: F.floor(F.col(c) / F.lit(size)).cast("long") + k
+    at = lambda c, k: f"cast(floor({c} / {float(size)!r}D) as bigint) + {k}L"
     moves = _AROUND if around else [(0, 0, 0)]
-    cells = F.array(*[F.struct(at("x", a).alias("cx"), at("y", b).alias("cy"), at("z", c).alias("cz")) for a, b, c in moves])
-    return points.withColumn("cell", F.explode(cells)).select(*points.columns, "cell.*")
+    cells = ", ".join(f"named_struct('cx', {at('x', a)}, 'cy', {at('y', b)}, 'cz', {at('z', c)})" for a, b, c in moves)
+    return points.withColumn("cell", F.explode(F.expr(f"array({cells})"))).select(*points.columns, "cell.*")
 
 
 def _square(a: str, b: str):
