@@ -135,6 +135,13 @@ class _Routes:
         more.levels = [*self.levels[:-1], (self.levels[-1][0], hot), (shards, None)]
         return more
 
+    def __getstate__(self) -> dict:
+        return {"length": self.length, "levels": [(n, None if hot is None else np.packbits(hot)) for n, hot in self.levels]}
+
+    def __setstate__(self, state: dict) -> None:
+        self.length = state["length"]
+        self.levels = [(n, None if bits is None else np.unpackbits(bits, count=n).astype(bool)) for n, bits in state["levels"]]
+
     @property
     def bases(self) -> np.ndarray:
         return np.cumsum([0, *(n for n, _ in self.levels)])

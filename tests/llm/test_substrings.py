@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +128,8 @@ def test_a_hot_minimizer_is_split(spark, monkeypatch):
         for s, kind, body in S._slice_rows(np.array([i for i, _ in rows[a : a + 10]]), np.zeros(10, dtype=np.int64), flat, counts, routes):
             sizes[s] = sizes.get(s, 0) + len(body) * (kind == 0)
     assert max(sizes.values()) < sum(sizes.values()) / 8
+    again = pickle.loads(pickle.dumps(routes))
+    assert [n for n, _ in again.levels] == [n for n, _ in routes.levels] and all((a == b).all() for (_, a), (_, b) in zip(again.levels[:-1], routes.levels[:-1]))
     assert got(S.without_repeats(df, slice_bytes=20_000)) == brute(rows, 13)
 
 
