@@ -20,7 +20,8 @@ def duck(sf):
 
 def rows(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
-    return sorted(tuple(None if x is pd.NA or x is None or x != x else str(x) for x in r) for r in frame.itertuples(index=False))
+    shown = (tuple(None if x is pd.NA or x is None or x != x else str(x) for x in r) for r in frame.itertuples(index=False))
+    return sorted(shown, key=str)
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
