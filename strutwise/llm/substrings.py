@@ -3,10 +3,10 @@
 A window is ``length`` consecutive words of one document. A word goes if a
 window that covers it also starts in a document with a smaller id.
 
-Documents are read in slices. Inside a slice equal windows are resolved at
-once: all but those of the smallest document are known to repeat, so a passage
-that very many documents share leaves a slice once. The other windows go to a
-shard by their minimizer, the least of the hashes of their word triples:
+Documents are read in slices. A slice has an FM-index of its own, over windows
+whose hash two of its documents have: all but those of the smallest document
+are known to repeat, so a passage that very many documents share leaves a slice
+once. The other windows go to a shard by their minimizer, the least of the hashes of their word triples:
 neighbouring windows mostly share it and travel as one segment, and equal
 windows always meet. A shard that would get far more than the mean is split: its
 windows go by their two least triple hashes, then three, and so on, for as long
@@ -230,6 +230,34 @@ def _routes(texts: DataFrame, length: int, shards: int, slice_bytes: int) -> _Ro
     return routes
 
 
+def _repeated(ids: np.ndarray, flat: np.ndarray, doc: np.ndarray, first: np.ndarray, at: np.ndarray, window: np.ndarray, length: int) -> np.ndarray:
+    """Whether a window of a slice starts there that a smaller document of the slice has too, for each word.
+
+    Windows whose hash only one document has are left out; the others go
+    through an FM-index whose symbols are 63 bits of the words' hashes.
+    """
+    order, groups = _grouped(window[at])
+    owners = ids[doc[at[order]]]
+    shared = np.minimum.reduceat(owners, groups) < np.maximum.reduceat(owners, groups)
+    asks = np.sort(at[order[np.repeat(shared, np.diff(np.r_[groups, len(at)]))]])
+    del order, owners
+    steps = np.zeros(len(flat) + 1, dtype=np.int32)
+    if len(asks):
+        words = flat >> np.uint64(1)  # one more than a symbol still fits 64 bits
+        key = sliding_min(_grams(words), length - GRAM + 1)[asks]
+        opens = np.flatnonzero(_opened(asks, key, doc[asks]))
+        start, windows = asks[opens], np.diff(np.r_[opens, len(asks)])
+        check = (window[asks] >> np.uint64(32)).astype("<u4")
+        text = words[_taken(start, windows + length - 1)]
+        d = doc[start]
+        # the place of a document stands for its hash, so that spans come back to it alone
+        for _, own, spans in _search(ids[d], d, start - first[d], windows, check, text, length):
+            pairs = np.frombuffer(spans, "<i4").reshape(-1, 2).astype(np.int64) + first[own]
+            np.add.at(steps, pairs[:, 0], 1)
+            np.add.at(steps, pairs[:, 1] - length + 1, -1)
+    return np.cumsum(steps) > 0
+
+
 def _slice_rows(ids: np.ndarray, hashes: np.ndarray, flat: np.ndarray, counts: np.ndarray, routes: _Routes):
     """What a slice sends: bodies of segments for shards (kind 0), and spans that it can settle itself (kind 1)."""
     length = routes.length
@@ -243,23 +271,12 @@ def _slice_rows(ids: np.ndarray, hashes: np.ndarray, flat: np.ndarray, counts: n
     at = np.flatnonzero(inside)
     if not len(at):
         return
-    order, groups = _grouped(window[at])
-    least = np.repeat(np.minimum.reduceat(ids[doc[at[order]]], groups), np.diff(np.r_[groups, len(at)]))
-    # equal windows lie next to each other; where hashes alone are equal, nothing is settled here
-    head = np.repeat(at[order[groups]], np.diff(np.r_[groups, len(at)]))
-    rows = np.flatnonzero(least < ids[doc[at[order]]])
-    here = at[order[rows]]
-    same = np.ones(len(rows), dtype=bool)
-    for k in range(length):
-        same &= flat[here + k] == flat[head[rows] + k]
-    known = np.zeros(len(flat) + 1, dtype=bool)
-    known[here[same]] = True
+    known = _repeated(ids, flat, doc, first, at, window, length)
     begin, end = _runs(known[:n] & inside)
     # a run of windows covers length - 1 words more; runs never cross documents' last windows
     if len(begin):
         d = doc[begin]
         yield -1, 1, _pack(ids[d].view("<u8"), hashes[d].view("<u8"), (begin - first[d]).astype("<u4"), (end - 1 + length - first[d]).astype("<u4"))
-    del order, least, head, rows, here, same
     send = at[~known[at]]
     if not len(send):
         return
