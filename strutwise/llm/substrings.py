@@ -127,19 +127,19 @@ def _folded(least: np.ndarray) -> np.ndarray:
 class _Routes:
     """Shards of windows: levels of (number of shards, which of them are split by one more triple)."""
 
-    def __init__(self, length: int, first: int):
-        self.length, self.levels = length, [(first, None)]
+    def __init__(self, length: int, first: int, gram: int = GRAM):
+        self.length, self.gram, self.levels = length, gram, [(first, None)]
 
     def split(self, hot: np.ndarray, shards: int) -> "_Routes":
-        more = _Routes(self.length, 0)
+        more = _Routes(self.length, 0, self.gram)
         more.levels = [*self.levels[:-1], (self.levels[-1][0], hot), (shards, None)]
         return more
 
     def __getstate__(self) -> dict:
-        return {"length": self.length, "levels": [(n, None if hot is None else np.packbits(hot)) for n, hot in self.levels]}
+        return {"length": self.length, "gram": self.gram, "levels": [(n, None if hot is None else np.packbits(hot)) for n, hot in self.levels]}
 
     def __setstate__(self, state: dict) -> None:
-        self.length = state["length"]
+        self.length, self.gram = state["length"], state["gram"]
         self.levels = [(n, None if bits is None else np.unpackbits(bits, count=n).astype(bool)) for n, bits in state["levels"]]
 
     @property
@@ -151,7 +151,7 @@ class _Routes:
 
     def keys(self, grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Key and shard of the windows that start at ``at``."""
-        many = self.length - GRAM + 1
+        many = self.length - self.gram + 1
         key = sliding_min(grams, many)[at]
         shard = ((key >> np.uint64(8)) % np.uint64(self.levels[0][0])).astype(np.int64)
         for k, (_, hot) in enumerate(self.levels[:-1]):
@@ -207,15 +207,15 @@ def _weigh(routes: _Routes, slice_bytes: int):
     return run
 
 
-def _routes(texts: DataFrame, length: int, shards: int, slice_bytes: int) -> _Routes:
-    """Routes under which no shard is far above the mean, as far as triples can tell windows apart.
+def _routes(texts: DataFrame, length: int, shards: int, slice_bytes: int, gram: int = GRAM, weigh=_weigh) -> _Routes:
+    """Routes under which no shard is far above the mean, as far as triples (or other grams) can tell windows apart.
 
     What comes to the driver is a row for each shard that is too full; what
     goes to the executors is a bit for each shard.
     """
-    routes, mean, before = _Routes(length, shards), None, None
-    while len(routes.levels) <= length - GRAM + 1:
-        weights = texts.mapInArrow(_weigh(routes, slice_bytes), "shard int, words long").groupBy("shard").agg(F.sum("words").alias("words"))
+    routes, mean, before = _Routes(length, shards, gram), None, None
+    while len(routes.levels) <= length - gram + 1:
+        weights = texts.mapInArrow(weigh(routes, slice_bytes), "shard int, words long").groupBy("shard").agg(F.sum("words").alias("words"))
         weights = stored(weights, "weights")
         if mean is None:
             mean = (weights.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]) / shards
