@@ -11,6 +11,7 @@ from strutwise.llm.mixing import op3_cube_mix
 from strutwise.llm.pieces import op9_pieces
 from strutwise.llm.sharding import OP8_SQL, op8_feistel_shards
 from strutwise.llm.substrings import OP10_SQL, op10_fm_repeats
+from strutwise.llm.suffixes import OP11_SQL, op11_suffix_family
 from strutwise.llm.tokenio import op4_huffman_ids
 
 QUERIES = {
@@ -24,6 +25,14 @@ QUERIES = {
     "op8_feistel_shards": op8_feistel_shards,
     "op9_pieces": op9_pieces,
     "op10_fm_repeats": op10_fm_repeats,
+    "op11_suffix_family": op11_suffix_family,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_windows": OP1_SQL, "op2_mih_top_k": OP2_SQL, "op5_forest_join": OP5_SQL, "op8_feistel_shards": OP8_SQL, "op10_fm_repeats": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_windows": OP1_SQL,
+    "op2_mih_top_k": OP2_SQL,
+    "op5_forest_join": OP5_SQL,
+    "op8_feistel_shards": OP8_SQL,
+    "op10_fm_repeats": OP10_SQL,
+    "op11_suffix_family": OP11_SQL,
+}

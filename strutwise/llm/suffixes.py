@@ -443,3 +443,31 @@ def op11_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return without_repeated_bytes(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: All windows as byte strings; removed spans are islands of windows that have an earlier one.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), w AS (
+  SELECT doc_id, i, b[i:i + 99] AS s
+  FROM (SELECT doc_id, b, unnest(generate_series(1, octet_length(b) - 99)) AS i FROM d WHERE octet_length(b) >= 100)
+), m AS (
+  SELECT doc_id, i, first_value((doc_id, i)) OVER (PARTITION BY s ORDER BY doc_id, i) <> (doc_id, i) AS gone FROM w
+), o AS (
+  SELECT doc_id, i, coalesce(i > 100 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS opens FROM m WHERE gone
+), n AS (
+  SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM o
+), s AS (
+  SELECT doc_id, min(i) AS a, max(i) + 99 AS z FROM n GROUP BY doc_id, span
+), g AS (
+  SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS front FROM s
+), k AS (
+  SELECT doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, max(z) AS last,
+    string_agg(CASE WHEN a > front THEN hex(b[front:a - 1]) ELSE '' END, '' ORDER BY a) AS kept
+  FROM g JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || CASE WHEN octet_length(b) > coalesce(last, 0) THEN hex(b[coalesce(last, 0) + 1:octet_length(b)]) ELSE '' END)) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

@@ -1,0 +1,26 @@
+"""Registered queries against their SQL, on the small tables."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+from strutwise.llm import registry
+
+
+@pytest.fixture(scope="module")
+def duck(sf):
+    con = duckdb.connect()
+    for f in glob.glob(f"{sf}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS FROM '{f}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(n for n in registry.ORACLE_SQL if n.startswith(("op11", "op12", "op13"))))
+def test_same_rows(spark, sf, duck, name):
+    got, want = registry.QUERIES[name](spark, sf), duck.sql(registry.ORACLE_SQL[name])
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    rows = lambda table: sorted((tuple(r[c] for c in columns) for r in table), key=str)
+    assert rows(got.collect()) == rows([dict(zip(want.columns, r)) for r in want.fetchall()])
