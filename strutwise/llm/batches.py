@@ -28,6 +28,19 @@ def by_size(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE)
             yield batch.slice(int(a), int(b - a))
 
 
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the texts, one after another, and where each begins and the last ends; a null text is empty."""
+    texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    if not len(texts):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
+    edges = np.frombuffer(offsets, np.int64 if wide else np.int32, len(texts) + 1, texts.offset * (8 if wide else 4)).astype(np.int64)
+    if edges[-1] == edges[0]:
+        return np.zeros(0, dtype=np.uint8), edges - edges[0]
+    return np.frombuffer(data, np.uint8, int(edges[-1] - edges[0]), int(edges[0])), edges - edges[0]
+
+
 class ChunkTable:
     """Distinct chunk -> what ``encode`` makes of it; every distinct chunk is encoded once while it is kept."""
 
