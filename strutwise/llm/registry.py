@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strutwise.llm.chat import OP1_SQL, op1_chat_windows
+from strutwise.llm.divergence import OP13_SQL, op13_divergence
 from strutwise.llm.forest import OP5_SQL, op5_forest_join
 from strutwise.llm.imatch import op6_imatch
 from strutwise.llm.langid import op7_ecoc_language
@@ -13,6 +14,7 @@ from strutwise.llm.sharding import OP8_SQL, op8_feistel_shards
 from strutwise.llm.substrings import OP10_SQL, op10_fm_repeats
 from strutwise.llm.suffixes import OP11_SQL, op11_suffix_family
 from strutwise.llm.tokenio import op4_huffman_ids
+from strutwise.llm.tries import OP12_SQL, op12_prefix_trie
 
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_fm_repeats": op10_fm_repeats,
     "op11_suffix_family": op11_suffix_family,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -35,4 +39,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_feistel_shards": OP8_SQL,
     "op10_fm_repeats": OP10_SQL,
     "op11_suffix_family": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_divergence": OP13_SQL,
 }

@@ -23,13 +23,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strutwise.llm.batches import by_size
+from strutwise.llm.batches import by_size, bytes_of
 from strutwise.llm.common import by_shard
 from strutwise.llm.substrings import LAST, _grouped, _opened, _pack, _Routes, _routes, _runs, _spans_of, _squeezed, _taken, _unpack
 from strutwise.llm.words import mixed, sequences
@@ -48,17 +47,6 @@ _BYTE = np.random.default_rng(23).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of the texts, one after another, and where each begins and the last ends; a null text is empty."""
-    texts = pc.fill_null(texts, "")
-    wide = pa.types.is_large_string(texts.type)
-    _, offsets, data = texts.buffers()
-    edges = np.frombuffer(offsets, np.int64 if wide else np.int32, len(texts) + 1, texts.offset * (8 if wide else 4)).astype(np.int64)
-    if edges[-1] == edges[0]:
-        return np.zeros(0, dtype=np.uint8), edges - edges[0]
-    return np.frombuffer(data, np.uint8, int(edges[-1] - edges[0]), int(edges[0])), edges - edges[0]
-
-
 def _segments(raw: np.ndarray, doc: np.ndarray, routes: _Routes) -> list[np.ndarray]:
     """Segments of a slice: start, windows, key, shard, a hash of the bytes, and whether the key lies in it more than once."""
     length, gram = routes.length, routes.gram
@@ -102,7 +90,7 @@ def _weigh(routes: _Routes, slice_bytes: int):
     def run(batches):
         total: dict[int, int] = {}
         for batch in by_size(batches, "text", slice_bytes):
-            raw, edges = _bytes_of(batch.column(0))
+            raw, edges = bytes_of(batch.column(0))
             doc = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
             _, windows, _, shard, like, _ = _segments(raw, doc, routes)
             _, first = np.unique(like, return_index=True)
@@ -143,7 +131,7 @@ def _send(routes: _Routes, slice_bytes: int):
         for batch in by_size(batches, "text", slice_bytes):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             hashes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            raw, edges = _bytes_of(batch.column(2))
+            raw, edges = bytes_of(batch.column(2))
             doc = np.repeat(np.arange(len(ids)), np.diff(edges))
             start, windows, key, shard, like, again = _segments(raw, doc, routes)
             if not len(start):
