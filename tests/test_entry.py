@@ -34,4 +34,4 @@ def test_operators_stay_without_the_pipeline(tmp_path):
     found = _copy(tmp_path / "repo", "corpus_pipeline.py")
     assert "pipeline" not in found and set(QUERIES) <= found
     if (ROOT / "strutwise" / "llm").is_dir():
-        assert len(found) == len(QUERIES) + 10
+        assert len(found) == len(QUERIES) + 13
