@@ -70,6 +70,55 @@ def squared_distance(mask: np.ndarray) -> np.ndarray:
     return d
 
 
+#: A squared distance to nothing.
+FAR = (1 << 31) - 1
+
+
+def line_distance(mask: np.ndarray) -> np.ndarray:
+    """Squared distance along the first axis of each true cell to the nearest false one in its line; ``FAR`` if there is none."""
+    n = len(mask)
+    place = np.arange(n).reshape(-1, *[1] * (mask.ndim - 1))
+    back = place - np.maximum.accumulate(np.where(mask, -FAR, place), axis=0)
+    on = np.minimum.accumulate(np.where(mask, FAR + n, place)[::-1], axis=0)[::-1] - place
+    least = np.minimum(back, on)
+    return np.where(least >= n, FAR, least * least)
+
+
+def envelope(values: np.ndarray) -> np.ndarray:
+    """The least of ``values[j] + (i - j)**2`` over j for each i of the first axis; ``FAR`` is infinite.
+
+    All lines at once keep the parabolas of their lower envelope on a stack: a
+    new one first removes those that it undercuts wherever they were least.
+    """
+    n, lines = len(values), values.reshape(len(values), -1).astype(np.int64)
+    many = np.arange(lines.shape[1])
+    owner, begins = np.zeros((n + 1, lines.shape[1]), dtype=np.int64), np.full((n + 1, lines.shape[1]), np.inf)
+    top = np.full(lines.shape[1], -1)
+    for q in range(n):
+        todo = many[lines[q] < FAR]
+        start = np.full(lines.shape[1], -np.inf)
+        live = todo
+        while len(live := live[top[live] >= 0]):
+            v = owner[top[live], live]
+            meet = (lines[q, live] + q * q - lines[v, live] - v * v) / (2.0 * (q - v))
+            under = meet <= begins[top[live], live]
+            start[live] = np.where(under, -np.inf, meet)
+            live = live[under]
+            top[live] -= 1
+        top[todo] += 1
+        owner[top[todo], todo], begins[top[todo], todo] = q, start[todo]
+        begins[top[todo] + 1, todo] = np.inf
+    at, out = np.zeros(lines.shape[1], dtype=np.int64), np.full_like(lines, FAR)
+    some = many[top >= 0]
+    for q in range(n):
+        live = some
+        while len(live := live[begins[at[live] + 1, live] < q]):
+            at[live] += 1
+        v = owner[at[some], some]
+        out[q, some] = lines[v, some] + (q - v) ** 2
+    return out.reshape(values.shape)
+
+
 def gaussian(values: np.ndarray, sigma: float, truncate: float = 4.0, reflect: bool = False) -> np.ndarray:
     """Separable Gaussian smoothing; zero outside, or mirrored at the edge with the edge value repeated."""
     radius = int(truncate * sigma + 0.5)

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
+from strutwise.operators import labelling as L
 from strutwise.operators.neighbours import moment_sums
 from strutwise.operators.ranking import numbered
 from strutwise.operators.sampling import central_slices
-from strutwise.sources.volumes import block_array
 
 
 @dataclass(frozen=True)
@@ -218,47 +218,20 @@ def disturbed_suite(spark: SparkSession, p: np.ndarray, q: np.ndarray, start, po
     return {"fits": ["rejected" if r["error"] else "fitted" for r in rows], "spread": spread, "pass": len(places) >= 4 and spread <= most_spread}
 
 
-_DETECTED = "z double, y double, x double, size long"
-
-
-def detected(blocks: DataFrame, shape: tuple[int, int, int], threshold: float, step: int = 2, margin: float = 0.05, least_distance: float = 2.0, least: int = 2, most: int = 999, run: int = 128, halo: int = 32) -> DataFrame:
+def detected(blocks: DataFrame, shape: tuple[int, int, int], threshold: float, step: int = 2, margin: float = 0.05, least_distance: float = 2.0, least: int = 2, most: int = 999, size: int = L.PART) -> DataFrame:
     """Thick places of a downsampled mask as ``id, x, y, z, size`` in full-size voxels.
 
-    Runs of slices with a halo that holds the largest node are labelled side by
-    side, each in a task; a place counts in the run that holds its centre. A
-    task holds a run of the downsampled volume.
+    Distances and components are those of the whole (central) volume, whatever
+    the size of the parts: no place is cut, and none that is too long is taken
+    for a short one.
     """
     first, stop = central_slices(shape[0], margin, step)
-    count = max(1, -(-(stop - first) // run))
-
-    def thin(frames):
-        for f in frames:
-            out = []
-            for row in f.itertuples(index=False):
-                a = block_array(row)
-                for z in range(-row.z0 % step, row.nz, step):
-                    at = (row.z0 + z) // step
-                    if first <= at < stop:
-                        kept = a[z, ::step, ::step] >= threshold
-                        runs = range(max(0, (at - first - halo) // run), min(count, (at - first + halo) // run + 1))
-                        out += [(r, at, *kept.shape, np.packbits(kept).tobytes()) for r in runs if at < first + (r + 1) * run + halo]
-            yield pd.DataFrame(out, columns=["r", "at", "ny", "nx", "mask"])
-
-    def label(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
-        begin, own = int(key[0]) * run + first, table.sort_values("at")
-        ny, nx, base = int(own.ny.iloc[0]), int(own.nx.iloc[0]), int(own["at"].iloc[0])
-        small = np.stack([np.unpackbits(np.frombuffer(m, np.uint8), count=ny * nx).reshape(ny, nx) for m in own["mask"]]).astype(bool)
-        labels, n = K.label(K.squared_distance(small) >= least_distance**2, full=False)
-        sizes = np.bincount(labels.ravel(), minlength=n + 1)
-        at, owner = np.argwhere(labels > 0), labels[labels > 0]
-        centres = np.stack([np.bincount(owner, at[:, k], n + 1) for k in range(3)], axis=1)[1:] / np.maximum(sizes[1:, None], 1) + [base, 0, 0]
-        here = (sizes[1:] >= least) & (sizes[1:] <= most) & (centres[:, 0] >= begin) & (centres[:, 0] < min(begin + run, stop))
-        zyx = centres[here] * step
-        return pd.DataFrame({"z": zyx[:, 0], "y": zyx[:, 1], "x": zyx[:, 2], "size": sizes[1:][here]})
-
-    runs = blocks.mapInPandas(thin, "r int, at int, ny int, nx int, mask binary")
-    found = runs.groupBy("r").applyInPandas(label, _DETECTED)
-    placed, _ = numbered(found, ["z", "y", "x"], "id")
+    small = (max(0, stop - first), -(-shape[1] // step), -(-shape[2] // step))
+    parts = L.mask_parts(blocks, threshold, step, (first, stop), size)
+    core = L.at_least(L.squared_distances(parts, small, size), least_distance**2)
+    found = L.component_sums(L.labelled(core, small, full=False), full=False).where(F.col("size").between(least, most))
+    centre = lambda c, o=0: ((F.col(c) / F.col("size") + o) * step).alias(c)
+    placed, _ = numbered(found.select(centre("z", first), centre("y"), centre("x"), "size"), ["z", "y", "x"], "id")
     return placed.select("id", "x", "y", "z", "size")
 
 

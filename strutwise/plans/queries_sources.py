@@ -39,6 +39,11 @@ def _dense(spark, d) -> np.ndarray:
     return out
 
 
+def _blocks(spark, d, depth: int = 2, dtype: str = "u2"):
+    """The voxel view as a block table that Spark builds slab by slab."""
+    return volumes.blocks_of(V.voxels(spark, d), SHAPE, dtype, depth)
+
+
 def _npy(a: np.ndarray) -> bytes:
     handle = io.BytesIO()
     np.save(handle, a)
@@ -68,12 +73,12 @@ def volume_inspection(spark, d):
 
 @query("volume_histogram", _GRID + "SELECT value::INT AS bin, count(*)::BIGINT AS c FROM v GROUP BY value")
 def volume_histogram(spark, d):
-    return volumes.histogram(_volume(spark, d))
+    return volumes.histogram(_blocks(spark, d))
 
 
 @query("mask_blocks", _GRID + "SELECT z, y, x, (value>=5)::INT::DOUBLE AS value FROM v")
 def mask_blocks(spark, d):
-    return volumes.voxels(volumes.mask(_volume(spark, d, 3 * SHAPE[1] * SHAPE[2]), 5))
+    return volumes.voxels(volumes.mask(_blocks(spark, d, 3), 5))
 
 
 @query("slice_sample", _GRID + "SELECT z, sum(value)::DOUBLE AS total FROM v WHERE z%3=0 GROUP BY z")
@@ -97,7 +102,7 @@ FROM n LEFT JOIN r USING (id) GROUP BY n.id""")
 def rod_metrics(spark, d):
     rods = spark.createDataFrame(_RODS, "id long, ax double, ay double, az double, bx double, by double, bz double")
     policy = M.CorridorPolicy(threshold=10, pad=0.05)
-    rows = M.strut_metrics(rods, _volume(spark, d), SHAPE, 1.0, policy)
+    rows = M.strut_metrics(rods, _blocks(spark, d), SHAPE, 1.0, policy)
     return rows.select("id", "length", F.col("corridor_foreground_fraction").alias("design"), F.col("maximum_axial_gap_samples").alias("gap"), F.col("interior_minimum").alias("least"),
                        F.col("interior_maximum").alias("most"), F.col("interior_median").alias("middle"))
 
@@ -107,7 +112,7 @@ e AS (SELECT a.id AS u, b.id AS w FROM t a JOIN t b ON abs(a.z-b.z)+abs(a.y-b.y)
 r AS (SELECT u, w FROM e UNION SELECT r.u, e.w FROM r JOIN e ON r.w=e.u), lab AS (SELECT u AS id, min(w) AS part FROM r GROUP BY u)
 SELECT {rounded('avg(z::DOUBLE)', 'z')}, {rounded('avg(y::DOUBLE)', 'y')}, {rounded('avg(x::DOUBLE)', 'x')}, count(*)::BIGINT AS size FROM t JOIN lab USING (id) GROUP BY part HAVING count(*) BETWEEN 2 AND 999""")
 def node_detection(spark, d):
-    found = G.detected(_volume(spark, d), SHAPE, 14, step=1, margin=0.0, least_distance=1.0, run=3, halo=SHAPE[0])
+    found = G.detected(_blocks(spark, d), SHAPE, 14, step=1, margin=0.0, least_distance=1.0, size=4)
     return found.select("z", "y", "x", "size")
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strutwise.operators import histogram as H
-from strutwise.operators import lattice as L
+from strutwise.operators import labelling as B
 from strutwise.operators import sampling as P
 from strutwise.plans import views as V
 from strutwise.plans.catalog import query
 from strutwise.plans.views import SHAPE, with_views
+from strutwise.sources.volumes import blocks_of, mask
 
 R = lambda x, name: f"round({x}, 6) + 0.0 AS {name}"
 
@@ -171,19 +172,42 @@ lab AS (SELECT u AS node, min(v) AS component FROM r GROUP BY u)
 
 @query("components_26", _LABELS + "SELECT node, component FROM lab")
 def components_26(spark, d):
-    return L.components(P.voxel_edges(_whole(spark, d), SHAPE))
+    return B.component_cells(_labels(spark, d), SHAPE)
+
+
+def _labels(spark, d):
+    """Components of the mask in parts of 4 cells, so that most of them go on from part to part."""
+    return B.labelled(B.cell_parts(_whole(spark, d), SHAPE, 4), SHAPE)
 
 
 @query("component_filter", _LABELS + "SELECT component, count(*)::BIGINT AS size FROM lab GROUP BY component HAVING count(*) BETWEEN 2 AND 99")
 def component_filter(spark, d):
-    return P.sizes_within(components_26(spark, d), 2, 99)
+    return B.component_sums(_labels(spark, d)).where(F.col("size").between(2, 99)).select("component", "size")
 
 
 @query("label_centroids", _LABELS + f"""SELECT component, {R('avg(t.z::DOUBLE)*2+1', 'z')}, {R('avg(t.y::DOUBLE)*2+1', 'y')}, {R('avg(t.x::DOUBLE)*2+1', 'x')}, count(*)::BIGINT AS size
 FROM lab JOIN t ON lab.node=t.id GROUP BY component""")
 def label_centroids(spark, d):
-    named = _whole(spark, d).withColumn("node", (F.col("z").cast("long") * 32 + F.col("y")) * 32 + F.col("x"))
-    return P.centroids(named.join(components_26(spark, d), "node"), factor=2.0, offset=1.0)
+    sums = B.component_sums(_labels(spark, d))
+    return sums.select("component", *[(F.col(c) / F.col("size") * 2 + 1).alias(c) for c in "zyx"], "size")
+
+
+_TRUE = with_views("v_voxel") + f""", t AS {_WHOLE},
+g AS (SELECT z::INT AS z, y::INT AS y, x::INT AS x FROM (SELECT unnest(generate_series(0, {SHAPE[0] - 1})) AS z), (SELECT unnest(generate_series(0, {SHAPE[1] - 1})) AS y), (SELECT unnest(generate_series(0, {SHAPE[2] - 1})) AS x)),
+f AS (SELECT * FROM g ANTI JOIN t USING (z, y, x))
+"""
+
+
+@query("distance_transform", _TRUE + "SELECT t.z, t.y, t.x, min((t.z-f.z)*(t.z-f.z)+(t.y-f.y)*(t.y-f.y)+(t.x-f.x)*(t.x-f.x))::BIGINT AS value FROM t, f GROUP BY ALL")
+def distance_transform(spark, d):
+    return B.part_cells(B.squared_distances(B.cell_parts(_whole(spark, d), SHAPE, 4), SHAPE, 4))
+
+
+@query("background_distance", _TRUE + """SELECT value, count(*)::BIGINT AS cells FROM (SELECT min((t.z-f.z)*(t.z-f.z)+(t.y-f.y)*(t.y-f.y)+(t.x-f.x)*(t.x-f.x))::BIGINT AS value FROM f, t GROUP BY f.z, f.y, f.x) GROUP BY value""")
+def background_distance(spark, d):
+    full = blocks_of(_whole(spark, d).withColumn("value", F.lit(1)), SHAPE, "u1", 3)
+    empty = B.mask_parts(mask(full, 1, below=True), 1, size=8)
+    return B.part_cells(B.squared_distances(empty, SHAPE, 8)).groupBy("value").agg(F.count("*").alias("cells"))
 
 
 @query("central_window", with_views("v_voxel") + "SELECT z, sum(value)::BIGINT AS total FROM v_voxel WHERE z%2=0 AND z/2.0 >= 1 AND z/2.0 < 3 GROUP BY z")

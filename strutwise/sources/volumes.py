@@ -238,6 +238,20 @@ def voxels(blocks: DataFrame) -> DataFrame:
     return blocks.mapInPandas(run, "z int, y int, x int, value double")
 
 
+def blocks_of(cells: DataFrame, shape: tuple[int, int, int], dtype: str = "u2", depth: int = 1, path: str = "cells") -> DataFrame:
+    """Block table of a volume given as rows ``z, y, x, value``: slabs of ``depth`` slices, 0 where no row is; rows outside the shape are ignored."""
+    slabs = cells.sparkSession.range(0, -(-shape[0] // depth)).select(F.col("id").cast("int").alias("slab"))
+    inside = cells.where(" and ".join(f"{c} between 0 and {n - 1}" for c, n in zip("zyx", shape))).select("z", "y", "x", "value", F.floor(F.col("z") / depth).cast("int").alias("slab"))
+
+    def run(key: tuple, own: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        z0 = int(key[0]) * depth
+        a = np.zeros((min(depth, shape[0] - z0), *shape[1:]), dtype=np.dtype(dtype).newbyteorder("<"))
+        a[f["z"].to_numpy() - z0, f["y"].to_numpy(), f["x"].to_numpy()] = f["value"].to_numpy()
+        return pd.DataFrame([(path, z0, *a.shape, dtype, a.tobytes())], columns=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    return slabs.groupBy("slab").cogroup(inside.groupBy("slab")).applyInPandas(run, BLOCKS)
+
+
 def histogram(blocks: DataFrame) -> DataFrame:
     """``bin, c`` of unsigned 16-bit blocks: one count array per task, then a sum by bin."""
 
@@ -254,13 +268,13 @@ def histogram(blocks: DataFrame) -> DataFrame:
     return blocks.mapInPandas(run, "bin int, c long").groupBy("bin").agg(F.sum("c").alias("c"))
 
 
-def mask(blocks: DataFrame, threshold: float) -> DataFrame:
-    """Blocks of 0 and 1: whether each value reaches the threshold (never for NaN)."""
+def mask(blocks: DataFrame, threshold: float, below: bool = False) -> DataFrame:
+    """Blocks of 0 and 1: whether each value reaches the threshold, or lies ``below`` it (never for NaN)."""
 
     def run(frames):
         for f in frames:
             out = f.copy()
-            out["data"] = [(block_array(r) >= threshold).astype(np.uint8).tobytes() for r in f.itertuples(index=False)]
+            out["data"] = [(block_array(r) < threshold if below else block_array(r) >= threshold).astype(np.uint8).tobytes() for r in f.itertuples(index=False)]
             out["dtype"] = "u1"
             yield out
 

@@ -63,11 +63,23 @@ def test_nodes_of_a_grid(spark, tmp_path):
     got = np.array([(n["z"], n["y"], n["x"]) for n in found])
     d, _ = K.nearest_rows(np.array(places, float), got)
     assert len(found) == 8 and d.max() <= 1.0
-    # runs of few slices find the same places, each once
-    again = R.detected(V.read_volume(spark, str(tmp_path / "v.npy"), slab_cells=40 * 40 * 7), a.shape, 5, margin=0.0, least=1, run=4, halo=8).orderBy("id").collect()
+    # small parts find the same places, each once
+    again = R.detected(V.read_volume(spark, str(tmp_path / "v.npy"), slab_cells=40 * 40 * 7), a.shape, 5, margin=0.0, least=1, size=5).orderBy("id").collect()
     assert [(r.z, r.y, r.x, r.size) for r in again] == [(n["z"], n["y"], n["x"], n["size"]) for n in found]
 
 
+@pytest.mark.parametrize("size", [8, 64, 240])
+def test_a_long_rod_is_no_node(spark, tmp_path, size):
+    a = np.zeros((240, 14, 14), dtype=np.uint16)
+    a[:, 3:12, 3:12] = 9
+    a[100:140, 0:1, 0:1] = 9
+    np.save(tmp_path / "v.npy", a)
+    blocks = V.read_volume(spark, str(tmp_path / "v.npy"), slab_cells=14 * 14 * 50)
+    assert R.detected(blocks, a.shape, 5, step=1, margin=0.0, least_distance=4.0, size=size).count() == 0
+    rod = R.detected(blocks, a.shape, 5, step=1, margin=0.0, least_distance=4.0, most=3000, size=size).collect()
+    assert [(r.z, r.y, r.x) for r in rod] == [(119.5, 7.0, 7.0)] and rod[0].size > 999
+
+
 def test_robustness_of_detection_and_fit(spark, tmp_path):
     grid = np.array([[i, j, k] for i in range(4) for j in range(4) for k in range(4)], float) + np.random.default_rng(1).uniform(-0.1, 0.1, (64, 3))
     true = (9.0, np.eye(3), np.array([8.0, 8.0, 8.0]))
