@@ -2,9 +2,11 @@
 
 Terms are longest runs of letters and digits, in lower case. The lexicon keeps
 terms whose inverse document frequency lies in a band; document frequencies are
-counted over all documents in ``SLOTS`` hash slots, so the lexicon is a bitmap
-of a fixed 128 KB that travels inside the expressions, and no term table is
-joined. A fingerprint has one value for each lexicon subset: the hash of the
+counted exactly, by term, over all documents. At most (mean distinct terms of a
+document) / (the band's lower share) terms can lie in the band, however many
+documents there are, so the lexicon travels inside the expressions: a table in
+which a term can stand in one of two places. Should it have more than ``MOST``
+terms, the terms of each text meet it in a join instead. A fingerprint has one value for each lexicon subset: the hash of the
 sorted distinct terms of the text in it. The first subset is the whole lexicon;
 the others keep a random half down to a 128th of it, so that the smaller ones
 survive edits that change the larger ones.
@@ -13,17 +15,22 @@ survive edits that change the larger ones.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SLOTS = 1 << 20
+from strutwise.llm.common import stored
+
+#: Terms of a lexicon that travels in expressions (some 5 MB); more are joined.
+MOST = 1 << 18
 #: Document frequencies, as shares of all documents, that the lexicon keeps: idf from ln 4 to ln 500.
 BAND = (0.002, 0.25)
 #: Bits that keep a term in each randomised subset: subset k of n bits has one in 2**n terms.
 SUBSETS = (1,) * 4 + (3,) * 4 + (5,) * 8 + (7,) * 16
-#: Bytes of text in a range, whose rows are ordered together, and ranges at most; bytes of text that a task takes.
-RANGE, RANGES, TASK = 4 << 20, 16384, 16 << 20
+#: Bytes of text in a range, whose rows are ordered together, and bytes of text that a task takes. Bounds of ranges travel
+#: in expressions too, 512 KB at most: beyond 256 GB of text ranges are longer, a task each, and stream through their sort.
+RANGE, RANGES, TASK = 4 << 20, 1 << 16, 16 << 20
 #: Bytes of text that one row stands for where the bounds of ranges are found.
 UNIT = 16 << 10
 
@@ -38,33 +45,76 @@ def terms(text: Column) -> Column:
     return F.sort_array(F.array_distinct(_hashes(text)))
 
 
-def _slot(term: Column) -> Column:
-    return F.pmod(term, F.lit(SLOTS))
+class Lexicon(NamedTuple):
+    """The kept terms as a table of two-place hashing, or as rows ``term`` to join."""
 
+    table: Column | None
+    size: int
+    rows: DataFrame | None
 
-def _bit(words: Column, slot: Column) -> Column:
-    return F.getbit(F.get(words, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int")) == 1
 
+def _places(term: int, size: int) -> tuple[int, int]:
+    return term & (size - 1), (term >> 32) & (size - 1)
 
-def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> Column:
-    """The slots whose document frequency lies in the band, as a constant bitmap of SLOTS bits."""
-    total = docs.count()
-    found = docs.select(F.explode(F.array_distinct(F.transform(_hashes(F.col(text)), _slot))).alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
-    kept = found.where(F.col("df").between(max(2, math.ceil(band[0] * total)), max(2, math.floor(band[1] * total))))
-    words = kept.groupBy(F.shiftright("slot", 6).cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
-    bits = dict(words.collect())  # SLOTS / 64 rows at most
-    return F.split(F.lit(",".join(str(bits.get(k, 0)) for k in range(SLOTS // 64))), ",").cast("array<bigint>")
+
+def two_place_table(kept: list[int]) -> list[int]:
+    """Every term in one of its two places, all other places with values that don't belong there; a power of two long."""
+    size = 1 << max(6, (5 * len(kept) // 2).bit_length())
+    while True:
+        table: list[int | None] = [None] * size
+        for term in kept:
+            moving, at = term, _places(term, size)[0]
+            for _ in range(500):
+                moving, table[at] = table[at], moving
+                if moving is None:
+                    break
+                one, other = _places(moving, size)
+                at = other if at == one else one
+            else:
+                break  # no room along this way: a larger table
+        else:
+            # 0 belongs in place 0 only, 2**32 + 1 in place 1 only
+            return [((1 << 32) + 1 if at == 0 else 0) if x is None else x for at, x in enumerate(table)]
+        size *= 2
 
 
-def fingerprint(text: Column, words: Column) -> Column:
+def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> Lexicon:
+    """The terms whose document frequency, as a share of all rows, lies in the band and is 2 or more."""
+    total = docs.count()
+    found = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    kept = found.where(F.col("df").between(max(2, math.ceil(band[0] * total)), max(2, math.floor(band[1] * total)))).select("term")
+    listed = [r.term for r in kept.limit(MOST + 1).collect()]
+    if len(listed) > MOST:
+        return Lexicon(None, 0, stored(kept, "lexicon"))
+    table = two_place_table(sorted(listed))
+    return Lexicon(F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>"), len(table), None)
+
+
+def with_prints(rows: DataFrame, text: str, lexicon: Lexicon, out: str) -> DataFrame:
+    """Adds the fingerprint of a text (see :func:`fingerprint`), by expressions alone or by a join of its terms."""
+    if lexicon.rows is None:
+        return rows.withColumn(out, fingerprint(F.col(text), lexicon))
+    named = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "fingerprint-rows")
+    held = named.select("__row", F.explode(terms(F.col(text))).alias("term")).join(lexicon.rows, "term")
+    inside = held.groupBy("__row").agg(F.sort_array(F.collect_list("term")).alias("__inside"))
+    both = F.struct(terms(F.col(text)).alias("every"), F.coalesce("__inside", F.expr("cast(array() as array<bigint>)")).alias("inside"))
+    return named.join(inside, "__row", "left").withColumn(out, _computed_once(both)).drop("__row", "__inside")
+
+
+def fingerprint(text: Column, lexicon: Lexicon) -> Column:
     """Array of subset hashes; null where a text has no term in a subset.
 
     The first is never null: if no term is in the lexicon it is the hash of all
     terms, so texts that only share having none don't look alike.
     """
-    every = terms(text)
-    inside = F.filter(every, lambda t: _bit(words, _slot(t)))
-    return F.transform(F.array(F.struct(every.alias("every"), inside.alias("inside"))), lambda x: _subsets(x["every"], x["inside"]))[0]
+    every, last = terms(text), F.lit(lexicon.size - 1)
+    held = lambda t, at: F.get(lexicon.table, at.bitwiseAND(last).cast("int")) == t
+    inside = F.filter(every, lambda t: held(t, t) | held(t, F.shiftright(t, 32)))
+    return _computed_once(F.struct(every.alias("every"), inside.alias("inside")))
+
+
+def _computed_once(sets: Column) -> Column:
+    return F.transform(F.array(sets), lambda x: _subsets(x["every"], x["inside"]))[0]
 
 
 def _drawn(subset: int, bits: int):
@@ -92,29 +142,30 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(held, F.lit(0), lambda s, x: s + x).cast("double") / F.size(held)
 
 
-def ranges(docs: DataFrame, key: str, text: str) -> tuple[Column, int]:
-    """The range of each key (higher ranges hold higher keys, null the lowest) and the number of ranges.
+def ranges(docs: DataFrame, key: str, text: str) -> tuple[Column, int, int]:
+    """The range of each key (higher ranges hold higher keys, null the lowest), the number of ranges, and bytes of all texts.
 
     Bounds are quantiles of the keys by the bytes of their texts, so ranges
     hold about equal volumes.
     """
     units = F.ceil((F.coalesce(F.octet_length(text), F.lit(0)) + 1) / F.lit(UNIT)).cast("int")
     weighed = docs.select(F.col(key).alias("__key"), units.alias("__units"))
-    many = min(RANGES, max(1, -(-int(weighed.agg(F.coalesce(F.sum("__units"), F.lit(0))).first()[0]) * UNIT // RANGE)))
+    volume = int(weighed.agg(F.coalesce(F.sum("__units"), F.lit(0))).first()[0]) * UNIT
+    many = min(RANGES, max(1, -(-volume // RANGE)))
     bounds: list[int] = []
     if many > 1:
         shares = [k / many for k in range(1, many)]
         found = weighed.select("__key", F.explode(F.sequence(F.lit(1), F.col("__units")))).agg(F.percentile_approx("__key", shares, 10 * many).alias("b")).first().b or []
         bounds = sorted(set(found))
     if not bounds:
-        return F.when(F.col(key).isNull(), -1).otherwise(0), 1
+        return F.when(F.col(key).isNull(), -1).otherwise(0), 1, volume
     fixed = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
     steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
     place = F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
         lambda at, s: F.when((at + s <= len(bounds)) & (F.get(fixed, at + s - 1) <= F.col(key)), at + s).otherwise(at),
     )
-    return F.when(F.col(key).isNull(), -1).otherwise(place), len(bounds) + 1
+    return F.when(F.col(key).isNull(), -1).otherwise(place), len(bounds) + 1, volume
 
 
 def with_next(docs: DataFrame, key: str, text: str, columns: dict[str, Column]) -> DataFrame:
@@ -127,7 +178,7 @@ def with_next(docs: DataFrame, key: str, text: str, columns: dict[str, Column])
     Rows that tie on key and text are equal in all that is compared, so their
     order doesn't show. Other columns of ``docs`` are left out.
     """
-    place, many = ranges(docs, key, text)
+    place, many, volume = ranges(docs, key, text)
     both = {text: F.col("__text"), **columns}
     placed = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"), (place.cast("int") + 1).alias("__range"))
     # a row per range, RANGES and one at most; the texts of its greatest key, then the greatest of them
@@ -140,7 +191,7 @@ def with_next(docs: DataFrame, key: str, text: str, columns: dict[str, Column])
     lower = tops.select(F.col("__at").alias("__range"), F.coalesce(F.lag("__at").over(down), F.max("__at").over(Window.partitionBy())).alias("__next"))
     extra = lower.join(greatest, F.col("__next") == F.col("__at")).select(F.lit(None).cast("long").alias("__key"), "__text", "__range", F.lit(1).alias("__extra"))
     # a task takes a few ranges; ``columns`` are computed there, so they aren't shuffled
-    tasks = min(many + 1, max(docs.sparkSession.sparkContext.defaultParallelism, many * RANGE // TASK))
+    tasks = min(many + 1, max(docs.sparkSession.sparkContext.defaultParallelism, volume // TASK))
     dealt = placed.withColumn("__extra", F.lit(0)).unionByName(extra).repartitionById(tasks, F.col("__range"))
     rows = dealt.select("__key", "__range", "__extra", F.struct(*[c.alias(n) for n, c in both.items()]).alias("__both"))
     order = Window.partitionBy("__range").orderBy("__extra", F.col("__key").desc_nulls_last(), F.col(f"__both.{text}").desc())
@@ -164,10 +215,12 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     words = lexicon(docs)
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.char_length("text") - half), F.left("next_text", half))
-    rows = (
-        with_next(docs, "doc_id", "text", {"prints": fingerprint(F.col("__text"), words)})
-        .select("doc_id", "prints", "next_prints", F.char_length("text").cast("long").alias("n_chars"), edited.alias("edited"))
-        .withColumn("edited_prints", fingerprint(F.col("edited"), words))
+    if words.rows is None:
+        near = with_next(docs, "doc_id", "text", {"prints": fingerprint(F.col("__text"), words)})
+    else:
+        near = with_prints(with_prints(with_next(docs, "doc_id", "text", {}), "text", words, "prints"), "next_text", words, "next_prints")
+    rows = with_prints(
+        near.select("doc_id", "prints", "next_prints", F.char_length("text").cast("long").alias("n_chars"), edited.alias("edited")), "edited", words, "edited_prints"
     )
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),

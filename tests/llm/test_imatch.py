@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 
 import regex
 import xxhash
@@ -25,16 +26,16 @@ def hashed_terms(text):
 
 def python_prints(texts):
     """Fingerprints by the definition, with Python sets."""
-    slots = {}
+    seen = {}
     for t in texts:
-        for s in {x % I.SLOTS for x in hashed_terms(t)}:
-            slots[s] = slots.get(s, 0) + 1
+        for s in hashed_terms(t):
+            seen[s] = seen.get(s, 0) + 1
     low, high = max(2, math.ceil(I.BAND[0] * len(texts))), max(2, math.floor(I.BAND[1] * len(texts)))
-    kept = {s for s, n in slots.items() if low <= n <= high}
+    kept = {s for s, n in seen.items() if low <= n <= high}
 
     def one(text):
         every = sorted(hashed_terms(text))
-        inside = [x for x in every if x % I.SLOTS in kept]
+        inside = [x for x in every if x in kept]
         values = [chain(map(long, inside)) if inside else chain([*map(long, every), b"all"])]
         for k, bits in enumerate(I.SUBSETS):
             own = [x for x in inside if chain([long(x), k.to_bytes(4, "little")]) % (1 << bits) == 0]
@@ -72,6 +73,43 @@ def test_query(spark, sf, monkeypatch):
     assert near[0] > 5 * near[1]
 
 
+def test_a_large_lexicon_is_joined(spark, sf, monkeypatch):
+    monkeypatch.setattr(I, "MOST", 50)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    check_all(I.op6_imatch(spark, sf), docs)
+
+
+def test_texts_with_very_many_terms_have_no_lexicon_by_chance(spark):
+    # every term is in one document only: nothing lies in the band, however full a table of slots would be
+    docs = spark.range(0, 600, 1, 6).select(
+        F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3999)), lambda k: F.concat(F.lit("w"), F.col("id"), F.lit("x"), k)), " ").alias("text")
+    )
+    words = I.lexicon(docs)
+    table = spark.range(1).select(words.table.alias("t")).first().t
+    assert len(table) == words.size == 64 and all(at not in I._places(x, 64) for at, x in enumerate(table))
+
+
+def test_two_place_tables():
+    rng = random.Random(1)
+    for n in (0, 1, 40, 3000):
+        kept = sorted({rng.getrandbits(64) - (1 << 63) for _ in range(n)} | ({0} if n else set()))
+        table = I.two_place_table(kept)
+        size = len(table)
+        has = lambda t: t in (table[t & (size - 1)], table[(t >> 32) & (size - 1)])
+        assert size & (size - 1) == 0 and all(map(has, kept))
+        assert not any(has(t) for t in [*range(1, 200), *(rng.getrandbits(64) - (1 << 63) for _ in range(2000))])
+
+
+def test_ranges_and_tasks_beyond_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(I, "RANGES", 4)
+    monkeypatch.setattr(I, "RANGE", 40)
+    monkeypatch.setattr(I, "TASK", 10)
+    monkeypatch.setattr(I, "UNIT", 10)
+    rows = [(k, f"t{k}") for k in range(300)]
+    got = {r.doc_id: r.next_text for r in I.with_next(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", {}).collect()}
+    assert got == {k: f"t{(k - 1) % 300}" for k in range(300)}
+
+
 def test_odd_rows_and_clashing_columns(clashing, none, rows):
     names = ["__key", "__text", "__range", "__both", "__lead", "__at", "__top", "next_text", "edited", "half"]
     wide = clashing.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
