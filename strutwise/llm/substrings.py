@@ -55,10 +55,10 @@ _SENT = "shard int, kind int, body binary"
 _SPANS = "id long, hash long, spans binary"
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def _pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays with their types and lengths, compressed."""
     heads = b"".join(np.array([a.dtype.itemsize, len(a)], dtype="<u4").tobytes() for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(np.array([len(arrays)], dtype="<u4").tobytes() + heads + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=level).compress(np.array([len(arrays)], dtype="<u4").tobytes() + heads + b"".join(a.tobytes() for a in arrays))
 
 
 def _unpack(body: bytes) -> list[np.ndarray]:

@@ -4,7 +4,7 @@ A window is ``length`` consecutive bytes of one text. A byte goes if a window
 that covers it also starts earlier: in a document with a smaller id, or further
 in front in its own.
 
-Windows go to a shard by the least hash of their 24-byte grams; neighbours
+Windows go to a shard by the least hash of their 16-byte grams; neighbours
 mostly share it and travel as one segment, and equal windows always meet. A
 slice of documents sends each distinct segment once: equal ones (compared byte
 by byte) behind the first are settled where they are, so a passage that very
@@ -34,7 +34,7 @@ from strutwise.llm.substrings import LAST, _grouped, _opened, _pack, _Routes, _r
 from strutwise.llm.words import mixed, sequences
 
 #: Bytes of a window, and of the grams that route it.
-WINDOW, GRAM = 100, 24
+WINDOW, GRAM = 100, 16
 #: Bytes of text in a slice, for each shard, and in a batch of a shard.
 SLICE_BYTES, SHARD_BYTES, BATCH = 4 << 20, 8 << 20, 1 << 18
 #: Bytes that are hashed at once.
@@ -164,8 +164,8 @@ def _send(routes: _Routes, slice_bytes: int):
                 marked = windows[own] << 1 | again[own]
                 out[0].append(int(shard[own[0]]))
                 out[1].append(_pack(
-                    ids[rows].view("<u8"), hashes[rows].astype("<u4"), np.diff(np.r_[0, index]).astype("<u4"), inside[own].astype("<u4"),
-                    marked.astype("<u4" if marked.max() >= 1 << 16 else "<u2"), key[own].astype("<u4"), raw[_taken(start[own], size[own])],
+                    ids[rows].view("<u8"), hashes[rows].astype("<u4"), np.diff(index, prepend=0).astype("<u2" if len(docs) < 1 << 16 else "<u4"), np.diff(inside[own], prepend=0).astype("<u4"),
+                    marked.astype("<u4" if marked.max() >= 1 << 16 else "<u2"), key[own].astype("<u4"), raw[_taken(start[own], size[own])], level=3,
                 ))
                 if len(out[0]) == 64 or b == len(order):
                     yield pa.RecordBatch.from_pydict({"shard": pa.array(out[0], pa.int32()), "kind": pa.array([0] * len(out[0]), pa.int32()), "body": pa.array(out[1], pa.binary())})
@@ -310,7 +310,8 @@ def _matched(routes: _Routes, batch_bytes: int):
             index = [np.cumsum(x[2].astype(np.int64)) for x in sent]
             ids = np.concatenate([x[0].view(np.int64)[k] for x, k in zip(sent, index)])
             hashes = np.concatenate([x[1].astype(np.int64)[k] for x, k in zip(sent, index)])
-            start, marked = (np.concatenate([x[k] for x in sent]).astype(np.int64) for k in (3, 4))
+            start = np.concatenate([np.cumsum(x[3], dtype=np.uint32) for x in sent]).astype(np.int64)
+            marked = np.concatenate([x[4] for x in sent]).astype(np.int64)
             key, text = (np.concatenate([x[k] for x in sent]) for k in (5, 6))
             del sent, index
             found += _search(ids, hashes, start, marked >> 1, key, (marked & 1).astype(bool), text, length, batch_bytes)

@@ -101,8 +101,8 @@ def test_shared_passages_over_slices_batches_and_levels(spark, kinds):
 def test_a_hot_key_is_split(spark):
     rng = np.random.default_rng(3)
     letters = lambda k: "".join(chr(97 + x) for x in rng.integers(0, 26, k))
-    grams = [letters(24) for _ in range(1500)]
-    least = min(grams, key=lambda g: S.sequences(S._BYTE[np.frombuffer(g.encode(), np.uint8)], 24)[0])
+    grams = [letters(S.GRAM) for _ in range(1500)]
+    least = min(grams, key=lambda g: S.sequences(S._BYTE[np.frombuffer(g.encode(), np.uint8)], S.GRAM)[0])
     passage = letters(50)
     rows = [(i, "".join((passage if rng.random() < 0.2 else letters(50)) + least for _ in range(20))) for i in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
