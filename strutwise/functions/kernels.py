@@ -229,8 +229,9 @@ def nearest_rows(p: np.ndarray, targets: np.ndarray, step: int = 1024) -> tuple[
 def trimmed_fit(p: np.ndarray, targets: np.ndarray, start, keep: float = 0.7, rounds: int = 60, still: float = 1e-5):
     """Iterated closest points on the best ``keep`` share of pairs: (transform, objective, rounds, settled).
 
-    Each round measures before it refits; it ends when the mean changes by less
-    than ``still``. The objective is the mean of the kept final distances.
+    Each round measures, then refits; the last is the one whose mean differs by
+    less than ``still`` from that before. The objective is the mean of the kept
+    final distances.
     """
     transform, last, settled, k = start, np.inf, False, 0
     size = max(min(4, len(p)), int(np.ceil(len(p) * keep - 1e-9)))
@@ -238,11 +239,11 @@ def trimmed_fit(p: np.ndarray, targets: np.ndarray, start, keep: float = 0.7, ro
         d, at = nearest_rows(apply(transform, p), targets)
         order = np.argsort(d, kind="stable")[:size]
         mean = float(d[order].mean())
+        transform = similarity(p[order], targets[at[order]])
         if abs(last - mean) < still:
             settled = True
             break
         last = mean
-        transform = similarity(p[order], targets[at[order]])
     d, _ = nearest_rows(apply(transform, p), targets)
     return transform, float(np.sort(d)[:size].mean()), k, settled
 

@@ -34,6 +34,32 @@ def _cell_size(spots: DataFrame) -> float | None:
     return math.prod(s * (2 / n) ** (1 / len(spans)) for s in spans) ** (1 / len(spans)) if spans else 1.0
 
 
+_KNOWN = " and ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in "xyz")
+
+
+def spots_of(targets: DataFrame) -> tuple[DataFrame, float | None]:
+    """Distinct finite places of targets with the least id of each (a stored table), and a cell size for them; None without any."""
+    spots = stored(targets.where(_KNOWN).groupBy("x", "y", "z").agg(F.min("id").alias("target")), "spots")
+    return spots, _cell_size(spots)
+
+
+def nearest_spots(left: DataFrame, spots: DataFrame, cell: float, keys: list[str]) -> DataFrame:
+    """``keys, x, y, z, target, distance, tx, ty, tz`` for sources ``keys, x, y, z`` (finite, keys unique), as :func:`nearest` finds them."""
+    left, done = left.where(_KNOWN).select(*keys, "x", "y", "z"), None
+    while True:
+        near = _cells(spots, cell, True).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
+        met = _cells(left, cell, False).join(near, ["cx", "cy", "cz"], "left")
+        best = F.min(F.when(F.col("target").isNotNull(), F.struct(F.sqrt(_square("", "t")).alias("distance"), "target", "tx", "ty", "tz"))).alias("b")
+        round_ = stored(met.groupBy(*keys, "x", "y", "z").agg(best), "nearest")
+        sure = F.coalesce(F.col("b.distance") <= cell, F.lit(False))
+        found = round_.where(sure).select(*keys, "x", "y", "z", "b.target", "b.distance", "b.tx", "b.ty", "b.tz")
+        done = found if done is None else done.unionByName(found)
+        left = round_.where(~sure).select(*keys, "x", "y", "z")
+        if left.limit(1).count() == 0:
+            return done
+        cell *= 3
+
+
 def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -> DataFrame:
     """``id, target, distance``: the nearest target of each source, the least id among equals.
 
@@ -44,26 +70,10 @@ def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -
     once, as their least id. Places that aren't finite take no part. Without
     targets the result is empty.
     """
-    known = " and ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in "xyz")
-    spots = stored(targets.where(known).groupBy("x", "y", "z").agg(F.min("id").alias("target")), "spots")
-    left = sources.where(known).select("id", "x", "y", "z")
-    none = left.select("id", F.lit(None).cast("long").alias("target"), F.lit(None).cast("double").alias("distance")).limit(0)
-    size = _cell_size(spots)
+    spots, size = spots_of(targets)
     if size is None:
-        return none
-    cell, done = cell or size, None
-    while True:
-        near = _cells(spots, cell, True).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
-        met = _cells(left, cell, False).join(near, ["cx", "cy", "cz"], "left")
-        best = F.min(F.when(F.col("target").isNotNull(), F.struct(F.sqrt(_square("", "t")).alias("distance"), F.col("target")))).alias("b")
-        round_ = stored(met.groupBy("id", "x", "y", "z").agg(best), "nearest")
-        sure = F.coalesce(F.col("b.distance") <= cell, F.lit(False))
-        found = round_.where(sure).select("id", "b.target", "b.distance")
-        done = found if done is None else done.unionByName(found)
-        left = round_.where(~sure).select("id", "x", "y", "z")
-        if left.limit(1).count() == 0:
-            return done
-        cell *= 3
+        return sources.select("id", F.lit(None).cast("long").alias("target"), F.lit(None).cast("double").alias("distance")).limit(0)
+    return nearest_spots(sources, spots, cell or size, ["id"]).select("id", "target", "distance")
 
 
 def _reach(targets: DataFrame, radius: float) -> DataFrame:
@@ -100,12 +110,12 @@ def trimmed(distances: DataFrame, share: float, least: int = 4) -> DataFrame:
     return placed.where(F.col("__place") < keep).drop("__place")
 
 
-def moment_sums(pairs: DataFrame) -> DataFrame:
-    """One row of sums from which a similarity transform follows: n, means, products, squares.
+def moment_sums(pairs: DataFrame, *keys: str) -> DataFrame:
+    """One row (for each key) of sums from which a similarity transform follows: n, means, products, squares.
 
     ``pairs``: ``px, py, pz`` (source) and ``qx, qy, qz`` (target).
     """
     one = lambda c: F.sum(F.col(c)).alias(f"s_{c}")
     both = [F.sum(F.col(f"q{a}") * F.col(f"p{b}")).alias(f"s_{a}{b}") for a in "xyz" for b in "xyz"]
     squares = F.sum(sum((F.col(f"p{c}") * F.col(f"p{c}") for c in "xyz"), F.lit(0.0))).alias("s_pp")
-    return pairs.agg(F.count("*").alias("n"), *[one(f"{s}{c}") for s in "pq" for c in "xyz"], *both, squares)
+    return pairs.groupBy(*keys).agg(F.count("*").alias("n"), *[one(f"{s}{c}") for s in "pq" for c in "xyz"], *both, squares)

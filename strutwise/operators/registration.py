@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
+from strutwise.operators import alignment as A
 from strutwise.operators import labelling as L
-from strutwise.operators.neighbours import moment_sums
+from strutwise.operators.neighbours import moment_sums, nearest
 from strutwise.operators.ranking import numbered
 from strutwise.operators.sampling import central_slices
+from strutwise.operators.selection import linear_quantiles
 
 
 @dataclass(frozen=True)
@@ -32,10 +34,6 @@ class FitPolicy:
     most_holdout_error: float = 8.0
 
 
-#: Most points that a fit takes to one task; more are thinned evenly.
-POINTS = 20_000
-
-
 def fit_from_pairs(pairs: DataFrame) -> tuple[float, np.ndarray, np.ndarray]:
     """Similarity from matched points (``px..qz``): sums in Spark, a 3x3 decomposition on the driver."""
     r = moment_sums(pairs).first().asDict()
@@ -59,24 +57,33 @@ def rotation(degrees: tuple[float, float, float]) -> np.ndarray:
     return out
 
 
-def coarse_start(p: np.ndarray, q: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Median ratio of spans as scale, no rotation, box centres on each other."""
-    span = np.ptp(p, axis=0)
-    scale = float(np.median(np.ptp(q, axis=0)[span > 0] / span[span > 0])) if (span > 0).any() else 1.0
-    middle = lambda a: (a.min(axis=0) + a.max(axis=0)) / 2
-    return scale, np.eye(3), middle(q) - scale * middle(p)
+def coarse(mean: np.ndarray, span: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Median ratio of spans as scale, no rotation, the points' mean on the centre of the targets' box."""
+    if not (span > 0).any():
+        raise ValueError("the points have no extent")
+    scale = float(np.median((high - low)[span > 0] / span[span > 0]))
+    return scale, np.eye(3), (low + high) / 2 - scale * mean
 
 
-def starts(p: np.ndarray, q: np.ndarray, policy: FitPolicy = FitPolicy()) -> list[tuple[float, np.ndarray, np.ndarray]]:
-    scale, _, _ = coarse_start(p, q)
-    out, cp, cq = [], (p.min(axis=0) + p.max(axis=0)) / 2, (q.min(axis=0) + q.max(axis=0)) / 2
+def around(base: tuple[float, np.ndarray, np.ndarray], mean: np.ndarray, policy: FitPolicy = FitPolicy()) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """All starts: scales and tilts about a first transform, which keep the mean of the points where it puts it."""
+    centre, out = base[0] * base[1] @ mean + base[2], []
     for s in policy.scales:
         for tilt in policy.tilts:
             r = rotation(tilt)
-            out.append((scale * s, r, cq - scale * s * r @ cp))
+            out.append((base[0] * s, r, centre - base[0] * s * r @ mean))
     return out
 
 
+def coarse_start(p: np.ndarray, q: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The first transform, from arrays."""
+    return coarse(p.mean(axis=0), np.ptp(p, axis=0), q.min(axis=0), q.max(axis=0))
+
+
+def starts(p: np.ndarray, q: np.ndarray, policy: FitPolicy = FitPolicy()) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    return around(coarse_start(p, q), p.mean(axis=0), policy)
+
+
 def split(ids: list[int], share: float, seed: int) -> tuple[list[int], list[int]]:
     """(fit, held out) ids by a seeded permutation, both in order; one at least is held out."""
     ids = sorted(ids)
@@ -94,7 +101,7 @@ _FITS = "case int, scale double, rotation array<double>, shift array<double>, ob
 
 def fits(spark: SparkSession, cases: list[tuple[np.ndarray, np.ndarray, tuple]], policy: FitPolicy = FitPolicy()) -> list[dict]:
     """One trimmed fit per case (source, target, start), a row each, run side by side; a failure is a row with its reason."""
-    shared = spark.sparkContext.broadcast(cases)  # thinned clouds: bounded by POINTS for each case
+    shared = spark.sparkContext.broadcast(cases)  # clouds of the suites, which their callers thin
 
     def run(frames):
         for f in frames:
@@ -116,41 +123,68 @@ def transform_of(row: dict) -> tuple[float, np.ndarray, np.ndarray]:
     return row["scale"], np.array(row["rotation"]).reshape(3, 3), np.array(row["shift"])
 
 
-def multistart(spark: SparkSession, p: np.ndarray, q: np.ndarray, policy: FitPolicy = FitPolicy()) -> dict:
-    """The best of all starts and whether enough starts agree with it."""
-    p, q = thinned(p, POINTS), thinned(q, POINTS)
-    rows = fits(spark, [(p, q, s) for s in starts(p, q, policy)], policy)
-    good = [r for r in rows if r["error"] is None]
+def _near(objectives: dict[int, float], policy: FitPolicy) -> tuple[int, list[int]]:
+    """The best start (the first of equals) and all that are about as good."""
+    best = min(objectives, key=lambda k: (objectives[k], k))
+    limit = max(objectives[best] * policy.near_ratio, objectives[best] + policy.near_step)
+    return best, [k for k, o in objectives.items() if o <= limit]
+
+
+def _checks(near: list[int], each: list[float], spread: float, policy: FitPolicy) -> dict[str, bool]:
+    agree = sum(x <= policy.most_spread for x in each) / len(each)
+    return {"near_optimal": len(near) >= policy.least_near, "agreement": spread <= policy.most_spread, "settled": agree >= policy.least_settled}
+
+
+def multistart(points: DataFrame, targets: DataFrame, policy: FitPolicy = FitPolicy()) -> dict:
+    """The best of all starts on whole clouds (``id, x, y, z``), and whether enough starts agree with it."""
+    _, mean, low, high = A.box(points)
+    _, _, *ends = A.box(targets)
+    rows = A.trimmed_fits(points, targets, around(coarse(mean, high - low, *ends), mean, policy), policy.keep, policy.rounds)
+    good = {r["start"]: r for r in rows if r["error"] is None}
     if not good:
         raise ValueError("no start could be fitted")
-    best = min(good, key=lambda r: (r["objective"], r["case"]))
-    near = [r for r in good if r["objective"] <= max(best["objective"] * policy.near_ratio, best["objective"] + policy.near_step)]
-    base = K.apply(transform_of(best), p)
-    spread = max(float(np.quantile(np.linalg.norm(K.apply(transform_of(r), p) - base, axis=1), 0.95)) for r in near)
-    checks = {
-        "near_optimal": len(near) >= policy.least_near, "agreement": spread <= policy.most_spread,
-        "settled": sum(r["settled"] for r in good) >= policy.least_settled * len(rows),
+    best, near = _near({k: r["objective"] for k, r in good.items()}, policy)
+    each, spread = A.shift_quantiles(points, good[best]["transform"], {k: good[k]["transform"] for k in near})
+    return {
+        "transform": good[best]["transform"], "objective": good[best]["objective"], "near": len(near), "spread": spread,
+        "checks": _checks(near, [each[k] for k in near], spread, policy), "fits": rows,
     }
-    return {"transform": transform_of(best), "objective": best["objective"], "near": len(near), "spread": spread, "checks": checks, "fits": rows}
 
 
-def register(spark: SparkSession, nominal: DataFrame, detected: DataFrame, shape: tuple[int, int, int], policy: FitPolicy = FitPolicy(), seed: int = 0) -> dict:
+def multistart_arrays(spark: SparkSession, p: np.ndarray, q: np.ndarray, policy: FitPolicy = FitPolicy()) -> dict:
+    """The same on arrays, a task for each start: for suites of many small fits."""
+    rows = fits(spark, [(p, q, s) for s in starts(p, q, policy)], policy)
+    good = {r["case"]: r for r in rows if r["error"] is None}
+    if not good:
+        raise ValueError("no start could be fitted")
+    best, near = _near({k: r["objective"] for k, r in good.items()}, policy)
+    base = K.apply(transform_of(good[best]), p)
+    shifts = [np.linalg.norm(K.apply(transform_of(good[k]), p) - base, axis=1) for k in near]
+    spread = float(np.quantile(np.concatenate(shifts), 0.95))
+    checks = _checks(near, [float(np.quantile(x, 0.95)) for x in shifts], spread, policy)
+    return {"transform": transform_of(good[best]), "objective": good[best]["objective"], "near": len(near), "spread": spread, "checks": checks, "fits": rows}
+
+
+def register(nominal: DataFrame, detected: DataFrame, shape: tuple[int, int, int], policy: FitPolicy = FitPolicy(), seed: int = 0) -> dict:
     """Fits nominal nodes (``id, x, y, z``) to detected ones and gates the result; a failed gate halts.
 
-    A share of the nominal nodes is held out of the fit and measured after it.
+    Nodes that share a place are one, under their least id. A share of them is
+    held out of the fit and measured after it. All work on nodes is Spark's;
+    transforms and gates are the driver's.
     """
-    nodes = {r.id: (r.x, r.y, r.z) for r in nominal.groupBy("x", "y", "z").agg(F.min("id").alias("id")).orderBy("id").collect()}
-    target = np.array([(r.x, r.y, r.z) for r in detected.orderBy("id").collect()], dtype=float).reshape(-1, 3)
-    fit_ids, held_ids = split(list(nodes), policy.holdout, seed)
-    found = multistart(spark, np.array([nodes[k] for k in fit_ids]), target, policy)
-    moved = K.apply(found["transform"], np.array([nodes[k] for k in sorted(nodes)]))
-    errors, _ = K.nearest_rows(K.apply(found["transform"], np.array([nodes[k] for k in held_ids])), target)
-    size = np.array(shape[::-1])
-    checks = found["checks"] | {
-        "holdout_error": float(np.median(errors)) <= policy.most_holdout_error, "inside": bool(((moved >= 0) & (moved <= size - 1)).all()),
-        "candidates": len(target) >= 0.25 * len(nodes), "disjoint": not set(fit_ids) & set(held_ids),
-    }
-    return found | {"checks": checks, "holdout_median": float(np.median(errors)), "held_out": held_ids, "gate": "pass" if all(checks.values()) else "halt"}
+    nodes = A.held_out(nominal.groupBy("x", "y", "z").agg(F.min("id").alias("id")), policy.holdout, seed)
+    found = multistart(nodes.where("not held"), detected, policy)
+    one = {0: found["transform"]}
+    errors = nearest(A.moved(nodes.where("held"), one, ["id"]).drop("start"), detected)
+    median = linear_quantiles(errors, "distance", [0.5], []).first()["at"][0]
+    placed = A.moved(nodes, one, ["id", "held"])
+    outside = F.lit(False)
+    for c, n in zip("xyz", shape[::-1]):
+        outside = outside | (F.col(c) < 0) | (F.col(c) > n - 1)
+    total, out, held = placed.agg(F.count("*"), F.count_if(outside), F.count_if("held")).first()
+    seen = detected.count()
+    checks = found["checks"] | {"holdout_error": median <= policy.most_holdout_error, "inside": out == 0, "candidates": seen >= 0.25 * total, "disjoint": 0 < held < total}
+    return found | {"checks": checks, "holdout_median": median, "held_out": held, "gate": "pass" if all(checks.values()) else "halt"}
 
 
 def recovery_suite(spark: SparkSession, p: np.ndarray, cases: int = 12, noise: float = 0.35, missing: float = 0.2, outliers: float = 0.25, seed: int = 0, policy: FitPolicy = FitPolicy(), most_error: float = 1.0) -> dict:
@@ -195,7 +229,7 @@ def robustness_suite(
             seen = detect_nodes(blocks, shape, level, **used)
             at = {n["id"]: (n["x"], n["y"], n["z"]) for n in seen}
             fit_ids, held = split(list(at), policy.holdout, change.get("seed", seed))
-            found = multistart(spark, p, np.array([at[k] for k in fit_ids]), replace(policy, keep=change.get("keep", policy.keep)))
+            found = multistart_arrays(spark, p, np.array([at[k] for k in fit_ids]), replace(policy, keep=change.get("keep", policy.keep)))
             moved = K.apply(found["transform"], p)
             far, _ = K.nearest_rows(np.array([at[k] for k in held]), moved)
             shifts.append(np.linalg.norm(moved - K.apply(base, p), axis=1))

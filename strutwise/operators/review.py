@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strutwise.operators.neighbours import nearest
+from strutwise.operators.selection import linear_quantiles
+from strutwise.sources.storage import stored
 
 
 def topology_json(junctions: DataFrame, struts: DataFrame, cells: DataFrame) -> DataFrame:
@@ -62,7 +64,8 @@ def yen(hist: DataFrame) -> DataFrame:
 
 def contrast(rows: DataFrame, value: str, low: float = 0.01, high: float = 0.997) -> DataFrame:
     """Adds ``shade``: 0 to 255 between two quantiles, cut off beyond them; 0 where they are equal."""
-    ends = rows.agg(F.percentile(F.col(value).cast("double"), F.lit(low)).alias("__low"), F.percentile(F.col(value).cast("double"), F.lit(high)).alias("__high"))
+    found = linear_quantiles(rows.select(F.col(value).alias("__value")), "__value", [low, high], [])
+    ends = rows.sparkSession.range(1).join(found, how="left").select(F.get("at", F.lit(0)).alias("__low"), F.get("at", F.lit(1)).alias("__high"))
     share = (F.col(value) - F.col("__low")) / F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0))
     shade = F.coalesce(F.floor(F.round(255 * F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)), 6)), F.lit(0)).cast("int")
     return rows.join(F.broadcast(ends)).withColumn("shade", shade).drop("__low", "__high")  # one row of ends
@@ -80,8 +83,10 @@ def node_errors(found: DataFrame, truth: DataFrame) -> DataFrame:
     t = truth.select("id", *[F.col(c).alias(f"t{c}") for c in "xyz"])
     diff = found.join(t, "id").select(*[(F.col(c) - F.col(f"t{c}")).alias(f"d{c}") for c in "xyz"])
     size = diff.withColumn("e", F.sqrt(sum((F.col(f"d{c}") * F.col(f"d{c}") for c in "xyz"), F.lit(0.0))))
-    at = [F.percentile("e", F.lit(q)).alias(n) for q, n in ((0.5, "median"), (0.95, "p95"), (0.99, "p99"))]
-    return size.agg(F.count("*").alias("n"), F.avg("e").alias("mean"), *at, F.max("e").alias("largest"), *[F.avg(f"d{c}").alias(f"bias_{c}") for c in "xyz"])
+    size = stored(size, "errors")
+    at = linear_quantiles(size, "e", [0.5, 0.95, 0.99], []).select("at")
+    sums = size.agg(F.count("*").alias("n"), F.avg("e").alias("mean"), F.max("e").alias("largest"), *[F.avg(f"d{c}").alias(f"bias_{c}") for c in "xyz"])
+    return sums.join(at, how="left").select("n", "mean", *[F.get("at", F.lit(k)).alias(n) for k, n in enumerate(("median", "p95", "p99"))], "largest", *[f"bias_{c}" for c in "xyz"])  # one row each
 
 
 def scale_search(sources: DataFrame, targets: DataFrame, scales: Sequence[float], cell: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strutwise.operators.ranking import numbered
+from strutwise.operators.selection import linear_quantiles
 
 
 def class_fractions(rows: DataFrame, classes: list[str], kind: str = "class") -> DataFrame:
@@ -20,17 +21,24 @@ def class_fractions(rows: DataFrame, classes: list[str], kind: str = "class") ->
 
 def medians(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
     """Median of the finite values by key; null where there is none."""
-    ok = lambda c: F.when(~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) != float("inf")), F.col(c).cast("double"))
-    return rows.groupBy(key).agg(*[F.percentile(ok(c), F.lit(0.5)).alias(f"median_{c}") for c in values])
+    number = lambda c: F.col(c).cast("double")
+    ok = lambda c: F.when(~F.isnan(number(c)) & (F.abs(number(c)) != float("inf")), number(c))
+    long = rows.select(F.col(key).alias("key"), F.inline(F.array(*[F.struct(F.lit(c).alias("name"), ok(c).alias("value")) for c in values])))
+    found = linear_quantiles(long, "value", [0.5], ["key", "name"])
+    one = found.groupBy(F.col("key").alias("__key")).agg(*[F.max(F.when(F.col("name") == c, F.get("at", F.lit(0)))).alias(f"median_{c}") for c in values])
+    every = rows.select(key).distinct()
+    return every.join(one, every[key].eqNullSafe(one["__key"]), "left").drop("__key")
 
 
 def quantiles(rows: DataFrame, value: str, shares=(0.1, 0.5, 0.9, 0.95, 0.99), *keys: str) -> DataFrame:
-    """Linear quantiles ``p10, p50, ...`` of a column, by keys if given."""
+    """Linear quantiles ``p10, p50, ...`` of a column, by keys if given; null for keys without values."""
     names = [f"p{round(100 * s)}" for s in shares]
-    # one buffer of values for all shares
-    found = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(s)) for s in shares]))
-    rows = rows.groupBy(*keys).agg(F.count(value).alias("n"), found.alias("__at"))
-    return rows.select(*keys, "n", *[F.get("__at", F.lit(k)).alias(n) for k, n in enumerate(names)])
+    found = linear_quantiles(rows, value, list(shares), list(keys)).withColumnsRenamed({k: f"__{k}" for k in keys}).drop("n")
+    counted = rows.groupBy(*keys).agg(F.count(value).alias("n"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & counted[k].eqNullSafe(found[f"__{k}"])
+    return counted.join(found, on, "left").select(*keys, "n", *[F.get("at", F.lit(k)).alias(n) for k, n in enumerate(names)])
 
 
 def thirds(points: DataFrame, axes: str = "xyz") -> DataFrame:
@@ -59,7 +67,7 @@ def equal_count_bias(rows: DataFrame, axis: str, value: str, key: str, parts: in
     split = more * (small + 1)
     div = lambda x, by: F.floor(x / F.lit(float(max(1, by)))).cast("int")
     part = F.when(F.col("__place") < split, div(F.col("__place"), small + 1)).otherwise(more + div(F.col("__place") - split, small)) + 1
-    return placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.percentile("__value", F.lit(0.5)).alias("median"))
+    return quantiles(placed.select(part.alias("part"), "__value"), "__value", (0.5,), "part").withColumnRenamed("p50", "median")
 
 
 def gate(rows: DataFrame, gates: dict[str, Column], hard: list[str], *keys: str) -> DataFrame:

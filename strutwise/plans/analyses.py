@@ -80,7 +80,8 @@ def registration_quality(placed: DataFrame, junctions: DataFrame, voxels: DataFr
     junction = P.patch_means(junctions, voxels, policy.junction_radius).agg(F.avg("fraction")).first()[0]
     samples = P.sampled(P.corridor(placed, policy.corridor_radius, policy.angles, policy.steps), voxels, shape).cache()
     occupied = P.occupancy(samples)
-    corridor, contained = occupied.agg(F.percentile("fraction", F.lit(0.5)), F.avg(F.col("contained").cast("double"))).first()
+    corridor = S.quantiles(occupied, "fraction", (0.5,)).first().p50
+    contained = occupied.agg(F.avg(F.col("contained").cast("double"))).first()[0]
     radius = P.measured_radius(P.ring_profile(samples)).first()[0]
     where = placed.select("id", *[((F.col(f"a{c}") + F.col(f"b{c}")) / 2).alias(f"m{c}") for c in "xyz"]).join(occupied, "id")
     ranges = {}

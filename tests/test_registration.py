@@ -1,7 +1,11 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
+from strutwise.operators import alignment as A
 from strutwise.operators import registration as R
 from strutwise.sources import volumes as V
 
@@ -37,11 +41,11 @@ def test_registration(spark):
     rng = np.random.default_rng(0)
     seen = np.vstack([q[rng.random(len(q)) < 0.9], rng.uniform(0, 40, (5, 3))])
     nominal, detected = spark.createDataFrame(rows(GRID), POINTS), spark.createDataFrame(rows(seen), POINTS)
-    policy = R.FitPolicy(scales=(1.0,), tilts=((0, 0, 0), (3, 0, 0), (0, 3, 0), (0, 0, 3)), most_holdout_error=1.0)
-    got = R.register(spark, nominal, detected, (64, 64, 64), policy)
+    policy = R.FitPolicy(scales=(1.0,), tilts=((0, 0, 0), (3, 0, 0), (0, 3, 0)), most_holdout_error=1.0, rounds=12)
+    got = R.register(nominal, detected, (64, 64, 64), policy)
     assert got["gate"] == "pass", got["checks"]
-    assert abs(got["transform"][0] - 1.5) < 0.02 and got["holdout_median"] < 0.5 and len(got["fits"]) == 4
-    assert R.register(spark, nominal, detected, (20, 20, 20), policy)["gate"] == "halt"
+    assert abs(got["transform"][0] - 1.5) < 0.02 and got["holdout_median"] < 0.5 and len(got["fits"]) == 3
+    assert R.register(nominal, detected, (20, 20, 20), replace(policy, rounds=1))["gate"] == "halt"
 
 
 def test_suites(spark):
@@ -95,3 +99,33 @@ def test_robustness_of_detection_and_fit(spark, tmp_path):
     assert got["pass"] and got["fitted"] >= 4 and got["spread"] < 1.0 and len(got["cases"]) == 7
     none = R.robustness_suite(spark, grid, blocks, a.shape, 50_000, true, policy, step=1, margin=0.0, least=1)
     assert not none["pass"] and {c["status"] for c in none["cases"]} == {"rejected"}
+
+
+def test_fits_of_whole_clouds_equal_the_kernel(spark):
+    rng = np.random.default_rng(11)
+    p = np.round(rng.uniform(0, 6, (60, 3)), 1)
+    p[50:] = p[:10]  # shared places: ties by id
+    true = (2.0, R.rotation((2, -1, 3)), np.array([1.0, 2.0, 3.0]))
+    q = np.vstack([K.apply(true, p)[rng.random(60) < 0.8], rng.uniform(0, 15, (12, 3))])
+    starts = [(2.02, R.rotation((1, 0, 2)), np.array([1.2, 1.8, 3.1])), (1.0, np.eye(3), np.array([3.0, 3.0, 3.0])), (2.1, np.eye(3), np.array([0.5, 2.5, 3.0]))]
+    got = A.trimmed_fits(spark.createDataFrame(rows(p), POINTS).repartition(3), spark.createDataFrame(rows(q), POINTS), starts, keep=0.7, rounds=6)
+    for s, g in zip(starts, got):
+        (scale, rotation, shift), objective, count, settled = K.trimmed_fit(p, q, s, 0.7, 6)
+        assert (g["rounds"], g["settled"], g["error"]) == (count, settled, None)
+        assert abs(g["transform"][0] - scale) < 1e-9 and np.allclose(g["transform"][1], rotation, atol=1e-9) and np.allclose(g["transform"][2], shift, atol=1e-8)
+        assert abs(g["objective"] - objective) < 1e-9
+    with pytest.raises(ValueError):
+        A.trimmed_fits(spark.createDataFrame(rows(p[:3]), POINTS), spark.createDataFrame(rows(q), POINTS), starts)
+
+
+def test_share_with_ties(spark):
+    pairs = spark.createDataFrame([(s, i, d) for s, ds in ((0, [3.0, 1.0, 1.0, 1.0, 0.0]), (1, [0.0] * 5), (2, [5.0, 4.0, 3.0, 2.0, 1.0])) for i, d in enumerate(ds)], "start int, id long, distance double")
+    got = {(r.start, r.id) for r in A.nearest_share(pairs, 3).collect()}
+    assert got == {(0, 4), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 4), (2, 3), (2, 2)}
+
+
+def test_held_out_rows(spark):
+    points = spark.range(0, 101).select("id", *[F.col("id").cast("double").alias(c) for c in "xyz"])
+    one, same, other = ({r.id for r in A.held_out(points, 0.2, k).where("held").collect()} for k in (1, 1, 2))
+    assert len(one) == len(other) == 20 and one == same != other
+    assert A.held_out(points.limit(3), 0.01, 0).where("held").count() == 1
