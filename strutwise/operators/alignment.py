@@ -55,6 +55,13 @@ def _pairs(points: DataFrame, spots: DataFrame, cell: float, transforms: dict[in
     return found.select("start", "id", "px", "py", "pz", *[F.col(f"t{c}").alias(f"q{c}") for c in "xyz"], "distance")
 
 
+def round_sums(points: DataFrame, spots: DataFrame, cell: float, transforms: dict[int, Transform], size: int) -> DataFrame:
+    """One round: for each start the sums of its ``size`` best pairs (see ``moment_sums``), ``mean`` and largest (``cut``) of their distances."""
+    kept = stored(nearest_share(_pairs(points, spots, cell, transforms), size), "kept-pairs")
+    far = kept.groupBy(F.col("start").alias("__start")).agg(F.avg("distance").alias("mean"), F.max("distance").alias("cut"))
+    return moment_sums(kept, "start").join(far, F.col("start") == F.col("__start")).drop("__start")
+
+
 def trimmed_fits(points: DataFrame, targets: DataFrame, starts: list[Transform], keep: float = 0.7, rounds: int = 60, still: float = 1e-5) -> list[dict]:
     """Each start's iterated fit of ``points`` to ``targets`` (``id, x, y, z``) on its nearest ``keep`` share of pairs.
 
@@ -76,9 +83,7 @@ def trimmed_fits(points: DataFrame, targets: DataFrame, starts: list[Transform],
     for _ in range(rounds):
         if not live:
             break
-        kept = nearest_share(_pairs(points, spots, cell, {k: now[k] for k in live}), size)
-        mean = kept.groupBy("start").agg(F.avg("distance").alias("mean")).withColumnRenamed("start", "__start")
-        sums = moment_sums(kept, "start").join(mean, F.col("start") == F.col("__start")).collect()  # a row for each start
+        sums = round_sums(points, spots, cell, {k: now[k] for k in live}, size).collect()  # a row for each start
         for r in (row.asDict() for row in sums):
             k = r["start"]
             out[k]["rounds"] += 1

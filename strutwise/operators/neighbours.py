@@ -119,3 +119,36 @@ def moment_sums(pairs: DataFrame, *keys: str) -> DataFrame:
     both = [F.sum(F.col(f"q{a}") * F.col(f"p{b}")).alias(f"s_{a}{b}") for a in "xyz" for b in "xyz"]
     squares = F.sum(sum((F.col(f"p{c}") * F.col(f"p{c}") for c in "xyz"), F.lit(0.0))).alias("s_pp")
     return pairs.groupBy(*keys).agg(F.count("*").alias("n"), *[one(f"{s}{c}") for s in "pq" for c in "xyz"], *both, squares)
+
+
+#: Picks after which the running distances are written down.
+PICKS = 16
+
+
+def farthest_picks(points: DataFrame, count: int) -> list[tuple[int, float]]:
+    """(id, distance) of spread-out picks: first the point nearest the mean, then ever the one farthest from all picked.
+
+    Every point (``id, x, y, z``) is a candidate in every round; the least id
+    of equals is picked, and none twice. A round is one pass that keeps one row;
+    distances to earlier picks are written down every ``PICKS`` rounds. The
+    distance of the first is that to the mean. Fewer points give fewer picks.
+    """
+    rows = stored(points.where(_KNOWN).select("id", "x", "y", "z", F.lit(float("inf")).alias("gap")), "points")
+    mean = rows.agg(*[F.avg(c) for c in "xyz"]).first()
+    if mean[0] is None:
+        return []
+    far = lambda p: F.sqrt(sum(((F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip("xyz", p)), F.lit(0.0)))
+    best = lambda table, score: table.select("id", "x", "y", "z", score.alias("d")).orderBy(F.desc("d"), "id").first()
+    first = best(rows, -far(mean))
+    picks, new = [(first.id, -first.d)], [first]
+    while len(picks) < count:
+        gap = F.least("gap", *[far((p.x, p.y, p.z)) for p in new])
+        if len(new) >= PICKS:
+            rows, new = stored(rows.withColumn("gap", gap), "points"), []
+            gap = F.col("gap")
+        found = best(rows.where(~F.col("id").isin([i for i, _ in picks])), gap)
+        if found is None:
+            break
+        picks.append((found.id, found.d))
+        new.append(found)
+    return picks

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strutwise.sources.volumes import block_array
@@ -80,7 +80,7 @@ def on_patches(boxes: DataFrame, blocks: DataFrame, kernel: Callable[[dict, np.n
     return boxes.groupBy("id").cogroup(cuts.groupBy("id")).applyInPandas(run, schema)
 
 
-def boxes_around(placed: DataFrame, reach: float) -> DataFrame:
+def boxes_around(placed: DataFrame, reach: float | Column) -> DataFrame:
     """Adds the cells within ``reach`` of a segment's bounding box (``ax..bz``), not clipped."""
     out = placed
     for c in "zyx":

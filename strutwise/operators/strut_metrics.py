@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
+from strutwise.operators.neighbours import farthest_picks
 from strutwise.operators.patches import boxes_around, on_patches
 
 
@@ -214,22 +215,19 @@ def _extent(row: dict, patch: np.ndarray, corner, shape, bound: int, policy: Cor
 def calibrated_radius(placed: DataFrame, blocks: DataFrame, shape: tuple[int, int, int], picks: int = 24, bound: int = 12, least: int = 6, policy: CorridorPolicy = CorridorPolicy()) -> float:
     """Corridor radius from material found around spread-out struts that lie well inside the volume.
 
-    Midpoints are thinned to one a coarse cell before they come to the driver,
-    so what is picked from is bounded by the volume's cells, not by struts.
+    All such struts are candidates; their midpoints are picked from where they lie.
     """
     length = F.sqrt(sum(((F.col(f"b{c}") - F.col(f"a{c}")) * (F.col(f"b{c}") - F.col(f"a{c}")) for c in "xyz"), F.lit(0.0)))
     margin = bound + policy.pad * length + 1
     ok = length > 0
     for c, n in zip("xyz", shape[::-1]):
         ok = ok & (F.least(f"a{c}", f"b{c}") >= margin) & (F.greatest(f"a{c}", f"b{c}") <= n - 1 - margin)
-    cell = [F.floor((F.col(f"a{c}") + F.col(f"b{c}")) / 2 / (max(shape) / 32)).alias(f"c{c}") for c in "xyz"]
-    thin = placed.where(ok).groupBy(*cell).agg(F.min("id").alias("id"))
-    rows = placed.join(thin.select("id"), "id", "left_semi").orderBy("id").collect()
-    if not rows:
+    middle = placed.where(ok).select("id", *[((F.col(f"a{c}") + F.col(f"b{c}")) / 2).alias(c) for c in "xyz"])
+    chosen = [i for i, _ in farthest_picks(middle, picks)]
+    if not chosen:
         raise ValueError("no strut lies inside the volume")
-    middle = np.array([[(r[f"a{c}"] + r[f"b{c}"]) / 2 for c in "xyz"] for r in rows])
-    chosen = [rows[k].id for k in K.farthest_points(middle, picks)]
-    some = boxes_around(placed.where(F.col("id").isin(chosen)).select("id", *[f"{e}{c}" for e in "ab" for c in "xyz"]), bound * math.sqrt(2) + 2 + policy.pad * float(max(shape)))
+    own = placed.where(F.col("id").isin(chosen)).select("id", *[f"{e}{c}" for e in "ab" for c in "xyz"])
+    some = boxes_around(own, bound * math.sqrt(2) + 2 + policy.pad * length)
     found = on_patches(some, blocks, lambda row, patch, corner: _extent(row, patch, corner, shape, bound, policy), "id long, accepted boolean, extent double")
     extents = [r.extent for r in found.where("accepted").collect()]
     if len(extents) < least:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from strutwise.functions import vectors as X
+from strutwise.operators import alignment as A
 from strutwise.operators import classify as C
 from strutwise.operators import evaluate as E
 from strutwise.operators import lattice as L
@@ -220,6 +222,38 @@ def trimmed_nn(spark, d):
     return N.trimmed(_nearest(spark, d), 0.7)
 
 
+# two starts of a fit: as it is, and turned a little, grown and moved
+_STARTS = {0: (1.0, np.eye(3), np.zeros(3)), 1: (1.1, np.array([[0.8, -0.6, 0.0], [0.6, 0.8, 0.0], [0.0, 0.0, 1.0]]), np.array([0.05, -0.02, 0.01]))}
+
+
+def _sql_place(k: int) -> str:
+    s, r, t = _STARTS[k]
+    return ", ".join("+".join([*(f"({float(s * r[a][b])!r}::DOUBLE)*{c}" for b, c in enumerate("xyz")), f"({float(t[a])!r}::DOUBLE)"]) + f" AS m{n}" for a, n in enumerate("xyz"))
+
+
+@query("fit_round", with_views("v_points") + f""", m AS ({" UNION ALL ".join(f"SELECT {k} AS start, id, x AS px, y AS py, z AS pz, {_sql_place(k)} FROM v_points WHERE id%2=0" for k in _STARTS)}),
+d AS (SELECT start, m.id, px, py, pz, b.x AS qx, b.y AS qy, b.z AS qz, sqrt((mx-b.x)*(mx-b.x)+(my-b.y)*(my-b.y)+(mz-b.z)*(mz-b.z)) AS distance FROM m, v_points b WHERE b.id%2=1
+  QUALIFY row_number() OVER (PARTITION BY start, m.id ORDER BY distance, b.id)=1),
+k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY start ORDER BY distance, id) <= ceil(0.7*count(*) OVER (PARTITION BY start)-1e-9))
+SELECT start::INT AS start, count(*)::BIGINT AS n, {R('avg(distance)', 'mean')}, {R('max(distance)', 'cut')}, {R('sum(qx*py)', 's_xy')}, {R('sum(qz*pz)', 's_zz')}, {R('sum(px)', 's_px')}, {R('sum(qy)', 's_qy')},
+  {R('sum(px*px+py*py+pz*pz)', 's_pp')} FROM k GROUP BY start""")
+def fit_round(spark, d):
+    points = V.points(spark, d, 0)
+    spots, cell = N.spots_of(V.points(spark, d, 1))
+    size = -(-points.count() * 7 // 10)
+    return A.round_sums(points, spots, cell, _STARTS, size).select("start", "n", "mean", "cut", "s_xy", "s_zz", "s_px", "s_qy", "s_pp")
+
+
+@query("farthest_picks", "WITH RECURSIVE " + with_views("v_points").removeprefix("WITH ") + f""", c AS (SELECT avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v_points),
+r AS (SELECT 1 AS k, id, x, y, z, -sqrt((x-cx)*(x-cx)+(y-cy)*(y-cy)+(z-cz)*(z-cz)) AS gap FROM v_points, c
+  UNION ALL SELECT k+1, id, x, y, z, CASE WHEN id=pid THEN -1 ELSE least(CASE WHEN k=1 THEN 1e300 ELSE gap END, sqrt((x-px)*(x-px)+(y-py)*(y-py)+(z-pz)*(z-pz))) END
+  FROM (SELECT *, first_value(id) OVER w AS pid, first_value(x) OVER w AS px, first_value(y) OVER w AS py, first_value(z) OVER w AS pz FROM r WINDOW w AS (ORDER BY gap DESC, id)) WHERE k < 20)
+SELECT k::INT AS pick, id, {R('abs(gap)', 'distance')} FROM r QUALIFY row_number() OVER (PARTITION BY k ORDER BY gap DESC, id)=1""")
+def farthest_picks(spark, d):
+    found = N.farthest_picks(V.points(spark, d), 20)
+    return spark.createDataFrame([(k + 1, i, float(x)) for k, (i, x) in enumerate(found)], "pick int, id long, distance double")
+
+
 @query("tube_emptiness", with_views(*_PLACED) + """, s AS (SELECT p.id, ax+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(bx-ax) AS x, ay+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(by_-ay) AS y, az+(0.4::DOUBLE+0.2::DOUBLE*k/8)*(bz-az) AS z
   FROM v_placed p, (SELECT unnest(generate_series(0, 8)) AS k)),
 o AS (SELECT unnest([-1, 0, 1]) AS o), t AS (SELECT DISTINCT x, y, z FROM v_junction),

@@ -138,3 +138,21 @@ def test_a_star_is_found(spark, tmp_path):
     assert not got[2].accepted and got[2].match_class == "fallback" and (got[2].x, got[2].y, got[2].z) == (2, 2, 2) and got[2].boundary
     assert N.location_gate(N.localized(nodes.where("id = 1"), blocks, a.shape, arms))["gate"] == "pass"
     assert N.location_gate(N.localized(nodes, blocks, a.shape))["gate"] == "manual_review"
+
+
+def test_farthest_picks_of_all_points(spark, monkeypatch):
+    from strutwise.operators import neighbours as N
+
+    monkeypatch.setattr(N, "PICKS", 3)
+    p = np.vstack([np.random.default_rng(2).integers(0, 5, (60, 3)).astype(float), [[np.nan, 0, 0]]])
+    rows = [(int(k), *map(float, x)) for k, x in enumerate(p)]
+    points = spark.createDataFrame(rows, "id long, x double, y double, z double").repartition(3)
+    own = p[:60]
+    picks = [int(np.argmin(np.linalg.norm(own - own.mean(axis=0), axis=1)))]
+    gap = np.linalg.norm(own - own[picks[0]], axis=1)
+    while len(picks) < 10:
+        gap[picks] = -1.0
+        picks.append(int(np.argmax(gap)))
+        gap = np.minimum(gap, np.linalg.norm(own - own[picks[-1]], axis=1))
+    assert [i for i, _ in N.farthest_picks(points, 10)] == picks
+    assert len(N.farthest_picks(points.limit(4), 10)) == 4 and N.farthest_picks(points.limit(0), 3) == []
