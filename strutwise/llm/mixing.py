@@ -31,6 +31,8 @@ BLOCK = 4096
 #: Units of a source that the last block keeps for its landing problem, which has two more at most.
 RESERVED = 10
 EDGE = 1e-9
+#: Rows, one for each source, that are broadcast to the units (some 6 MB); with more sources the units are shuffled by them.
+SOURCES = 100_000
 #: Columns that the operator makes for itself.
 OWN = ("__size", "__source", "__units", "__ratio", "__base", "__pi", "__key", "__n", "__blocks", "__block")
 
@@ -127,6 +129,12 @@ def land(pi: np.ndarray, sizes: np.ndarray, target: float, count: float) -> np.n
     return out
 
 
+def _few(per_source: DataFrame) -> DataFrame:
+    """A stored row per source, marked for a broadcast if there are ``SOURCES`` at most: a source with very many units is not gathered."""
+    rows = stored(per_source, "sources")
+    return F.broadcast(rows) if rows.limit(SOURCES + 1).count() <= SOURCES else rows
+
+
 def mixed(units: DataFrame, size: str = "size", source: str = "source", weights=(5, 2, 1), cap: float = 3.0, seed: int = 0) -> DataFrame:
     """``units`` with ``source_size``, ``target`` and ``copies`` (times to take each row).
 
@@ -137,7 +145,7 @@ def mixed(units: DataFrame, size: str = "size", source: str = "source", weights=
     ``source_size``, ``target``, ``copies`` or as in ``OWN`` are replaced. Keep ``units`` narrow: its columns are carried along.
     """
     units = units.drop("source_size", "target", "copies", *[c for c in OWN if c not in (size, source)]).withColumn("__size", F.coalesce(F.col(size), F.lit(0)).cast("long"))
-    goal = targets(units, "__size", source, weights, cap).withColumnRenamed("units", "__units")
+    goal = _few(targets(units, "__size", source, weights, cap).withColumnRenamed("units", "__units"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     names = [c for c in units.columns if c != "__size"]
     joined = (
@@ -155,7 +163,7 @@ def mixed(units: DataFrame, size: str = "size", source: str = "source", weights=
     done.append(joined.where(~between))
     while True:
         if level:
-            n = left.groupBy(F.col(source).alias("__source")).agg(F.count("*").alias("__n"))
+            n = _few(left.groupBy(F.col(source).alias("__source")).agg(F.count("*").alias("__n")))
             left = left.join(n, F.col(source).eqNullSafe(F.col("__source")), "left").drop("__source")
         else:
             left = left.withColumn("__n", F.col("__units"))

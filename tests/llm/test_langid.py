@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -79,3 +80,48 @@ def test_stage_without_labels_keeps_what_has_letters(docs, none):
     want = [r.text for r in docs.collect() if any(map(str.isalpha, r.text or ""))]
     assert sorted(r.text for r in left.collect()) == sorted(want)
     assert L.language_stage(none.sparkSession, none, "").count() == 0
+
+
+def plain_features(text):
+    """Hashed gram counts in plain Python: square roots, scaled to length 1."""
+    lowered = text.lower()
+    if not any(map(str.isalpha, lowered)):
+        return None
+    points = [32]
+    for c in lowered:
+        p = ord(c) if c.isalpha() or ord(c) >= 0x10000 else 32
+        if p != 32 or points[-1] != 32:
+            points.append(p)
+    if points[-1] != 32:
+        points.append(32)
+    word, counts = (1 << 32) - 1, [0.0] * 4096
+    for n in (1, 2, 3):
+        for k in range(len(points) - n + 1):
+            if n == 1 and points[k] == 32:
+                continue
+            gram = 0
+            for j, factor in zip(range(n), (2654435761, 2246822519, 3266489917)):
+                gram ^= points[k + j] * factor & word
+            mixed = ((gram ^ gram >> 15) * 2246822507 + n - 1) & word
+            counts[mixed >> 20] += 1
+    roots = [math.sqrt(c) for c in counts]
+    length = math.sqrt(sum(r * r for r in roots))
+    return [r / length for r in roots]
+
+
+def plain_prediction(model, x):
+    """The nearest codeword by the bits' weighted logistic losses, and its share of the likelihoods."""
+    margins = [sum(v * float(w) for v, w in zip(x, column) if v) + float(b) for column, b in zip(model.weights.T, model.bias)]
+    losses = [sum(float(t) * math.log1p(math.exp(-m * float(c))) for t, m, c in zip(model.trust, margins, row)) for row in model.code]
+    odds = [math.exp(min(losses) - z) for z in losses]
+    return model.languages[losses.index(min(losses))], max(odds) / sum(odds)
+
+
+def test_query_against_plain_python(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = L.train(docs, ~L.held_out())
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in L.op7_ecoc_language(spark, sf).collect():
+        x = plain_features(texts[r.doc_id] or "")
+        name, score = ("und", 0.0) if x is None else plain_prediction(model, x)
+        assert (r.lang_pred, r.ambiguous) == (name, name != "und" and score < L.AMBIGUOUS) and abs(r.score - score) < 1e-3

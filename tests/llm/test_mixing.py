@@ -1,3 +1,6 @@
+import re
+from collections import defaultdict
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -69,7 +72,30 @@ def test_stage_repeats_whole_rows(spark, docs):
     assert got.columns == docs.columns and got.exceptAll(docs.unionAll(docs).unionAll(docs)).count() == 0
 
 
+def test_many_sources_are_not_broadcast(spark, monkeypatch):
+    units = spark.range(400).select("id", (F.col("id") * 37 % 101).alias("size"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("source"))
+    want = sorted(M.mixed(units).collect())
+    monkeypatch.setattr(M, "SOURCES", 2)
+    assert sorted(M.mixed(units).collect()) == want
+
+
 def test_query(spark, sf):
-    got = M.op3_cube_mix(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source"), "doc_id")
-    by = got.groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("k"), F.max("size").alias("most")).collect()
-    assert got.where("taken > 3 * size").count() == 0 and all(abs(r.t - r.k) <= r.most for r in by)
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text").collect()
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in rows}
+    source = {r.doc_id: r.source for r in rows}
+    whole = defaultdict(int)
+    for i, s in source.items():
+        whole[s] += size[i]
+    goal, taken, largest = water_fill(whole), defaultdict(int), defaultdict(int)
+    got = M.op3_cube_mix(spark, sf).collect()
+    assert sorted(r.doc_id for r in got) == sorted(size)
+    for r in got:
+        s = source[r.doc_id]
+        assert r["size"] == size[r.doc_id] and r.source_size == whole[s] and abs(r.target - goal[s]) < 1e-6 * max(1.0, goal[s])
+        assert r.taken % max(1, r["size"]) == 0 and r.taken <= 3 * r["size"]
+        # a row is taken as often as its source's ratio says, or once more
+        low = int(goal[s] / whole[s] + 1e-9) if whole[s] else 1
+        assert r["size"] == 0 or r.taken // r["size"] in (low, low + 1)
+        taken[s] += r.taken
+        largest[s] = max(largest[s], r["size"])
+    assert all(abs(taken[s] - goal[s]) <= largest[s] for s in goal)
