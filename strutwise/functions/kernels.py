@@ -316,38 +316,64 @@ def largest(mask: np.ndarray) -> np.ndarray:
     return labels == 1 + int(np.bincount(labels.ravel())[1:].argmax())
 
 
-def thinned(mask: np.ndarray) -> np.ndarray:
-    """A one-voxel-wide skeleton: layers are peeled from six sides while local connectivity and line ends stay.
-
-    A voxel may go if its 26 neighbours in the mask are one component, its face
-    neighbours outside the mask are joined within its 18-neighbourhood, and it
-    has more than one neighbour; candidates of one side are tried in scan order.
+_AROUND = np.array(list(product((-1, 0, 1), repeat=3)))
+_STEPS = np.abs(_AROUND[:, None] - _AROUND[None])
+_SIZES = np.abs(_AROUND).sum(axis=1)
+#: Which of the 27 cells of a cube touch at all, its centre left out; which touch by faces, its corners left out too.
+_TOUCH = ((_STEPS.max(axis=2) <= 1) & (_SIZES > 0)[:, None] & (_SIZES > 0)[None]).astype(np.uint8)
+_BY_FACE = ((_STEPS.sum(axis=2) <= 1) & ((_SIZES > 0) & (_SIZES < 3))[:, None] & ((_SIZES > 0) & (_SIZES < 3))[None]).astype(np.uint8)
+_FACE = _SIZES == 1
+#: Sides that layers are peeled from, and how far a pass over one side looks.
+SIDES = [(a, s) for a in range(3) for s in (-1, 1)]
+PEEL_REACH = 9
+
+
+def _reached(cells: np.ndarray, touch: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Cells of each row that are joined to the first true one of ``start``."""
+    out = np.zeros_like(cells)
+    rows = np.flatnonzero(start.any(axis=1))
+    out[rows, start[rows].argmax(axis=1)] = True
+    while True:
+        more = ((out.astype(np.uint8) @ touch) > 0) & cells
+        if (more <= out).all():
+            return out
+        out |= more
+
+
+def simple(cubes: np.ndarray) -> np.ndarray:
+    """Whether each (n, 27) neighbourhood's centre may go: its neighbours stay one component, and so does the empty space at its faces; line ends stay."""
+    around = cubes.copy()
+    around[:, 13] = False
+    one = (_reached(around, _TOUCH, around) == around).all(axis=1) & (around.sum(axis=1) > 1)
+    empty = ~cubes & (_SIZES < 3)
+    empty[:, 13] = False
+    faces = empty & _FACE
+    return one & faces.any(axis=1) & (faces <= _reached(empty, _BY_FACE, faces)).all(axis=1)
+
+
+def peeled(mask: np.ndarray, axis: int, step: int, corner: tuple[int, int, int] = (0, 0, 0)) -> np.ndarray:
+    """One pass over one side: cells with an empty neighbour there go if they are simple.
+
+    Cells of one parity of all three coordinates (counted from the volume's
+    ``corner``) never touch, so all of a parity are judged at once, one parity
+    after another.
     """
     out = np.pad(mask.astype(bool), 1)
-    sides = [(a, s) for a in range(3) for s in (-1, 1)]
-    changed = True
-    while changed:
-        changed = False
-        for axis, step in sides:
-            border = np.argwhere(out & ~np.roll(out, step, axis=axis))
-            for z, y, x in border:
-                cube = out[z - 1 : z + 2, y - 1 : y + 2, x - 1 : x + 2]
-                if _simple(cube):
-                    out[z, y, x] = False
-                    changed = True
+    border = np.argwhere(out & ~np.roll(out, step, axis=axis))
+    parity = ((border - 1 + np.array(corner)) & 1) @ np.array([4, 2, 1])
+    for p in range(8):
+        at = border[parity == p]
+        if len(at):
+            cubes = np.stack([out[tuple((at + d).T)] for d in _AROUND], axis=1)
+            out[tuple(at[simple(cubes)].T)] = False
     return out[1:-1, 1:-1, 1:-1]
 
 
-_CORNERS = np.array([abs(a) + abs(b) + abs(c) == 3 for a, b, c in product((-1, 0, 1), repeat=3)]).reshape(3, 3, 3)
-_FACES = np.array([abs(a) + abs(b) + abs(c) == 1 for a, b, c in product((-1, 0, 1), repeat=3)]).reshape(3, 3, 3)
-
-
-def _simple(cube: np.ndarray) -> bool:
-    around = cube.copy()
-    around[1, 1, 1] = False
-    if around.sum() <= 1 or label(around)[1] != 1:
-        return False
-    empty = ~cube & ~_CORNERS
-    empty[1, 1, 1] = False
-    labels, _ = label(empty, full=False)
-    return len(np.unique(labels[_FACES & empty])) == 1
+def thinned(mask: np.ndarray) -> np.ndarray:
+    """A one-voxel-wide skeleton: layers are peeled from six sides in turn until no cell goes."""
+    out, before = mask.astype(bool), -1
+    while before != out.sum():
+        before = out.sum()
+        for axis, step in SIDES:
+            out = peeled(out, axis, step)
+    return out

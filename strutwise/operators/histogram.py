@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -152,3 +153,65 @@ def masked_mean(cells: DataFrame, mask: Column, value: str = "value") -> DataFra
     return cells.agg(
         F.count_if(mask).alias("voxels"), F.avg(F.when(mask, v)).alias("mean"), F.count_if(mask & ~finite(F.col(value))).alias("bad")
     ).select("voxels", "mean", F.when(F.col("voxels") == 0, "empty").when(F.col("bad") > 0, "non_finite").otherwise("computed").alias("status"))
+
+
+def coarse_histogram(hist: DataFrame, coarse: int = 1024) -> DataFrame:
+    """``k, c`` of all ``coarse`` equal parts of the 16-bit range, zeros included."""
+    sums = hist.groupBy(F.floor(F.col("bin") * coarse / (TOP_BIN + 1)).cast("int").alias("__k")).agg(F.sum("c").alias("__c"))
+    every = hist.sparkSession.range(coarse).select(F.col("id").cast("int").alias("k"))
+    return every.join(sums, F.col("k") == F.col("__k"), "left").select("k", F.coalesce("__c", F.lit(0)).cast("double").alias("c"))
+
+
+def smoothed(rows: DataFrame, n: int, sigma: float, truncate: float = 4.0) -> DataFrame:
+    """``k, v`` for k = 0..n-1: Gaussian sums of ``c`` about each place, mirrored at both ends with the end value repeated; to nine digits.
+
+    A place asks the places around it by an equi-join on their (mirrored)
+    numbers. The kernel is no wider than the rows are many.
+    """
+    radius = int(truncate * sigma + 0.5)
+    if radius >= n:
+        raise ValueError("the kernel is wider than the histogram")
+    taps = [math.exp(-0.5 * (o / sigma) ** 2) for o in range(-radius, radius + 1)]
+    offsets = F.array(*[F.struct(F.lit(o).alias("o"), F.lit(w / sum(taps)).alias("w")) for o, w in zip(range(-radius, radius + 1), taps)])
+    asked = rows.select("k", F.explode(offsets).alias("t")).select("k", (F.col("k") + F.col("t.o")).alias("at"), "t.w")
+    inside = F.when(F.col("at") < 0, -F.col("at") - 1).when(F.col("at") >= n, 2 * n - 1 - F.col("at")).otherwise(F.col("at"))
+    other = rows.select(F.col("k").alias("__k"), "c")
+    return asked.join(other, inside == F.col("__k")).groupBy("k").agg(F.round(F.sum(F.col("w") * F.col("c")), 9).alias("v"))
+
+
+def peak_rows(rows: DataFrame, distance: int, prominence: float, least: float = 1.0) -> DataFrame:
+    """``k, v, prominence`` of the peaks of a series ``k, v`` (k = 0.. without gaps, a few thousand rows).
+
+    A peak is the middle of a run of equal values with lower runs on both
+    sides. Higher peaks (then later ones) keep others less than ``distance``
+    away out. A peak stands out by its height over the higher of the two
+    lowest places between it and higher ground, which must be ``prominence``
+    times the highest value, and ``least``. The series is one row of arrays.
+    """
+    along = Window.orderBy("k")  # a coarse histogram: bounded by its bins
+    runs = rows.withColumn("__new", F.coalesce((F.col("v") != F.lag("v").over(along)).cast("int"), F.lit(1)))
+    runs = runs.withColumn("__run", F.sum("__new").over(along)).groupBy("__run").agg(F.min("k").alias("a"), F.max("k").alias("b"), F.first("v").alias("v"))
+    by = Window.orderBy("__run")
+    tops = runs.withColumns({"__l": F.lag("v").over(by), "__r": F.lead("v").over(by)}).where("v > __l and v > __r").select(F.floor((F.col("a") + F.col("b")) / 2).cast("int").alias("k"), "v")
+    ranked = tops.agg(F.sort_array(F.collect_list(F.struct(F.col("v").alias("v"), F.col("k").alias("k"))), asc=False).alias("tops"))
+    kept = F.aggregate(
+        "tops", F.expr("cast(array() as array<struct<v:double,k:int>>)"),
+        lambda s, t: F.when(F.exists(s, lambda x: F.abs(x["k"] - t["k"]) < distance), s).otherwise(F.concat(s, F.array(t))),
+    )
+    series = rows.agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("vs"))
+    peaks = ranked.select(F.explode(kept).alias("p")).join(series).select("p.*", "vs")  # one row of values
+    higher = lambda from_, to: F.filter(F.sequence(from_, to), lambda i: F.get("vs", i) > F.col("v"))
+    last = F.size("vs") - 1
+    left = F.coalesce(F.when(F.col("k") > 0, F.array_max(higher(F.lit(0), F.col("k") - 1))), F.lit(-1))
+    right = F.coalesce(F.when(F.col("k") < last, F.array_min(higher(F.col("k") + 1, last))), F.size("vs"))
+    lowest = lambda a, b: F.array_min(F.slice("vs", a + 1, b - a + 1))
+    stands = F.col("v") - F.greatest(lowest(left + 1, F.col("k")), lowest(F.col("k"), right - 1))
+    return peaks.select("k", "v", stands.alias("prominence"), F.array_max("vs").alias("__top")).where(
+        F.col("prominence") >= F.greatest(F.lit(float(least)), F.lit(float(prominence)) * F.col("__top"))
+    ).drop("__top")
+
+
+def intensity_modes(hist: DataFrame, coarse: int = 1024, sigma: float = 2.0, prominence: float = 0.003) -> DataFrame:
+    """``mode, v, prominence``: peaks of the smoothed coarse histogram, at the middle of their part of the range."""
+    found = peak_rows(smoothed(coarse_histogram(hist, coarse), coarse, sigma), max(2, coarse // 128), prominence)
+    return found.select(((F.col("k") + 0.5) * (TOP_BIN + 1) / coarse).alias("mode"), "v", "prominence")

@@ -251,3 +251,96 @@ def part_cells(parts: DataFrame, dtype: str = "<i4") -> DataFrame:
                 yield pd.DataFrame({"z": z + row.z0, "y": y + row.y0, "x": x + row.x0, "value": a[a != 0].astype(np.int64)})
 
     return parts.mapInPandas(run, "z int, y int, x int, value long")
+
+
+def haloed(parts: DataFrame, size: int, width: int) -> DataFrame:
+    """Parts (cut at multiples of ``size``) with ``width`` cells of their surroundings on every side; empty parts may be absent and stay so.
+
+    ``z0, y0, x0`` become those of the wider box, which may lie outside the volume.
+    """
+    reach = -(-width // size)
+    moves = [d for d in np.ndindex(*[2 * reach + 1] * 3)]
+
+    def show(frames):
+        for f in frames:
+            out = []
+            for row in f.itertuples(index=False):
+                a, low = _array(row) > 0, np.array([row.z0, row.y0, row.x0])
+                for d in moves:
+                    to = low // size + np.array(d) - reach
+                    begin, end = np.maximum(low, to * size - width), np.minimum(low + a.shape, (to + 1) * size + width)
+                    if (begin < end).all():
+                        part = a[tuple(slice(b - o, e - o) for b, e, o in zip(begin, end, low))]
+                        own = (to == low // size).all()
+                        if own or part.any():
+                            out.append((*map(int, to), bool(own), *map(int, begin), *part.shape, part.astype(np.uint8).tobytes()))
+            yield pd.DataFrame(out, columns=["i", "j", "k", "own", *_NAMES])
+
+    def gather(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        if not f["own"].any():
+            return pd.DataFrame(columns=_NAMES)
+        low = np.array([int(v) for v in key]) * size - width
+        whole = np.zeros((size + 2 * width,) * 3, dtype=np.uint8)
+        for row in f.itertuples(index=False):
+            z, y, x = row.z0 - low[0], row.y0 - low[1], row.x0 - low[2]
+            whole[z : z + row.nz, y : y + row.ny, x : x + row.nx] = _array(row)
+        return pd.DataFrame([(*map(int, low), *whole.shape, whole.tobytes())], columns=_NAMES)
+
+    return parts.mapInPandas(show, f"i int, j int, k int, own boolean, {_BOX}").groupBy("i", "j", "k").applyInPandas(gather, _BOX)
+
+
+def thinned_parts(parts: DataFrame, size: int) -> DataFrame:
+    """The one-voxel-wide skeleton of a mask in parts, equal to ``kernels.thinned`` of the whole volume.
+
+    Every pass over one of six sides sees its part and the nine cells around
+    it, all that the pass can depend on. Rounds of six passes go on until none
+    takes a cell: about as many as half the thickest place has cells.
+    """
+    width = K.PEEL_REACH
+
+    def over(axis: int, step: int):
+        def run(frames):
+            for f in frames:
+                out = []
+                for row in f.itertuples(index=False):
+                    a = K.peeled(_array(row) > 0, axis, step, (row.z0, row.y0, row.x0))[width:-width, width:-width, width:-width]
+                    if a.any():
+                        out.append((row.z0 + width, row.y0 + width, row.x0 + width, *a.shape, a.astype(np.uint8).tobytes()))
+                yield pd.DataFrame(out, columns=_NAMES)
+
+        return run
+
+    def cells(table: DataFrame) -> int:
+        ones = F.length(F.regexp_replace(F.hex("data"), "0", ""))  # a cell is the byte 0 or 1
+        return table.agg(F.coalesce(F.sum(ones), F.lit(0))).first()[0]
+
+    now, before = stored(parts, "thinned"), None
+    while (left := cells(now)) != before:
+        before = left
+        for axis, step in K.SIDES:
+            now = haloed(now, size, width).mapInPandas(over(axis, step), _BOX)
+        now = stored(now, "thinned")
+    return now
+
+
+def degrees(parts: DataFrame, size: int) -> DataFrame:
+    """``neighbours, cells``: how many cells of a mask in parts have so many of their 26 neighbours in it."""
+
+    def run(frames):
+        for f in frames:
+            out = [pd.DataFrame({"neighbours": [], "cells": []}, dtype=np.int64)]
+            for row in f.itertuples(index=False):
+                a = _array(row).astype(np.int64)
+                around = sum(a[1 + z : a.shape[0] - 1 + z, 1 + y : a.shape[1] - 1 + y, 1 + x : a.shape[2] - 1 + x] for z in (-1, 0, 1) for y in (-1, 0, 1) for x in (-1, 0, 1))
+                counts = np.bincount(around[a[1:-1, 1:-1, 1:-1] > 0] - 1, minlength=27)
+                out.append(pd.DataFrame({"neighbours": np.arange(27), "cells": counts}))
+            yield pd.concat(out).groupby("neighbours", as_index=False).sum()
+
+    return haloed(parts, size, 1).mapInPandas(run, "neighbours long, cells long").groupBy("neighbours").agg(F.sum("cells").alias("cells")).where("cells > 0")
+
+
+def skeleton_points(parts: DataFrame, size: int) -> DataFrame:
+    """One row: voxels, endpoints (one neighbour) and branch points (more than two)."""
+    count = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("cells"))), F.lit(0)).cast("long")
+    n = F.col("neighbours")
+    return degrees(parts, size).agg(count(n >= 0).alias("voxels"), count(n == 1).alias("endpoints"), count(n > 2).alias("branch_points"))

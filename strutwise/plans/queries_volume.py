@@ -61,6 +61,24 @@ def otsu_diagnostics(spark, d):
     return out.withColumns({c: F.round(c, 2) for c in ("background_variance", "foreground_variance")})
 
 
+_TAPS = "(SELECT o, exp(-0.5*power(o/2.0::DOUBLE, 2)) AS w FROM (SELECT unnest(generate_series(-8, 8)) AS o))"
+
+
+@query("intensity_modes", "WITH RECURSIVE " + with_views("v_intensity", "v_hist").removeprefix("WITH ") + f""", g AS (SELECT unnest(generate_series(0, 1023)) AS k),
+q AS (SELECT k, coalesce(sum(c), 0)::DOUBLE AS c FROM g LEFT JOIN v_hist ON bin//64=k GROUP BY k),
+s AS (SELECT a.k, round(sum(w*q.c)/(SELECT sum(w) FROM {_TAPS}), 9) AS v FROM g a, {_TAPS} t JOIN q ON q.k = CASE WHEN a.k+o<0 THEN -(a.k+o)-1 WHEN a.k+o>1023 THEN 2047-(a.k+o) ELSE a.k+o END GROUP BY a.k),
+u AS (SELECT k, v, v IS DISTINCT FROM lag(v) OVER (ORDER BY k) AS opens FROM s), w AS (SELECT k, v, sum(opens::INT) OVER (ORDER BY k) AS run FROM u),
+x AS (SELECT run, (min(k)+max(k))//2 AS k, any_value(v) AS v FROM w GROUP BY run), y AS (SELECT *, lag(v) OVER (ORDER BY run) AS l, lead(v) OVER (ORDER BY run) AS r FROM x),
+p AS (SELECT k, v, row_number() OVER (ORDER BY v DESC, k DESC) AS i FROM y WHERE v>l AND v>r),
+kept AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS ks UNION ALL SELECT p.i, CASE WHEN len(list_filter(ks, lambda z: abs(z-p.k)<8))=0 THEN list_append(ks, p.k) ELSE ks END FROM kept JOIN p ON p.i=kept.i+1),
+t AS (SELECT p.k, p.v FROM p WHERE list_contains((SELECT ks FROM kept ORDER BY i DESC LIMIT 1), p.k)),
+b AS (SELECT t.k, t.v, coalesce(max(s.k) FILTER (s.k<t.k AND s.v>t.v), -1) AS lo, coalesce(min(s.k) FILTER (s.k>t.k AND s.v>t.v), 1024) AS hi FROM t, s GROUP BY ALL),
+m AS (SELECT b.k, b.v, b.v-greatest(min(s.v) FILTER (s.k>lo AND s.k<=b.k), min(s.v) FILTER (s.k>=b.k AND s.k<hi)) AS prominence FROM b, s GROUP BY b.k, b.v)
+SELECT (k+0.5)*64 AS mode, {R('v', 'v')}, {R('prominence', 'prominence')} FROM m WHERE prominence >= greatest(1, 0.003*(SELECT max(v) FROM s))""")
+def intensity_modes(spark, d):
+    return H.intensity_modes(H.exact_histogram(V.intensities(spark, d)))
+
+
 @query("triangle_threshold", with_views("v_intensity", "v_hist") + """, e AS (SELECT min(bin) AS low, max(bin) AS high, max(c) AS top FROM v_hist),
 p AS (SELECT *, (SELECT bin FROM v_hist ORDER BY c DESC, bin LIMIT 1) AS peak FROM e),
 f AS (SELECT *, peak-low > high-peak AS l, CASE WHEN peak-low > high-peak THEN low ELSE high END AS far FROM p),
@@ -158,7 +176,13 @@ def _whole(spark, d):
 n AS (SELECT a.z, a.y, a.x, count(b.z) AS k FROM t a LEFT JOIN t b ON abs(a.z-b.z)<=1 AND abs(a.y-b.y)<=1 AND abs(a.x-b.x)<=1 AND NOT (a.z=b.z AND a.y=b.y AND a.x=b.x) GROUP BY ALL)
 SELECT count(*)::BIGINT AS voxels, count_if(k=1)::BIGINT AS endpoints, count_if(k>2)::BIGINT AS branch_points FROM n""")
 def skeleton_degree(spark, d):
-    return P.skeleton_points(_whole(spark, d))
+    return B.skeleton_points(B.cell_parts(_whole(spark, d), SHAPE, 4), 4)
+
+
+@query("thinned_mask")
+def thinned_mask(spark, d):
+    """The mask's skeleton, cell by cell: no SQL can state it, so a test compares it with the kernel on the whole array."""
+    return B.part_cells(B.thinned_parts(B.cell_parts(_whole(spark, d), SHAPE, 8), 8), "u1").select("z", "y", "x")
 
 
 _LABELS = (

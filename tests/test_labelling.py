@@ -59,3 +59,51 @@ def test_envelope_keeps_ties_and_gaps():
     f = np.array([[4, K.FAR, 0], [K.FAR, K.FAR, 0], [0, K.FAR, K.FAR], [K.FAR, K.FAR, 1], [9, K.FAR, 0]])
     want = [[min([int(f[j, c]) + (i - j) ** 2 for j in range(5) if f[j, c] < K.FAR], default=K.FAR) for c in range(3)] for i in range(5)]
     assert K.envelope(f).tolist() == want
+
+
+def solid(seed, shape=(17, 14, 19)):
+    """Rods, a plate with a hole and noise."""
+    rng, a = np.random.default_rng(seed), np.zeros(shape, bool)
+    a[3:7, 3:7, :] = a[:, 8:11, 5:8] = True
+    a[10:13, 1:12, 9:18] = True
+    a[10:13, 5:7, 12:14] = False
+    return a | (rng.random(shape) < 0.03)
+
+
+@pytest.mark.parametrize("size", [8, 5, 64])
+def test_thinning_over_parts_equals_the_whole_array(spark, size):
+    mask = solid(size)
+    want = {tuple(p) for p in np.argwhere(K.thinned(mask))}
+    got = L.thinned_parts(L.cell_parts(cells(spark, mask), mask.shape, size), size)
+    assert {(r.z, r.y, r.x) for r in L.part_cells(got, "u1").collect()} == want and 0 < len(want) < mask.sum()
+
+
+def test_thinning_keeps_connection_and_is_thin():
+    mask = solid(1)
+    thin = K.thinned(mask)
+    assert K.label(thin)[1] == K.label(mask)[1] and not (thin & ~mask).any()
+    at = np.argwhere(thin)
+    padded = np.pad(thin, 1)
+    cubes = np.stack([padded[tuple((at + 1 + d).T)] for d in K._AROUND], axis=1)
+    assert not K.simple(cubes).any()  # nothing more can go but line ends
+
+
+@pytest.mark.parametrize("size", [4, 64])
+def test_ends_and_branches(spark, size):
+    cross = np.zeros((11, 11, 11), bool)
+    cross[5, 5, :] = cross[5, :, 5] = True
+    r = L.skeleton_points(L.cell_parts(cells(spark, cross), cross.shape, size), size).first()
+    padded = np.pad(cross, 1).astype(int)
+    counts = [padded[z : z + 3, y : y + 3, x : x + 3].sum() - 1 for z, y, x in np.argwhere(cross)]
+    assert tuple(r) == (21, 4, sum(c > 2 for c in counts)) and counts.count(1) == 4
+    none = L.skeleton_points(L.cell_parts(cells(spark, np.zeros((3, 3, 3), bool)), (3, 3, 3), size), size).first()
+    assert tuple(none) == (0, 0, 0)
+
+
+def test_query_thinned_mask(spark, sf):
+    from strutwise.plans import queries_volume as Q
+
+    mask = np.zeros(Q.SHAPE, bool)
+    for r in Q._whole(spark, sf).collect():
+        mask[r.z, r.y, r.x] = True
+    assert {tuple(r) for r in Q.thinned_mask(spark, sf).collect()} == {tuple(p) for p in np.argwhere(K.thinned(mask))}
