@@ -69,6 +69,20 @@ def end_means(spark, d):
     return V.profiles(spark, d).select("strut_id", Q.head_mean(F.col("fg")).alias("head"), Q.tail_mean(F.col("fg")).alias("tail"))
 
 
+@query("short_profiles", with_views("v_day") + f""", m AS (SELECT *, avg(fg) OVER w AS a, count(*) OVER w AS k, first_value(fg) OVER e AS p, last_value(fg) OVER e AS q FROM v_day
+  WINDOW w AS (PARTITION BY strut_id ORDER BY i ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), e AS (PARTITION BY strut_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT strut_id, max(n)::INT AS n, count(*) FILTER (k=3)::INT AS windows, {R('min(a) FILTER (k=3)', 'least')}, {R('max(a) FILTER (k=3)', 'most')},
+  {R('CASE WHEN max(n)<5 THEN 0 ELSE sqrt(avg(power(fg-(p+(q-p)*i/nullif(n-1, 0)::DOUBLE), 2))) END', 'rms')},
+  {R('avg(fg) FILTER (i<least(3, greatest(1, n//2)))', 'head')}, {R('avg(fg) FILTER (i>=n-least(3, greatest(1, n//2)))', 'tail')},
+  {R('avg((fg>=0.3)::INT::DOUBLE) FILTER (i<greatest(1, n//3))', 'left_share')}, {R('avg((fg>=0.3)::INT::DOUBLE) FILTER (i>=n-greatest(1, n//3))', 'right_share')} FROM m GROUP BY strut_id""")
+def short_profiles(spark, d):
+    rows = V.daily_profiles(spark, d).withColumn("m", Q.moving_average(F.col("fg")))
+    left, right = Q.third_shares(F.transform("fg", lambda x: x >= 0.3))
+    return rows.select(
+        "strut_id", F.col("n").cast("int").alias("n"), F.size("m").alias("windows"), F.array_min("m").alias("least"), F.array_max("m").alias("most"), Q.chord_rms(F.col("fg")).alias("rms"),
+        Q.head_mean(F.col("fg")).alias("head"), Q.tail_mean(F.col("fg")).alias("tail"), left.alias("left_share"), right.alias("right_share"))
+
+
 _FEATURES = with_views("v_profile") + """, sp AS (SELECT strut_id, n, i, fg, row_number() OVER (PARTITION BY strut_id ORDER BY i)-1 AS k, count(*) OVER (PARTITION BY strut_id) AS m FROM v_profile WHERE 10*i>=2*(n-1) AND 10*i<=8*(n-1)),
 rf AS (SELECT strut_id, quantile_cont(fg, 0.9) AS reference FROM sp GROUP BY strut_id),
 fl AS (SELECT sp.*, reference, fg<0.5::DOUBLE*reference AS deficient, fg>=0.05 AS present, avg(fg) OVER w AS sm, count(*) OVER w AS sk FROM sp JOIN rf USING (strut_id) WINDOW w AS (PARTITION BY sp.strut_id ORDER BY i ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)),

@@ -12,6 +12,7 @@ from strutwise.operators import evaluate as E
 from strutwise.operators import registration as G
 from strutwise.operators import review as R
 from strutwise.operators import strut_metrics as M
+from strutwise.operators.ranking import numbered
 from strutwise.plans import views as V
 from strutwise.plans.catalog import query
 from strutwise.plans.views import SHAPE, with_views
@@ -211,11 +212,24 @@ def endpoint_rows(spark, d):
 FROM (SELECT row_number() OVER (ORDER BY id)-1 AS id, x, y, z FROM v_junction)""")
 def mesh_centroids(spark, d):
     """A triangle at each junction, in order of id, as one mesh file: as many faces as the lattice has nodes."""
-    at = np.array([(r.x, r.y, r.z) for r in V.junctions(spark, d).orderBy("id").collect()], dtype="<f4")
-    faces = np.zeros(len(at), meshes.TRIANGLE)
-    faces["corners"] = at[:, None, :] + np.array([[0, 0, 0], [1, 0, 0], [0, 1, 0]], dtype="<f4")
-    body = b"\0" * 80 + np.uint32(len(faces)).tobytes() + faces.tobytes()
-    return meshes.centroids(meshes.read_stl(spark, put(spark, "mesh.stl", body))).select(F.col("face").alias("id"), *[F.col(c).cast("double").alias(c) for c in "xyz"])
+    rows, many = numbered(V.junctions(spark, d), ["id"], "face")
+    path = put(spark, "mesh.stl", meshes.stl_chunks(_triangles(rows.drop("id")), many))
+    return meshes.centroids(meshes.read_stl(spark, path, 1000)).select(F.col("face").alias("id"), *[F.col(c).cast("double").alias(c) for c in "xyz"])
+
+
+def _triangles(rows):
+    """A triangle at each place ``x, y, z``; other columns stay."""
+    corner = lambda k: [(F.col(c) + F.lit(float((k == 1 and c == "x") + (k == 2 and c == "y")))).alias(f"{c}{k}") for c in "xyz"]
+    return rows.select(*[c for c in rows.columns if c not in ("x", "y", "z")], *[x for k in range(3) for x in corner(k)])
+
+
+@query("mesh_text", with_views("v_junction") + f"SELECT {rounded('((x+(x+1)+x)/3)::FLOAT::DOUBLE', 'x')}, {rounded('((y+y+(y+1))/3)::FLOAT::DOUBLE', 'y')}, {rounded('z', 'z')}, count(*)::BIGINT AS faces FROM v_junction GROUP BY ALL")
+def mesh_text(spark, d):
+    """The same triangles as text meshes that Spark writes and reads."""
+    folder = new_folder(spark, "mesh-text")
+    meshes.text_facets(_triangles(V.junctions(spark, d))).write.text(folder)
+    found = meshes.centroids(meshes.read_text_stl(spark, folder))
+    return found.groupBy(*[F.col(c).cast("double").alias(c) for c in "xyz"]).agg(F.count("*").alias("faces"))
 
 
 # --- rules and access -------------------------------------------------------------

@@ -29,12 +29,21 @@ def intensities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per user with 10 events or more: ``strut_id, n, fg`` in event order."""
+    """One row per user: ``strut_id, n, fg`` in event order."""
     ev = table(spark, sf_dir, "events")
     by_user = ev.groupBy(F.col("user_id").cast("long").alias("strut_id")).agg(
         F.sort_array(F.collect_list(F.struct("ts", "event_id", F.least(F.col("value") / 50.0, F.lit(1.0)).alias("fg")))).alias("rows"), F.count("*").alias("n")
     )
-    return by_user.where("n >= 10").select("strut_id", "n", F.transform("rows", lambda r: r["fg"]).alias("fg"))
+    return by_user.select("strut_id", "n", F.transform("rows", lambda r: r["fg"]).alias("fg"))
+
+
+def daily_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per user and day, most of them very short: ``strut_id, n, fg`` in event order."""
+    ev = table(spark, sf_dir, "events").withColumn("strut_id", (F.col("user_id") * 100_000 + F.unix_date(F.to_date("ts"))).cast("long"))
+    by_day = ev.groupBy("strut_id").agg(
+        F.sort_array(F.collect_list(F.struct("ts", "event_id", F.least(F.col("value") / 50.0, F.lit(1.0)).alias("fg")))).alias("rows"), F.count("*").alias("n")
+    )
+    return by_day.select("strut_id", "n", F.transform("rows", lambda r: r["fg"]).alias("fg"))
 
 
 def struts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +83,9 @@ SQL = {
     "v_intensity": "SELECT least(floor(l_extendedprice/2)::INT, 65535) AS value FROM lineitem",
     "v_profile": """SELECT strut_id, n, i, fg FROM (
         SELECT user_id::BIGINT AS strut_id, count(*) OVER (PARTITION BY user_id) AS n,
-               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, least(value/50.0::DOUBLE, 1.0::DOUBLE) AS fg FROM events) WHERE n >= 10""",
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, least(value/50.0::DOUBLE, 1.0::DOUBLE) AS fg FROM events)""",
+    "v_day": """SELECT strut_id, count(*) OVER w AS n, row_number() OVER (PARTITION BY strut_id ORDER BY ts, event_id) - 1 AS i, fg FROM (
+        SELECT (user_id*100000+(ts::DATE-DATE '1970-01-01'))::BIGINT AS strut_id, ts, event_id, least(value/50.0::DOUBLE, 1.0::DOUBLE) AS fg FROM events) WINDOW w AS (PARTITION BY strut_id)""",
     "v_strut": f"SELECT DISTINCT (l_partkey*{STRIDE}+l_suppkey)::BIGINT AS id, l_partkey::BIGINT AS junction0, (l_suppkey+{SUPPLIERS})::BIGINT AS junction1 FROM lineitem",
     "v_junction": f"""SELECT p_partkey::BIGINT AS id, (p_partkey%19)::DOUBLE AS x, (floor(p_partkey/19.0)::BIGINT%19)::DOUBLE AS y, (floor(p_partkey/361.0)::BIGINT%19)::DOUBLE AS z FROM part
         UNION ALL SELECT (s_suppkey+{SUPPLIERS})::BIGINT, (s_suppkey%19)::DOUBLE, (floor(s_suppkey/19.0)::BIGINT%19)::DOUBLE, (floor(s_suppkey/361.0)::BIGINT%19)::DOUBLE FROM supplier""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,14 +59,15 @@ def written() -> int:
     return len(_written)
 
 
-def put(spark: SparkSession, name: str, body: bytes) -> str:
-    """A small file in the shared folder, under a name of its own; its path."""
+def put(spark: SparkSession, name: str, body: bytes | Iterable[bytes]) -> str:
+    """A file in the shared folder, under a name of its own, from its bytes or from pieces of them in turn; its path."""
     path = f"{shared_folder(spark)}/strutwise/files-{uuid.uuid4().hex}/{name}"
     jvm = spark._jvm
     to = jvm.org.apache.hadoop.fs.Path(path)
     out = to.getFileSystem(spark._jsc.hadoopConfiguration()).create(to, True)
     try:
-        out.write(bytearray(body))
+        for piece in (body,) if isinstance(body, bytes) else body:
+            out.write(bytearray(piece))
     finally:
         out.close()
     return path

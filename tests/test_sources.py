@@ -364,3 +364,37 @@ def test_stored_tables_are_replaced(spark):
         one.count()
     S.discard(two)
     assert S.written() == since
+
+
+def test_stl_by_ranges(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    faces = np.zeros(25, M.TRIANGLE)
+    faces["corners"] = rng.normal(size=(25, 3, 3))
+    (tmp_path / "a.stl").write_bytes(b"\0" * 80 + np.uint32(25).tobytes() + faces.tobytes())
+    got = sorted(tuple(r)[1:] for r in M.read_stl(spark, str(tmp_path / "a.stl"), 4).collect())
+    assert got == [(k, *map(float, f.ravel())) for k, f in enumerate(faces["corners"])]
+    triangles = M.read_stl(spark, str(tmp_path / "a.stl"), 7)
+    assert b"".join(M.stl_chunks(triangles, 25))[84:] == faces.tobytes()
+
+
+def test_text_stl(spark, tmp_path):
+    text = """solid part
+facet normal 0 0 1
+ outer loop
+  vertex 0 0.5 -1e2
+  VERTEX 1. .25 3
+  vertex +2 2 2
+ endloop
+endfacet
+facet normal 0 0 1\n outer loop\n vertex 0 0 0\n vertex 1 0 0\n vertex 0 1 0\n endloop\nendfacet
+endsolid part
+"""
+    (tmp_path / "a.stl").write_text(text)
+    got = sorted(tuple(r)[1:] for r in M.read_text_stl(spark, str(tmp_path / "a.stl")).collect())
+    assert got == [(0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0), (0.0, 0.5, -100.0, 1.0, 0.25, 3.0, 2.0, 2.0, 2.0)]
+    s = M.summary(M.read_text_stl(spark, str(tmp_path / "a.stl"))).first()
+    assert (s.faces, s.low_z, s.high_x) == (2, -100.0, 2.0)
+    for bad in ("facet normal 0 0 1 vertex 0 0 0 vertex 1 0 0 endfacet", "facet normal 0 0 1 vertex 0 0 zero vertex 1 0 0 vertex 1 1 1 endfacet"):
+        (tmp_path / "b.stl").write_text(bad)
+        with pytest.raises(Exception, match="three vertices"):
+            M.read_text_stl(spark, str(tmp_path / "b.stl")).collect()
