@@ -108,6 +108,58 @@ def rod_metrics(spark, d):
                        F.col("interior_maximum").alias("most"), F.col("interior_median").alias("middle"))
 
 
+# a strut along x for each distinct pair of places that parts and suppliers give; cells of its corridor: the axis and the four beside it
+_KEYS = "SELECT p_partkey AS k FROM part UNION ALL SELECT s_suppkey FROM supplier"
+_METRICS = _GRID.replace("WITH ", "WITH RECURSIVE ", 1) + f""", k AS (SELECT DISTINCT ((k%3+2)*100+k%24+4)::BIGINT AS id, (k%3+2)::INT AS z, (k%24+4)::INT AS y FROM ({_KEYS})),
+d AS (SELECT * FROM (VALUES (0, 0), (1, 0), (-1, 0), (0, 1), (0, -1)) d(dz, dy)),
+c AS (SELECT k.id, v.x-2 AS w, dz, dy, v.value >= (SELECT avg(value) FROM v_voxel) AS fg, (v.x-1)*9+(dz+1)*3+dy+1 AS node FROM k, d JOIN v ON v.z=k.z+dz AND v.y=k.y+dy WHERE v.x BETWEEN 1 AND 30),
+s AS (SELECT id, w, count_if(fg) AS hits, count_if(fg)/5.0::DOUBLE AS fg, sum(CASE WHEN fg THEN dy END)/nullif(count_if(fg), 0)::DOUBLE AS cx, sum(CASE WHEN fg THEN dz END)/nullif(count_if(fg), 0)::DOUBLE AS cy FROM c GROUP BY ALL),
+t AS (SELECT * FROM c WHERE fg), e AS (SELECT a.id, a.node AS u, b.node AS v FROM t a JOIN t b ON a.id=b.id AND abs(a.w-b.w)<=1 AND abs(a.dz-b.dz)<=1 AND abs(a.dy-b.dy)<=1),
+r AS (SELECT id, node AS u, node AS v FROM t UNION SELECT e.id, e.v, r.v FROM r JOIN e ON e.id=r.id AND e.u=r.u WHERE r.v<e.v),
+l AS (SELECT t.id, t.w, min(r.v) AS part FROM t JOIN r ON r.id=t.id AND r.u=t.node GROUP BY t.id, t.w, t.node),
+q AS (SELECT id, part, count(*) AS size, bool_or(w<=2) AS e0, bool_or(w>=25) AS e1, bool_or(w IN (5, 6)) AS c0, bool_or(w IN (21, 22)) AS c1 FROM l GROUP BY ALL),
+p AS (SELECT id, coalesce(sum(size) FILTER (e0 AND e1), 0) AS joined, coalesce(sum(size) FILTER (e0 AND c0), 0) AS near0, coalesce(sum(size) FILTER (e1 AND c1), 0) AS near1 FROM q GROUP BY id),
+tm AS (SELECT * FROM t WHERE w BETWEEN 0 AND 27 AND power(least(w, 27-w), 2)+dz*dz+dy*dy > 9),
+em AS (SELECT a.id, a.node AS u, b.node AS v FROM tm a JOIN tm b ON a.id=b.id AND abs(a.w-b.w)<=1 AND abs(a.dz-b.dz)<=1 AND abs(a.dy-b.dy)<=1),
+rm AS (SELECT id, node AS u, node AS v FROM tm UNION SELECT em.id, em.v, rm.v FROM rm JOIN em ON em.id=rm.id AND em.u=rm.u WHERE rm.v<em.v),
+lm AS (SELECT tm.id, tm.w, min(rm.v) AS part FROM tm JOIN rm ON rm.id=tm.id AND rm.u=tm.node GROUP BY tm.id, tm.w, tm.node),
+qm AS (SELECT id, part, count(*) AS size, bool_or(w IN (5, 6)) AND bool_or(w IN (21, 22)) AS both_ FROM lm GROUP BY ALL),
+pm AS (SELECT id, count(*) AS parts, max(size)/sum(size)::DOUBLE AS share, coalesce(sum(size) FILTER (both_), 0) AS collars FROM qm GROUP BY id),
+i AS (SELECT *, w-6 AS j, fg<0.1 AS bare FROM s WHERE w BETWEEN 6 AND 21), ir AS (SELECT id, bare, j-row_number() OVER (PARTITION BY id, bare ORDER BY j) AS run FROM i),
+gap AS (SELECT id, max(n) AS gap FROM (SELECT id, run, count(*) AS n FROM ir WHERE bare GROUP BY ALL) GROUP BY id),
+h AS (SELECT *, max(CASE WHEN cx IS NOT NULL THEN j END) OVER (PARTITION BY id ORDER BY j ROWS UNBOUNDED PRECEDING) AS lo, min(CASE WHEN cx IS NOT NULL THEN j END) OVER (PARTITION BY id ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi FROM i),
+b0 AS (SELECT h.id, h.j, coalesce(h.cx, CASE WHEN h.lo IS NULL THEN b.cx WHEN h.hi IS NULL THEN a.cx ELSE a.cx+(b.cx-a.cx)*(h.j-h.lo)/(h.hi-h.lo)::DOUBLE END) AS cx,
+  coalesce(h.cy, CASE WHEN h.lo IS NULL THEN b.cy WHEN h.hi IS NULL THEN a.cy ELSE a.cy+(b.cy-a.cy)*(h.j-h.lo)/(h.hi-h.lo)::DOUBLE END) AS cy FROM h LEFT JOIN i a ON a.id=h.id AND a.j=h.lo LEFT JOIN i b ON b.id=h.id AND b.j=h.hi),
+b1 AS (SELECT id, j, CASE WHEN j IN (0, 15) THEN cx ELSE (lag(cx) OVER o+2*cx+lead(cx) OVER o)/4 END AS cx, CASE WHEN j IN (0, 15) THEN cy ELSE (lag(cy) OVER o+2*cy+lead(cy) OVER o)/4 END AS cy FROM b0 WINDOW o AS (PARTITION BY id ORDER BY j)),
+b2 AS (SELECT id, j, CASE WHEN j IN (0, 15) THEN cx ELSE (lag(cx) OVER o+2*cx+lead(cx) OVER o)/4 END AS cx, CASE WHEN j IN (0, 15) THEN cy ELSE (lag(cy) OVER o+2*cy+lead(cy) OVER o)/4 END AS cy FROM b1 WINDOW o AS (PARTITION BY id ORDER BY j)),
+b3 AS (SELECT *, first_value(cx) OVER o AS ax, last_value(cx) OVER o AS bx, first_value(cy) OVER o AS ay, last_value(cy) OVER o AS by_ FROM b2 WINDOW o AS (PARTITION BY id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+bend AS (SELECT id, sqrt(avg(power(cx-ax-(bx-ax)*j/15.0::DOUBLE, 2)+power(cy-ay-(by_-ay)*j/15.0::DOUBLE, 2))) AS rms FROM b3 GROUP BY id),
+thick AS (SELECT id, quantile_cont(CASE WHEN hits=5 THEN sqrt(2::DOUBLE) ELSE 1 END, 0.5) AS radius, count(*) AS known FROM i WHERE hits>0 GROUP BY id),
+f AS (SELECT id, avg(fg) FILTER (w BETWEEN 0 AND 27) AS corridor_foreground_fraction, min(fg) FILTER (w BETWEEN 6 AND 21) AS interior_minimum, quantile_cont(fg, 0.5) FILTER (w BETWEEN 6 AND 21) AS interior_median,
+  max(fg) FILTER (w BETWEEN 6 AND 21) AS interior_maximum, avg(fg) FILTER (w BETWEEN 0 AND 2) AS endpoint0_support_fraction, avg(fg) FILTER (w BETWEEN 25 AND 27) AS endpoint1_support_fraction,
+  avg(fg) FILTER (w IN (5, 6)) AS collar0_fraction, avg(fg) FILTER (w IN (21, 22)) AS collar1_fraction, string_agg(hits::VARCHAR, ',' ORDER BY w) AS hits, sum(w/27.0::DOUBLE) AS axial_sum FROM s GROUP BY id)
+"""
+_SHARES = (
+    "corridor_foreground_fraction", "interior_minimum", "interior_median", "interior_maximum", "endpoint0_support_fraction", "endpoint1_support_fraction", "collar0_fraction", "collar1_fraction", "axial_sum",
+)
+
+
+@query("strut_metric_columns", _METRICS + f"""SELECT f.id, 27.0::DOUBLE AS length, {", ".join(rounded(c, c) for c in _SHARES)}, hits, coalesce(gap, 0)::BIGINT AS maximum_axial_gap_samples, {rounded('coalesce(gap, 0)/16.0::DOUBLE', 'gap_fraction')},
+  coalesce(parts, 0)::BIGINT AS interior_component_count, {rounded('coalesce(share, 0)', 'largest_component_fraction')}, coalesce(joined, 0)>0 AS connected, coalesce(joined, 0)::BIGINT AS connected_voxels,
+  coalesce(near0, 0)>0 AS endpoint0_connected, coalesce(near0, 0)::BIGINT AS endpoint0_voxels, coalesce(near1, 0)>0 AS endpoint1_connected, coalesce(near1, 0)::BIGINT AS endpoint1_voxels,
+  coalesce(collars, 0)>0 AS collar_connected, coalesce(collars, 0)::BIGINT AS collar_voxels, coalesce(near0, 0)>0 AND coalesce(near1, 0)>0 AS both_endpoint_segments_observed,
+  {rounded('coalesce(radius, 0)', 'radius_voxels')}, {rounded('CASE WHEN coalesce(known, 0)<5 THEN 0 ELSE rms END', 'curvature_rms')}, {rounded('CASE WHEN z=3 THEN 1 ELSE 6/7.0::DOUBLE END', 'valid_fraction')}, z=3 AS roi_valid
+FROM f JOIN k USING (id) LEFT JOIN gap USING (id) LEFT JOIN p USING (id) LEFT JOIN pm USING (id) LEFT JOIN bend USING (id) LEFT JOIN thick USING (id)""")
+def strut_metric_columns(spark, d):
+    key = V.table(spark, d, "part").select(F.col("p_partkey").alias("k")).unionByName(V.table(spark, d, "supplier").select(F.col("s_suppkey").alias("k")))
+    places = key.select((F.col("k") % 3 + 2).cast("double").alias("z"), (F.col("k") % 24 + 4).cast("double").alias("y")).distinct()
+    rods = places.select((F.col("z") * 100 + F.col("y")).cast("long").alias("id"), F.lit(2.0).alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az"), F.lit(29.0).alias("bx"), F.col("y").alias("by"), F.col("z").alias("bz"))
+    cut = V.voxels(spark, d).agg(F.avg("value")).first()[0]
+    rows = M.strut_metrics(rods, _blocks(spark, d), SHAPE, 1.0, M.CorridorPolicy(threshold=cut, pad=1 / 27))
+    hits = F.array_join(F.transform("foreground_fraction", lambda x: F.round(x * 5).cast("int")), ",")
+    return rows.withColumn("hits", hits).withColumn("axial_sum", F.aggregate("axial_t", F.lit(0.0), lambda s, x: s + x)).drop("axial_t", "foreground_fraction")
+
+
 @query("node_detection", "WITH RECURSIVE " + _GRID.removeprefix("WITH ") + f""", t AS (SELECT z, y, x, (z*{SHAPE[1]}+y)*{SHAPE[2]}+x AS id FROM v WHERE value>=14),
 e AS (SELECT a.id AS u, b.id AS w FROM t a JOIN t b ON abs(a.z-b.z)+abs(a.y-b.y)+abs(a.x-b.x)<=1),
 r AS (SELECT u, w FROM e UNION SELECT r.u, e.w FROM r JOIN e ON r.w=e.u), lab AS (SELECT u AS id, min(w) AS part FROM r GROUP BY u)
