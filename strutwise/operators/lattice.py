@@ -103,40 +103,53 @@ def membership(cells: DataFrame) -> DataFrame:
     return cells.select(F.col("id").alias("cell_id"), F.posexplode(F.sort_array("struts")).alias("place", "strut_id"))
 
 
-#: Directed edges of a graph that one task takes.
-ONE_TASK = 400_000
+#: Edges that a task joins at once.
+CHUNK = 1 << 20
 
 
-def _in_one_task(frames):
-    parts = [f for f in frames if len(f)]
-    if parts:
-        pairs = pd.concat(parts)[["u", "v"]].to_numpy()
-        nodes, index = np.unique(pairs, return_inverse=True)
-        yield pd.DataFrame({"node": nodes, "component": nodes[K.roots_of(len(nodes), index.reshape(-1, 2).T)]})
+def _contracted(chunk: int):
+    """Stars ``node, root`` in place of a task's edges: what its edges join, some at a time."""
+
+    def run(frames):
+        held, size = [], 0
+
+        def stars():
+            nodes, index = np.unique(np.concatenate(held), return_inverse=True)
+            roots = nodes[K.roots_of(len(nodes), index.reshape(-1, 2).T)]
+            return pd.DataFrame({"node": nodes, "root": roots})
+
+        for f in frames:
+            if len(f):
+                held.append(f[["u", "v"]].to_numpy())
+                size += len(f)
+            if size >= chunk:
+                yield stars()
+                held, size = [], 0
+        if held:
+            yield stars()
+
+    return run
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """``node, component`` (least node) of an undirected edge table.
+    """``node, component`` (least node) of an undirected edge table; loops and repeated edges are allowed.
 
-    Up to ``ONE_TASK`` edges are joined in one task. Beyond that, every round
-    takes the least label among neighbours and then the label's own label
-    (pointer jumping); each round is a table in the shared folder, and the last
-    is the one that changes no label. Both ways give the same rows; the empty
-    table has no components.
+    Every round joins the edges that lie in one partition, whatever they are
+    (Spark sizes the partitions), then ties the roots that a node got in several
+    partitions to the least of them. It ends when every node has one root and
+    no root has another; the empty table has no components. Each round is a
+    table in the shared folder.
     """
-    both = stored(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).unionByName(edges.select(F.col(v).alias("u"), F.col(u).alias("v"))).where("u is not null and v is not null").distinct(), "edges")
-    if both.count() <= ONE_TASK:
-        return both.where("u <= v").coalesce(1).mapInPandas(_in_one_task, "node long, component long")
-    labels = stored(both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
+    named = edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u is not null and v is not null")
+    now = named.distinct()
     while True:
-        near = both.join(labels, F.col("v") == F.col("node")).groupBy(F.col("u").alias("n")).agg(F.min("component").alias("m"))
-        lower = labels.join(near, F.col("node") == F.col("n"), "left").select("node", F.col("component").alias("old"), F.least("component", "m").alias("c"))
-        jump = labels.select(F.col("node").alias("k"), F.col("component").alias("kc"))
-        new = stored(lower.join(jump, F.col("c") == F.col("k"), "left").select("node", "old", F.least("c", "kc").alias("component")), "labels")
-        changed = new.where("old <> component").limit(1).count()
-        labels = new.select("node", "component")
-        if not changed:
-            return labels
+        stars = stored(stored(now.hint("rebalance"), "edges").mapInPandas(_contracted(CHUNK), "node long, root long"), "stars")
+        roots = stored(stars.groupBy("node").agg(F.min("root").alias("m"), F.max("root").alias("most")), "roots")
+        lower = roots.where("node <> m")
+        if roots.where("m <> most").isEmpty() and lower.select("m").join(lower.select(F.col("node").alias("m")), "m", "left_semi").isEmpty():
+            return roots.select("node", F.col("m").alias("component"))
+        tied = stars.join(roots.select("node", "m"), "node").where("root <> m").select(F.col("root").alias("u"), F.col("m").alias("v"))
+        now = roots.select(F.col("node").alias("u"), F.col("m").alias("v")).unionByName(tied).distinct()
 
 
 def shared_junction_clusters(struts: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -22,7 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _own_folder is None:
-        _own_folder = "file://" + tempfile.mkdtemp(prefix="strutwise-")
+        folder = tempfile.mkdtemp(prefix="strutwise-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own_folder = f"file://{folder}"
     return _own_folder
 
 
@@ -59,6 +63,12 @@ def written() -> int:
     return len(_written)
 
 
+def discard_all(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables of :func:`stored` written after ``since``, once the caller has taken from results what it needs."""
+    for path in _written[since:]:
+        _delete(spark, path)
+
+
 def put(spark: SparkSession, name: str, body: bytes | Iterable[bytes]) -> str:
     """A file in the shared folder, under a name of its own, from its bytes or from pieces of them in turn; its path."""
     path = f"{shared_folder(spark)}/strutwise/files-{uuid.uuid4().hex}/{name}"

@@ -20,13 +20,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strutwise.sources import tiff
 
 BLOCKS = "path string, z0 int, nz int, ny int, nx int, dtype string, data binary"
 _SLABS = "path string, z0 int, nz int, ny int, nx int, dtype string, order string, offsets array<long>, sizes array<long>, data binary"
+_PIECES = "path string, z0 int, nz int, ny int, nx int, dtype string, x0 int, many int, data binary"
 #: Cells of one slab, about, and tasks that slabs are dealt to, at most.
 SLAB_CELLS, TASKS = 1 << 22, 1 << 15
 
@@ -131,7 +132,8 @@ def read_spacing(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_volume(spark: SparkSession, path: str | list[str], slab_cells: int = SLAB_CELLS, every: int = 1) -> DataFrame:
     """Block table of 3-D volumes (a file, folder or glob); other ranks and compressed pages raise an error.
 
-    Values keep their type; byte order becomes little-endian. With ``every`` k
+    Values keep their type; byte order becomes little-endian. A file in Fortran
+    order is read by columns of x, each once, which meet again by slab. With ``every`` k
     only slices 0, k, 2k, .. are read, a slab each, and no byte of the others.
     """
 
@@ -144,17 +146,24 @@ def read_volume(spark: SparkSession, path: str | list[str], slab_cells: int = SL
                     raise ValueError(f"{p}: {len(found.shape)} axes, a volume has 3")
                 nz, ny, nx = found.shape
                 depth = max(1, slab_cells // max(1, ny * nx)) if every == 1 else 1
-                order = "F" if found.fortran else found.dtype.byteorder.replace("=", "<").replace("|", "<")
+                order = found.dtype.byteorder.replace("=", "<").replace("|", "<")
                 rows = []
+                if found.fortran:  # columns of x lie one after another
+                    at, plane = found.slices[0][0][0], nz * ny * found.dtype.itemsize
+                    for x in range(0, nx, width := max(1, slab_cells // max(1, nz * ny))):
+                        many = min(width, nx - x)
+                        rows.append((p, x, nz, ny, many, _text(found.dtype), "F" + order, [at + x * plane], [many * plane], content))
+                    yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SLABS.split(", ")])
+                    continue
                 for z in range(0, nz, depth if every == 1 else every):
-                    spans = found.slices[0] if found.fortran else [s for one in found.slices[z : z + depth] for s in one]
+                    spans = [s for one in found.slices[z : z + depth] for s in one]
                     joined = [list(spans[0])]
                     for at, size in spans[1:]:
                         if joined[-1][0] + joined[-1][1] == at:
                             joined[-1][1] += size
                         else:
                             joined.append([at, size])
-                    rows.append((p, z, min(depth, nz - z), ny, nx, found.dtype.str if found.fortran else _text(found.dtype), order, [x for x, _ in joined], [x for _, x in joined], content))
+                    rows.append((p, z, min(depth, nz - z), ny, nx, _text(found.dtype), order, [x for x, _ in joined], [x for _, x in joined], content))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SLABS.split(", ")])
 
     def read(frames):
@@ -166,18 +175,32 @@ def read_volume(spark: SparkSession, path: str | list[str], slab_cells: int = SL
                         file.seek(int(at))
                         parts.append(file.read(int(size)))
                 raw = b"".join(parts)
-                if r.order == "F":  # every slice lies all over the file
-                    dtype = np.dtype(r.dtype)
-                    whole = np.frombuffer(raw, dtype).reshape((-1, r.ny, r.nx), order="F")
-                    cells, kind = whole[r.z0 : r.z0 + r.nz], _text(dtype)
-                else:
-                    cells, kind = np.frombuffer(raw, np.dtype(r.order + r.dtype)).reshape(r.nz, r.ny, r.nx), r.dtype
-                little = np.ascontiguousarray(cells).astype(np.dtype(kind).newbyteorder("<"))
-                yield pd.DataFrame([(r.path, r.z0, r.nz, r.ny, r.nx, kind, little.tobytes())], columns=[c.split()[0] for c in BLOCKS.split(", ")])
-
-    slabs = _files(spark, path).mapInPandas(plan, _SLABS)
-    many = min(TASKS, max(1, slabs.select("z0").count()))
-    return slabs.repartition(many, "path", "z0").mapInPandas(read, BLOCKS)
+                flat = np.frombuffer(raw, np.dtype(r.order[-1] + r.dtype)).astype(np.dtype(r.dtype).newbyteorder("<"))
+                if r.order[0] != "F":
+                    yield pd.DataFrame([(r.path, r.z0, r.nz, r.ny, r.nx, r.dtype, 0, r.nx, flat.tobytes())], columns=pieces)
+                    continue
+                a = flat.reshape((r.nz, r.ny, r.nx), order="F")  # the columns z0 and on of the volume
+                depth = max(1, slab_cells // max(1, r.ny * r.wide)) if every == 1 else 1
+                for z in range(0, r.nz, depth if every == 1 else every):
+                    part = np.ascontiguousarray(a[z : z + depth])
+                    yield pd.DataFrame([(r.path, z, len(part), r.ny, r.wide, r.dtype, r.z0, r.nx, part.tobytes())], columns=pieces)
+
+    def joined(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        first = f.iloc[0].to_dict()
+        whole = np.zeros([first[c] for c in ("nz", "ny", "nx")], dtype=np.dtype(first["dtype"]).newbyteorder("<"))
+        for r in f.itertuples(index=False):
+            whole[:, :, r.x0 : r.x0 + r.many] = np.frombuffer(r.data, whole.dtype).reshape(r.nz, r.ny, r.many)
+        return pd.DataFrame([(first["path"], first["z0"], *whole.shape, first["dtype"], whole.tobytes())], columns=[c.split()[0] for c in BLOCKS.split(", ")])
+
+    pieces = ["path", "z0", "nz", "ny", "nx", "dtype", "x0", "many", "data"]
+    planned = _files(spark, path).mapInPandas(plan, _SLABS)
+    wide = F.sum(F.when(F.col("order").startswith("F"), F.col("nx"))).over(Window.partitionBy("path"))  # a row for each slab
+    slabs = planned.withColumn("wide", F.coalesce(wide, F.lit(0)))
+    found = slabs.agg(F.count("*"), F.count_if(F.col("order").startswith("F"))).first()
+    read_ = slabs.repartition(min(TASKS, max(1, found[0])), "path", "z0").mapInPandas(read, _PIECES)
+    if not found[1]:
+        return read_.drop("x0", "many")
+    return read_.groupBy("path", "z0").applyInPandas(joined, BLOCKS)
 
 
 def write_npy(blocks: DataFrame, path: str) -> bool:

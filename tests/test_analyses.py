@@ -98,14 +98,18 @@ def test_integrity_and_topology(spark, chain):
     assert L.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
+@pytest.mark.parametrize("chunk", [5, 60, 1 << 20])
+def test_components_over_chunks_and_rounds(spark, monkeypatch, chunk):
     rng = np.random.default_rng(2)
-    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (250, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(5000, 5000)]
-    edges = spark.createDataFrame(pairs, "u long, v long")
-    one = sorted(map(tuple, L.components(edges).collect()))
-    monkeypatch.setattr(L, "ONE_TASK", 0)
-    assert sorted(map(tuple, L.components(edges).collect())) == one
-    assert dict(one)[1060] == 1000 and dict(one)[5000] == 5000
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 400, (250, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(5000, 5000), (1000, 1001)]
+    near = {a: {a} for p in pairs for a in p}
+    for a, b in pairs:
+        joined = near[a] | near[b]
+        for k in joined:
+            near[k] = joined
+    monkeypatch.setattr(L, "CHUNK", chunk)
+    got = sorted(map(tuple, L.components(spark.createDataFrame(pairs, "u long, v long").repartition(4)).collect()))
+    assert got == sorted((k, min(own)) for k, own in near.items())
 
 
 def test_cubes_and_skeletons(spark):

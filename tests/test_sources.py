@@ -35,6 +35,17 @@ def test_volume_axes_and_types(spark, tmp_path):
     assert first == 1 and (part == a[1:]).all()
 
 
+@pytest.mark.parametrize("every", [1, 3])
+def test_fortran_volumes_by_columns(spark, tmp_path, every):
+    a = np.random.default_rng(0).integers(0, 9, (7, 4, 11)).astype(">u2")
+    paths = [save(tmp_path / "f.npy", np.asfortranarray(a)), save(tmp_path / "c.npy", a)]
+    for slab in (30, 100, 10_000):
+        one, two = (sorted((r.z0, r.nz, r.dtype, bytes(r.data)) for r in V.read_volume(spark, p, slab, every).collect()) for p in paths)
+        assert one == two and len(one) > 0
+    both = V.read_volume(spark, paths, 100, every)
+    assert both.groupBy("path").agg(F.sum("nz").alias("n")).select("n").distinct().count() == 1
+
+
 def tiff(a, order="<", big=False, strips=2, description=b"", resolution=None, unit=None, one_page=False):
     """An uncompressed TIFF of the slices of ``a``, written by the format's rules."""
     a = a.astype(a.dtype.newbyteorder(order))
