@@ -121,8 +121,9 @@ def shift_quantiles(points: DataFrame, base: Transform, others: dict[int, Transf
 
 
 def held_out(points: DataFrame, share: float, seed: int) -> DataFrame:
-    """``points`` with ``held``: the round(n * share) rows (one at least) of least seeded hash of their id are held out."""
-    rows = stored(points.withColumn("bits", F.xxhash64("id", F.lit(seed))), "split")
+    """``points`` with ``held``: the round(n * share) rows (one at least) whose ids have the least digests, with the seed, are held out."""
+    digest = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))), 1, 15)
+    rows = stored(points.withColumn("bits", F.conv(digest, 16, 10).cast("long")), "split")
     n = rows.count()
     one = rows.limit(1).select(F.lit(max(1, round(n * share)) - 1).cast("long").alias("rank"))
     cut = order_values(rows.select("bits"), one, []).select(F.col("bits").alias("__cut"))

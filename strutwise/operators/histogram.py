@@ -215,3 +215,11 @@ def intensity_modes(hist: DataFrame, coarse: int = 1024, sigma: float = 2.0, pro
     """``mode, v, prominence``: peaks of the smoothed coarse histogram, at the middle of their part of the range."""
     found = peak_rows(smoothed(coarse_histogram(hist, coarse), coarse, sigma), max(2, coarse // 128), prominence)
     return found.select(((F.col("k") + 0.5) * (TOP_BIN + 1) / coarse).alias("mode"), "v", "prominence")
+
+
+def replay(hist: DataFrame) -> DataFrame:
+    """One row: ``threshold, separability, modes`` (how many), whether each check holds, and the ``gate``; none for an empty histogram."""
+    found = diagnostics(hist, otsu(hist)).join(intensity_modes(hist).agg(F.count("*").alias("modes")))  # one row each
+    rows = found.withColumn("modes_ok", F.col("modes") >= LEAST_PEAKS)
+    good = F.col("fraction_ok") & F.col("separability_ok") & F.col("separation_ok") & F.col("modes_ok")
+    return rows.select("threshold", "separability", "modes", "fraction_ok", "separability_ok", "separation_ok", "modes_ok", F.when(good, "pass").otherwise("manual_review").alias("gate"))

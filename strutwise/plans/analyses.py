@@ -31,6 +31,48 @@ def with_overrides(policy, overrides: dict):
     return replace(policy, **overrides)
 
 
+def merged(settings: dict, overrides: dict, within: str = "") -> dict:
+    """Settings with some values replaced, group by group; neither is changed.
+
+    Unknown names, groups in place of values (or the other way round), other
+    kinds and non-finite numbers raise an error that names the setting.
+    """
+    out = dict(settings)
+    for name, value in overrides.items():
+        at = f"{within}{name}"
+        if name not in settings:
+            raise ValueError(f"no such setting: {at}")
+        known = settings[name]
+        if isinstance(known, dict) or isinstance(value, dict):
+            if not (isinstance(known, dict) and isinstance(value, dict)):
+                raise ValueError(f"{at} must be like {known!r}")
+            out[name] = merged(known, value, f"{at}.")
+        elif isinstance(known, bool) or not isinstance(known, (int, float)):
+            if known is not None and not isinstance(value, type(known)):
+                raise ValueError(f"{at} must be like {known!r}")
+            out[name] = value
+        elif isinstance(value, bool) or not isinstance(value, (int, float)) or not np.isfinite(value):
+            raise ValueError(f"{at} must be a finite number")
+        else:
+            out[name] = value
+    return out
+
+
+def checked(settings: dict, ranges: dict[str, tuple[float, float]], shares: tuple[tuple[str, ...], ...] = ()) -> dict:
+    """The settings, if all named ones (``group.name``) lie in their ranges and each tuple of shares sums to 1; else an error that lists what doesn't."""
+    def get(path: str):
+        value = settings
+        for part in path.split("."):
+            value = value[part]
+        return value
+
+    wrong = [f"{path} is not between {low} and {high}" for path, (low, high) in ranges.items() if not low <= get(path) <= high]
+    wrong += [f"{', '.join(names)} don't sum to 1" for names in shares if abs(sum(map(get, names)) - 1.0) > 1e-9]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return settings
+
+
 def modes(hist: DataFrame, coarse: int = 1024, sigma: float = 2.0, prominence: float = 0.003) -> list[float]:
     """Intensity modes in ascending order, ``coarse / 8`` at most."""
     return [r.mode for r in H.intensity_modes(hist, coarse, sigma, prominence).orderBy("mode").collect()]

@@ -244,6 +244,11 @@ def fit_round(spark, d):
     return A.round_sums(points, spots, cell, _STARTS, size).select("start", "n", "mean", "cut", "s_xy", "s_zz", "s_px", "s_qy", "s_pp")
 
 
+@query("holdout_split", with_views("v_points") + """SELECT id, row_number() OVER (ORDER BY ('0x' || substr(md5('5:' || id), 1, 15))::BIGINT) <= greatest(1, round_even(count(*) OVER () * 0.2::DOUBLE, 0)) AS held FROM v_points""")
+def holdout_split(spark, d):
+    return A.held_out(V.points(spark, d), 0.2, 5).select("id", "held")
+
+
 @query("farthest_picks", "WITH RECURSIVE " + with_views("v_points").removeprefix("WITH ") + f""", c AS (SELECT avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM v_points),
 r AS (SELECT 1 AS k, id, x, y, z, -sqrt((x-cx)*(x-cx)+(y-cy)*(y-cy)+(z-cz)*(z-cz)) AS gap FROM v_points, c
   UNION ALL SELECT k+1, id, x, y, z, CASE WHEN id=pid THEN -1 ELSE least(CASE WHEN k=1 THEN 1e300 ELSE gap END, sqrt((x-px)*(x-px)+(y-py)*(y-py)+(z-pz)*(z-pz))) END

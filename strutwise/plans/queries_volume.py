@@ -8,7 +8,7 @@ from strutwise.operators import histogram as H
 from strutwise.operators import labelling as B
 from strutwise.operators import sampling as P
 from strutwise.plans import views as V
-from strutwise.plans.catalog import query
+from strutwise.plans.catalog import ORACLE_SQL, query
 from strutwise.plans.views import SHAPE, with_views
 from strutwise.sources.volumes import blocks_of, mask
 
@@ -79,6 +79,13 @@ def intensity_modes(spark, d):
     return H.intensity_modes(H.exact_histogram(V.intensities(spark, d)))
 
 
+@query("threshold_replay", f"""SELECT threshold, separability, modes, fraction_ok, separability_ok, separation_ok, modes>=2 AS modes_ok,
+CASE WHEN fraction_ok AND separability_ok AND separation_ok AND modes>=2 THEN 'pass' ELSE 'manual_review' END AS gate
+FROM ({ORACLE_SQL["otsu_diagnostics"]}), (SELECT count(*)::BIGINT AS modes FROM ({ORACLE_SQL["intensity_modes"]}))""")
+def threshold_replay(spark, d):
+    return H.replay(H.exact_histogram(V.intensities(spark, d)))
+
+
 @query("triangle_threshold", with_views("v_intensity", "v_hist") + """, e AS (SELECT min(bin) AS low, max(bin) AS high, max(c) AS top FROM v_hist),
 p AS (SELECT *, (SELECT bin FROM v_hist ORDER BY c DESC, bin LIMIT 1) AS peak FROM e),
 f AS (SELECT *, peak-low > high-peak AS l, CASE WHEN peak-low > high-peak THEN low ELSE high END AS far FROM p),

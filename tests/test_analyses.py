@@ -142,6 +142,19 @@ def test_settings():
             A.with_overrides(C.DefectPolicy(), bad)
 
 
+def test_grouped_settings():
+    base = {"fit": {"keep": 0.7, "rounds": 60, "name": "icp"}, "weights": {"core": 0.7, "arms": 0.3}, "on": True, "note": None}
+    got = A.merged(base, {"fit": {"keep": 1}, "on": False, "note": "x"})
+    assert got == {"fit": {"keep": 1, "rounds": 60, "name": "icp"}, "weights": {"core": 0.7, "arms": 0.3}, "on": False, "note": "x"} and base["fit"]["keep"] == 0.7
+    for bad, why in (({"fat": 1}, "fat"), ({"fit": {"kept": 1}}, "fit.kept"), ({"fit": 1}, "fit"), ({"on": {"a": 1}}, "on"), ({"on": 1}, "on"), ({"fit": {"keep": float("inf")}}, "fit.keep"), ({"fit": {"rounds": True}}, "fit.rounds"), ({"fit": {"name": 3}}, "fit.name")):
+        with pytest.raises(ValueError, match=why):
+            A.merged(base, bad)
+    shares = (("weights.core", "weights.arms"),)
+    assert A.checked(base, {"fit.keep": (0, 1)}, shares) is base
+    with pytest.raises(ValueError, match="fit.keep.*sum to 1"):
+        A.checked(A.merged(base, {"fit": {"keep": 2}, "weights": {"core": 0.8}}), {"fit.keep": (0, 1)}, shares)
+
+
 def test_small_tables(spark, chain):
     struts, junctions = chain
     gaps = spark.createDataFrame([(101, 0.1), (205, 0.9)], "id long, distance double")
