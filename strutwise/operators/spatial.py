@@ -56,18 +56,24 @@ def bounds(points: DataFrame, axes: str = "xyz") -> DataFrame:
     return out.select("*", *[(F.col(f"high_{c}") - F.col(f"low_{c}")).alias(f"span_{c}") for c in axes])
 
 
-def equal_count_bias(rows: DataFrame, axis: str, value: str, key: str, parts: int = 5) -> DataFrame:
-    """``part, n, median`` over ``parts`` groups of equal counts along an axis, ordered by place, then key.
+def equal_count_parts(rows: DataFrame, axis: str, key: str, parts: int = 5) -> DataFrame:
+    """``rows`` with ``part`` (1 to ``parts``): groups of equal counts along an axis, ordered by place, then key.
 
     Group sizes differ by one at most, larger ones first. Places come from a
     range sort, so no task orders all rows.
     """
-    placed, total = numbered(rows.select(axis, key, F.col(value).cast("double").alias("__value")), [axis, key], "__place")
+    placed, total = numbered(rows, [axis, key], "__place")
     small, more = divmod(total, parts)
     split = more * (small + 1)
     div = lambda x, by: F.floor(x / F.lit(float(max(1, by)))).cast("int")
     part = F.when(F.col("__place") < split, div(F.col("__place"), small + 1)).otherwise(more + div(F.col("__place") - split, small)) + 1
-    return quantiles(placed.select(part.alias("part"), "__value"), "__value", (0.5,), "part").withColumnRenamed("p50", "median")
+    return placed.withColumn("part", part).drop("__place")
+
+
+def equal_count_bias(rows: DataFrame, axis: str, value: str, key: str, parts: int = 5) -> DataFrame:
+    """``part, n, median`` over the groups of :func:`equal_count_parts`."""
+    placed = equal_count_parts(rows.select(axis, key, F.col(value).cast("double").alias("__value")), axis, key, parts)
+    return quantiles(placed, "__value", (0.5,), "part").withColumnRenamed("p50", "median")
 
 
 def gate(rows: DataFrame, gates: dict[str, Column], hard: list[str], *keys: str) -> DataFrame:

@@ -15,6 +15,7 @@ from strutwise.operators import sampling as P
 from strutwise.operators import spatial as S
 from strutwise.operators.classify import CLASSES
 from strutwise.sources.documents import digest, envelope
+from strutwise.sources.storage import stored
 
 
 def with_overrides(policy, overrides: dict):
@@ -107,6 +108,47 @@ class QualityPolicy:
     most_ratio: float = 1.0
 
 
+def quality_measures(samples: DataFrame, patches: DataFrame, placed: DataFrame, junctions: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+    """One row: ``junction_mean, corridor_median, contained, radius, spread, outside``.
+
+    ``samples`` are those of all corridors (``id, ring, valid, fg``), ``patches``
+    the means around all junctions. ``spread`` is the largest difference of
+    median occupancy between fifths of the struts along an axis; ``outside``
+    counts junctions that aren't in the volume.
+    """
+    samples = stored(samples.select("id", "ring", "valid", "fg"), "samples")
+    occupied = stored(P.occupancy(samples), "occupancy")
+    where = stored(placed.select("id", *[((F.col(f"a{c}") + F.col(f"b{c}")) / 2).alias(f"m{c}") for c in "xyz"]).join(occupied, "id"), "placed")
+    fifths = None
+    for c in "xyz":
+        one = S.equal_count_parts(where.select(F.lit(c).alias("axis"), F.col(f"m{c}").alias("m"), "id", "fraction"), "m", "id")
+        fifths = one if fifths is None else fifths.unionByName(one)
+    spreads = S.quantiles(fifths, "fraction", (0.5,), "axis", "part").groupBy("axis").agg((F.max("p50") - F.min("p50")).alias("spread"))
+    inside = P.inside((F.col("x"), F.col("y"), F.col("z")), shape[::-1])
+    rows = [
+        patches.agg(F.avg("fraction").alias("junction_mean")), S.quantiles(occupied, "fraction", (0.5,)).select(F.col("p50").alias("corridor_median")),
+        occupied.agg(F.avg(F.col("contained").cast("double")).alias("contained")), P.measured_radius(P.ring_profile(samples)), spreads.agg(F.max("spread").alias("spread")),
+        junctions.agg(F.count_if(~inside).alias("outside")),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.join(r)  # one row each
+    return out
+
+
+def quality_gates(measures: DataFrame, uncertainty: float | None = None, stability: float = 0.0, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
+    """``kind, gate, value, passed`` of each check of one row of measures; a value that isn't known fails."""
+    ratio = F.lit(None).cast("double") if uncertainty is None else F.lit(uncertainty + stability) / F.nullif(F.col("radius").cast("double"), F.lit(0.0))
+    checks = [
+        ("image", "junctions_filled", F.col("junction_mean"), F.col("junction_mean") >= policy.least_junction), ("image", "corridors_filled", F.col("corridor_median"), F.col("corridor_median") >= policy.least_corridor),
+        ("image", "even_in_space", F.col("spread"), F.col("spread") <= policy.most_spatial_range), ("image", "nodes_inside", F.col("outside"), F.col("outside") == 0),
+        ("region", "corridors_inside", F.col("contained"), F.col("contained") >= policy.least_inside), ("metrology", "radius_measured", F.col("radius"), F.col("radius") > 0),
+        ("metrology", "uncertainty_known", F.lit(uncertainty), F.lit(uncertainty is not None)), ("metrology", "uncertainty_small", ratio, ratio <= policy.most_ratio),
+    ]
+    structs = [F.struct(F.lit(kind).alias("kind"), F.lit(gate).alias("gate"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("passed")) for kind, gate, value, ok in checks]
+    return measures.select(F.inline(F.array(*structs)))
+
+
 def registration_quality(placed: DataFrame, junctions: DataFrame, voxels: DataFrame, shape: tuple[int, int, int], integrity: dict[str, bool], uncertainty: float | None = None, stability: float = 0.0, policy: QualityPolicy = QualityPolicy()) -> dict:
     """How well a placed lattice lies on the material: image, region and metrology checks, and the gate.
 

@@ -13,6 +13,7 @@ from strutwise.operators import lattice as L
 from strutwise.operators import neighbours as N
 from strutwise.operators import sampling as P
 from strutwise.operators import spatial as S
+from strutwise.plans import analyses as Y
 from strutwise.plans import views as V
 from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
@@ -144,8 +145,13 @@ def _corridor(spark, d):
 
 def _samples(spark, d):
     pts = _corridor(spark, d).withColumns({c: F.round(c, 6) for c in "xyz"})
+    return P.sampled(pts, _grid19(spark), (19, 19, 19))
+
+
+def _grid19(spark):
+    """A volume that junctions and corridors lie in, as rows."""
     grid = spark.range(19 * 19 * 19).select((F.col("id") % 19).cast("int").alias("x"), (F.floor(F.col("id") / 19) % 19).cast("int").alias("y"), F.floor(F.col("id") / 361).cast("int").alias("z"))
-    return P.sampled(pts, grid.withColumn("fg", (F.col("x") * 7 + F.col("y") * 5 + F.col("z") * 3) % 4 == 0), (19, 19, 19))
+    return grid.withColumn("fg", (F.col("x") * 7 + F.col("y") * 5 + F.col("z") * 3) % 4 == 0)
 
 
 # every coordinate takes part: the extent of each ring of each corridor, and of its ends along the axis
@@ -167,6 +173,32 @@ def radial_probability(spark, d):
     return P.ring_profile(_samples(spark, d))
 
 
+_MEASURES = _SAMPLES + """, occ AS (SELECT id, bool_and(valid) AS contained, coalesce(count_if(valid AND fg)/nullif(count_if(valid), 0)::DOUBLE, 0) AS fraction FROM smp GROUP BY id),
+ring AS (SELECT coalesce(max(ring), 0) AS radius FROM (SELECT ring, count_if(valid AND fg)/nullif(count_if(valid), 0)::DOUBLE AS p FROM smp GROUP BY ring) WHERE p >= 0.5),
+mid AS (SELECT id, fraction, (ax+bx)/2 AS mx, (ay+by_)/2 AS my, (az+bz)/2 AS mz FROM v_placed JOIN occ USING (id)),
+nt AS (SELECT fraction, ntile(5) OVER (ORDER BY mx, id) AS px, ntile(5) OVER (ORDER BY my, id) AS py, ntile(5) OVER (ORDER BY mz, id) AS pz FROM mid),
+md AS (SELECT 'x' AS a, quantile_cont(fraction, 0.5) AS m FROM nt GROUP BY px UNION ALL SELECT 'y', quantile_cont(fraction, 0.5) FROM nt GROUP BY py UNION ALL SELECT 'z', quantile_cont(fraction, 0.5) FROM nt GROUP BY pz),
+sp AS (SELECT max(d) AS spread FROM (SELECT max(m)-min(m) AS d FROM md GROUP BY a)),
+gr AS (SELECT x, y, z, (x*7+y*5+z*3)%4=0 AS fg FROM (SELECT unnest(generate_series(0, 18)) AS x), (SELECT unnest(generate_series(0, 18)) AS y), (SELECT unnest(generate_series(0, 18)) AS z)),
+pa AS (SELECT j.id, coalesce(count_if(fg)/nullif(count(gr.x), 0)::DOUBLE, 0) AS fraction FROM v_junction j LEFT JOIN gr ON abs(gr.x-j.x)<=1 AND abs(gr.y-j.y)<=1 AND abs(gr.z-j.z)<=1 GROUP BY j.id),
+ms AS (SELECT (SELECT avg(fraction) FROM pa) AS junction_mean, (SELECT quantile_cont(fraction, 0.5) FROM occ) AS corridor_median, (SELECT avg(contained::INT::DOUBLE) FROM occ) AS contained, radius, spread,
+  (SELECT count_if(NOT (x>=0 AND x<19 AND y>=0 AND y<19 AND z>=0 AND z<19)) FROM v_junction) AS outside FROM ring, sp)
+"""
+
+
+@query("registration_gates", _MEASURES + f"""SELECT kind, gate, {R('value', 'value')}, coalesce(passed, false) AS passed FROM (
+  SELECT 'image' AS kind, 'junctions_filled' AS gate, junction_mean AS value, junction_mean>=0.2 AS passed FROM ms UNION ALL SELECT 'image', 'corridors_filled', corridor_median, corridor_median>=0.08 FROM ms
+  UNION ALL SELECT 'image', 'even_in_space', spread, spread<=0.25 FROM ms UNION ALL SELECT 'image', 'nodes_inside', outside::DOUBLE, outside=0 FROM ms UNION ALL SELECT 'region', 'corridors_inside', contained, contained>=0.99 FROM ms
+  UNION ALL SELECT 'metrology', 'radius_measured', radius::DOUBLE, radius>0 FROM ms UNION ALL SELECT 'metrology', 'uncertainty_known', 0.5, true UNION ALL SELECT 'metrology', 'uncertainty_small', 0.5/nullif(radius, 0)::DOUBLE, 0.5/nullif(radius, 0)::DOUBLE<=1 FROM ms)""")
+def registration_gates(spark, d):
+    grid = _grid19(spark)
+    j = V.junctions(spark, d)
+    placed = _placed(spark, d)
+    patches = P.patch_means(j, grid, 1)
+    measures = Y.quality_measures(_samples(spark, d), patches, placed, j, (19, 19, 19))
+    return Y.quality_gates(measures, 0.5, policy=Y.QualityPolicy(least_junction=0.2))
+
+
 @query("spatial_bias", with_views("v_points") + f""", t AS (SELECT *, ntile(5) OVER (ORDER BY x, id) AS part FROM v_points)
 SELECT part::INT AS part, count(*)::BIGINT AS n, {R('quantile_cont(y, 0.5)', 'median')} FROM t GROUP BY part""")
 def spatial_bias(spark, d):

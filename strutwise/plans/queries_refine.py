@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strutwise.operators import localize as Z
 from strutwise.operators import refine as W
 from strutwise.plans import views as V
 from strutwise.plans.catalog import query
@@ -40,6 +41,14 @@ def refined_nodes(spark, d):
     return W.peaks_near(_nodes(spark, d), blocks_of(V.voxels(spark, d), SHAPE, "u2", 3), _POLICY)
 
 
+@query("localized_nodes")
+def localized_nodes(spark, d):
+    """Where mean shift moves each node; no SQL can state its rounds, so a test compares it with the kernel on the whole array."""
+    policy = Z.LocalizePolicy(patch=3, search=3.0, threshold=8)
+    found = Z.localized(_nodes(spark, d), blocks_of(V.voxels(spark, d), SHAPE, "u2", 3), SHAPE, policy=policy)
+    return found.withColumn("reasons", F.array_join("reasons", ","))
+
+
 _PAIRS = "p AS (SELECT id, x AS px, y AS py, z AS pz, 2*x-y+1+label*0.01::DOUBLE AS qx, 2*y+z-label*0.02::DOUBLE AS qy, 2*z-x+x*y AS qz FROM v_points)"
 _DET = "(sxx*(syy*szz-syz*syz)-sxy*(sxy*szz-syz*sxz)+sxz*(sxy*syz-syy*sxz))"
 

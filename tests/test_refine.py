@@ -74,3 +74,22 @@ def test_cleaned_masks(spark):
     got = {tuple(r) for r in R.cleaned(cells, placed, shape, size=8).collect()}
     assert got == {p for p in rows if 8 <= p[0] < 12 and p[2] < 30}
     assert R.cleaned(cells.limit(0), placed, shape).count() == 0
+
+
+def test_query_localized_nodes(spark, sf):
+    from strutwise.operators import localize as Z
+    from strutwise.plans import queries_refine as Q
+    from strutwise.plans import views
+
+    a = np.zeros(views.SHAPE, dtype=np.uint16)
+    for r in views.voxels(spark, sf).collect():
+        a[r.z, r.y, r.x] = r.value
+    policy, at = Z.LocalizePolicy(patch=3, search=3.0, threshold=8), {r.id: r.asDict() for r in Q._nodes(spark, sf).collect()}
+    got = {r.id: r for r in Q.localized_nodes(spark, sf).collect()}
+    assert set(got) == set(at)
+    for k, row in at.items():
+        low = [max(0, round(row[c]) - 3) for c in "zyx"]
+        patch = a[tuple(slice(o, round(row[c]) + 4) for o, c in zip(low, "zyx"))]
+        want = Z.locate(row, patch, low, a.shape, policy)
+        assert (got[k].match_class, got[k].accepted, got[k].reasons) == (want["match_class"], want["accepted"], ",".join(want["reasons"]))
+        assert np.allclose([got[k].x, got[k].y, got[k].z, got[k].support], [want[c] for c in ("x", "y", "z", "support")], atol=1e-9)
