@@ -41,7 +41,7 @@ def test_registration(spark):
     rng = np.random.default_rng(0)
     seen = np.vstack([q[rng.random(len(q)) < 0.9], rng.uniform(0, 40, (5, 3))])
     nominal, detected = spark.createDataFrame(rows(GRID), POINTS), spark.createDataFrame(rows(seen), POINTS)
-    policy = R.FitPolicy(scales=(1.0,), tilts=((0, 0, 0), (3, 0, 0), (0, 3, 0)), most_holdout_error=1.0, rounds=12)
+    policy = R.FitPolicy(scales=(1.0,), tilts=((0, 0, 0), (3, 0, 0), (0, 3, 0)), most_holdout_error=1.0, rounds=8)
     got = R.register(nominal, detected, (64, 64, 64), policy)
     assert got["gate"] == "pass", got["checks"]
     assert abs(got["transform"][0] - 1.5) < 0.02 and got["holdout_median"] < 0.5 and len(got["fits"]) == 3
@@ -108,9 +108,9 @@ def test_fits_of_whole_clouds_equal_the_kernel(spark):
     true = (2.0, R.rotation((2, -1, 3)), np.array([1.0, 2.0, 3.0]))
     q = np.vstack([K.apply(true, p)[rng.random(60) < 0.8], rng.uniform(0, 15, (12, 3))])
     starts = [(2.02, R.rotation((1, 0, 2)), np.array([1.2, 1.8, 3.1])), (1.0, np.eye(3), np.array([3.0, 3.0, 3.0])), (2.1, np.eye(3), np.array([0.5, 2.5, 3.0]))]
-    got = A.trimmed_fits(spark.createDataFrame(rows(p), POINTS).repartition(3), spark.createDataFrame(rows(q), POINTS), starts, keep=0.7, rounds=6)
+    got = A.trimmed_fits(spark.createDataFrame(rows(p), POINTS).repartition(3), spark.createDataFrame(rows(q), POINTS), starts, keep=0.7, rounds=3)
     for s, g in zip(starts, got):
-        (scale, rotation, shift), objective, count, settled = K.trimmed_fit(p, q, s, 0.7, 6)
+        (scale, rotation, shift), objective, count, settled = K.trimmed_fit(p, q, s, 0.7, 3)
         assert (g["rounds"], g["settled"], g["error"]) == (count, settled, None)
         assert abs(g["transform"][0] - scale) < 1e-9 and np.allclose(g["transform"][1], rotation, atol=1e-9) and np.allclose(g["transform"][2], shift, atol=1e-8)
         assert abs(g["objective"] - objective) < 1e-9
