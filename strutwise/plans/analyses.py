@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
+from strutwise.operators import corridors as R
 from strutwise.operators import histogram as H
 from strutwise.operators import lattice as L
 from strutwise.operators import sampling as P
 from strutwise.operators import spatial as S
 from strutwise.operators.classify import CLASSES
+from strutwise.operators.patches import BRICK
 from strutwise.sources.documents import digest, envelope
 from strutwise.sources.storage import stored
+from strutwise.sources.volumes import blocks_of
 
 
 def with_overrides(policy, overrides: dict):
@@ -95,6 +98,64 @@ def replay_threshold(hist: DataFrame) -> dict:
     return envelope("ok", "pass" if all(checks.values()) else "manual_review", f"threshold {row.threshold}", {"diagnostics": row.asDict(), "modes": found, "checks": checks}, hashes={"histogram": hashlib.sha256(dense.tobytes()).hexdigest()})
 
 
+@dataclass(frozen=True)
+class SupportPolicy:
+    """How a placed lattice must be supported by the image; places along a strut run from ``ends`` to 1 - ``ends`` of its length."""
+    junction_radius: int = 2
+    corridor_radius: int = 24
+    angles: int = 24
+    steps: int = 13
+    ends: float = 0.15
+    confident: float = 0.9
+    least_probability: float = 0.5
+    least_junction: float = 0.85
+    least_corridor: float = 0.08
+    most_spread: float = 0.25
+    most_distance: float = 5.0
+    parts: int = 5
+
+
+def image_support(corridors: DataFrame, placed: DataFrame, patches: DataFrame, distances: DataFrame, policy: SupportPolicy = SupportPolicy()) -> DataFrame:
+    """One row of what supports a placed lattice in the image.
+
+    ``corridors`` are those of :func:`corridors.corridors`, ``patches`` of
+    ``sampling.patch_means`` around all junctions, ``distances`` (``distance``)
+    lie between candidates kept out of the fit and the nearest node. Here a
+    corridor's share counts samples outside the volume as empty, in all and by
+    ring. ``unsupported`` is the share of struts with no material at any place,
+    ``confident_share`` the share that a confident strut has at least, and
+    ``confident`` how many there are. Of empty tables the measures are null and
+    the counts 0.
+    """
+    each = F.col("foreground") / F.col("samples")
+    rows = stored(corridors.select("id", each.alias("share"), "longest_gap", "samples", "ring_foreground"), "support")
+    rings = rows.select("samples", F.posexplode("ring_foreground").alias("ring", "hits")).groupBy("ring").agg(F.sum("hits").alias("hits"), F.count("*").alias("n"))
+    places = F.when(F.col("ring") == 0, 1).otherwise(policy.angles) * policy.steps
+    likely = F.col("hits") / (F.col("n") * places) >= policy.least_probability
+    at = S.quantiles(rows, "share", (0.1, 0.5, 0.9)).select(F.col("n").alias("struts"), *[F.col(f"p{k}").alias(f"corridor_p{k}") for k in (10, 50, 90)])
+    limit = S.quantiles(rows, "share", (policy.confident,)).select(F.col(f"p{round(100 * policy.confident)}").alias("confident_share"))
+    confident = rows.join(F.broadcast(limit)).agg(F.count_if(F.col("share") >= F.col("confident_share")).alias("confident"), F.avg((F.col("longest_gap") == policy.steps).cast("double")).alias("unsupported"))
+    patches = stored(patches.select("fraction", "foreground"), "patches")
+    spread = axis_spreads(placed, rows, "share", policy.parts).agg(*[F.max(F.when(F.col("axis") == c, F.col("spread"))).alias(f"spread_{c}") for c in "xyz"])
+    return _one_row([
+        patches.agg(F.count("*").alias("junctions"), F.avg("fraction").alias("junction_mean"), F.avg((F.col("foreground") > 0).cast("double")).alias("junction_any")),
+        S.quantiles(patches, "fraction", (0.5,)).select(F.col("p50").alias("junction_median")),
+        S.quantiles(distances, "distance", (0.5, 0.95)).select(F.col("n").alias("candidates"), F.col("p50").alias("distance_median"), F.col("p95").alias("distance_p95")),
+        at, limit, confident, rings.agg(F.coalesce(F.max(F.when(likely, F.col("ring"))), F.lit(0)).cast("int").alias("radius")), spread,
+    ])
+
+
+def support_gates(support: DataFrame, policy: SupportPolicy = SupportPolicy()) -> DataFrame:
+    """``gate, value, passed`` of each check of one row of :func:`image_support`; a value that isn't known fails."""
+    spread = F.greatest(*[F.col(f"spread_{c}") for c in "xyz"])
+    checks = [
+        ("junctions_filled", F.col("junction_mean"), F.col("junction_mean") >= policy.least_junction), ("corridors_filled", F.col("corridor_p50"), F.col("corridor_p50") >= policy.least_corridor),
+        ("even_in_space", spread, spread <= policy.most_spread), ("candidates_near", F.col("distance_median"), F.col("distance_median") <= policy.most_distance),
+        ("radius_measured", F.col("radius"), F.col("radius") > 0),
+    ]
+    return support.select(F.inline(F.array(*[F.struct(F.lit(g).alias("gate"), v.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("passed")) for g, v, ok in checks])))
+
+
 @dataclass(frozen=True)
 class QualityPolicy:
     junction_radius: int = 2
@@ -108,34 +169,40 @@ class QualityPolicy:
     most_ratio: float = 1.0
 
 
-def quality_measures(samples: DataFrame, patches: DataFrame, placed: DataFrame, junctions: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
-    """One row: ``junction_mean, corridor_median, contained, radius, spread, outside``.
-
-    ``samples`` are those of all corridors (``id, ring, valid, fg``), ``patches``
-    the means around all junctions. ``spread`` is the largest difference of
-    median occupancy between fifths of the struts along an axis; ``outside``
-    counts junctions that aren't in the volume.
-    """
-    samples = stored(samples.select("id", "ring", "valid", "fg"), "samples")
-    occupied = stored(P.occupancy(samples), "occupancy")
-    where = stored(placed.select("id", *[((F.col(f"a{c}") + F.col(f"b{c}")) / 2).alias(f"m{c}") for c in "xyz"]).join(occupied, "id"), "placed")
-    fifths = None
+def axis_spreads(placed: DataFrame, occupied: DataFrame, share: str = "fraction", parts: int = 5) -> DataFrame:
+    """``axis, spread``: the largest difference of median occupancy between parts of equal counts of the struts' midpoints along each axis."""
+    where = stored(placed.select("id", *[((F.col(f"a{c}") + F.col(f"b{c}")) / 2).alias(f"m{c}") for c in "xyz"]).join(occupied.select("id", share), "id"), "placed")
+    every = None
     for c in "xyz":
-        one = S.equal_count_parts(where.select(F.lit(c).alias("axis"), F.col(f"m{c}").alias("m"), "id", "fraction"), "m", "id")
-        fifths = one if fifths is None else fifths.unionByName(one)
-    spreads = S.quantiles(fifths, "fraction", (0.5,), "axis", "part").groupBy("axis").agg((F.max("p50") - F.min("p50")).alias("spread"))
-    inside = P.inside((F.col("x"), F.col("y"), F.col("z")), shape[::-1])
-    rows = [
-        patches.agg(F.avg("fraction").alias("junction_mean")), S.quantiles(occupied, "fraction", (0.5,)).select(F.col("p50").alias("corridor_median")),
-        occupied.agg(F.avg(F.col("contained").cast("double")).alias("contained")), P.measured_radius(P.ring_profile(samples)), spreads.agg(F.max("spread").alias("spread")),
-        junctions.agg(F.count_if(~inside).alias("outside")),
-    ]
+        one = S.equal_count_parts(where.select(F.lit(c).alias("axis"), F.col(f"m{c}").alias("m"), "id", share), "m", "id", parts)
+        every = one if every is None else every.unionByName(one)
+    return S.quantiles(every, share, (0.5,), "axis", "part").groupBy("axis").agg((F.max("p50") - F.min("p50")).alias("spread"))
+
+
+def _one_row(rows: list[DataFrame]) -> DataFrame:
     out = rows[0]
     for r in rows[1:]:
         out = out.join(r)  # one row each
     return out
 
 
+def quality_measures(corridors: DataFrame, patches: DataFrame, placed: DataFrame, junctions: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+    """One row: ``junction_mean, corridor_median, contained, radius, spread, outside``.
+
+    ``corridors`` are those of :func:`corridors.corridors`, ``patches`` the means
+    around all junctions. ``spread`` is the largest difference of median
+    occupancy between fifths of the struts along an axis; ``outside`` counts
+    junctions that aren't in the volume.
+    """
+    occupied = stored(corridors, "corridors")
+    inside = P.inside((F.col("x"), F.col("y"), F.col("z")), shape[::-1])
+    return _one_row([
+        patches.agg(F.avg("fraction").alias("junction_mean")), S.quantiles(occupied, "fraction", (0.5,)).select(F.col("p50").alias("corridor_median")),
+        occupied.agg(F.avg(F.col("contained").cast("double")).alias("contained")), P.measured_radius(R.ring_profile(occupied)),
+        axis_spreads(placed, occupied).agg(F.max("spread").alias("spread")), junctions.agg(F.count_if(~inside).alias("outside")),
+    ])
+
+
 def quality_gates(measures: DataFrame, uncertainty: float | None = None, stability: float = 0.0, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
     """``kind, gate, value, passed`` of each check of one row of measures; a value that isn't known fails."""
     ratio = F.lit(None).cast("double") if uncertainty is None else F.lit(uncertainty + stability) / F.nullif(F.col("radius").cast("double"), F.lit(0.0))
@@ -155,30 +222,17 @@ def registration_quality(placed: DataFrame, junctions: DataFrame, voxels: DataFr
     A failed integrity check halts; a failed image or region check, or a
     measurement whose uncertainty is not known or too large, asks for review.
     """
-    inside = P.inside((F.col("x"), F.col("y"), F.col("z")), shape[::-1])
-    junction = P.patch_means(junctions, voxels, policy.junction_radius).agg(F.avg("fraction")).first()[0]
-    samples = P.sampled(P.corridor(placed, policy.corridor_radius, policy.angles, policy.steps), voxels, shape).cache()
-    occupied = P.occupancy(samples)
-    corridor = S.quantiles(occupied, "fraction", (0.5,)).first().p50
-    contained = occupied.agg(F.avg(F.col("contained").cast("double"))).first()[0]
-    radius = P.measured_radius(P.ring_profile(samples)).first()[0]
-    where = placed.select("id", *[((F.col(f"a{c}") + F.col(f"b{c}")) / 2).alias(f"m{c}") for c in "xyz"]).join(occupied, "id")
-    ranges = {}
-    for c in "xyz":
-        low, high = S.equal_count_bias(where, f"m{c}", "fraction", "id").agg(F.min("median"), F.max("median")).first()
-        ranges[c] = None if low is None else high - low
-    samples.unpersist()
-    worst = max((r for r in ranges.values() if r is not None), default=None)
-    image = {
-        "junctions_filled": (junction or 0) >= policy.least_junction, "corridors_filled": (corridor or 0) >= policy.least_corridor,
-        "even_in_space": worst is not None and worst <= policy.most_spatial_range, "nodes_inside": junctions.where(~inside).limit(1).count() == 0,
-    }
-    region = {"corridors_inside": (contained or 0) >= policy.least_inside}
-    ratio = None if uncertainty is None or not radius else (uncertainty + stability) / radius
-    metrology = {"radius_measured": radius > 0, "uncertainty_known": uncertainty is not None, "uncertainty_small": ratio is not None and ratio <= policy.most_ratio}
-    failed = [f"{kind}.{n}" for kind, group in (("integrity", integrity), ("image", image), ("region", region), ("metrology", metrology)) for n, ok in group.items() if not ok]
+    blocks = blocks_of(voxels.select("z", "y", "x", F.col("fg").cast("int").alias("value")), shape, "u1", BRICK)
+    corridors = stored(R.corridors(placed, blocks, shape, 1, policy.corridor_radius, policy.angles, policy.steps), "corridors")
+    measures = stored(quality_measures(corridors, P.patch_means(junctions, voxels, policy.junction_radius), placed, junctions, shape), "measures")
+    row = measures.first()
+    found = quality_gates(measures, uncertainty, stability, policy).collect()  # eight gates
+    image = {g.gate: g.passed for g in found if g.kind == "image"}
+    failed = [f"integrity.{n}" for n, ok in integrity.items() if not ok] + [f"{g.kind}.{g.gate}" for g in found if not g.passed]
     gate = "halt" if not all(integrity.values()) else "manual_review" if failed else "pass"
-    return {"gate": gate, "failed": failed, "junction_mean": junction, "corridor_median": corridor, "spatial_range": ranges, "measured_radius": radius, "ratio": ratio, "allowed": {"screening": all(image.values()), "metrology": gate == "pass"}}
+    ratio = next(g.value for g in found if g.gate == "uncertainty_small")
+    ranges = {c: None for c in "xyz"} | {r.axis: r.spread for r in axis_spreads(placed, corridors).collect()}
+    return {"gate": gate, "failed": failed, "junction_mean": row.junction_mean, "corridor_median": row.corridor_median, "spatial_range": ranges, "measured_radius": row.radius, "ratio": ratio, "allowed": {"screening": all(image.values()), "metrology": gate == "pass"}}
 
 
 def spatial_statistics(classified: DataFrame, struts: DataFrame, junctions: DataFrame) -> dict:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strutwise.functions import vectors as X
 from strutwise.operators import alignment as A
 from strutwise.operators import classify as C
+from strutwise.operators import corridors as K
 from strutwise.operators import evaluate as E
 from strutwise.operators import lattice as L
 from strutwise.operators import neighbours as N
@@ -17,6 +18,7 @@ from strutwise.plans import analyses as Y
 from strutwise.plans import views as V
 from strutwise.plans.catalog import query
 from strutwise.plans.views import with_views
+from strutwise.sources.volumes import blocks_of
 
 R = lambda x, name: f"round({x}, 6) + 0.0 AS {name}"
 _PLACED = ("v_strut", "v_junction", "v_placed")
@@ -143,9 +145,10 @@ def _corridor(spark, d):
     return P.corridor(_placed(spark, d).where("ax <> bx or ay <> by or az <> bz"), 1.5, 6, 9)
 
 
-def _samples(spark, d):
-    pts = _corridor(spark, d).withColumns({c: F.round(c, 6) for c in "xyz"})
-    return P.sampled(pts, _grid19(spark), (19, 19, 19))
+def _corridors(spark, d):
+    """The counts of all corridors in the grid as a volume."""
+    cells = _grid19(spark).select("z", "y", "x", F.col("fg").cast("int").alias("value"))
+    return K.corridors(_placed(spark, d), blocks_of(cells, (19, 19, 19), "u1", 19), (19, 19, 19), 1, 1.5, 6, 9)
 
 
 def _grid19(spark):
@@ -165,12 +168,12 @@ def corridor_coords(spark, d):
 @query("corridor_sample", _SAMPLES + f"""SELECT id, count(*)::BIGINT AS samples, count_if(valid)::BIGINT AS valid, count_if(valid AND fg)::BIGINT AS foreground, bool_and(valid) AS contained,
 {R('coalesce(count_if(valid AND fg)/nullif(count_if(valid), 0)::DOUBLE, 0)', 'fraction')} FROM smp GROUP BY id""")
 def corridor_sample(spark, d):
-    return P.occupancy(_samples(spark, d))
+    return _corridors(spark, d).select("id", "samples", "valid", "foreground", "contained", "fraction")
 
 
 @query("radial_probability", _SAMPLES + f"SELECT ring, count_if(valid)::BIGINT AS valid, count_if(valid AND fg)::BIGINT AS foreground, {R('count_if(valid AND fg)/nullif(count_if(valid), 0)::DOUBLE', 'probability')} FROM smp GROUP BY ring")
 def radial_probability(spark, d):
-    return P.ring_profile(_samples(spark, d))
+    return K.ring_profile(_corridors(spark, d))
 
 
 _MEASURES = _SAMPLES + """, occ AS (SELECT id, bool_and(valid) AS contained, coalesce(count_if(valid AND fg)/nullif(count_if(valid), 0)::DOUBLE, 0) AS fraction FROM smp GROUP BY id),
@@ -195,10 +198,61 @@ def registration_gates(spark, d):
     j = V.junctions(spark, d)
     placed = _placed(spark, d)
     patches = P.patch_means(j, grid, 1)
-    measures = Y.quality_measures(_samples(spark, d), patches, placed, j, (19, 19, 19))
+    measures = Y.quality_measures(_corridors(spark, d), patches, placed, j, (19, 19, 19))
     return Y.quality_gates(measures, 0.5, policy=Y.QualityPolicy(least_junction=0.2))
 
 
+# struts in the voxel view, whose cells of at least the mean are material; corridors of rings 0 to 2, five places along
+_SUPPORT = _CORRIDOR.replace("least(r::DOUBLE, 1.5)", "r::DOUBLE").replace("generate_series(0,8)", "generate_series(0,4)").replace("(-0.2::DOUBLE+1.4::DOUBLE*step/8.0::DOUBLE)", "(0.15::DOUBLE+0.7::DOUBLE*step/4.0::DOUBLE)") + f""", cells AS ({V.SQL["v_voxel"]}),
+gr AS (SELECT z, y, x, value*(SELECT count(*) FROM cells) >= (SELECT sum(value) FROM cells) AS fg FROM cells),
+w AS (SELECT id, step, ring, round_even(round(x, 6), 0)::INT AS xi, round_even(round(y, 6), 0)::INT AS yi, round_even(round(z, 6), 0)::INT AS zi FROM pts),
+smp AS (SELECT w.id, step, ring, coalesce(fg, false) AS fg FROM w LEFT JOIN gr ON gr.x=xi AND gr.y=yi AND gr.z=zi),
+ax AS (SELECT id, step, bool_or(fg) AS seen, count_if(fg) AS hits, count(*) AS n FROM smp GROUP BY id, step),
+runs AS (SELECT id, step, seen, step-row_number() OVER (PARTITION BY id, seen ORDER BY step) AS run FROM ax),
+gap AS (SELECT id, max(n) AS gap FROM (SELECT id, run, count(*) AS n FROM runs WHERE NOT seen GROUP BY id, run) GROUP BY id),
+occ AS (SELECT id, sum(hits)/sum(n)::DOUBLE AS share, coalesce(any_value(gap), 0)::BIGINT AS gap FROM ax LEFT JOIN gap USING (id) GROUP BY id),
+mid AS (SELECT id, share, (ax+bx)/2 AS mx, (ay+by_)/2 AS my, (az+bz)/2 AS mz FROM v_placed JOIN occ USING (id)),
+nt AS (SELECT share, ntile(5) OVER (ORDER BY mx, id) AS px, ntile(5) OVER (ORDER BY my, id) AS py, ntile(5) OVER (ORDER BY mz, id) AS pz FROM mid),
+sp AS (SELECT """ + ", ".join(f"(SELECT max(m)-min(m) FROM (SELECT quantile_cont(share, 0.5) AS m FROM nt GROUP BY p{c})) AS spread_{c}" for c in "xyz") + """),
+pa AS (SELECT j.id, coalesce(count_if(gr.fg), 0) AS hits, (SELECT count(*) FROM (SELECT unnest(generate_series(0, 6)) AS z), (SELECT unnest(generate_series(0, 31)) AS y), (SELECT unnest(generate_series(0, 31)) AS x)
+  WHERE abs(z-any_value(j.z))<=1 AND abs(y-any_value(j.y))<=1 AND abs(x-any_value(j.x))<=1) AS n
+  FROM v_junction j LEFT JOIN gr ON abs(gr.x-j.x)<=1 AND abs(gr.y-j.y)<=1 AND abs(gr.z-j.z)<=1 GROUP BY j.id),
+ds AS (SELECT j.id, min(sqrt((j.x-p.x)*(j.x-p.x)+(j.y-p.y)*(j.y-p.y)+(j.z-p.z)*(j.z-p.z))) AS distance FROM v_junction j, (SELECT DISTINCT x, y, z FROM v_junction WHERE id<1000000000) p WHERE j.id>=1000000000 GROUP BY j.id)
+"""
+
+
+def _solid(spark, d):
+    vox = V.voxels(spark, d)
+    mean = vox.agg(F.sum("value").alias("total"), F.count("*").alias("n"))
+    return vox.join(F.broadcast(mean)).select("z", "y", "x", (F.col("value") * F.col("n") >= F.col("total")).alias("fg"))  # one row
+
+
+def _supports(spark, d):
+    cells = _solid(spark, d).select("z", "y", "x", F.col("fg").cast("int").alias("value"))
+    return K.corridors(_placed(spark, d), blocks_of(cells, V.SHAPE, "u1", 7), V.SHAPE, 1, 2, 6, 5, -0.15, size=8)
+
+
+@query("axial_support", _SUPPORT + f"SELECT id, gap AS longest_gap, {R('share', 'share')} FROM occ")
+def axial_support(spark, d):
+    return _supports(spark, d).select("id", F.col("longest_gap").cast("long").alias("longest_gap"), (F.col("foreground") / F.col("samples")).alias("share"))
+
+
+@query("image_support", _SUPPORT + f""", pf AS (SELECT hits, coalesce(hits/nullif(n, 0)::DOUBLE, 0) AS fraction FROM pa), cut AS (SELECT quantile_cont(share, 0.75) AS c FROM occ),
+rp AS (SELECT ring FROM smp GROUP BY ring HAVING count_if(fg)/count(*)::DOUBLE >= 0.5)
+SELECT (SELECT count(*) FROM pf)::BIGINT AS junctions, (SELECT {R('avg(fraction)', 'a')} FROM pf) AS junction_mean, (SELECT {R('avg((hits>0)::INT::DOUBLE)', 'a')} FROM pf) AS junction_any,
+  (SELECT {R('quantile_cont(fraction, 0.5)', 'a')} FROM pf) AS junction_median, (SELECT count(*) FROM ds)::BIGINT AS candidates, (SELECT {R('quantile_cont(distance, 0.5)', 'a')} FROM ds) AS distance_median,
+  (SELECT {R('quantile_cont(distance, 0.95)', 'a')} FROM ds) AS distance_p95, (SELECT count(*) FROM occ)::BIGINT AS struts, {", ".join(f"(SELECT {R(f'quantile_cont(share, 0.{k})', 'a')} FROM occ) AS corridor_p{k}0" for k in (1, 5, 9))},
+  (SELECT {R('c', 'a')} FROM cut) AS confident_share, (SELECT count_if(share>=c) FROM occ, cut)::BIGINT AS confident, (SELECT {R('avg((gap=5)::INT::DOUBLE)', 'a')} FROM occ) AS unsupported,
+  (SELECT coalesce(max(ring), 0) FROM rp)::INT AS radius, {R('spread_x', 'spread_x')}, {R('spread_y', 'spread_y')}, {R('spread_z', 'spread_z')} FROM sp""")
+def image_support(spark, d):
+    policy = Y.SupportPolicy(1, 2, 6, 5, confident=0.75)
+    every = spark.range(V.SHAPE[0] * V.SHAPE[1] * V.SHAPE[2]).select(F.floor(F.col("id") / 1024).cast("int").alias("z"), F.floor(F.col("id") % 1024 / 32).cast("int").alias("y"), (F.col("id") % 32).cast("int").alias("x"))
+    whole = every.join(_solid(spark, d), ["z", "y", "x"], "left").withColumn("fg", F.coalesce("fg", F.lit(False)))
+    j = V.junctions(spark, d)
+    far = N.nearest(j.where(F.col("id") >= V.SUPPLIERS), j.where(F.col("id") < V.SUPPLIERS))
+    return Y.image_support(_supports(spark, d), _placed(spark, d), P.patch_means(j, whole, 1), far, policy)
+
+
 @query("spatial_bias", with_views("v_points") + f""", t AS (SELECT *, ntile(5) OVER (ORDER BY x, id) AS part FROM v_points)
 SELECT part::INT AS part, count(*)::BIGINT AS n, {R('quantile_cont(y, 0.5)', 'median')} FROM t GROUP BY part""")
 def spatial_bias(spark, d):
