@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from strutwise.functions import sequences as Q
 from strutwise.functions import vectors as V
 from strutwise.operators.patches import BRICK, bricks
+from strutwise.sources.storage import stored
 from strutwise.sources.volumes import block_array
 
 #: Struts that one copy of a brick serves.
-SHARE = 16_384
+SHARE = 4_096
 #: Sample places that a task holds at once.
 PLACES = 400_000
 #: Places along the axis for each word of the bits that say which were hit.
@@ -36,11 +37,15 @@ def disk(radius: float, angles: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return ring, size * np.cos(turn), size * np.sin(turn)
 
 
-def _spread(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """Struts with ``kz, ky, kx, part``, and how many parts each brick has: a brick that many struts meet is copied for every ``SHARE`` of them."""
+def _spread(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Struts with ``kz, ky, kx, part``, and how many parts each brick has: a brick that many struts meet is copied for every ``SHARE`` of them.
+
+    Struts outside the volume are at a brick -1 that no block has.
+    """
     for c in "zyx":
-        rows = rows.withColumn(f"k{c}", F.explode(F.sequence(F.col(f"l{c}"), F.col(f"h{c}"))))
+        rows = rows.withColumn(f"k{c}", F.explode(F.when(F.col("outside"), F.array(F.lit(-1))).otherwise(F.sequence(F.col(f"l{c}"), F.col(f"h{c}")))))
     keys = ["kz", "ky", "kx"]
+    rows = stored(rows.drop("outside", *[f"{e}{c}" for e in "lh" for c in "zyx"]), "brick-struts")
     parts = rows.groupBy(*keys).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("parts"))
     return rows.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).drop("parts"), parts
 
@@ -72,21 +77,19 @@ def corridors(
     for c in ends:
         known = known & F.col(c).isNotNull() & (F.abs(F.col(c)) < float("inf"))
     real = placed.select("id", *[F.col(c).cast("double").alias(c) for c in ends]).where(known).where("ax <> bx or ay <> by or az <> bz")
-    based = V.with_basis(real)
     base = [f"e{n}{c}" for n in "12" for c in "xyz"]
 
-    def reach(c: str, n: int) -> tuple[Column, Column]:
+    def reach(c: str, n: int) -> tuple[Column, Column, Column]:
         first, last = (F.col(f"a{c}") + F.lit(float(t)) * (F.col(f"b{c}") - F.col(f"a{c}")) for t in (along[0], along[-1]))
         low, high = F.least(first, last) - (radius + 1), F.greatest(first, last) + (radius + 1)
         brick = lambda v: F.floor(F.least(F.greatest(v, F.lit(0.0)), F.lit(float(n - 1))) / size).cast("int")
-        return F.when((high >= 0) & (low <= n - 1), brick(low)), brick(high)
+        return brick(low), brick(high), (high < 0) | (low > n - 1)
 
-    boxed = based
+    boxed, outside = V.with_basis(real).select("id", *ends, *base), F.lit(False)
     for c, n in zip("zyx", shape):
-        low, high = reach(c, n)
-        boxed = boxed.withColumns({f"l{c}": low, f"h{c}": high})
-    outside = F.col("lz").isNull() | F.col("ly").isNull() | F.col("lx").isNull()
-    met, parts = _spread(boxed.where(~outside), size)
+        low, high, beside = reach(c, n)
+        boxed, outside = boxed.withColumns({f"l{c}": low, f"h{c}": high}), outside | beside
+    met, parts = _spread(boxed.withColumn("outside", outside))
     keys = ["kz", "ky", "kx", "part"]
     copies = bricks(blocks, size).withColumnsRenamed({f"b{c}": f"k{c}" for c in "zyx"}).join(parts, keys[:3]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     firsts = np.concatenate([[0], 1 + angles * np.arange(rings - 1)])
@@ -95,9 +98,10 @@ def corridors(
         return list(np.add.reduceat(marks.sum(axis=1, dtype=np.int64), firsts, axis=1))
 
     def count(own: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-        if not len(cells):
-            own = own.iloc[:0]
         out = [pd.DataFrame(columns=["id", "valid", "hits", "bits"])]
+        if not len(cells):
+            none = [[0] * rings] * len(own)
+            return pd.DataFrame({"id": own["id"], "valid": none, "hits": none, "bits": [[0] * words] * len(own)})
         if len(own):
             corner = [int(cells[f"{c}0"].min()) for c in "zyx"]
             solid = np.zeros([int((cells[f"{c}0"] + cells[f"n{c}"]).max()) - o for c, o in zip("zyx", corner)], dtype=bool)
@@ -118,10 +122,10 @@ def corridors(
             out.append(pd.DataFrame({"id": f["id"].to_numpy(), "valid": by_ring(here), "hits": by_ring(hit), "bits": list(np.stack(bits, axis=1))}))
         return pd.concat(out)
 
-    counted = met.select("id", *ends, *base, *keys).groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(count, "id long, valid array<long>, hits array<long>, bits array<long>")
-    # a row of zeros for every strut, so that one in no brick has counts too
-    zeros = lambda n: F.array_repeat(F.lit(0).cast("long"), n)
-    counted = counted.unionByName(real.select("id", zeros(rings).alias("valid"), zeros(rings).alias("hits"), zeros(words).alias("bits")))
+    # a fixed number of tasks: merged by their small bytes, they would leave cores idle
+    many = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (t.repartition(many, *keys).groupBy(*keys) for t in (met, copies))
+    counted = left.cogroup(right).applyInPandas(count, "id long, valid array<long>, hits array<long>, bits array<long>")
     each = lambda name, n, f: F.array(*[f(F.get(name, F.lit(k))) for k in range(n)])
     sums = counted.groupBy("id").agg(each("valid", rings, F.sum).alias("ring_valid"), each("hits", rings, F.sum).alias("ring_foreground"), each("bits", words, F.bit_or).alias("bits"))
     total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda s, v: s + v)

@@ -229,7 +229,7 @@ def _solid(spark, d):
 
 def _supports(spark, d):
     cells = _solid(spark, d).select("z", "y", "x", F.col("fg").cast("int").alias("value"))
-    return K.corridors(_placed(spark, d), blocks_of(cells, V.SHAPE, "u1", 7), V.SHAPE, 1, 2, 6, 5, -0.15, size=8)
+    return K.corridors(_placed(spark, d), blocks_of(cells, V.SHAPE, "u1", 7), V.SHAPE, 1, 2, 6, 5, -0.15)
 
 
 @query("axial_support", _SUPPORT + f"SELECT id, gap AS longest_gap, {R('share', 'share')} FROM occ")
