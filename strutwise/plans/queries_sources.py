@@ -246,10 +246,14 @@ def intentional_crop(spark, d):
 @query("sealed_labels", with_views("v_class") + "SELECT id AS strut_id, class FROM v_class WHERE class<>'present'")
 def sealed_labels(spark, d):
     rows = V.classes(spark, d).where("class <> 'present'")
-    docs = rows.groupBy(F.pmod("id", F.lit(1000)).alias("k")).agg(F.collect_list(F.struct(F.col("id").alias("strut_id"), "class")).alias("labels"))
+    # all four layouts: lists of ids for missing struts, by the rest of their id, and labelled structs for the others
+    layout = F.when(F.col("class") != "missing", 3).otherwise(F.pmod("id", F.lit(4)))
+    docs = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("k"), layout.alias("layout")).agg(F.collect_list("id").alias("ids"), F.collect_list(F.struct(F.col("id").alias("strut_id"), "class")).alias("labels"))
+    lists = ("strut_ids", "missing_strut_ids", "sealed_strut_ids")
     folder = new_folder(spark, "labels")
-    docs.select("labels").write.json(folder)
-    return E.label_layouts(spark.read.schema("labels array<struct<strut_id:bigint,class:string>>").json(folder)).select("strut_id", "class")
+    docs.select(*[F.when(F.col("layout") == k, F.col("ids")).alias(c) for k, c in enumerate(lists)], F.when(F.col("layout") == 3, F.col("labels")).alias("labels")).write.json(folder)
+    schema = ", ".join(f"{c} array<bigint>" for c in lists) + ", labels array<struct<strut_id:bigint,class:string>>"
+    return E.label_layouts(spark.read.schema(schema).json(folder)).select("strut_id", "class")
 
 
 @query("endpoint_rows", with_views("v_class") + f"SELECT id AS strut_id, e AS endpoint, {rounded('quantity', 'seen')} FROM v_class, (SELECT unnest(['A', 'B']) AS e)")

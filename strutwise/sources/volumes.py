@@ -8,6 +8,7 @@ piece come whole through Spark's reader, one file a task.
 from __future__ import annotations
 
 import ast
+import hashlib
 import io
 import math
 import os
@@ -314,21 +315,76 @@ def gathered(blocks: DataFrame, z0: int, z1: int) -> tuple[np.ndarray, int]:
     return whole[max(0, z0 - first) : z1 - first], max(z0, first)
 
 
-def inspect(spark: SparkSession, paths: list[str], statistics: bool = True) -> DataFrame:
-    """``place, path, shape, dtype, byte_order, cells, sha256`` and value statistics of volumes, in the order given.
+def _named(df: DataFrame) -> DataFrame:
+    """Adds ``given``: the path as callers write that of a local file."""
+    return df.withColumn("given", F.regexp_replace("path", "^file:(//)?(?=/)", ""))
+
+
+def digests(spark: SparkSession, path: str | list[str], step: int = 1 << 24) -> DataFrame:
+    """``path, bytes, sha256`` of files of any kind and size, each read in pieces of ``step`` bytes by the task that has it; an empty file gives no row."""
+
+    def run(frames):
+        for f in frames:
+            rows = []
+            for p, content in zip(f["path"], f["content"]):
+                found, size = hashlib.sha256(), 0
+                with _reader(p, content) as file:
+                    while piece := file.read(step):
+                        found.update(piece)
+                        size += len(piece)
+                rows.append((p, size, found.hexdigest()))
+            yield pd.DataFrame(rows, columns=["path", "bytes", "sha256"])
+
+    return _files(spark, path).mapInPandas(run, "path string, bytes long, sha256 string")
+
+
+def inspect(spark: SparkSession, paths: list[str], statistics: bool = True, hashes: bool = True) -> DataFrame:
+    """``place, path, shape, dtype, byte_order, cells, bytes, sha256`` and value statistics of volumes, in the order given.
 
     Statistics are range, mean and counts of finite and other values, merged
-    from one row per slab; without them only headers and bytes are read.
+    from one row per slab; without them, and without ``hashes`` (then neither
+    ``bytes`` nor ``sha256``), only headers are read.
     """
     order = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "place int, given string")
-    named = lambda df: df.withColumn("given", F.regexp_replace("path", "^file:(//)?(?=/)", ""))
-    hashes = named(spark.read.format("binaryFile").load(paths)).select("given", F.sha2("content", 256).alias("sha256"))
-    out = order.join(named(read_headers(spark, paths)), "given").join(hashes, "given")
+    out = order.join(_named(read_headers(spark, paths)), "given")
+    if hashes:
+        out = out.join(_named(digests(spark, paths)).drop("path"), "given")
     if statistics:
-        out = out.join(named(slab_stats(read_volume(spark, paths))), "given", "left")
+        out = out.join(_named(slab_stats(read_volume(spark, paths))), "given", "left")
     return out.select("place", F.col("given").alias("path"), *[c for c in out.columns if c not in ("place", "path", "given")]).orderBy("place")
 
 
+def manifest(spark: SparkSession, paths: list[str], root: str, retention: str = "external", hashes: bool = True) -> DataFrame:
+    """``place, ct_volume, ct_metadata``: what a manifest says of each volume, in the order given.
+
+    ``ct_volume`` has the path below ``root``, the SHA-256 (null without
+    ``hashes``), the role and how the file is kept; ``ct_metadata`` the format,
+    shape, type, byte order and, by axis, the spacing where the file knows it
+    (value null, unit and source ``unknown`` elsewhere). Values of cells aren't
+    read. A path outside ``root``, of another kind or another way to keep it
+    raise an error.
+    """
+    if retention not in ("committed", "external", "regenerable"):
+        raise ValueError(f"files are not kept as {retention!r}")
+    base = root.rstrip("/") + "/"
+    for p in paths:
+        if not p.startswith(base) or ".." in p[len(base) :].split("/"):
+            raise ValueError(f"{p} is not below {root}")
+        if not p.lower().endswith((".npy", ".tif", ".tiff")):
+            raise ValueError(f"{p} is neither an NPY nor a TIFF file")
+    found = inspect(spark, paths, statistics=False, hashes=hashes)
+    axes = _named(read_spacing(spark, paths)).groupBy("given").agg(F.map_from_entries(F.collect_list(F.struct("axis", F.struct("value", "unit", "source")))).alias("voxel_spacing"))  # three axes a file
+    # a type's long name: kind and bits, or bool
+    kinds = F.create_map(*[F.lit(x) for pair in (("u", "uint"), ("i", "int"), ("f", "float")) for x in pair])
+    name = F.when(F.col("dtype") == "b1", "bool").otherwise(F.concat(kinds[F.left("dtype", F.lit(1))], (F.substring("dtype", 2, 3).cast("int") * 8).cast("string")))
+    order = F.when(F.col("dtype").isin("b1", "i1", "u1"), "not_applicable").otherwise(F.col("byte_order"))
+    whole = F.struct(
+        F.substr("path", F.lit(len(base) + 1)).alias("path"), (F.col("sha256") if hashes else F.lit(None).cast("string")).alias("sha256"), F.lit("ct_volume").alias("role"), F.lit(retention).alias("retention"),
+    )
+    form = F.when(F.lower("path").endswith(".npy"), "npy").otherwise("tiff").alias("format")
+    return found.join(axes, F.col("path") == F.col("given")).select("place", whole.alias("ct_volume"), F.struct(form, "shape", name.alias("dtype"), order.alias("byte_order"), "voxel_spacing").alias("ct_metadata")).orderBy("place")
+
+
 def slab_stats(blocks: DataFrame) -> DataFrame:
     """``path, minimum, maximum, mean, finite_count, nonfinite_count`` of block tables."""
 

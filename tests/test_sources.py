@@ -355,6 +355,37 @@ def test_inspection_in_order(spark, tmp_path):
     assert (got[0].minimum, got[0].maximum, got[0].mean, got[0].finite_count, got[0].nonfinite_count) == (1.0, 3.0, 2.0, 2, 2)
     assert (got[1].mean, got[1].shape, got[1].sha256) == (11.5, [2, 3, 4], hashlib.sha256(open(b, "rb").read()).hexdigest())
     assert "mean" not in V.inspect(spark, [a], statistics=False).columns
+    assert "sha256" not in V.inspect(spark, [a], statistics=False, hashes=False).columns
+
+
+def test_digests_in_pieces(spark, tmp_path):
+    import hashlib
+
+    bodies = {"none": b"", "one": b"x", "many": bytes(range(256)) * 41}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    got = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in V.digests(spark, str(tmp_path), step=100).collect()}
+    assert got == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items() if b}
+
+
+def test_manifest(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "in").mkdir()
+    a = save(tmp_path / "in" / "b.npy", np.zeros((2, 3, 4), dtype=">i2"))
+    b = save(tmp_path / "a.npy", np.zeros((1, 1, 5), dtype=np.uint8))
+    root = str(tmp_path)
+    got = V.manifest(spark, [a, b], root, "committed").collect()
+    assert [r.place for r in got] == [0, 1]
+    assert got[0].ct_volume.asDict() == {"path": "in/b.npy", "sha256": hashlib.sha256(open(a, "rb").read()).hexdigest(), "role": "ct_volume", "retention": "committed"}
+    first, second = got[0].ct_metadata, got[1].ct_metadata
+    assert (first.format, first.shape, first.dtype, first.byte_order) == ("npy", [2, 3, 4], "int16", "big")
+    assert (second.shape, second.dtype, second.byte_order) == ([1, 1, 5], "uint8", "not_applicable")
+    assert {k: tuple(v) for k, v in first.voxel_spacing.items()} == {c: (None, "unknown", "unknown") for c in "xyz"}
+    assert V.manifest(spark, [b], root, hashes=False).first().ct_volume.sha256 is None
+    for paths, kept in (([str(tmp_path / ".." / "a.npy")], "external"), (["/elsewhere/a.npy"], "external"), ([a + ".txt"], "external"), ([a], "lost")):
+        with pytest.raises(ValueError):
+            V.manifest(spark, paths, root, kept)
 
 
 def test_bundles(tmp_path):
