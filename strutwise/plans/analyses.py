@@ -132,8 +132,9 @@ def image_support(corridors: DataFrame, placed: DataFrame, patches: DataFrame, d
     rings = rows.select("samples", F.posexplode("ring_foreground").alias("ring", "hits")).groupBy("ring").agg(F.sum("hits").alias("hits"), F.count("*").alias("n"))
     places = F.when(F.col("ring") == 0, 1).otherwise(policy.angles) * policy.steps
     likely = F.col("hits") / (F.col("n") * places) >= policy.least_probability
-    at = S.quantiles(rows, "share", (0.1, 0.5, 0.9)).select(F.col("n").alias("struts"), *[F.col(f"p{k}").alias(f"corridor_p{k}") for k in (10, 50, 90)])
-    limit = S.quantiles(rows, "share", (policy.confident,)).select(F.col(f"p{round(100 * policy.confident)}").alias("confident_share"))
+    found = stored(S.quantiles(rows, "share", tuple(sorted({0.1, 0.5, 0.9, policy.confident}))), "corridor-quantiles")
+    at = found.select(F.col("n").alias("struts"), *[F.col(f"p{k}").alias(f"corridor_p{k}") for k in (10, 50, 90)])
+    limit = found.select(F.col(f"p{round(100 * policy.confident)}").alias("confident_share"))
     confident = rows.join(F.broadcast(limit)).agg(F.count_if(F.col("share") >= F.col("confident_share")).alias("confident"), F.avg((F.col("longest_gap") == policy.steps).cast("double")).alias("unsupported"))
     patches = stored(patches.select("fraction", "foreground"), "patches")
     spread = axis_spreads(placed, rows, "share", policy.parts).agg(*[F.max(F.when(F.col("axis") == c, F.col("spread"))).alias(f"spread_{c}") for c in "xyz"])
