@@ -112,6 +112,28 @@ def test_components_over_chunks_and_rounds(spark, monkeypatch, chunk):
     assert got == sorted((k, min(own)) for k, own in near.items())
 
 
+def test_components_of_paths_whose_edges_never_meet(spark, monkeypatch):
+    """Each edge is joined by itself, so that no task sees two of a path; the tables written stay few."""
+    written, stored = [], L.stored
+
+    def counted(df, name):
+        written.append(name)
+        assert len(written) < 150, "rounds don't end"
+        return stored(df, name)
+
+    monkeypatch.setattr(L, "stored", counted)
+    monkeypatch.setattr(L, "CHUNK", 1)
+    pairs = [(k, k + 1) for k in range(40)] + [(k + 1, k) for k in range(100, 110)]
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 1)
+    try:
+        got = sorted(map(tuple, L.components(spark.createDataFrame(pairs, "u long, v long")).collect()))
+    finally:
+        spark.conf.set(batch, before)
+    assert got == [(k, 0) for k in range(41)] + [(k, 100) for k in range(100, 111)]
+
+
 def test_cubes_and_skeletons(spark):
     cells = [(k, 6, 6) for k in range(3, 9)] + [(6, k, 6) for k in range(3, 9) if k != 6]
     got = P.skeleton_points(spark.createDataFrame(cells, "z int, y int, x int")).first()
