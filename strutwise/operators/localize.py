@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strutwise.functions import kernels as K
-from strutwise.operators.patches import on_patches
+from strutwise.operators.patches import at_places, on_patches
 
 
 @dataclass(frozen=True)
@@ -75,13 +75,16 @@ def localized(nodes: DataFrame, blocks: DataFrame, shape: tuple[int, int, int],
 
     ``directions``: ``junction, ux, uy, uz`` of the struts at each node.
     """
+    def found(boxes: DataFrame) -> DataFrame:
+        for c in "zyx":
+            boxes = boxes.withColumn(f"l{c}", (F.rint(c) - policy.patch).cast("int")).withColumn(f"h{c}", (F.rint(c) + policy.patch).cast("int"))
+        return on_patches(boxes, blocks, lambda row, patch, corner: locate(row, patch, corner, shape, policy), LOCATED)
+
+    if directions is None:
+        return at_places(nodes, found)
+    arms = directions.groupBy(F.col("junction").alias("__j")).agg(F.flatten(F.collect_list(F.array("ux", "uy", "uz"))).alias("directions"))
     boxes = nodes.select("id", *[F.col(c).cast("double").alias(c) for c in "xyz"])
-    if directions is not None:
-        arms = directions.groupBy(F.col("junction").alias("__j")).agg(F.flatten(F.collect_list(F.array("ux", "uy", "uz"))).alias("directions"))
-        boxes = boxes.join(arms, F.col("id") == F.col("__j"), "left").drop("__j")
-    for c in "zyx":
-        boxes = boxes.withColumn(f"l{c}", (F.rint(c) - policy.patch).cast("int")).withColumn(f"h{c}", (F.rint(c) + policy.patch).cast("int"))
-    return on_patches(boxes, blocks, lambda row, patch, corner: locate(row, patch, corner, shape, policy), LOCATED)
+    return found(boxes.join(arms, F.col("id") == F.col("__j"), "left").drop("__j"))
 
 
 def location_gate(located: DataFrame) -> dict:

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strutwise.sources.storage import stored
 from strutwise.sources.volumes import block_array
 
 BRICK = 64
@@ -80,6 +81,16 @@ def on_patches(boxes: DataFrame, blocks: DataFrame, kernel: Callable[[dict, np.n
     return boxes.groupBy("id").cogroup(cuts.groupBy("id")).applyInPandas(run, schema)
 
 
+def at_places(nodes: DataFrame, found_at: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``found_at(places)`` (``id, x, y, z`` of distinct places, numbered) for every node ``id, x, y, z``: nodes at one place see one patch, so it is cut and looked at once."""
+    at = nodes.select("id", *[F.col(c).cast("double").alias(f"__{c}") for c in "xyz"])
+    # a table, so that a place keeps its number
+    places = stored(at.select("__x", "__y", "__z").distinct().withColumn("__place", F.monotonically_increasing_id()), "places")
+    found = found_at(places.select(F.col("__place").alias("id"), *[F.col(f"__{c}").alias(c) for c in "xyz"]))
+    every = found.withColumnRenamed("id", "__place").join(places, "__place").drop("__place")
+    return at.join(every, ["__x", "__y", "__z"]).select(found.columns)
+
+
 def boxes_around(placed: DataFrame, reach: float | Column) -> DataFrame:
     """Adds the cells within ``reach`` of a segment's bounding box (``ax..bz``), not clipped."""
     out = placed

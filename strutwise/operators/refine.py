@@ -14,7 +14,7 @@ from strutwise.functions import kernels as K
 from strutwise.operators import labelling as L
 from strutwise.operators.alignment import Transform, moved
 from strutwise.operators.neighbours import moment_sums
-from strutwise.operators.patches import on_patches
+from strutwise.operators.patches import at_places, on_patches
 from strutwise.operators.selection import linear_quantiles
 from strutwise.sources.storage import stored
 
@@ -61,10 +61,12 @@ def peaks_near(nodes: DataFrame, blocks: DataFrame, policy: RefinePolicy = Refin
     background has no place, one without material near has radius 0, one outside
     the volume no row.
     """
-    boxes = nodes.select("id", "x", "y", "z")
-    for c in "zyx":
-        boxes = boxes.withColumns({f"l{c}": F.rint(c).cast("int") - policy.patch, f"h{c}": F.rint(c).cast("int") + policy.patch})
-    return on_patches(boxes, blocks, lambda row, patch, corner: _peak(row, patch, corner, policy), "id long, lx double, ly double, lz double, radius double, shift double")
+    def peaks(boxes: DataFrame) -> DataFrame:
+        for c in "zyx":
+            boxes = boxes.withColumns({f"l{c}": F.rint(c).cast("int") - policy.patch, f"h{c}": F.rint(c).cast("int") + policy.patch})
+        return on_patches(boxes, blocks, lambda row, patch, corner: _peak(row, patch, corner, policy), "id long, lx double, ly double, lz double, radius double, shift double")
+
+    return at_places(nodes, peaks)
 
 
 def refined(points: DataFrame, blocks: DataFrame, transform: Transform, policy: RefinePolicy = RefinePolicy()) -> tuple[Transform, list[dict]]:

@@ -38,14 +38,14 @@ w AS (SELECT e.*, radius, CASE WHEN near AND (z-tz)*(z-tz)+(y-ty)*(y-ty)+(x-tx)*
 s AS (SELECT id, max(radius) AS radius, any_value(px) AS px, any_value(py) AS py, any_value(pz) AS pz, sum(w*x)/nullif(sum(w), 0) AS lx, sum(w*y)/nullif(sum(w), 0) AS ly, sum(w*z)/nullif(sum(w), 0) AS lz FROM w GROUP BY id)
 SELECT id, {R('lx', 'lx')}, {R('ly', 'ly')}, {R('lz', 'lz')}, {R('radius', 'radius')}, {R('sqrt((lx-px)*(lx-px)+(ly-py)*(ly-py)+(lz-pz)*(lz-pz))', 'shift')} FROM s""")
 def refined_nodes(spark, d):
-    return W.peaks_near(_nodes(spark, d), blocks_of(V.voxels(spark, d), SHAPE, "u2", 3), _POLICY)
+    return W.peaks_near(_nodes(spark, d), blocks_of(V.voxels(spark, d), SHAPE, "u4", 3), _POLICY)
 
 
 @query("localized_nodes")
 def localized_nodes(spark, d):
     """Where mean shift moves each node; no SQL can state its rounds, so a test compares it with the kernel on the whole array."""
     policy = Z.LocalizePolicy(patch=3, search=3.0, threshold=8)
-    found = Z.localized(_nodes(spark, d), blocks_of(V.voxels(spark, d), SHAPE, "u2", 3), SHAPE, policy=policy)
+    found = Z.localized(_nodes(spark, d), blocks_of(V.voxels(spark, d), SHAPE, "u4", 3), SHAPE, policy=policy)
     return found.withColumn("reasons", F.array_join("reasons", ","))
 
 

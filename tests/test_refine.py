@@ -93,3 +93,19 @@ def test_query_localized_nodes(spark, sf):
         want = Z.locate(row, patch, low, a.shape, policy)
         assert (got[k].match_class, got[k].accepted, got[k].reasons) == (want["match_class"], want["accepted"], ",".join(want["reasons"]))
         assert np.allclose([got[k].x, got[k].y, got[k].z, got[k].support], [want[c] for c in ("x", "y", "z", "support")], atol=1e-9)
+
+
+def test_nodes_at_one_place_are_looked_at_once(spark, monkeypatch):
+    nodes = spark.createDataFrame([(k, 2.0, 2.0, float(k % 2)) for k in range(40)] + [(99, 3.0, 2.0, 0.0)], "id long, x double, y double, z double")
+    cells = spark.createDataFrame([(z, y, x, 70_000) for z in range(2) for y in range(2) for x in range(5)], "z int, y int, x int, value long")
+    blocks, seen = V.blocks_of(cells, (2, 5, 5), "u4"), []
+    on_patches = R.on_patches
+
+    def counted(boxes, *rest):
+        seen.append(boxes.count())
+        return on_patches(boxes, *rest)
+
+    monkeypatch.setattr(R, "on_patches", counted)
+    got = {r.id: tuple(r)[1:] for r in R.peaks_near(nodes, blocks, R.RefinePolicy(patch=2, search=2.0, weigh=2.0, threshold=65_537)).collect()}
+    assert seen == [3] and sorted(got) == [*range(40), 99]
+    assert len({got[k] for k in range(0, 40, 2)}) == len({got[k] for k in range(1, 40, 2)}) == 1 and got[0] != got[1] and got[0][3] > 0
