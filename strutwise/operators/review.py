@@ -2,30 +2,71 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strutwise.operators.neighbours import nearest
+from strutwise.operators.neighbours import nearest_spots, spots_of
 from strutwise.operators.selection import linear_quantiles
 from strutwise.sources.storage import stored
 
 
+#: Entries of a document that travel as one text.
+ENTRIES = 64
+
+
 def topology_json(junctions: DataFrame, struts: DataFrame, cells: DataFrame) -> DataFrame:
     """One row ``topology_sha256, junctions, struts, cells`` of one lattice document.
 
     SHA-256 of compact JSON with sorted junction ids, ``[id, lower end, higher
     end]`` of struts and ``[id, sorted members]`` of unit cells; places don't
-    count. The text is built in one row, so this is for one document's graph.
+    count. Entries are sorted by ranges and put together side by side; a digest
+    runs over all of them in turn, so one task streams the pieces past it and
+    holds a batch of them at a time.
     """
-    j = junctions.agg(F.array_join(F.sort_array(F.collect_list(F.col("id").cast("long"))).cast("array<string>"), ",").alias("j"), F.count("*").alias("junctions"))
-    pair = F.struct(F.col("id").cast("long").alias("id"), F.least("junction0", "junction1").alias("u"), F.greatest("junction0", "junction1").alias("v"))
-    s = struts.agg(F.array_join(F.transform(F.sort_array(F.collect_list(pair)), lambda r: F.concat(F.lit("["), r["id"], F.lit(","), r["u"], F.lit(","), r["v"], F.lit("]"))), ",").alias("s"), F.count("*").alias("struts"))
-    member = F.struct(F.col("id").cast("long").alias("id"), F.array_join(F.sort_array("struts").cast("array<string>"), ",").alias("m"))
-    c = cells.agg(F.array_join(F.transform(F.sort_array(F.collect_list(member)), lambda r: F.concat(F.lit("["), r["id"], F.lit(",["), r["m"], F.lit("]]"))), ",").alias("c"), F.count("*").alias("cells"))
-    text = F.concat(F.lit('{"junction_ids":['), F.col("j"), F.lit('],"struts":['), F.col("s"), F.lit('],"unit_cells":['), F.col("c"), F.lit("]}"))
-    return j.join(s).join(c).select(F.sha2(text, 256).alias("topology_sha256"), "junctions", "struts", "cells")
+    zero, member = F.lit(0).cast("long"), F.array_join(F.sort_array("struts").cast("array<string>"), ",")
+    low, high, k = F.least("junction0", "junction1").cast("long"), F.greatest("junction0", "junction1").cast("long"), F.col("id").cast("long")
+    entry = lambda df, part, u, v, text: df.select(F.lit(part).alias("part"), k.alias("id"), u.alias("u"), v.alias("v"), text.alias("entry"))
+    rows = entry(junctions, 0, zero, zero, k.cast("string"))
+    rows = rows.unionByName(entry(struts, 1, low, high, F.concat(F.lit("["), k, F.lit(","), low, F.lit(","), high, F.lit("]"))))
+    rows = rows.unionByName(entry(cells, 2, zero, zero, F.concat(F.lit("["), k, F.lit(",["), member, F.lit("]]"))))
+
+    def pieces(frames):
+        for f in frames:
+            out = []
+            for part, own in f.groupby("part"):
+                for at in range(0, len(own), ENTRIES):
+                    some = own.iloc[at : at + ENTRIES]
+                    known = some["entry"].dropna()
+                    out.append((part, int(some["at"].iloc[0]), len(some), ",".join(known) if len(known) else None))
+            yield pd.DataFrame(out, columns=["part", "at", "n", "piece"])
+
+    def digest(frames):
+        names, counts, sha, now = ('{"junction_ids":[', '],"struts":[', '],"unit_cells":['), [0, 0, 0], hashlib.sha256(), -1
+        bare = True
+        for f in frames:
+            for part, n, piece in zip(f["part"], f["n"], f["piece"]):
+                while now < part:
+                    now, bare = now + 1, True
+                    sha.update(names[now].encode())
+                if part >= 0:
+                    counts[part] += int(n)
+                    if piece is not None:
+                        sha.update((piece if bare else "," + piece).encode())
+                        bare = False
+        sha.update(("".join(names[now + 1 :]) + "]}").encode())
+        yield pd.DataFrame([(sha.hexdigest(), *counts)], columns=["topology_sha256", "junctions", "struts", "cells"])
+
+    order, form = ["part", "id", "u", "v", "entry"], "part int, at long, n long, piece string"
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    told = stored(placed.select("part", "at", "entry").mapInPandas(pieces, form), "topology")
+    # an entry of no part, so that the document of three empty tables has a row too
+    told = told.unionByName(told.sparkSession.range(1).select(F.lit(-1).alias("part"), F.lit(-1).cast("long").alias("at"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("piece")))
+    # one task takes the ranges one after the other, each sorted by itself
+    return told.repartitionByRange("at").sortWithinPartitions("at").coalesce(1).mapInPandas(digest, "topology_sha256 string, junctions long, struts long, cells long")
 
 
 def widened(rows: DataFrame, key: str, side: str, values: Sequence[str]) -> DataFrame:
@@ -89,13 +130,22 @@ def node_errors(found: DataFrame, truth: DataFrame) -> DataFrame:
     return sums.join(at, how="left").select("n", "mean", *[F.get("at", F.lit(k)).alias(n) for k, n in enumerate(("median", "p95", "p99"))], "largest", *[f"bias_{c}" for c in "xyz"])  # one row each
 
 
-def scale_search(sources: DataFrame, targets: DataFrame, scales: Sequence[float], cell: float) -> DataFrame:
-    """``scale, n, mean, largest`` of nearest distances for each trial scale, with ``best`` on the least mean (the least scale of equals)."""
-    trial = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(s)).alias("s")) for k, s in enumerate(scales)]))
-    moved = sources.select("id", *"xyz", trial.alias("t")).select((F.col("id") * len(scales) + F.col("t.k")).alias("id"), *[(F.col(c) * F.col("t.s")).alias(c) for c in "xyz"])
-    found = nearest(moved, targets, cell)
-    at = F.element_at(F.array(*[F.lit(float(s)) for s in scales]), (F.col("id") % len(scales) + 1).cast("int"))
-    sums = found.groupBy(at.alias("scale")).agg(F.count("*").alias("n"), F.avg("distance").alias("mean"), F.max("distance").alias("largest"))
+def scale_search(sources: DataFrame, targets: DataFrame, scales: Sequence[float], cell: float | None = None) -> DataFrame:
+    """``scale, n, mean, largest`` of nearest distances for each trial scale, with ``best`` on the least mean (the least scale of equals).
+
+    Sources at one place look once, for all of them. Cells are sized by the
+    targets' number unless given: in cells of a fixed size every source would
+    meet a share of all targets.
+    """
+    trial = F.explode(F.array(*[F.lit(float(s)) for s in scales]))
+    moved = sources.select(*"xyz", trial.alias("scale")).select("scale", *[(F.col(c) * F.col("scale")).alias(c) for c in "xyz"])
+    places = moved.groupBy("scale", *"xyz").agg(F.count("*").alias("times"))
+    spots, size = spots_of(targets)
+    if size is None:
+        found = places.select("scale", "times", F.lit(0.0).alias("distance")).limit(0)
+    else:
+        found = nearest_spots(places, spots, cell or size, ["scale", "times"])
+    sums = found.groupBy("scale").agg(F.sum("times").alias("n"), (F.sum(F.col("distance") * F.col("times")) / F.sum("times")).alias("mean"), F.max("distance").alias("largest"))
     best = sums.agg(F.min(F.struct(F.round("mean", 9).alias("m"), "scale")).alias("b")).select("b.scale")
     return sums.join(best.withColumn("best", F.lit(True)), "scale", "left").withColumn("best", F.coalesce("best", F.lit(False)))
 

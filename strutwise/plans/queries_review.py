@@ -91,7 +91,7 @@ def node_errors(spark, d):
   FROM v_points a, v_points b, t WHERE a.id%2=0 AND b.id%2=1 GROUP BY scale, a.id), s AS (SELECT scale, count(*)::BIGINT AS n, avg(distance) AS mean, max(distance) AS largest FROM dd GROUP BY scale)
 SELECT scale, n, {D('mean', 'mean')}, {D('largest', 'largest')}, scale=(SELECT scale FROM s ORDER BY round(mean, 9), scale LIMIT 1) AS best FROM s""")
 def scale_search(spark, d):
-    return R.scale_search(V.points(spark, d, 0), V.points(spark, d, 1), [0.8, 1.0, 1.2], 0.1)
+    return R.scale_search(V.points(spark, d, 0), V.points(spark, d, 1), [0.8, 1.0, 1.2])
 
 
 @query("symmetry_remap", with_views("v_strut", "v_junction", "v_placed") + """,

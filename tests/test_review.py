@@ -63,3 +63,51 @@ def test_scales_and_errors(spark):
     assert got == {1.0: False, 2.0: True}
     e = R.node_errors(p.withColumn("x", F.col("x") + 3), p).first()
     assert (e.n, e.mean, e.largest, e.bias_x, e.bias_y) == (9, 3.0, 3.0, 3.0, 0.0)
+
+
+def test_topology_digest_in_pieces(spark, monkeypatch):
+    """As the whole text gives it, over several pieces and of empty tables; no row holds the document."""
+    import hashlib
+
+    kept, stored = [], R.stored
+
+    def seen(df, name):
+        kept.append(stored(df, name))
+        return kept[-1]
+
+    monkeypatch.setattr(R, "stored", seen)
+    monkeypatch.setattr(R, "ENTRIES", 7)
+    j = spark.createDataFrame([(k * 37 % 101,) for k in range(101)], "id long")
+    s = spark.createDataFrame([(k * 11 % 50, k % 7, (k * 3) % 5) for k in range(50)], "id long, junction0 long, junction1 long")
+    c = spark.createDataFrame([(k, [k + 2, k, k + 1]) for k in (12, 3, 5)], "id long, struts array<bigint>")
+    ends = {k * 11 % 50: sorted((k % 7, (k * 3) % 5)) for k in range(50)}
+    text = '{"junction_ids":[' + ",".join(map(str, range(101))) + '],"struts":[' + ",".join(f"[{k},{u},{v}]" for k, (u, v) in sorted(ends.items())) + '],"unit_cells":[[3,[3,4,5]],[5,[5,6,7]],[12,[12,13,14]]]}'
+    assert tuple(R.topology_json(j, s, c).first()) == (hashlib.sha256(text.encode()).hexdigest(), 101, 50, 3)
+    assert max(len(r.piece) for r in kept[0].collect()) < 100
+    assert R.topology_json(j.limit(0), s.limit(0), c.limit(0)).first().topology_sha256 == hashlib.sha256(b'{"junction_ids":[],"struts":[],"unit_cells":[]}').hexdigest()
+
+
+def test_scales_tried_from_places_that_many_share(spark, monkeypatch):
+    from strutwise.operators import neighbours
+
+    looked, nearest_spots = [], neighbours.nearest_spots
+
+    def counted(left, *rest):
+        looked.append(left.count())
+        return nearest_spots(left, *rest)
+
+    monkeypatch.setattr(R, "nearest_spots", counted)
+    p = spark.createDataFrame([(k, float(k % 4), 0.0, float(k % 2)) for k in range(80)], "id long, x double, y double, z double")
+    got = {r.scale: (r.n, r.best) for r in R.scale_search(p, p, [1.0, 2.0]).collect()}
+    assert got == {1.0: (80, True), 2.0: (80, False)} and looked == [8]
+
+
+def test_series_are_filled_in_one_pass(spark):
+    from strutwise.functions import sequences as Q
+
+    rows = [(1, [None, 1.0, None, None, 4.0, None]), (2, [None, None]), (3, []), (4, [2.0]), (5, [1.0, float("nan"), 3.0])]
+    df = spark.createDataFrame(rows, "k long, v array<double>")
+    got = Q.filled_rows(df, "k", "v")
+    want = df.select("k", F.posexplode(Q.filled(F.col("v"))).alias("i", "value"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 12
+    assert "ArrayMax" not in got._jdf.queryExecution().analyzed().toString()
