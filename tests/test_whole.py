@@ -184,3 +184,11 @@ def test_clusters_of_all_defects(spark, scale):
     assert dict(zip(got.strut_id, got.cluster)) == label and len(got) == len(label)
     sizes = run(spark, d, "cluster_sizes")
     assert dict(zip(sizes.cluster, sizes["size"])) == pd.Series(label).value_counts().to_dict()
+
+
+@pytest.mark.parametrize("name", ["perp_basis", "strut_frame"])
+def test_struts_without_length_go_before_their_frames_are_computed(spark, sf, name):
+    from __spark_entry__ import queries
+
+    plan = queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert max(len(line) for line in plan.splitlines()) < 1000
