@@ -107,12 +107,24 @@ def broken_rule(policy: DefectPolicy = DefectPolicy()) -> tuple[Column, Column]:
 DEFERRED_REASON = "specialist_not_implemented"
 
 
+def finding(kind: str, disposition: Column, reasons: Column, evidence_required: Column) -> Column:
+    """What one specialist says of a strut."""
+    return F.struct(F.lit(kind).alias("kind"), disposition.alias("disposition"), reasons.alias("reasons"), evidence_required.alias("evidence_required"))
+
+
+def deferred_finding(kind: str) -> Column:
+    """What an absent specialist says of every strut."""
+    return finding(kind, F.lit("deferred"), F.array(F.lit(f"{kind}_{DEFERRED_REASON}")), F.lit(False))
+
+
+def findings_of(struts: DataFrame, said: list[Column], key: str = "strut_id") -> DataFrame:
+    """A row for each strut and :func:`finding`: ``kind, disposition, reasons, evidence_required``; struts are read once and stay where they are."""
+    return struts.select(key, F.inline(F.array(*said)))
+
+
 def deferred_findings(struts: DataFrame, kinds: tuple[str, ...] = ("thin", "bent"), key: str = "strut_id") -> DataFrame:
-    """A row for each strut and absent specialist: ``kind, disposition, reasons, evidence_required``, all deferred."""
-    names = F.array(*[F.lit(k) for k in kinds])
-    return struts.select(key).distinct().withColumn("kind", F.explode(names)).select(
-        key, "kind", F.lit("deferred").alias("disposition"), F.array(F.concat_ws("_", "kind", F.lit(DEFERRED_REASON))).alias("reasons"), F.lit(False).alias("evidence_required")
-    )
+    """A row for each strut and absent specialist, all deferred."""
+    return findings_of(struts.select(key).distinct(), [deferred_finding(k) for k in kinds], key)
 
 
 def findings_wide(findings: DataFrame, key: str = "strut_id") -> DataFrame:

@@ -300,8 +300,8 @@ def deferred_findings(spark, d):
 @query("merged_findings", with_views("v_class") + """SELECT id AS strut_id, CASE class WHEN 'missing' THEN 'missing' WHEN 'broken' THEN 'broken' ELSE 'deferred' END AS class, class IN ('missing', 'broken') AS evidence_required FROM v_class""")
 def merged_findings(spark, d):
     c = V.classes(spark, d).select(F.col("id").alias("strut_id"), "class")
-    told = [c.select("strut_id", F.lit(k).alias("kind"), F.when(F.col("class") == k, "positive").otherwise("negative").alias("disposition"), F.array(F.col("class")).alias("reasons"), F.lit(False).alias("evidence_required")) for k in ("missing", "broken")]
-    every = told[0].unionByName(told[1]).unionByName(C.deferred_findings(c))
+    told = [C.finding(k, F.when(F.col("class") == k, "positive").otherwise("negative"), F.array(F.col("class")), F.lit(False)) for k in ("missing", "broken")]
+    every = C.findings_of(c, [*told, C.deferred_finding("thin"), C.deferred_finding("bent")])
     return C.merge(C.findings_wide(every)).select("strut_id", "class", "evidence_required")
 
 

@@ -1,6 +1,7 @@
 """Queries over whole tables against brute force, beside their SQL."""
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,10 @@ def run(spark, sf, name):
     return registry.QUERIES[name](spark, sf).toPandas()
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def ends(frame):
     return frame[["ax", "ay", "az"]].to_numpy(), frame[["bx", "by", "bz"]].to_numpy()
 
@@ -192,3 +197,21 @@ def test_struts_without_length_go_before_their_frames_are_computed(spark, sf, na
 
     plan = queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert max(len(line) for line in plan.splitlines()) < 1000
+
+
+def test_a_task_groups_a_bounded_number_of_items(spark, sf, monkeypatch):
+    monkeypatch.setattr(V, "ROWS", 100)
+    asked = -(-V.table(spark, sf, "lineitem").count() // 100)
+    for view in (V.struts, V.classes):
+        assert f"hashpartitioning(id, {asked})" in re.sub(r"#\d+L?", "", plan_of(view(spark, sf)))
+    found = {"missing": "missing", "broken": "broken"}
+    told = V.classes(spark, sf).toPandas()
+    got = run(spark, sf, "merged_findings").set_index("strut_id")["class"]
+    assert got.to_dict() == {i: found.get(c, "deferred") for i, c in zip(told.id, told["class"])} and len(got) == len(told)
+
+
+def test_findings_are_merged_where_their_struts_lie(spark, sf):
+    from __spark_entry__ import queries
+
+    plan = plan_of(queries()["merged_findings"](spark, sf))
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
