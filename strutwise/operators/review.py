@@ -155,7 +155,8 @@ def turned_ids(left: DataFrame, right: DataFrame, matrix: Sequence[Sequence[int]
 
     Struts (``ax..bz``) are keyed by their two rounded ends in either order. A
     place that several struts share matches all of them; callers that need a
-    bijection compare counts.
+    bijection compare counts. Rows meet by one number, a hash of both ends,
+    which sorts fast; the ends decide.
     """
     span = left.agg(*[f(F.least(f"a{c}", f"b{c}") if n == "l" else F.greatest(f"a{c}", f"b{c}")).alias(f"{n}{c}") for c in "xyz" for n, f in (("l", F.min), ("h", F.max))])
     rows = left.join(F.broadcast(span))  # one row
@@ -166,9 +167,15 @@ def turned_ids(left: DataFrame, right: DataFrame, matrix: Sequence[Sequence[int]
         return F.struct(*[(F.round(sum((F.lit(float(matrix[i][k])) * d[k] for k in range(3)), F.lit(0.0)) + mid[c], digits) + 0.0).alias(c) for i, c in enumerate("xyz")])
 
     plain = lambda e: F.struct(*[(F.round(F.col(f"{e}{c}"), digits) + 0.0).alias(c) for c in "xyz"])
-    a = rows.select("id", F.sort_array(F.array(turned("a"), turned("b"))).alias("k"))
-    b = right.select(F.col("id").alias("match"), F.sort_array(F.array(plain("a"), plain("b"))).alias("k"))
-    return a.join(b, "k").select("id", "match")
+
+    def keyed(df: DataFrame, p: Column, q: Column, name: str) -> DataFrame:
+        both = df.select(F.col("id").alias(name), p.alias("p"), q.alias("q")).select(name, F.least("p", "q").alias(f"{name}_low"), F.greatest("p", "q").alias(f"{name}_high"))
+        return both.withColumn(f"{name}_key", F.xxhash64(f"{name}_low", f"{name}_high"))
+
+    a, b = keyed(rows, turned("a"), turned("b"), "id"), keyed(right, plain("a"), plain("b"), "match")
+    # as ranges: equal ends would become keys that rows are sorted by as well
+    same = [F.col(f"id_{e}").between(F.col(f"match_{e}"), F.col(f"match_{e}")) for e in ("low", "high")]
+    return a.join(b, [F.col("id_key") == F.col("match_key"), *same]).select("id", "match")
 
 
 def near_positions(wanted: DataFrame, records: DataFrame, tolerance: float = 1e-8) -> DataFrame:

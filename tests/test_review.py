@@ -1,5 +1,6 @@
 import hashlib
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -111,3 +112,17 @@ def test_series_are_filled_in_one_pass(spark):
     want = df.select("k", F.posexplode(Q.filled(F.col("v"))).alias("i", "value"))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 12
     assert "ArrayMax" not in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_turned_struts_meet_by_one_number_and_the_ends_decide(spark, monkeypatch):
+    line = lambda i, p, q: (i, *map(float, p), *map(float, q))
+    rows = [line(1, (0, 0, 0), (2, 0, 0)), line(2, (2, 0, 0), (2, 2, 0)), line(3, (2, 2, 0), (2, 0, 0)), line(4, (0, 2, 0), (0, 0, 0)), line(5, (0, 2, 0), (2, 2, 0)), line(6, (0, 0, 0), (2, 2, 0)), line(7, (-0.0, 0, 1e-9), (2, 0, 0))]
+    s = spark.createDataFrame(rows, "id long, ax double, ay double, az double, bx double, by double, bz double")
+    quarter = ((0, -1, 0), (1, 0, 0), (0, 0, 1))
+    want = [(1, 2), (1, 3), (2, 5), (3, 5), (4, 1), (4, 7), (5, 4), (7, 2), (7, 3)]
+    found = R.turned_ids(s, s, quarter)
+    assert sorted(map(tuple, found.collect())) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, \(+id_key#\d+L = match_key#\d+L\)", plan) and plan.count(" = ") == 1
+    monkeypatch.setattr(R.F, "xxhash64", lambda *ends: F.size(F.array(*ends)).cast("long") + F.hash(ends[0]) % 2)
+    assert sorted(map(tuple, R.turned_ids(s, s, quarter).collect())) == want
