@@ -76,9 +76,15 @@ def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -
     return nearest_spots(sources, spots, cell or size, ["id"]).select("id", "target", "distance")
 
 
+#: Places whose cells (27 each) are broadcast; more are shuffled.
+PLACES = 20_000
+
+
 def _reach(targets: DataFrame, radius: float) -> DataFrame:
     """Distinct places with all cells of the radius' size that they may be reached from."""
-    return _cells(targets.select("x", "y", "z").distinct(), radius, True).select(*[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
+    places = stored(targets.select("x", "y", "z").distinct(), "places")
+    reach = _cells(places, radius, True).select(*[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
+    return F.broadcast(reach) if places.count() <= PLACES else reach
 
 
 def within(samples: DataFrame, targets: DataFrame, radius: float) -> DataFrame:

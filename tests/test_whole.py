@@ -215,3 +215,20 @@ def test_findings_are_merged_where_their_struts_lie(spark, sf):
 
     plan = plan_of(queries()["merged_findings"](spark, sf))
     assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+
+
+def test_samples_of_struts_are_tested_where_struts_lie(spark, sf, monkeypatch):
+    from __spark_entry__ import queries
+
+    plan = plan_of(found := queries()["tube_emptiness"](spark, sf))
+    assert plan.count("Exchange hashpartitioning") == 1
+    want = sorted(found.toPandas().id)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin [cx" in plan_of(queries()["tube_emptiness"](spark, sf))
+        monkeypatch.setattr(N, "PLACES", 0)  # more places than are broadcast
+        found = queries()["tube_emptiness"](spark, sf)
+        assert "Broadcast" not in plan_of(found)
+        assert sorted(found.toPandas().id) == want and len(want) > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
