@@ -12,7 +12,8 @@ many documents share leaves a slice once. Shards that would get far more than
 the mean are split by further grams, as in :mod:`strutwise.llm.substrings`.
 
 A shard takes its segments in order of documents, a batch at a time. Segments
-whose key no other has, and which hold it once, can't repeat and stay out. Each
+whose key no other has, and which hold it once, can't repeat and stay out, and so
+do windows of the others whose hash no other window has. Each
 batch gets a suffix array, which settles repeats inside the batch; what is left
 is merge-scanned against every level of the family, and what no level has
 becomes a new level. Levels of a like size merge, so ``n`` batches make at most
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from strutwise.llm.batches import by_size, bytes_of
 from strutwise.llm.common import by_shard
-from strutwise.llm.substrings import LAST, _grouped, _opened, _pack, _Routes, _routes, _runs, _spans_of, _squeezed, _taken, _unpack
+from strutwise.llm.substrings import LAST, _grouped, _opened, _pack, _Routes, _routes, _runs, _squeezed, _taken, _unpack
 from strutwise.llm.words import mixed, sequences
 
 #: Bytes of a window, and of the grams that route it.
@@ -47,8 +48,8 @@ _BYTE = np.random.default_rng(23).integers(0, 1 << 64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
 
-def _segments(raw: np.ndarray, doc: np.ndarray, routes: _Routes) -> list[np.ndarray]:
-    """Segments of a slice: start, windows, key, shard, a hash of the bytes, and whether the key lies in it more than once."""
+def _segments(raw: np.ndarray, doc: np.ndarray, routes: _Routes, base: int = 0, marked: bool = True) -> list[np.ndarray]:
+    """Segments of a slice for shards from ``base`` on: start, windows, key, shard, a hash of the bytes, and (if ``marked``) whether the key lies in it more than once."""
     length, gram = routes.length, routes.gram
     many, found = length - gram + 1, []
     powers = np.full(PIECE + length, _BASE, dtype=np.uint64)
@@ -65,19 +66,24 @@ def _segments(raw: np.ndarray, doc: np.ndarray, routes: _Routes) -> list[np.ndar
             spread = _BYTE[part]
             grams = sequences(spread, gram)
             key, shard = routes.keys(grams, at)
+            if base:
+                own = np.flatnonzero(shard >= base)
+                if not len(own):
+                    continue
+                at, key, shard = at[own], key[own], shard[own]
             opens = np.flatnonzero(_opened(at, key, doc[at + a]))
             start, windows = at[opens], np.diff(np.r_[opens, len(at)])
             sums = np.zeros(len(part) + 1, dtype=np.uint64)
             np.cumsum(spread * powers[: len(part)], out=sums[1:])
             like = mixed((sums[start + windows + length - 1] - sums[start]) * back[start] + windows.astype(np.uint64))
-            # the least gram of the first window, and how often the segment has it
-            reach = windows + many - 1
-            least = np.minimum.reduceat(grams, np.stack([start, np.minimum(start + many, len(grams) - 1)], axis=1).ravel())[::2]
-            last = start + many >= len(grams)
-            if last.any():
-                least[last] = [grams[s:].min() for s in start[last]]
-            hits = np.add.reduceat(grams[_taken(start, reach)] == np.repeat(least, reach), np.cumsum(reach) - reach, dtype=np.int64)
-            found.append([start + a, windows, key[opens], shard[opens], like, hits > 1])
+            again = windows > many
+            if marked:
+                # all windows of a segment have one least gram: the first place of the first and the last of the last differ if it has several
+                every = np.lib.stride_tricks.sliding_window_view(grams, many)
+                low = start + every[start].argmin(axis=1)
+                high = start + windows + many - 2 - every[start + windows - 1][:, ::-1].argmin(axis=1)
+                again |= low != high
+            found.append([start + a, windows, key[opens], shard[opens], like, again])
     if not found:
         return [np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.uint64, np.int64, np.uint64, bool)]
     return [np.concatenate(x) for x in zip(*found)]
@@ -92,9 +98,8 @@ def _weigh(routes: _Routes, slice_bytes: int):
         for batch in by_size(batches, "text", slice_bytes):
             raw, edges = bytes_of(batch.column(0))
             doc = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            _, windows, _, shard, like, _ = _segments(raw, doc, routes)
+            _, windows, _, shard, like, _ = _segments(raw, doc, routes, base, marked=False)
             _, first = np.unique(like, return_index=True)
-            first = first[shard[first] >= base]
             found, where = np.unique(shard[first] - base, return_inverse=True)
             for s, w in zip(found.tolist(), np.bincount(where, weights=windows[first] + length - 1).astype(np.int64).tolist()):
                 total[s] = total.get(s, 0) + w
@@ -103,6 +108,38 @@ def _weigh(routes: _Routes, slice_bytes: int):
     return run
 
 
+def _portions(size: np.ndarray, step: int = STEP):
+    """Slices of segments that hold about ``step`` bytes together, one after another."""
+    block = np.cumsum(size) // step
+    cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield slice(int(a), int(b))
+
+
+def _drawn(text: np.ndarray, offset: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of segments, one after another; places are made for a portion at a time."""
+    out, at = np.empty(int(size.sum()), dtype=text.dtype), 0
+    for own in _portions(size):
+        part = text[_taken(offset[own], size[own])]
+        out[at : at + len(part)] = part
+        at += len(part)
+    return out
+
+
+def _likes(text: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each segment of a text."""
+    like, at = np.empty(len(size), dtype=np.uint64), 0
+    with np.errstate(over="ignore"):
+        for own in _portions(size, PIECE):
+            z = size[own]
+            ends = np.cumsum(z)
+            sums = np.zeros(int(ends[-1]) + 1, dtype=np.uint64)
+            np.cumsum(mixed(_BYTE[text[at : at + len(sums) - 1]] + (np.arange(len(sums) - 1) - np.repeat(ends - z, z)).astype(np.uint64)), out=sums[1:])
+            like[own] = sums[ends] - sums[ends - z]
+            at += len(sums) - 1
+    return like
+
+
 def _copies(text: np.ndarray, offset: np.ndarray, size: np.ndarray, like: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which segments, in order of documents and starts, are equal to an earlier one that takes their place."""
     order, groups = _grouped(like, stable=True)
@@ -156,20 +193,32 @@ def _send(routes: _Routes, slice_bytes: int):
             kept = np.flatnonzero(~gone)
             order, groups = _grouped(shard[kept], stable=True)
             order = kept[order]
-            out: tuple[list, list] = ([], [])
-            for a, b in zip(groups, np.r_[groups[1:], len(order)]):
-                own = order[a:b]
-                docs, index = np.unique(place[d[own]], return_inverse=True)
-                rows = ranked[docs]
-                marked = windows[own] << 1 | again[own]
-                out[0].append(int(shard[own[0]]))
-                out[1].append(_pack(
-                    ids[rows].view("<u8"), hashes[rows].astype("<u4"), np.diff(index, prepend=0).astype("<u2" if len(docs) < 1 << 16 else "<u4"), np.diff(inside[own], prepend=0).astype("<u4"),
-                    marked.astype("<u4" if marked.max() >= 1 << 16 else "<u2"), key[own].astype("<u4"), raw[_taken(start[own], size[own])], level=3,
-                ))
-                if len(out[0]) == 64 or b == len(order):
-                    yield pa.RecordBatch.from_pydict({"shard": pa.array(out[0], pa.int32()), "kind": pa.array([0] * len(out[0]), pa.int32()), "body": pa.array(out[1], pa.binary())})
-                    out = ([], [])
+            start, size, windows, again, key, inside, rank = (x[order] for x in (start, size, windows, again, key, inside, place[d]))
+            # segments of a shard follow each other, documents in order: steps from one to the next
+            leads = np.zeros(len(order), dtype=bool)
+            leads[groups] = True
+            onward, moves = np.r_[True, rank[1:] != rank[:-1]][: len(rank)], np.diff(inside, prepend=0)
+            moves[groups] = inside[groups]
+            news, steps = leads | onward, (onward & ~leads).astype("<u1")
+            turns, bits, check = windows << 1 | again, moves.astype("<u4"), key.astype("<u4")
+            ends, shards = np.r_[groups[1:], len(order)], shard[order[groups]]
+            sizes = np.add.reduceat(size, groups) if len(groups) else size
+            for part in _portions(sizes):
+                g, h = part.start, part.stop
+                text = raw[_taken(start[groups[g] : ends[h - 1]], size[groups[g] : ends[h - 1]])]
+                bodies, at = [], 0
+                for k in range(g, h):
+                    own, upto = slice(groups[k], ends[k]), at + int(sizes[k])
+                    rows = ranked[rank[own][news[own]]]
+                    wide = turns[own]
+                    bodies.append(_pack(
+                        ids[rows].view("<u8"), hashes[rows].astype("<u4"), steps[own], bits[own],
+                        wide.astype("<u4" if wide.max() >= 1 << 16 else "<u2"), check[own], text[at:upto], level=3,
+                    ))
+                    at = upto
+                for k in range(0, len(bodies), 64):
+                    some = bodies[k : k + 64]
+                    yield pa.RecordBatch.from_pydict({"shard": pa.array(shards[g + k : g + k + len(some)], pa.int32()), "kind": pa.array([0] * len(some), pa.int32()), "body": pa.array(some, pa.binary())})
 
     return run
 
@@ -294,16 +343,37 @@ class SuffixFamily:
         return ~new
 
 
+def _shared(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Whether another window's hash is like that of each window at ``at``: equal windows' always are.
+
+    As many bits of a hash and the window's number are one number, so one plain
+    sort brings like ones together; it does not matter that others come along.
+    """
+    bits = np.uint64(max(1, len(at).bit_length()))
+    mask = (np.uint64(1) << bits) - np.uint64(1)
+    packed = np.arange(len(at), dtype=np.uint64)
+    edges = np.searchsorted(at, range(0, len(text) + PIECE, PIECE))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        if a < b:
+            packed[a:b] |= sequences(_BYTE[text[k * PIECE : (k + 1) * PIECE + length - 1]], length)[at[a:b] - k * PIECE] & ~mask
+    packed.sort()
+    same = packed[1:] >> bits == packed[:-1] >> bits
+    found = np.zeros(len(at), dtype=bool)
+    found[(packed[1:][same] & mask).astype(np.int64)] = True
+    found[(packed[:-1][same] & mask).astype(np.int64)] = True
+    return found
+
+
 def _matched(routes: _Routes, batch_bytes: int):
     length = routes.length
 
     def run(table: pa.Table) -> pa.Table:
         found: list[tuple] = []
-        sent = []
+        sent: list[list] = []
         for kind, body in zip(table["kind"].to_pylist(), table["body"]):
             arrays = _unpack(body.as_py())
             if kind == 1:
-                found += _spans_of(arrays[0].view(np.int64), arrays[1].view(np.int64), arrays[2].astype(np.int64), arrays[3].astype(np.int64))
+                found.append((arrays[0].view(np.int64), arrays[1].view(np.int64), arrays[2], arrays[3]))
             else:
                 sent.append(arrays)
         if sent:
@@ -315,13 +385,26 @@ def _matched(routes: _Routes, batch_bytes: int):
             key, text = (np.concatenate([x[k] for x in sent]) for k in (5, 6))
             del sent, index
             found += _search(ids, hashes, start, marked >> 1, key, (marked & 1).astype(bool), text, length, batch_bytes)
-        return pa.table({"id": pa.array([x[0] for x in found], pa.int64()), "hash": pa.array([x[1] for x in found], pa.int64()), "spans": pa.array([x[2] for x in found], pa.binary())})
+        return _by_document(found)
 
     return run
 
 
+def _by_document(found: list[tuple]) -> pa.Table:
+    """A row ``id, hash, spans`` for each document, from arrays of ids, hashes, begins and ends in any order."""
+    none = np.zeros(0, dtype=np.int64)
+    ids, hashes, begin, end = (np.concatenate([none, *x]).astype(np.int64) for x in (zip(*found) if found else [()] * 4))
+    order = np.lexsort((begin, hashes, ids))
+    ids, hashes = ids[order], hashes[order]
+    cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])][: len(ids)])
+    pairs = np.stack([begin[order], end[order]], axis=1).astype("<i4")
+    edges = (np.r_[cut, len(ids)] * 8).astype("<i4")
+    spans = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(pairs.tobytes())])
+    return pa.table({"id": pa.array(ids[cut]), "hash": pa.array(hashes[cut]), "spans": spans})
+
+
 def _search(ids, hashes, start, windows, key, again, text, length: int, batch_bytes: int) -> list[tuple]:
-    """Spans of the windows of a shard's segments that start earlier too."""
+    """Spans of the windows of a shard's segments that start earlier too, as arrays of ids, hashes, begins and ends."""
     size = windows + length - 1
     offset = np.cumsum(size) - size
     # keys that one segment has, and once, can't repeat
@@ -335,23 +418,28 @@ def _search(ids, hashes, start, windows, key, again, text, length: int, batch_by
     if not len(kept):
         return []
     # equal segments of several slices
-    text = text[_taken(offset[kept], size[kept])]
+    text = _drawn(text, offset[kept], size[kept])
     ids, hashes, start, windows, size, key, again = (x[kept] for x in (ids, hashes, start, windows, size, key, again))
     offset = np.cumsum(size) - size
-    sums = np.zeros(len(text) + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum(mixed(_BYTE[text] + (np.arange(len(text)) - np.repeat(offset, size)).astype(np.uint64)), out=sums[1:])
-        like = sums[offset + size] - sums[offset]
-    gone = _copies(text, offset, size, like, ids, hashes)
-    found = _spans_of(ids[gone], hashes[gone], start[gone], (start + size)[gone])
+    gone = _copies(text, offset, size, _likes(text, size), ids, hashes)
+    found = [(ids[gone], hashes[gone], start[gone], (start + size)[gone])]
     order, groups = _grouped(np.where(gone, np.uint64(1 << 32), key.astype(np.uint64)))
     several = np.empty(len(key), dtype=bool)
     several[order] = np.repeat(np.diff(np.r_[groups, len(order)]) > 1, np.diff(np.r_[groups, len(order)]))
     left = np.flatnonzero(~gone & (several | again))
-    family, part = SuffixFamily(length), np.cumsum(size[left]) // batch_bytes
-    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(left) else []
+    # runs of windows that may repeat are segments of their own
+    text = _drawn(text, offset[left], size[left])
+    first = np.cumsum(size[left]) - size[left]
+    at, live = _taken(first, windows[left]), np.zeros(len(text), dtype=bool)
+    live[at[_shared(text, at, length)]] = True
+    begin, end = _runs(live)
+    seg = np.searchsorted(first, begin, "right") - 1
+    ids, hashes, start, windows, offset = ids[left][seg], hashes[left][seg], start[left][seg] + begin - first[seg], end - begin, begin
+    size = windows + length - 1
+    family, part = SuffixFamily(length), np.cumsum(size) // batch_bytes
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
     for p, q in zip(edges[:-1], edges[1:]):
-        own = left[p:q]
+        own = np.arange(p, q)
         z, w = size[own], windows[own]
         first = np.cumsum(z) - z
         at, owner = _taken(first, w), np.repeat(own, w)
@@ -360,7 +448,7 @@ def _search(ids, hashes, start, windows, key, again, text, length: int, batch_by
         b, e = _runs(repeats)
         seg = np.searchsorted(first, b, "right") - 1
         o = own[seg]
-        found += _spans_of(ids[o], hashes[o], start[o] + b - first[seg], start[o] + e - first[seg] + length - 1)
+        found.append((ids[o], hashes[o], start[o] + b - first[seg], start[o] + e - first[seg] + length - 1))
     return found
 
 

@@ -115,3 +115,45 @@ def test_query(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     want = [(i, n, r, s, hashlib.sha256(k).hexdigest()) for i, n, r, s, k in brute(rows, 100)]
     assert sorted((tuple(r) for r in S.op11_suffix_family(spark, sf).collect()), key=str) == sorted(want, key=str)
+
+
+def test_only_windows_that_may_repeat_meet_the_family(monkeypatch):
+    """Texts that share short strings everywhere, and one passage: only windows of the passage are indexed and asked for."""
+    import pyarrow as pa
+
+    rng, asked, add = np.random.default_rng(9), [], S.SuffixFamily.add
+    letters = lambda k: "".join(chr(97 + x) for x in rng.integers(0, 26, k))
+    grams, passage = [letters(30) for _ in range(5)], letters(150)
+    texts = ["".join(letters(20) + grams[rng.integers(0, 5)] for _ in range(40)) + (passage if i in (3, 70) else "") for i in range(80)]
+
+    def counted(self, text, at, *rest):
+        asked.append(len(at))
+        return add(self, text, at, *rest)
+
+    monkeypatch.setattr(S.SuffixFamily, "add", counted)
+    routes, ids = S._Routes(100, 1, S.GRAM), pa.array(range(80), pa.int64())
+    sent = []
+    for a in range(0, 80, 20):
+        batch = pa.RecordBatch.from_arrays([ids[a : a + 20], ids[a : a + 20], pa.array(texts[a : a + 20])], names=["__id", "__hash", "text"])
+        sent += S._send(routes, 1 << 20)([batch])
+    got = S._matched(routes, S.BATCH)(pa.Table.from_batches(sent)).to_pylist()
+    covered = {(r["id"], k) for r in got for b, e in np.frombuffer(r["spans"], "<i4").reshape(-1, 2).tolist() for k in range(b, e)}
+    at = texts[70].index(passage)
+    assert covered == {(70, k) for k in range(at, at + 150)}
+    assert 0 < sum(asked) <= 2 * 51
+
+
+@pytest.mark.parametrize("kinds", [2, 3, 26])
+def test_segments_of_split_shards_and_marks(kinds):
+    """Segments from a shard on are those of all; a mark says that the least gram lies in the segment more than once."""
+    rng = np.random.default_rng(kinds)
+    raw = rng.integers(97, 97 + kinds, 70_000).astype(np.uint8)
+    raw[500:1300] = np.tile(rng.integers(97, 123, 40).astype(np.uint8), 20)
+    doc = np.sort(rng.integers(0, 60, len(raw)))
+    routes = S._Routes(100, 7, S.GRAM).split(np.arange(7) < 2, 3)
+    start, windows, key, shard, like, again = S._segments(raw, doc, routes)
+    few = S._segments(raw, doc, routes, 7, marked=False)
+    assert (shard >= 7).any() and all(np.array_equal(x, y[shard >= 7]) for x, y in zip(few[:5], (start, windows, key, shard, like)))
+    grams = S.sequences(S._BYTE[raw], S.GRAM)
+    want = [int((g == g.min()).sum()) > 1 for g in (grams[s : s + w + 100 - S.GRAM] for s, w in zip(start, windows))]
+    assert again.tolist() == want and any(want) and not all(want)
