@@ -24,14 +24,34 @@ def _square(a: str, b: str):
     return sum(((F.col(f"{a}{c}") - F.col(f"{b}{c}")) * (F.col(f"{a}{c}") - F.col(f"{b}{c}")) for c in "xyz"), F.lit(0.0))
 
 
+#: Places whose cells (27 each) may be broadcast; more are shuffled.
+PLACES = 20_000
+#: Spots, counted over all of more than ``PLACES``, that share a spot's cell at most; and cells along the box at most, as a power of 2.
+CROWD, FINEST = 8, 30
+#: Pairs of a source that still looks and a spot, all of which are compared at last; and a cell that holds every place but for its sign.
+PAIRS, WHOLE = 1 << 20, 1e300
+
+
 def _cell_size(spots: DataFrame) -> float | None:
-    """The side of a cell that holds two spots on average, of the box around all; None without spots."""
+    """The side of a cell that holds two spots on average, of the box around all; None without spots.
+
+    Where many spots crowd in a part of the box, cells are made smaller, so that
+    what a source meets does not grow with their number.
+    """
     low_high = [f(c) for c in "xyz" for f in (F.min, F.max)]
     n, *ends = spots.agg(F.count("*"), *low_high).first()
     if not n:
         return None
     spans = [b - a for a, b in zip(ends[::2], ends[1::2]) if b > a]
-    return math.prod(s * (2 / n) ** (1 / len(spans)) for s in spans) ** (1 / len(spans)) if spans else 1.0
+    if not spans:
+        return 1.0
+    size = math.prod(s * (2 / n) ** (1 / len(spans)) for s in spans) ** (1 / len(spans))
+    while n > PLACES and size > max(spans) / (1 << FINEST):
+        own = _cells(spots.select("x", "y", "z"), size, False).groupBy("cx", "cy", "cz").agg(F.count("*").cast("double").alias("n"))
+        if own.agg(F.sum(F.col("n") * F.col("n"))).first()[0] <= CROWD * n:
+            break
+        size /= 3
+    return size
 
 
 _KNOWN = " and ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in "xyz")
@@ -44,20 +64,28 @@ def spots_of(targets: DataFrame) -> tuple[DataFrame, float | None]:
 
 
 def nearest_spots(left: DataFrame, spots: DataFrame, cell: float, keys: list[str]) -> DataFrame:
-    """``keys, x, y, z, target, distance, tx, ty, tz`` for sources ``keys, x, y, z`` (finite, keys unique), as :func:`nearest` finds them."""
-    left, done = left.where(_KNOWN).select(*keys, "x", "y", "z"), None
+    """``keys, x, y, z, target, distance, tx, ty, tz`` for sources ``keys, x, y, z`` (finite, keys unique), as :func:`nearest` finds them.
+
+    Spots are spread over the cells around them as long as they are no more than
+    the sources that still look, then the sources; the last few meet all spots.
+    More than ``PLACES`` spots are never broadcast: Spark would go by their size
+    before they are spread.
+    """
+    left, done, many, looking = left.where(_KNOWN).select(*keys, "x", "y", "z"), None, spots.count(), None
     while True:
-        near = _cells(spots, cell, True).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
-        met = _cells(left, cell, False).join(near, ["cx", "cy", "cz"], "left")
+        spread = looking is None or many <= looking
+        near = _cells(spots, cell, spread).select("target", *[F.col(c).alias(f"t{c}") for c in "xyz"], "cx", "cy", "cz")
+        met = _cells(left, cell, not spread).join(near if many <= PLACES else near.hint("merge"), ["cx", "cy", "cz"], "left")
         best = F.min(F.when(F.col("target").isNotNull(), F.struct(F.sqrt(_square("", "t")).alias("distance"), "target", "tx", "ty", "tz"))).alias("b")
         round_ = stored(met.groupBy(*keys, "x", "y", "z").agg(best), "nearest")
         sure = F.coalesce(F.col("b.distance") <= cell, F.lit(False))
         found = round_.where(sure).select(*keys, "x", "y", "z", "b.target", "b.distance", "b.tx", "b.ty", "b.tz")
         done = found if done is None else done.unionByName(found)
         left = round_.where(~sure).select(*keys, "x", "y", "z")
-        if left.limit(1).count() == 0:
+        looking = left.count()
+        if not looking:
             return done
-        cell *= 3
+        cell = WHOLE if looking * many <= PAIRS else cell * 3
 
 
 def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -> DataFrame:
@@ -76,10 +104,6 @@ def nearest(sources: DataFrame, targets: DataFrame, cell: float | None = None) -
     return nearest_spots(sources, spots, cell or size, ["id"]).select("id", "target", "distance")
 
 
-#: Places whose cells (27 each) are broadcast; more are shuffled.
-PLACES = 20_000
-
-
 def _reach(targets: DataFrame, radius: float) -> DataFrame:
     """Distinct places with all cells of the radius' size that they may be reached from."""
     places = stored(targets.select("x", "y", "z").distinct(), "places")

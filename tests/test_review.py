@@ -2,6 +2,7 @@ import hashlib
 import json
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from strutwise.operators import neighbours as N
@@ -126,3 +127,32 @@ def test_turned_struts_meet_by_one_number_and_the_ends_decide(spark, monkeypatch
     assert re.search(r"Join Inner, \(+id_key#\d+L = match_key#\d+L\)", plan) and plan.count(" = ") == 1
     monkeypatch.setattr(R.F, "xxhash64", lambda *ends: F.size(F.array(*ends)).cast("long") + F.hash(ends[0]) % 2)
     assert sorted(map(tuple, R.turned_ids(s, s, quarter).collect())) == want
+
+
+@pytest.mark.parametrize("places,pairs", [(20, 0), (20_000, 1 << 20)])
+def test_many_spots_are_shuffled_and_crowds_get_small_cells(spark, monkeypatch, places, pairs):
+    """Nearest as brute force finds them; with more than PLACES spots no round broadcasts them, at any size of theirs."""
+    import numpy as np
+
+    plans, stored = [], N.stored
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(N, "PLACES", places)
+    monkeypatch.setattr(N, "PAIRS", pairs, raising=False)
+    monkeypatch.setattr(N, "stored", seen)
+    rng = np.random.default_rng(5)
+    b = np.vstack([rng.normal(0, 0.3, (300, 3)), rng.uniform(-5, 5, (30, 3))])
+    a = np.vstack([rng.normal(0, 0.4, (60, 3)), rng.uniform(-6, 6, (20, 3))])
+    frame = lambda p: spark.createDataFrame([(k, *map(float, r)) for k, r in enumerate(p)], "id long, x double, y double, z double")
+    got = {r.id: (r.target, r.distance) for r in N.nearest(frame(a), frame(b)).collect()}
+    far = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+    assert {k: v[0] for k, v in got.items()} == dict(enumerate(far.argmin(axis=1).tolist()))
+    assert np.allclose([got[k][1] for k in range(len(a))], far.min(axis=1))
+    rounds = [p for n, p in plans if n == "nearest"]
+    assert len(rounds) > 1 and any("BroadcastHashJoin" in p for p in rounds) == (places == 20_000)
+    _, size = N.spots_of(frame(b))
+    cells = np.unique(np.floor(b / size), axis=0, return_counts=True)[1]
+    assert ((cells * cells).sum() <= 8 * len(b)) == (places == 20)
